@@ -1,0 +1 @@
+"""Empty on purpose: every flow here runs over bounded tables, so there is no stream operator."""
