@@ -46,16 +46,6 @@ def mean_by(
     return result.select(*keys, mean.alias(name))
 
 
-def mean_by_sum_count(
-    df: DataFrame, by: str | Sequence[str], value: str, name: str, decimals: int = 2
-) -> DataFrame:
-    """The mean spelled as sum over row count; a NULL value makes its group NULL."""
-    keys = as_list(by)
-    complete = F.count(F.lit(1)) == F.count(value)
-    mean = F.when(complete, F.sum(value) / F.count(F.lit(1)))
-    return df.groupBy(*keys).agg(round_to(mean, decimals).alias(name))
-
-
 def monthly_average(
     threshold: float = SALES_THRESHOLD,
     value: str = "Weekly_Sales",
