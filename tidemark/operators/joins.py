@@ -9,10 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.repair import default_when_unmatched
-from tidemark.operators.blocks import BLOCK, ROWS_PER_BLOCK, OrderSpan, as_list, cut
-from tidemark.operators.fill import fill_by_block, forward_fill
-
-MATCHED = "__matched"
+from tidemark.operators.blocks import as_list
+from tidemark.operators.ordered import MATCHED
 
 
 def normalize_key(df: DataFrame, key: str = "index", kind: str = "bigint") -> DataFrame:
@@ -92,31 +90,3 @@ def merge_right_wins(
 
     names = [*left.columns, *[c for c in right.columns if c not in left.columns]]
     return joined.select(*[merged(n) for n in names])
-
-
-def fill_both_and_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    left_columns: Sequence[str],
-    right_columns: Sequence[str],
-    how: str = "inner",
-    spans: tuple[OrderSpan, OrderSpan] | None = None,
-    rows_per_block: int = ROWS_PER_BLOCK,
-) -> DataFrame:
-    """Forward-fill both sides by their unique join key, then join on it.
-
-    Large inputs are cut into the same blocks on both sides and joined on (block, key): rows
-    shuffle once per side, and the join takes over the partitioning and order of the fill.
-    """
-    left_span, right_span = spans or (OrderSpan.measure(left, key), OrderSpan.measure(right, key))
-    shared = left_span.union(right_span)
-    if shared.dense and shared.rows > shared.block_rows(rows_per_block):
-        sides = []
-        for df, columns in ((left, left_columns), (right, right_columns)):
-            blocked = cut(df, key, [], shared, rows_per_block)
-            sides.append(fill_by_block(blocked, list(columns), key, {}))
-        return sides[0].join(sides[1], [BLOCK, key], how).drop(BLOCK)
-    filled_left = forward_fill(left, left_columns, key, span=left_span, rows_per_block=rows_per_block)
-    filled_right = forward_fill(right, right_columns, key, span=right_span, rows_per_block=rows_per_block)
-    return filled_left.join(filled_right, key, how)
