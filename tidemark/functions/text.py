@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def fixed_point(value: Column, decimals: int = 2) -> Column:
-    """Text with exactly ``decimals`` places and no thousands separator."""
-    return F.format_string(f"%.{decimals}f", value)
+    """Text with exactly ``decimals`` places and no thousands separator; NULL stays NULL."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{decimals}f", value))
 
 
 def delimited(columns: list[Column], blank: str = "", separator: str = ",") -> Column:

@@ -28,6 +28,7 @@ class OrderedTable:
     span: OrderSpan
     rows_per_block: int
     blocked: BlockedTable | None = None
+    shuffled: bool = False  # rows lie by block already
 
     @classmethod
     def align(
@@ -71,17 +72,24 @@ class OrderedTable:
             filled = fill_by_block(
                 self.blocked.with_frame(self.frame), list(columns), self.key, fill_when or {}
             )
-        return replace(self, frame=filled)
+        return replace(self, frame=filled, shuffled=self.blocked is not None)
 
     def join(self, other: OrderedTable, how: str = "inner") -> OrderedTable:
         """Join on the key. Columns of both sides must differ apart from it."""
-        on = [self.key]
-        right = other.frame
-        if self.blocked is not None and other.blocked is not None:
-            on = [BLOCK, self.key]
-        elif other.blocked is not None:
-            right = right.drop(BLOCK)
-        return replace(self, frame=self.frame.join(right, on, how))
+        if self.blocked is None or other.blocked is None:
+            right = other.frame.drop(BLOCK)
+            return replace(self, frame=self.frame.join(right, self.key, how), shuffled=False)
+        left, right = self._by_block(), other._by_block()
+        return replace(self, frame=left.join(right, [BLOCK, self.key], how), shuffled=True)
+
+    def _by_block(self) -> DataFrame:
+        """Shuffle by block ahead of the join, so that a fill after it finds its rows in place.
+
+        Only of use if a join on (block, key) accepts rows that lie by block alone.
+        """
+        conf = self.frame.sparkSession.conf
+        needs_all_keys = conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true") == "true"
+        return self.frame if self.shuffled or needs_all_keys else self.frame.repartition(BLOCK)
 
     def rows(self) -> DataFrame:
         return self.frame.drop(BLOCK)

@@ -58,12 +58,13 @@ def run(
     economic = parse_economic(policy, economic)
     if list(economic_order) == [KEY]:
         left, right = OrderedTable.align([sales, economic], KEY, rows_per_block)
+        if policy.fill_at == "before_join":
+            right = right.fill(_selected(policy.fill_economic, right))
     else:
-        economic = _fill_and_reduce(policy, economic, list(economic_order), rows_per_block)
-        left, right = OrderedTable.align([sales, economic], KEY, rows_per_block)
+        reduced = _fill_and_reduce(policy, economic, list(economic_order), rows_per_block)
+        (left,) = OrderedTable.align([sales], KEY, rows_per_block)
+        right = OrderedTable(reduced, KEY, left.span, rows_per_block)
     left = _repair_sales(policy, left)
-    if policy.fill_at == "before_join" and list(economic_order) == [KEY]:
-        right = right.fill(_selected(policy.fill_economic, right))
     joined = _join(policy, left, right)
     if policy.fill_at == "after_join":
         joined = joined.fill([c for c in joined.columns if c != KEY])
