@@ -79,7 +79,9 @@ def _number_sorted(df: DataFrame, order: list[str]) -> DataFrame:
     then by source row, which lets the sort spread a value that holds much of the table.
     """
     spark = df.sparkSession
-    ties = [F.xxhash64(*[c for c in df.columns if c not in order]), F.monotonically_increasing_id()]
+    rest = [c for c in df.columns if c not in order]
+    ties = [F.xxhash64(*rest)] if rest else []
+    ties.append(F.monotonically_increasing_id())
     path = scratch_path(spark, "row-index")
     (
         df.orderBy(*order, *ties)

@@ -8,15 +8,16 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import BLOCK, ROWS_PER_BLOCK, BlockedTable, OrderSpan, cut
+from tidemark.operators.blocks import BLOCK, POSITION, ROWS_PER_BLOCK, BlockedTable, OrderSpan, cut
 from tidemark.operators.fill import fill_by_block, forward_fill
+from tidemark.operators.index import row_index
 
 MATCHED = "__matched"
 
 
 @dataclass(frozen=True)
 class OrderedTable:
-    """A table with a unique integer key that gives both its order and its join key.
+    """A table with a unique key that gives both its order and its join key.
 
     If the table is larger than one task should sort, it carries a block column: every fill
     then works block by block, and joining two tables that were cut alike uses (block, key), so
@@ -25,6 +26,7 @@ class OrderedTable:
 
     frame: DataFrame
     key: str
+    order: str
     span: OrderSpan
     rows_per_block: int
     blocked: BlockedTable | None = None
@@ -38,18 +40,26 @@ class OrderedTable:
         rows_per_block: int = ROWS_PER_BLOCK,
         spans: Sequence[OrderSpan] | None = None,
     ) -> list[OrderedTable]:
-        """Cut tables by one common span if any of them needs cutting."""
+        """Cut tables by one common span if any of them needs cutting.
+
+        Tables whose keys leave too many holes for common blocks are numbered once and cut by
+        number instead; all their fills share that, but their join has to shuffle by key.
+        """
         spans = spans or [OrderSpan.measure(frame, key) for frame in frames]
         shared = spans[0]
         for span in spans[1:]:
             shared = shared.union(span)
         tables = []
         for frame, span in zip(frames, spans):
-            blocked = cut(frame, key, [], shared, rows_per_block) if shared.dense else None
-            if blocked is None:
-                tables.append(cls(frame, key, span, rows_per_block))
-            else:
-                tables.append(cls(blocked.frame, key, shared, rows_per_block, blocked))
+            order = key
+            if shared.dense:
+                span = shared
+            elif span.rows > span.block_rows(rows_per_block) and not span.dense:
+                frame = row_index(frame, key, name=POSITION, span=span, rows_per_block=rows_per_block)
+                order, span = POSITION, OrderSpan(span.rows, 0, span.rows - 1)
+            blocked = cut(frame, order, [], span, rows_per_block) if span.dense else None
+            cut_frame = blocked.frame if blocked else frame
+            tables.append(cls(cut_frame, key, order, span, rows_per_block, blocked))
         return tables
 
     def apply(self, step: Callable[[DataFrame], DataFrame]) -> OrderedTable:
@@ -63,21 +73,22 @@ class OrderedTable:
             filled = forward_fill(
                 self.frame,
                 columns,
-                self.key,
+                self.order,
                 fill_when=fill_when,
                 span=self.span,
                 rows_per_block=self.rows_per_block,
             )
         else:
             filled = fill_by_block(
-                self.blocked.with_frame(self.frame), list(columns), self.key, fill_when or {}
+                self.blocked.with_frame(self.frame), list(columns), self.order, fill_when or {}
             )
         return replace(self, frame=filled, shuffled=self.blocked is not None)
 
     def join(self, other: OrderedTable, how: str = "inner") -> OrderedTable:
         """Join on the key. Columns of both sides must differ apart from it."""
-        if self.blocked is None or other.blocked is None:
-            right = other.frame.drop(BLOCK)
+        cut_alike = self.blocked and other.blocked and self.span == other.span
+        if not cut_alike or not self.order == other.order == self.key:
+            right = other.frame.drop(BLOCK, POSITION)
             return replace(self, frame=self.frame.join(right, self.key, how), shuffled=False)
         left, right = self._by_block(), other._by_block()
         return replace(self, frame=left.join(right, [BLOCK, self.key], how), shuffled=True)
@@ -92,8 +103,8 @@ class OrderedTable:
         return self.frame if self.shuffled or needs_all_keys else self.frame.repartition(BLOCK)
 
     def rows(self) -> DataFrame:
-        return self.frame.drop(BLOCK)
+        return self.frame.drop(BLOCK, POSITION)
 
     @property
     def columns(self) -> list[str]:
-        return [c for c in self.frame.columns if c != BLOCK]
+        return [c for c in self.frame.columns if c not in (BLOCK, POSITION)]

@@ -63,7 +63,7 @@ def run(
     else:
         reduced = _fill_and_reduce(policy, economic, list(economic_order), rows_per_block)
         (left,) = OrderedTable.align([sales], KEY, rows_per_block)
-        right = OrderedTable(reduced, KEY, left.span, rows_per_block)
+        right = OrderedTable(reduced, KEY, KEY, left.span, rows_per_block)
     left = _repair_sales(policy, left)
     joined = _join(policy, left, right)
     if policy.fill_at == "after_join":

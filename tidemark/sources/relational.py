@@ -1,16 +1,10 @@
-"""Relational sources: any JDBC database, and SQLite files without a driver jar."""
+"""Relational tables over JDBC. The driver jar comes with the session (``spark.jars``)."""
 
 from __future__ import annotations
 
-import sqlite3
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-_BATCH_ROWS = 10_000
 
 
 def jdbc_options(
@@ -22,7 +16,7 @@ def jdbc_options(
     driver: str | None = None,
     fetch_size: int = 10_000,
 ) -> dict[str, str]:
-    """Reader options; with a partition column the range is read by parallel range queries."""
+    """Reader options; with a partition column the table is read by parallel range queries."""
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
     if driver:
         options["driver"] = driver
@@ -38,109 +32,24 @@ def jdbc_options(
     return options
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
-
-
-class SqliteSource(DataSource):
-    """``spark.read.format("sqlite")``: a table of a SQLite file that all executors can open.
-
-    Each task reads one range of row ids, so the table never passes through the driver. Options:
-    ``path``, ``dbtable``, ``numPartitions``. The file is opened read-only. SQLite columns may
-    hold values of any type whatever their declaration, so give a schema of strings for dirty
-    columns; without one, declared types apply and a value that does not fit fails the task.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "sqlite"
-
-    def schema(self) -> T.StructType:
-        with _open(self.options["path"]) as db:
-            columns = db.execute(f"PRAGMA table_info({_quoted(self.options['dbtable'])})").fetchall()
-        if not columns:
-            raise ValueError(f"no table {self.options['dbtable']!r} in {self.options['path']}")
-        return T.StructType([T.StructField(c[1], _declared_type(c[2])) for c in columns])
-
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        return SqliteReader(self.options, schema)
-
-
-class RowIdRange(InputPartition):
-    def __init__(self, first: int, last: int):
-        self.first = first
-        self.last = last
-
-
-class SqliteReader(DataSourceReader):
-    def __init__(self, options: dict, schema: T.StructType):
-        self.path = options["path"]
-        self.table = options["dbtable"]
-        self.parts = int(options.get("numpartitions", options.get("numPartitions", 1)))
-        self.schema = schema
-
-    def partitions(self) -> list[RowIdRange]:
-        with _open(self.path) as db:
-            low, high = db.execute(
-                f"SELECT min(rowid), max(rowid) FROM {_quoted(self.table)}"
-            ).fetchone()
-        if low is None:
-            return [RowIdRange(0, -1)]
-        step = -(-(high - low + 1) // self.parts)
-        return [RowIdRange(first, min(first + step - 1, high)) for first in range(low, high + 1, step)]
+def range_predicates(column: str, cuts: Sequence[int]) -> list[str]:
+    """One predicate per range between ascending ``cuts``, NULLs in the first; for uneven keys."""
+    if not cuts:
+        return [f"{column} IS NULL OR {column} IS NOT NULL"]
+    inner = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
 
-    def read(self, partition: RowIdRange) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow = to_arrow_schema(self.schema)
-        names = ", ".join(
-            f"CAST({_quoted(f.name)} AS TEXT)" if isinstance(f.dataType, T.StringType) else _quoted(f.name)
-            for f in self.schema
-        )
-        query = f"SELECT {names} FROM {_quoted(self.table)} WHERE rowid BETWEEN ? AND ?"
-        with _open(self.path) as db:
-            rows = db.execute(query, (partition.first, partition.last))
-            while chunk := rows.fetchmany(_BATCH_ROWS):
-                columns = zip(*chunk)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, type=f.type) for values, f in zip(columns, arrow)], schema=arrow
-                )
-
-
-def read_sqlite(
-    spark: SparkSession,
-    path: str,
-    table: str,
-    schema: T.StructType | None = None,
-    partitions: int | None = None,
+def read_jdbc(
+    spark: SparkSession, url: str, table: str, predicates: Sequence[str] | None = None, **options
 ) -> DataFrame:
-    spark.dataSource.register(SqliteSource)
-    reader = spark.read.format("sqlite").option("path", path).option("dbtable", table)
-    reader = reader.option("numPartitions", partitions or spark.sparkContext.defaultParallelism)
-    return (reader.schema(schema) if schema else reader).load()
-
-
-class _open:
-    """A read-only connection that is closed on exit."""
-
-    def __init__(self, path: str):
-        self.db = sqlite3.connect(f"file:{path}?mode=ro", uri=True)
+    """A lazy table scan that Spark prunes and filters at the source.
 
-    def __enter__(self) -> sqlite3.Connection:
-        return self.db
-
-    def __exit__(self, *_) -> None:
-        self.db.close()
-
-
-def _quoted(name: str) -> str:
-    return '"' + name.replace('"', '""') + '"'
-
-
-def _declared_type(declared: str) -> T.DataType:
-    declared = declared.upper()
-    if "INT" in declared:
-        return T.LongType()
-    if any(word in declared for word in ("REAL", "FLOA", "DOUB")):
-        return T.DoubleType()
-    return T.StringType()
+    Equal ranges of a partition column suit even keys. Where one range would hold much of the
+    table, give ``predicates`` instead (see ``range_predicates``): one task reads each.
+    """
+    settings = jdbc_options(url, table, **options)
+    if predicates:
+        own = {k: v for k, v in settings.items() if k not in ("url", "dbtable")}
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=own)
+    return spark.read.format("jdbc").options(**settings).load()
