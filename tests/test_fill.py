@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import MAX_SPREAD, OrderSpan
+from tidemark.operators.blocks import MAX_SPREAD, OrderSpan, cuts_evenly
 from tidemark.operators.fill import forward_fill
 from tidemark.operators.index import row_index
 from tidemark.operators.ordered import OrderedTable
@@ -62,6 +62,35 @@ def test_sparse_keys(spark, step):
     assert filled(forward_fill(df, "v", "id", rows_per_block=7)) == expected(cells, step=step)
 
 
+def test_keys_crowded_at_one_end_are_numbered_first(spark):
+    """One outlier stretches the range, so that blocks of equal width would hold everything else."""
+    ids = [*range(100), 10**15]
+    df = spark.createDataFrame([(i, i if i % 10 == 0 else None) for i in ids], "id bigint, v bigint")
+    span = OrderSpan.measure(df, "id")
+    assert not span.dense and not cuts_evenly(df, ["id"], span, 5)
+    assert filled(forward_fill(df, "v", "id", rows_per_block=5)) == [(i, i // 10 * 10 if i < 100 else 10**15) for i in ids]
+    assert cuts_evenly(series(spark, [1] * 50, step=1000), ["id"], OrderSpan.measure(series(spark, [1] * 50, step=1000), "id"), 5)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "string"])
+def test_order_by_time_then_id(spark, kind):
+    cells = [None, 1, None, None, 5, None, 7, None, None, None] * 5
+    days = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 10).cast("int")).cast(kind)
+    df = series(spark, cells).withColumn("at", days)
+    for block in (12, 1000):
+        result = forward_fill(df, "v", ["at", "id"], rows_per_block=block)
+        assert filled(result) == expected(cells)
+        numbers = row_index(df, ["at", "id"], "n", rows_per_block=block).orderBy("id").collect()
+        assert [r["n"] for r in numbers] == list(range(len(cells)))
+
+
+def test_keyed_fill_in_composite_order(spark):
+    rows = [(i // 50, i, i % 2, i if i % 9 == 0 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "at int, id bigint, k int, v bigint")
+    plain = filled(forward_fill(df, "v", ["at", "id"], "k"))
+    assert filled(forward_fill(df, "v", ["at", "id"], "k", rows_per_block=60)) == plain
+
+
 @pytest.mark.parametrize(
     "cells", [[None] * 20, [None] * 10 + [3], [3] + [None] * 19, [1, 2, 3], [None, None, 4] + [None] * 12 + [9]]
 )

@@ -11,9 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Java's number parser takes "5d", "5f" and hexadecimal floats; text data does not mean those.
-_NOT_PLAIN_NUMBER = r"(?i)[0-9.][df]\s*$|0x"
-# Spark's timestamp cast takes a bare year or a bare time as well; ISO text starts with a date.
-_ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+# Breaking these letters makes such text, and "inf", unparsable, at one evaluation of the input.
+_NOT_DIGITS = "dDfFxX"
+# Spark's timestamp cast also takes a bare year, a year and month, or a bare time.
+_SHORTEST_DATE = len("2023-1-5")
 
 
 def missing_to_null(value: Column, tokens: Iterable[str]) -> Column:
@@ -27,13 +28,15 @@ def is_missing(value: Column, tokens: Iterable[str]) -> Column:
 
 def nan_to_null(value: Column) -> Column:
     """NaN compares greater than any number and poisons means, so it becomes NULL at the scan."""
-    return F.when(~F.isnan(value), value)
+    return F.nullif(value, F.lit(float("nan")))
 
 
 def try_number(value: Column, kind: str = "double") -> Column:
-    """Text to number; unparsable text and NaN give NULL."""
-    parsed = F.when(~value.cast("string").rlike(_NOT_PLAIN_NUMBER), value.try_cast(kind))
-    return nan_to_null(parsed) if kind in ("double", "float") else parsed
+    """Text to a finite number; unparsable text, infinity and NaN give NULL."""
+    if kind not in ("double", "float"):
+        return value.try_cast(kind)
+    digits = F.translate(value.cast("string"), _NOT_DIGITS, "?" * len(_NOT_DIGITS))
+    return nan_to_null(digits.try_cast(kind))
 
 
 def try_date(value: Column, formats: Iterable[str] = ()) -> Column:
@@ -41,7 +44,9 @@ def try_date(value: Column, formats: Iterable[str] = ()) -> Column:
     formats = list(formats)
     if formats:
         return F.coalesce(*[F.try_to_timestamp(value, F.lit(pattern)) for pattern in formats])
-    return F.when(value.rlike(_ISO_DATE), value.try_cast("timestamp"))
+    text = F.trim(value)
+    whole_date = (F.substring(text, 5, 1) == "-") & (F.length(text) >= _SHORTEST_DATE)
+    return F.when(whole_date, value.try_cast("timestamp"))
 
 
 def strict_cast(value: Column, kind: str) -> Column:

@@ -2,8 +2,10 @@
 
 A window over the whole table (or over one key that holds a third of it) sorts all its
 rows in one task. Fill and row numbering avoid that by working block by block and handing
-one small value from each block to the next. A block is a range of an integer ordering
+one small value from each block to the next. A block is a range of the leading order
 column, computed by arithmetic: no shuffle, and the same answer when a task runs again.
+Before any cut the block sizes are known to be bounded, by the key's range if it is unique
+and without large holes, else by counting.
 """
 
 from __future__ import annotations
@@ -12,20 +14,18 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK = "__block"
 POSITION = "__position"
 
-# Rows one task may sort. Also the size from which a key counts as hot.
-ROWS_PER_BLOCK = 2_000_000
+# Rows a block should have. Also the size from which a key counts as hot.
+ROWS_PER_BLOCK = 1_000_000
 # Upper bound on the number of blocks, and so on every per-block table that is broadcast.
-MAX_BLOCKS = 20_000
-# Arithmetic blocks need a column without large holes: a unique integer column whose range
-# is at most this many times its row count puts at most this many times the wanted rows
-# into any block.
+MAX_BLOCKS = 100_000
+# How much larger than wanted a block may get.
 MAX_SPREAD = 4
 # Broadcast a per-block table only up to this many rows; beyond it the join is left to Spark.
 BROADCAST_ROWS = 100_000
@@ -39,9 +39,24 @@ def as_list(names: str | Sequence[str] | None) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def scale_of(field: T.StructField) -> Column | None:
+    """A column as whole numbers in the same order, if its type has that."""
+    value = F.col(field.name)
+    if isinstance(field.dataType, _INTEGRAL):
+        return value.cast("long")
+    if isinstance(field.dataType, T.DateType):
+        return F.unix_date(value).cast("long")
+    if isinstance(field.dataType, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(field.dataType, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, value)
+    return None
+
+
 @dataclass(frozen=True)
 class OrderSpan:
-    """Row count and range of an ordering, from one pass over the ordering column alone.
+    """Row count and range of an order, from one pass over its leading column alone.
 
     Measure it on the base table and hand it on when the table to be ordered is an expensive
     derivation: a span that is too wide only makes blocks smaller.
@@ -51,55 +66,74 @@ class OrderSpan:
     low: int | None = None
     high: int | None = None
     nulls: int = 0
+    unique: bool = True  # the leading column is the whole order, hence unique
 
     @classmethod
     def measure(cls, df: DataFrame, order_by: str | Sequence[str]) -> OrderSpan:
         order = as_list(order_by)
-        integral = len(order) == 1 and isinstance(df.schema[order[0]].dataType, _INTEGRAL)
-        if not integral:
+        value = scale_of(df.schema[order[0]])
+        if value is None:
             return cls(rows=df.count())
-        key = F.col(order[0])
         row = df.agg(
             F.count(F.lit(1)).alias("rows"),
-            F.min(key).cast("long").alias("low"),
-            F.max(key).cast("long").alias("high"),
-            F.count_if(key.isNull()).alias("nulls"),
+            F.min(value).alias("low"),
+            F.max(value).alias("high"),
+            F.count_if(value.isNull()).alias("nulls"),
         ).first()
-        return cls(row["rows"], row["low"], row["high"], row["nulls"])
+        return cls(row["rows"], row["low"], row["high"], row["nulls"], len(order) == 1)
+
+    @property
+    def extent(self) -> int:
+        return self.high - self.low + 1
 
     @property
     def dense(self) -> bool:
-        if self.low is None or self.nulls:
+        """A unique key whose range is not much larger than its row count cannot pile up."""
+        if not self.unique or self.low is None or self.nulls:
             return False
-        extent = self.high - self.low + 1
-        return self.rows <= extent <= MAX_SPREAD * self.rows
-
-    def block_rows(self, rows_per_block: int) -> int:
-        return max(rows_per_block, math.ceil(self.rows / MAX_BLOCKS), 1)
-
-    def block_count(self, rows_per_block: int) -> int:
-        return math.ceil((self.high - self.low + 1) / self.width(rows_per_block))
+        return self.rows <= self.extent <= MAX_SPREAD * self.rows
 
     def union(self, other: OrderSpan) -> OrderSpan:
         """The span to cut two tables by when their blocks have to line up."""
+        nulls, unique = self.nulls + other.nulls, self.unique and other.unique
+        rows = max(self.rows, other.rows)
         if self.low is None or other.low is None:
-            return OrderSpan(max(self.rows, other.rows), nulls=self.nulls + other.nulls)
-        return OrderSpan(
-            max(self.rows, other.rows),
-            min(self.low, other.low),
-            max(self.high, other.high),
-            self.nulls + other.nulls,
-        )
+            return OrderSpan(rows, None, None, nulls, unique)
+        return OrderSpan(rows, min(self.low, other.low), max(self.high, other.high), nulls, unique)
+
+    def block_rows(self, rows_per_block: int) -> int:
+        return max(rows_per_block, math.ceil(self.rows / MAX_BLOCKS), 1)
+
+    def too_large(self, rows_per_block: int) -> bool:
+        return self.rows > self.block_rows(rows_per_block)
 
     def width(self, rows_per_block: int) -> int:
-        extent = self.high - self.low + 1
-        return max(1, math.ceil(extent * self.block_rows(rows_per_block) / self.rows))
+        return max(1, math.ceil(self.extent * self.block_rows(rows_per_block) / self.rows))
+
+    def block_count(self, rows_per_block: int) -> int:
+        return math.ceil(self.extent / self.width(rows_per_block))
 
-    def block_of(self, key: Column, rows_per_block: int) -> Column:
-        offset = key.cast("long") - F.lit(self.low)
+    def block_of(self, value: Column, rows_per_block: int) -> Column:
+        offset = value - F.lit(self.low)
         return F.call_function("div", offset, F.lit(self.width(rows_per_block))).cast("int")
 
 
+def cuts_evenly(df: DataFrame, order: list[str], span: OrderSpan, rows_per_block: int) -> bool:
+    """Whether arithmetic blocks of the leading column stay within MAX_SPREAD of the wanted size.
+
+    Known for a dense key; otherwise the rows of each block are counted, which combines map-side
+    and reads one column.
+    """
+    if span.dense:
+        return True
+    if span.low is None or span.nulls:
+        return False
+    block = span.block_of(scale_of(df.schema[order[0]]), rows_per_block)
+    sizes = df.groupBy(block.alias(BLOCK)).agg(F.count(F.lit(1)).alias("__rows"))
+    largest = sizes.agg(F.max("__rows")).first()[0]
+    return (largest or 0) <= MAX_SPREAD * span.block_rows(rows_per_block)
+
+
 @dataclass(frozen=True)
 class BlockedTable:
     """A table with its block column. Rows of keys that fit one task are all in block -1."""
@@ -108,10 +142,10 @@ class BlockedTable:
     keys: list[str]
     carry_rows: int  # upper bound of (key, block) pairs that hand a value on
 
-    def within_block(self, order: list[str]) -> Window:
+    def within_block(self, order: list[str]) -> WindowSpec:
         return Window.partitionBy(*self.keys, BLOCK).orderBy(*order)
 
-    def before_block(self) -> Window:
+    def before_block(self) -> WindowSpec:
         return (
             Window.partitionBy(*self.keys)
             .orderBy(BLOCK)
@@ -152,23 +186,22 @@ def hot_keys(df: DataFrame, keys: list[str], more_than: int) -> tuple[DataFrame,
 
 def cut(
     df: DataFrame,
-    order: str,
+    lead: str,
     keys: list[str],
     span: OrderSpan,
     rows_per_block: int,
 ) -> BlockedTable | None:
     """Add the block column; None if every group already fits one task.
 
-    With ``keys`` only hot keys are split. ``span`` must be dense over ``order``.
+    ``span`` has to cut evenly. With ``keys`` only hot keys are split.
     """
-    limit = span.block_rows(rows_per_block)
-    if span.rows <= limit:
+    if not span.too_large(rows_per_block):
         return None
-    block = span.block_of(F.col(order), rows_per_block)
+    block = span.block_of(scale_of(df.schema[lead]), rows_per_block)
     blocks = span.block_count(rows_per_block)
     if not keys:
         return BlockedTable(df.withColumn(BLOCK, block), [], blocks)
-    hot, count = hot_keys(df, keys, limit)
+    hot, count = hot_keys(df, keys, span.block_rows(rows_per_block))
     if not count:
         return None
     marks = hot.select(*[F.col(name).alias(f"__hot_{name}") for name in keys], F.lit(True).alias("__hot"))

@@ -15,6 +15,7 @@ from tidemark.operators.blocks import (
     OrderSpan,
     as_list,
     cut,
+    cuts_evenly,
 )
 from tidemark.operators.index import row_index
 
@@ -31,10 +32,7 @@ def forward_fill(
     """Replace NULLs by the latest earlier non-NULL value in ``order_by``; leading NULLs stay.
 
     ``order_by`` has to be a total order (within ``partition_by`` if given). ``fill_when`` narrows,
-    per column, which rows are filled; rows left out keep their value, NULL included. The block
-    column of a global fill stays in the plan only, so a later join on the block can reuse its
-    shuffle (see ``fill_by_block``).
-
+    per column, which rows are filled; rows left out keep their value, NULL included. 
     Up to ``rows_per_block`` rows one task sorts the table. Beyond that the table is cut into
     blocks: fill inside each block, take each block's last values, run those forward over the
     blocks (one row per block), and add them to the rows still empty. A keyed fill does this
@@ -44,14 +42,14 @@ def forward_fill(
     fill_when = dict(fill_when or {})
     names = df.columns
     span = span or OrderSpan.measure(df, order)
-    if span.rows > span.block_rows(rows_per_block):
-        if not span.dense:
-            # Sparse, composite or non-integer order: number the rows once, then go by number.
+    if span.too_large(rows_per_block):
+        if not cuts_evenly(df, order, span, rows_per_block):
+            # No order column to cut by: number the rows once, then go by number.
             df = row_index(df, order, name=POSITION, rows_per_block=rows_per_block, span=span)
             order, span = [POSITION], OrderSpan(span.rows, 0, span.rows - 1)
         blocked = cut(df, order[0], keys, span, rows_per_block)
         if blocked is not None:
-            return fill_by_block(blocked, columns, order[0], fill_when).select(*names)
+            return fill_by_block(blocked, columns, order, fill_when).select(*names)
     window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     latest = {name: F.last(name, ignorenulls=True).over(window) for name in columns}
     return df.select(*[_filled(n, latest, fill_when).alias(n) if n in latest else n for n in names])
@@ -60,20 +58,21 @@ def forward_fill(
 def fill_by_block(
     blocked: BlockedTable,
     columns: list[str],
-    order: str,
+    order: list[str],
     fill_when: Mapping[str, Column],
 ) -> DataFrame:
     """Fill a cut table; the result keeps the block column and its partitioning and sort order."""
     names = blocked.frame.columns
-    window = blocked.within_block([order]).rowsBetween(Window.unboundedPreceding, 0)
+    window = blocked.within_block(order).rowsBetween(Window.unboundedPreceding, 0)
     local = blocked.frame.select(
         *names,
         *[F.last(n, ignorenulls=True).over(window).alias(f"__local_{n}") for n in columns],
     )
     # Last valid value of each block: a partial aggregate over a pruned scan, one row per block.
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     tails = blocked.split_rows().groupBy(*blocked.keys, BLOCK).agg(
         *[
-            F.max_by(n, F.when(F.col(n).isNotNull(), F.col(order))).alias(f"__tail_{n}")
+            F.max_by(n, F.when(F.col(n).isNotNull(), place)).alias(f"__tail_{n}")
             for n in columns
         ]
     )

@@ -15,6 +15,7 @@ from tidemark.operators.blocks import (
     OrderSpan,
     as_list,
     cut,
+    cuts_evenly,
 )
 from tidemark.session import scratch_path
 
@@ -36,15 +37,15 @@ def row_index(
 ) -> DataFrame:
     """Add ``name``: start, start + 1, ... in ``order_by``, restarting per ``partition_by`` if given.
 
-    Up to ``rows_per_block`` rows one task numbers the table. Beyond that, a dense integer order
-    is numbered block by block plus the count of the blocks before; any other order is range
-    sorted once into a scratch table, whose partition sizes give the offsets.
+    Up to ``rows_per_block`` rows one task numbers the table. Beyond that it is numbered block by
+    block, plus the count of the blocks before. An order that gives no even blocks is range sorted
+    once into a scratch table, whose partition sizes give the offsets.
     """
     order, keys = as_list(order_by), as_list(partition_by)
     names = [c for c in df.columns if c != name]
     span = span or OrderSpan.measure(df, order)
-    if span.rows > span.block_rows(rows_per_block):
-        if not span.dense:
+    if span.too_large(rows_per_block):
+        if not cuts_evenly(df, order, span, rows_per_block):
             numbered = _number_sorted(df, order)
             if not keys:
                 return numbered.select(*names, (F.col(POSITION) + start).alias(name))
@@ -52,15 +53,15 @@ def row_index(
             span = OrderSpan(span.rows, 0, span.rows - 1)
         blocked = cut(df, order[0], keys, span, rows_per_block)
         if blocked is not None:
-            return _number_by_block(blocked, order[0], name, start).select(*names, name)
+            return _number_by_block(blocked, order, name, start).select(*names, name)
     window = Window.partitionBy(*keys).orderBy(*order)
     number = F.row_number().over(window).cast("long") + (start - 1)
     return df.select(*names, number.alias(name))
 
 
-def _number_by_block(blocked: BlockedTable, order: str, name: str, start: int) -> DataFrame:
+def _number_by_block(blocked: BlockedTable, order: list[str], name: str, start: int) -> DataFrame:
     local = blocked.frame.withColumn(
-        _ID, F.row_number().over(blocked.within_block([order])).cast("long")
+        _ID, F.row_number().over(blocked.within_block(order)).cast("long")
     )
     counts = blocked.split_rows().groupBy(*blocked.keys, BLOCK).agg(F.count(F.lit(1)).alias("__rows"))
     offsets = counts.select(

@@ -8,7 +8,15 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import BLOCK, POSITION, ROWS_PER_BLOCK, BlockedTable, OrderSpan, cut
+from tidemark.operators.blocks import (
+    BLOCK,
+    POSITION,
+    ROWS_PER_BLOCK,
+    BlockedTable,
+    OrderSpan,
+    cut,
+    cuts_evenly,
+)
 from tidemark.operators.fill import fill_by_block, forward_fill
 from tidemark.operators.index import row_index
 
@@ -42,22 +50,26 @@ class OrderedTable:
     ) -> list[OrderedTable]:
         """Cut tables by one common span if any of them needs cutting.
 
-        Tables whose keys leave too many holes for common blocks are numbered once and cut by
-        number instead; all their fills share that, but their join has to shuffle by key.
+        A table whose keys give no even blocks is numbered once and cut by number instead; all
+        its fills share that, but its join has to shuffle by key.
         """
         spans = spans or [OrderSpan.measure(frame, key) for frame in frames]
         shared = spans[0]
         for span in spans[1:]:
             shared = shared.union(span)
+        large = shared.too_large(rows_per_block)
+        alike = large and all(cuts_evenly(f, [key], shared, rows_per_block) for f in frames)
         tables = []
         for frame, span in zip(frames, spans):
-            order = key
-            if shared.dense:
+            order, blocked = key, None
+            if alike:
                 span = shared
-            elif span.rows > span.block_rows(rows_per_block) and not span.dense:
-                frame = row_index(frame, key, name=POSITION, span=span, rows_per_block=rows_per_block)
-                order, span = POSITION, OrderSpan(span.rows, 0, span.rows - 1)
-            blocked = cut(frame, order, [], span, rows_per_block) if span.dense else None
+                blocked = cut(frame, key, [], span, rows_per_block)
+            elif span.too_large(rows_per_block):
+                if not cuts_evenly(frame, [key], span, rows_per_block):
+                    frame = row_index(frame, key, POSITION, span=span, rows_per_block=rows_per_block)
+                    order, span = POSITION, OrderSpan(span.rows, 0, span.rows - 1)
+                blocked = cut(frame, order, [], span, rows_per_block)
             cut_frame = blocked.frame if blocked else frame
             tables.append(cls(cut_frame, key, order, span, rows_per_block, blocked))
         return tables
@@ -80,7 +92,7 @@ class OrderedTable:
             )
         else:
             filled = fill_by_block(
-                self.blocked.with_frame(self.frame), list(columns), self.order, fill_when or {}
+                self.blocked.with_frame(self.frame), list(columns), [self.order], fill_when or {}
             )
         return replace(self, frame=filled, shuffled=self.blocked is not None)
 

@@ -104,8 +104,10 @@ def parse_economic(policy: Policy, economic: DataFrame) -> DataFrame:
         value = F.col(field.name)
         if field.name == KEY:
             return value.try_cast("bigint")
+        if field.name in policy.parse_economic and isinstance(field.dataType, T.NumericType):
+            return nan_to_null(value.cast(policy.measure))
         if field.name in policy.parse_economic:
-            text = value.cast("string")
+            text = value
             if policy.economic_tokens:
                 text = missing_to_null(text, policy.economic_tokens)
             return try_number(text, policy.measure)
