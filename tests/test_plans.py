@@ -109,3 +109,18 @@ def test_no_python_in_flows_and_no_cross_join(spark, sf_dir, name):
     text = plan(contract.queries()[name](spark, sf_dir))
     for node in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "NestedLoop"):
         assert node not in text
+
+
+def test_left_join_reads_only_projected_columns(spark, sf_dir):
+    left = inputs.table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "index")
+    text = plan(joins.join_left(left, inputs.lines(spark, sf_dir), "index", ["index", "o_totalprice", "price"]))
+    assert set(re.findall(r"ReadSchema: struct<([^>]*)>", text)) == {
+        "o_orderkey:bigint,o_totalprice:double", "l_orderkey:bigint,l_extendedprice:double"}
+
+
+def test_fill_after_block_join_needs_no_further_shuffle_or_sort(spark, sf_dir, no_auto_broadcast):
+    text = plan(contract.queries()["flow_drop_then_fill_blocks_clean"](spark, sf_dir))
+    main = below(text, "BroadcastHashJoin [__block")[0]
+    assert main.find("Window") < main.find("SortMergeJoin") < main.find("Exchange")
+    between = main[main.find("Window") : main.find("SortMergeJoin")]
+    assert "Sort " not in between and "Exchange" not in between

@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.plans import flow, policy, publish
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, tune
 from tidemark.sinks import files as sinks
 from tidemark.sinks import outputs, tables
+from tidemark.sinks.client import to_client
 from tidemark.sources import files, relational
 from test_flows import economic, sales
 
@@ -181,3 +182,21 @@ def test_scratch_path_uses_the_shared_folder(spark):
 def test_schema_contracts():
     assert schemas.CLEAN.fieldNames() == list(schemas.CLEAN_FIELDS)
     assert isinstance(schemas.AGGREGATE["Month"].dataType, T.IntegerType)
+
+
+def test_to_client_is_bounded(spark):
+    df = spark.createDataFrame([(1, 2.5), (2, 3.5)], schemas.AGGREGATE)
+    assert list(to_client(df.orderBy("Month")).index) == [0, 1]
+    with pytest.raises(ValueError):
+        to_client(df, max_rows=1)
+
+
+def test_tune_sizes_the_shuffle(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        tune(spark, shuffle_bytes=10**14)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 476838
+        tune(spark, shuffle_bytes=1)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 476838
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

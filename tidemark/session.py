@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -20,9 +21,22 @@ RUNTIME_CONF = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
+# Shuffled bytes one task should handle.
+TASK_BYTES = 200 * 1024 * 1024
+
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the settings; given the size of the largest shuffle, also size its partitions.
+
+    Adaptive execution merges partitions that turn out small but splits none apart from skewed
+    joins, so the number has to be large enough for the largest shuffle.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        wanted = math.ceil(shuffle_bytes / TASK_BYTES)
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(wanted, current)))
     return spark
 
 

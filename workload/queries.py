@@ -37,6 +37,13 @@ def query(function: Query) -> Query:
     return function
 
 
+def _catalog_schema(spark: SparkSession) -> str:
+    """A catalog schema whose folder is scratch too, so that nothing lands in the working folder."""
+    location = scratch_path(spark, "schema")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS tidemark_check LOCATION '{location}'")
+    return "tidemark_check"
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.table(spark, sf_dir, "orders")
 
@@ -85,9 +92,8 @@ def bulk_load_csv(spark, sf_dir):
          T.StructField("Date", T.StringType()), T.StructField("Dept", T.IntegerType()),
          T.StructField("Weekly_Sales", T.DoubleType())]
     )
-    return files.bulk_load_csv(
-        spark, path, "tidemark_check.grocery_load", schema, location=location, strict=False
-    )
+    table = f"{_catalog_schema(spark)}.sales_load"
+    return files.bulk_load_csv(spark, path, table, schema, location=location, strict=False)
 
 
 @query
@@ -180,8 +186,9 @@ def sink_table_roundtrip(spark, sf_dir):
         F.col("o_totalprice").alias("Weekly_Sales"),
         "o_orderkey",
     )
-    write_table(orders, "tidemark_check.clean_roundtrip", schema, location=location)
-    return spark.table("tidemark_check.clean_roundtrip")
+    table = f"{_catalog_schema(spark)}.clean_roundtrip"
+    write_table(orders, table, schema, location=location)
+    return spark.table(table)
 
 
 # --- parsing and repair --------------------------------------------------------------------
@@ -863,14 +870,14 @@ def flow_sql_drop_nulls_agg(spark, sf_dir):
 @query
 def flow_published(spark, sf_dir):
     """The validated flow written to all four targets, read back from the aggregate table."""
-    result = _flow(spark, sf_dir, policy.VALIDATED)
+    result, schema = _flow(spark, sf_dir, policy.VALIDATED), _catalog_schema(spark)
     targets = publish.Targets(
         clean_csv=scratch_path(spark, "clean-csv"),
         aggregate_csv=scratch_path(spark, "aggregate-csv"),
-        clean_table="tidemark_check.clean",
-        aggregate_table="tidemark_check.aggregated",
+        clean_table=f"{schema}.clean",
+        aggregate_table=f"{schema}.aggregated",
         clean_location=scratch_path(spark, "clean-table"),
         aggregate_location=scratch_path(spark, "aggregate-table"),
     )
     publish.publish(spark, policy.VALIDATED, result, targets, THRESHOLD, exact_scale=2)
-    return spark.table("tidemark_check.aggregated")
+    return spark.table(f"{schema}.aggregated")
