@@ -174,8 +174,8 @@ def test_sql_flow(spark):
         ("1", "1", "2023-01-06", "3", "20000.25"), ("2", "2", "null", "4", "30000"),
         ("3", "1", "2023-02-03", "3", "null"), ("4", "9", "2023-02-10", "5", "40000"), ("5", "2", "2023-02-17", "4", "15000.5"),
     )
-    result = statements.run_sql(spark, left, economic(spark, (1, 0, 211.126, "8.1")), ordered=True)
-    assert [tuple(map(str, r)) for r in result.clean.collect()] == [
+    clean, aggregate = statements.run_sql(spark, left, economic(spark, (1, 0, 211.126, "8.1")), ordered=True)
+    assert [tuple(map(str, r)) for r in clean.collect()] == [
         ("1", "1", "3", "20000.25", "211.13", "8.10"), ("2", "2", "4", "15000.50", "None", "None")]
-    assert [tuple(map(str, r)) for r in result.aggregate.collect()] == [("1", "20000.25"), ("2", "15000.50")]
-    assert dict(result.aggregate.dtypes) == {"month": "int", "Avg_Sales": "decimal(10,2)"}
+    assert [tuple(map(str, r)) for r in aggregate.collect()] == [("1", "20000.25"), ("2", "15000.50")]
+    assert dict(aggregate.dtypes) == {"month": "int", "Avg_Sales": "decimal(10,2)"}

@@ -168,9 +168,32 @@ def test_publish_and_rerun(spark, tmp_path):
     assert [r["CPI"] for r in spark.table("published.clean").orderBy("CPI").collect()] == [0.0, 211.1]
     assert [tuple(r) for r in spark.table("published.aggregated").collect()] == [(1, 25000.25)]
     clean = spark.read.option("header", True).csv(str(tmp_path / "clean"))
-    assert clean.columns == list(schemas.CLEAN_FIELDS) and "211.0963582" in [r["CPI"] for r in clean.collect()]
-    assert [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "agg")).collect()] == [
-        ("0", "1", "25000.25")]
+    assert [(r["index"], r["CPI"], r["Weekly_Sales"]) for r in clean.orderBy("index").collect()] == [
+        ("1", "211.0963582", "20000.5"), ("2", "0.0", "30000.0")]
+    (part,) = (tmp_path / "agg").glob("part-*.csv")
+    assert part.read_text() == "index,Month,Average_Weekly_Sales\n1,1,25000.25\n"
+
+
+@pytest.mark.parametrize("name", sorted(policy.POLICIES))
+def test_every_policy_publishes_and_then_has_nothing_to_do(spark, tmp_path, name):
+    rules = policy.POLICIES[name]
+    result = flow.run(
+        rules,
+        sales(spark, ("1", "1", "2023-01-06", "3", "20000.5"), ("2", "2", "2023-01-06", "4", "30000")),
+        economic(spark, (1, 0, 211.0963582, "8.106"), (2, 0, None, "8.2")),
+    )
+    targets = publish.Targets(clean_csv=str(tmp_path / "clean"), aggregate_csv=str(tmp_path / "agg"))
+    assert publish.publish_if_incomplete(spark, rules, result, targets) is True
+    assert publish.publish_if_incomplete(spark, rules, result, targets) is False
+    lines = sorted(r["value"] for r in spark.read.text(targets.aggregate_csv).collect())
+    assert lines == {
+        "headed": ["1,25000.0", "month,Avg_Sales"],
+        "headerless": ["1,25000.25"],
+        "indexed": [
+            f"{rules.index_start},1,25000.25", f"index,Month,{rules.average_column}"],
+    }[rules.files]
+    if name == "fill_selected":
+        assert "2,1,4,0,30000.0,None,8.2" in [r["value"] for r in spark.read.text(targets.clean_csv).collect()]
 
 
 def test_scratch_path_uses_the_shared_folder(spark):

@@ -38,6 +38,8 @@ _FILL_SALES = "__fill_sales"
 class FlowResult:
     clean: DataFrame
     aggregate: DataFrame
+    keyed: DataFrame  # the clean rows with their key, for numbering them in key order
+    merged: DataFrame  # all columns after repair and join, for profiling
 
 
 def run(
@@ -49,7 +51,7 @@ def run(
     exact_scale: int | None = None,
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> FlowResult:
-    """Both outputs of a policy, lazily.
+    """Both outputs of a policy and what they were made from, all lazily.
 
     Sales need a unique ``index``. ``economic_order`` is a total order of the economic rows; the
     key alone if it is unique there too. ``exact_scale`` is that of ``mean_by``.
@@ -190,18 +192,25 @@ def _outputs(
         "boolean": flag_to_boolean(F.col("IsHoliday")),
     }[policy.holiday]
     month = policy.month_column
-    clean = joined.withColumn("IsHoliday", holiday).withColumn(month, month_of(F.col("Date")))
-    clean = clean.select(*[month if c == "Month" else c for c in CLEAN_FIELDS])
-    above = above_threshold(clean, "Weekly_Sales", threshold)
+    merged = joined.withColumn("IsHoliday", holiday).withColumn(month, month_of(F.col("Date")))
+    keyed = merged.select(KEY, *[month if c == "Month" else c for c in CLEAN_FIELDS])
     if policy.threshold_on == "both":
-        clean = above
-    source = clean if policy.threshold_on == "none" else above
-    average = mean_by(
-        source.withColumn("Weekly_Sales", F.col("Weekly_Sales").cast("double")),
-        month,
+        keyed = above_threshold(keyed, "Weekly_Sales", threshold)
+    clean = keyed.drop(KEY)
+    return FlowResult(clean, average(policy, clean, threshold, exact_scale), keyed, merged)
+
+
+def average(
+    policy: Policy, clean: DataFrame, threshold: float, exact_scale: int | None = None
+) -> DataFrame:
+    """The monthly mean of clean rows under the policy's threshold, rounding and names."""
+    above = clean if policy.threshold_on == "none" else above_threshold(clean, limit=threshold)
+    result = mean_by(
+        above.withColumn("Weekly_Sales", F.col("Weekly_Sales").cast("double")),
+        policy.month_column,
         "Weekly_Sales",
         policy.average_column,
         policy.decimals,
         exact_scale=exact_scale,
     )
-    return FlowResult(clean, average.orderBy(month) if policy.sort_aggregate else average)
+    return result.orderBy(policy.month_column) if policy.sort_aggregate else result

@@ -53,6 +53,12 @@ class Policy:
     average_column: str = "Average_Weekly_Sales"
     decimals: int = 2
     sort_aggregate: bool = False
+    # Files: "headed", "headerless" or "indexed" (a leading row number from index_start on, in
+    # key order for clean rows); averages as numbers or at fixed decimals.
+    files: str = "indexed"
+    index_start: int = 0
+    fixed_averages: bool = False
+    round_tables: bool = False  # floats in catalog tables at two places
 
 
 DROP_THEN_FILL = Policy(
@@ -77,9 +83,10 @@ FILL_ALL = Policy(
     month_column="month",
     average_column="Avg_Sales",
     decimals=0,
+    files="headed",
 )
 
-FILL_SELECTED = Policy("fill_selected")
+FILL_SELECTED = Policy("fill_selected", files="headerless", fixed_averages=True)
 
 COGROUP = Policy(
     "cogroup",
@@ -102,6 +109,9 @@ VALIDATED = Policy(
     unmatched=0.0,
     holiday="zero",
     threshold_on="aggregate",
+    index_start=1,
+    fixed_averages=True,
+    round_tables=True,
 )
 
 ZERO_REPAIR = Policy(

@@ -5,15 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.aggregates import mean_by
-from tidemark.operators.rows import above_threshold, round_floats
-from tidemark.plans.flow import FlowResult
+from tidemark.functions.text import fixed_point
+from tidemark.operators.rows import round_floats
+from tidemark.plans.flow import FlowResult, average
 from tidemark.plans.policy import Policy
-from tidemark.schemas import SALES_THRESHOLD
+from tidemark.schemas import KEY, SALES_THRESHOLD
 from tidemark.session import scratch_path
-from tidemark.sinks.files import write_csv, write_csv_indexed
+from tidemark.sinks.files import write_csv, write_csv_headerless, write_csv_indexed
 from tidemark.sinks.outputs import Output, run_if_incomplete
 from tidemark.sinks.tables import write_table
 
@@ -37,48 +38,69 @@ def publish(
     targets: Targets,
     threshold: float = SALES_THRESHOLD,
     exact_scale: int | None = None,
-    single_file_aggregate: bool = True,
 ) -> None:
-    """Clean rows are written once and every other output reads that written copy.
+    """Clean rows are written once and every output reads that written copy.
 
     Caching would lose its blocks with their executors and then recompute fill and join; a
-    written table does not. Table outputs get floats rounded to two places, files do not.
+    written table does not.
     """
     path = scratch_path(spark, f"clean-{policy.name}")
-    result.clean.write.parquet(path)
-    clean = spark.read.schema(result.clean.schema).parquet(path)
-    source = clean if policy.threshold_on == "none" else above_threshold(clean, limit=threshold)
-    aggregate = mean_by(
-        source.withColumn("Weekly_Sales", source["Weekly_Sales"].cast("double")),
-        policy.month_column,
-        "Weekly_Sales",
-        policy.average_column,
-        policy.decimals,
-        exact_scale=exact_scale,
-    )
+    result.keyed.write.parquet(path)
+    keyed = spark.read.schema(result.keyed.schema).parquet(path)
+    clean = keyed.drop(KEY)
+    means = average(policy, clean, threshold, exact_scale)
     if targets.clean_csv:
-        write_csv(clean, targets.clean_csv)
+        if policy.files == "indexed":
+            write_csv_indexed(
+                keyed.withColumnRenamed(KEY, "__key"), targets.clean_csv, "__key",
+                start=policy.index_start, drop=["__key"],
+            )
+        else:
+            _write_plain(policy, clean, targets.clean_csv)
     if targets.aggregate_csv:
-        write_csv_indexed(
-            aggregate, targets.aggregate_csv, policy.month_column, single_file=single_file_aggregate
-        )
-    if targets.clean_table:
-        write_table(round_floats(clean), targets.clean_table, clean.schema, targets.clean_location)
-    if targets.aggregate_table:
-        write_table(
-            round_floats(aggregate), targets.aggregate_table, aggregate.schema, targets.aggregate_location
-        )
-
-
-def expected_outputs(result: FlowResult, targets: Targets) -> list[Output]:
-    indexed = T.StructType([T.StructField("index", T.LongType()), *result.aggregate.schema.fields])
+        _write_means(policy, means, targets.aggregate_csv)
+    for df, table, location in (
+        (clean, targets.clean_table, targets.clean_location),
+        (means, targets.aggregate_table, targets.aggregate_location),
+    ):
+        if table:
+            stored = round_floats(df) if policy.round_tables else df
+            write_table(stored, table, df.schema, location)
+
+
+def _write_plain(policy: Policy, df: DataFrame, path: str) -> None:
+    if policy.files == "headerless":
+        write_csv_headerless(df, path)
+    else:
+        write_csv(df, path)
+
+
+def _write_means(policy: Policy, means: DataFrame, path: str) -> None:
+    if policy.fixed_averages:
+        text = fixed_point(F.col(policy.average_column), policy.decimals)
+        means = means.withColumn(policy.average_column, text)
+    if policy.files == "indexed":
+        # One row per month: small by nature, and the writer checks it.
+        write_csv_indexed(means, path, policy.month_column, start=policy.index_start, single_file=True)
+    else:
+        _write_plain(policy, means, path)
+
+
+def expected_outputs(policy: Policy, result: FlowResult, targets: Targets) -> list[Output]:
+    header = policy.files != "headerless"
+
+    def in_file(schema: T.StructType) -> T.StructType:
+        index = [T.StructField("index", T.LongType())] if policy.files == "indexed" else []
+        return T.StructType([*index, *schema.fields])
+
+    clean, means = result.clean.schema, result.aggregate.schema
     wanted = [
-        ("clean_csv", targets.clean_csv, "csv", result.clean.schema),
-        ("aggregate_csv", targets.aggregate_csv, "csv", indexed),
-        ("clean_table", targets.clean_table, "table", result.clean.schema),
-        ("aggregate_table", targets.aggregate_table, "table", result.aggregate.schema),
+        Output("clean_csv", targets.clean_csv, "csv", in_file(clean), header),
+        Output("aggregate_csv", targets.aggregate_csv, "csv", in_file(means), header),
+        Output("clean_table", targets.clean_table, "table", clean),
+        Output("aggregate_table", targets.aggregate_table, "table", means),
     ]
-    return [Output(name, target, kind, schema) for name, target, kind, schema in wanted if target]
+    return [output for output in wanted if output.target]
 
 
 def publish_if_incomplete(
@@ -87,6 +109,6 @@ def publish_if_incomplete(
     """Publish unless all targets are in order already; True if anything was written."""
     return run_if_incomplete(
         spark,
-        expected_outputs(result, targets),
+        expected_outputs(policy, result, targets),
         lambda: publish(spark, policy, result, targets, **options),
     )

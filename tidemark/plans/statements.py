@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.repair import missing_to_null, strict_cast
-from tidemark.plans.flow import FlowResult
 from tidemark.schemas import SALES_THRESHOLD, TOKEN_NULL
 
 JOIN = """
@@ -89,9 +88,10 @@ def run_sql(
     economic: DataFrame,
     threshold: float = SALES_THRESHOLD,
     ordered: bool = False,
-) -> FlowResult:
+) -> tuple[DataFrame, DataFrame]:
+    """(clean, aggregate)."""
     joined = join_statement(spark, typed_sales(sales), typed_economic(economic))
     # The mean does not care about order, so only the clean output is ever sorted.
     unsorted = clean_statement(spark, joined, threshold)
     clean = clean_statement(spark, joined, threshold, ordered=True) if ordered else unsorted
-    return FlowResult(clean, monthly_statement(spark, unsorted, ordered))
+    return clean, monthly_statement(spark, unsorted, ordered)

@@ -37,13 +37,14 @@ def write_csv_indexed(
     index: str = "index",
     start: int = 0,
     single_file: bool = False,
+    drop: Sequence[str] = (),
 ) -> None:
-    """CSV with a leading row number, in ``order_by``.
+    """CSV with a leading row number, in ``order_by``; ``drop`` lists columns that only order.
 
     ``single_file`` is for small results, and refuses larger ones. Otherwise each file holds one
     range of row numbers, in order.
     """
-    columns = [c for c in df.columns if c != index]
+    columns = [c for c in df.columns if c != index and c not in drop]
     if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
         raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: write them with single_file=False")
     numbered = row_index(df, order_by, name=index, start=start).select(index, *columns)

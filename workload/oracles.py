@@ -263,8 +263,8 @@ ORACLES["agg_decimal_avg"] = f"""SELECT {month('o_orderdate')} AS month,
 
 def _profiled(name: str, missing: str, null: str, zero: str) -> str:
     return (
-        f"SELECT '{name}' AS column_name, count(*) AS row_count, count_if({missing}) AS missing_count, "
-        f"count_if({null}) AS null_count, {zero} AS zero_count FROM profiled"
+        f"SELECT '{name}' AS column_name, count(*) AS row_count, CAST(count_if({missing}) AS BIGINT) AS missing_count, "
+        f"CAST(count_if({null}) AS BIGINT) AS null_count, CAST({zero} AS BIGINT) AS zero_count FROM profiled"
     )
 
 
@@ -279,11 +279,9 @@ def _profile_sql() -> str:
     parts.append(
         _profiled("holed", "holed IS NULL OR isnan(holed)", "holed IS NULL", "count_if(holed = 0)")
     )
-    counted = " UNION ALL ".join(parts)
     return f"""WITH {EVENTS}, profiled AS (SELECT *, event_id % 3 AS zeroed,
       CASE WHEN event_id % 10 = 0 THEN CAST('nan' AS DOUBLE) ELSE value END AS holed FROM events_gaps)
-    SELECT column_name, CAST(row_count AS BIGINT) AS row_count, CAST(missing_count AS BIGINT) AS missing_count,
-      CAST(null_count AS BIGINT) AS null_count, CAST(zero_count AS BIGINT) AS zero_count FROM ({counted})"""
+    {" UNION ALL ".join(parts)}"""
 
 
 ORACLES["profile_table"] = _profile_sql()
@@ -481,17 +479,31 @@ merged AS (SELECT l.*, CASE WHEN firsts."index" IS NULL THEN 0.0 ELSE f.cpi END
   WHERE "Date" IS NOT NULL AND "Weekly_Sales" IS NOT NULL AND "Weekly_Sales" <> 0)"""
 _add_flow("validated", _VALIDATED, False, True, "Average_Weekly_Sales", holiday="0")
 ORACLES["flow_published"] = ORACLES["flow_validated_agg"]
+ORACLES["flow_published_index"] = f"""WITH {_VALIDATED}
+SELECT row_number() OVER (ORDER BY "index") AS "index", "Store_ID", CAST(month("Date") AS INTEGER) AS "Month",
+  "Dept", 0 AS "IsHoliday", "Weekly_Sales", "CPI", "Unemployment" FROM merged"""
 
 # Dates are filled over all stores, sales over the kept ones with zeros as gaps; no threshold.
-_add_flow(
-    "zero_repair",
-    f"""{_typed_sales(SALES, _NO_TOKEN)}, {ECONOMIC},
+_ZERO_REPAIR = f"""{_typed_sales(SALES, _NO_TOKEN)}, {ECONOMIC},
 dated AS (SELECT "index", "Store_ID", {fill('"Date"')} AS "Date", "Dept",
   nullif("Weekly_Sales", 0) AS "Weekly_Sales" FROM typed),
 left_filled AS (SELECT "index", "Store_ID", "Date", "Dept", {fill('"Weekly_Sales"')} AS "Weekly_Sales"
   FROM dated WHERE "Store_ID" IN (1, 2)),
-right_filled AS (SELECT "index", "IsHoliday", {fill('"CPI"')} AS "CPI", {fill(_NUMBER)} AS "Unemployment"
-  FROM economic),
-merged AS (SELECT * FROM left_filled JOIN right_filled USING ("index"))""",
-    False, False, "Average_Weekly_Sales", holiday='coalesce("IsHoliday" <> 0, true)', blocks=True,
+right_filled AS (SELECT "index", "IsHoliday", {fill('"CPI"')} AS "CPI", {fill(_NUMBER)} AS "Unemployment",
+  {fill('"Type"')} AS "Type", {fill('"Size"')} AS "Size" FROM economic),
+merged AS (SELECT * FROM left_filled JOIN right_filled USING ("index"))"""
+_add_flow(
+    "zero_repair", _ZERO_REPAIR, False, False, "Average_Weekly_Sales",
+    holiday='coalesce("IsHoliday" <> 0, true)', blocks=True,
 )
+
+
+def _merged_profile() -> str:
+    numeric = ["index", "Store_ID", "Month", "Dept", "Weekly_Sales", "CPI", "Unemployment", "Size"]
+    parts = [_profiled(c, f'"{c}" IS NULL', f'"{c}" IS NULL', f'count_if("{c}" = 0)') for c in numeric]
+    parts += [_profiled(c, f'"{c}" IS NULL', f'"{c}" IS NULL', "NULL") for c in ("IsHoliday", "Type")]
+    return f"""WITH {_ZERO_REPAIR}, profiled AS (SELECT *, month("Date") AS "Month" FROM merged)
+    {" UNION ALL ".join(parts)}"""
+
+
+ORACLES["flow_zero_repair_profile"] = _merged_profile()

@@ -858,13 +858,20 @@ for _rules in (policy.DROP_THEN_FILL, policy.FILL_ALL, policy.FILL_SELECTED, pol
 @query
 def flow_sql_drop_nulls_clean(spark, sf_dir):
     sales, economic = inputs.sales_null_only(spark, sf_dir), inputs.economic(spark, sf_dir, with_bad=False)
-    return _plain(statements.run_sql(spark, sales, economic, THRESHOLD).clean)
+    return _plain(statements.run_sql(spark, sales, economic, THRESHOLD)[0])
 
 
 @query
 def flow_sql_drop_nulls_agg(spark, sf_dir):
     sales, economic = inputs.sales_null_only(spark, sf_dir), inputs.economic(spark, sf_dir, with_bad=False)
-    return _plain(statements.run_sql(spark, sales, economic, THRESHOLD, ordered=True).aggregate)
+    return _plain(statements.run_sql(spark, sales, economic, THRESHOLD, ordered=True)[1])
+
+
+@query
+def flow_zero_repair_profile(spark, sf_dir):
+    """The check between join and output: rows, gaps and zeros of every merged column."""
+    merged = _flow(spark, sf_dir, policy.ZERO_REPAIR).merged
+    return quality.profile(merged.select("index", *schemas.CLEAN_FIELDS, "Type", "Size"))
 
 
 @query
@@ -881,3 +888,13 @@ def flow_published(spark, sf_dir):
     )
     publish.publish(spark, policy.VALIDATED, result, targets, THRESHOLD, exact_scale=2)
     return spark.table(f"{schema}.aggregated")
+
+
+@query
+def flow_published_index(spark, sf_dir):
+    """The numbered clean file of the validated flow, as read back."""
+    result = _flow(spark, sf_dir, policy.VALIDATED)
+    targets = publish.Targets(clean_csv=scratch_path(spark, "clean-csv"))
+    publish.publish(spark, policy.VALIDATED, result, targets, THRESHOLD, exact_scale=2)
+    numbered = T.StructType([T.StructField("index", T.LongType()), *schemas.CLEAN.fields])
+    return files.read_table(spark, targets.clean_csv, numbered)
