@@ -14,7 +14,7 @@ from tidemark.operators.index import row_index
 from tidemark.operators.ordered import OrderedTable
 
 SLOW = settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 values = st.lists(st.one_of(st.none(), st.integers(0, 50)), min_size=1, max_size=60)
 
@@ -188,3 +188,29 @@ def test_row_numbers_with_many_equal_order_values(spark):
 def test_row_index_replaces_an_existing_index(spark):
     df = spark.createDataFrame([(9, "a"), (4, "b")], "index bigint, name string")
     assert sorted(tuple(r) for r in row_index(df, "name").collect()) == [("a", 0), ("b", 1)]
+
+
+@pytest.mark.parametrize("block", [4, 1000])
+def test_row_index_in_the_order_of_the_index_it_replaces(spark, block):
+    df = spark.createDataFrame([(i * 3, f"n{i}") for i in range(20)], "index bigint, name string")
+    assert sorted(tuple(r) for r in row_index(df, "index", rows_per_block=block).collect()) == sorted(
+        (f"n{i}", i) for i in range(20))
+
+
+def test_carry_too_large_to_broadcast_is_joined(spark, monkeypatch):
+    from tidemark.operators import blocks
+
+    monkeypatch.setattr(blocks, "BROADCAST_ROWS", 0)
+    rows = [(i, None if i % 3 == 0 else i % 40, i if i % 7 == 0 else None) for i in range(600)]
+    df = spark.createDataFrame(rows, "id bigint, k bigint, v bigint")
+    result = forward_fill(df, "v", "id", "k", rows_per_block=30)
+    assert filled(result) == filled(forward_fill(df, "v", "id", "k"))
+    numbered = row_index(df, "id", "n", 0, "k", rows_per_block=30)
+    assert numbered.exceptAll(row_index(df, "id", "n", 0, "k")).isEmpty()
+
+
+def test_span_narrower_than_the_table(spark):
+    cells = [None, 1, None, None, 5, None, 7, None, None, None] * 3
+    span = OrderSpan(rows=20, low=105, high=124)
+    result = forward_fill(series(spark, cells, keys=2), "v", "id", "k", span=span, rows_per_block=3)
+    assert filled(result) == expected(cells, keys=2)

@@ -114,7 +114,8 @@ class OrderSpan:
         return math.ceil(self.extent / self.width(rows_per_block))
 
     def block_of(self, value: Column, rows_per_block: int) -> Column:
-        offset = value - F.lit(self.low)
+        # Values below a span measured elsewhere belong to the first block.
+        offset = F.greatest(value - F.lit(self.low), F.lit(0))
         return F.call_function("div", offset, F.lit(self.width(rows_per_block))).cast("int")
 
 

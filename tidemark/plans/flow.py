@@ -56,9 +56,12 @@ def run(
     Sales need a unique ``index``. ``economic_order`` is a total order of the economic rows; the
     key alone if it is unique there too. ``exact_scale`` is that of ``mean_by``.
     """
+    one_per_key = list(economic_order) == [KEY]
+    if policy.fill_at == "after_join" and not one_per_key:
+        raise ValueError("a fill after the join needs one economic row per key: the key is its order")
     sales = parse_sales(policy, sales)
     economic = parse_economic(policy, economic)
-    if list(economic_order) == [KEY]:
+    if one_per_key:
         left, right = OrderedTable.align([sales, economic], KEY, rows_per_block)
         if policy.fill_at == "before_join":
             right = right.fill(_selected(policy.fill_economic, right))

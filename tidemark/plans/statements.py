@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.repair import missing_to_null, strict_cast
 from tidemark.schemas import SALES_THRESHOLD, TOKEN_NULL
@@ -61,7 +62,9 @@ def typed_sales(sales: DataFrame) -> DataFrame:
 
 def typed_economic(economic: DataFrame) -> DataFrame:
     def number(name: str):
-        return strict_cast(missing_to_null(F.col(name).cast("string"), TOKEN_NULL), "float").alias(name)
+        if isinstance(economic.schema[name].dataType, T.NumericType):
+            return F.col(name).cast("float").alias(name)
+        return strict_cast(missing_to_null(F.col(name), TOKEN_NULL), "float").alias(name)
 
     return economic.select(F.col("index").cast("bigint").alias("index"), number("CPI"), number("Unemployment"))
 
