@@ -66,12 +66,12 @@ def test_fill_reads_only_needed_columns(spark, sf_dir):
 
 def test_join_after_block_fill_needs_no_further_shuffle_or_sort(spark, sf_dir, no_auto_broadcast):
     text = plan(contract.queries()["flow_fill_all_blocks_clean"](spark, sf_dir))
-    (under,) = below(text, "SortMergeJoin")
+    under = below(text, "SortMergeJoin [__block")[0]
     first_line = under.split("\n")[0]
     assert "Exchange" not in first_line and "Sort" not in first_line
     for line in under.split("\n"):
         if "Exchange hashpartitioning" in line:
-            assert "hashpartitioning(__block" in line or "hashpartitioning(index" in line
+            assert re.search(r"hashpartitioning\((__block|__carry___block|index)#", line)
     # The join sits right on the two fills: walking down from it, a window comes before any shuffle.
     for branch in under.split("\n   +- Project")[:1]:
         assert branch.find("Window") < branch.find("Exchange hashpartitioning")
@@ -120,7 +120,18 @@ def test_left_join_reads_only_projected_columns(spark, sf_dir):
 
 def test_fill_after_block_join_needs_no_further_shuffle_or_sort(spark, sf_dir, no_auto_broadcast):
     text = plan(contract.queries()["flow_drop_then_fill_blocks_clean"](spark, sf_dir))
-    main = below(text, "BroadcastHashJoin [__block")[0]
-    assert main.find("Window") < main.find("SortMergeJoin") < main.find("Exchange")
-    between = main[main.find("Window") : main.find("SortMergeJoin")]
-    assert "Sort " not in between and "Exchange" not in between
+    window = text.find("Window [last(")
+    join = text.find("SortMergeJoin [__block", window)
+    assert 0 < window < join < text.find("Exchange", window)
+    assert "Sort [" not in text[window:join]
+
+
+def test_text_carry_is_not_forced_into_a_broadcast(spark, sf_dir, no_auto_broadcast):
+    """Its rows are bounded, its size is not; the join then uses the layout of the fill."""
+    events = inputs.dirty_events(spark, sf_dir)
+    assert "BroadcastHashJoin" in plan(forward_fill(events, ["value"], "event_id", rows_per_block=100))
+    text = plan(forward_fill(events, ["event_type"], "event_id", rows_per_block=100))
+    assert "BroadcastHashJoin" not in text
+    (under,) = below(text, "SortMergeJoin")
+    assert "Window" in "".join(under.split("\n")[:3])
+    assert "Exchange" not in "".join(under.split("\n")[:3])

@@ -39,6 +39,10 @@ def as_list(names: str | Sequence[str] | None) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def _fixed_width(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def scale_of(field: T.StructField) -> Column | None:
     """A column as whole numbers in the same order, if its type has that."""
     value = F.col(field.name)
@@ -165,7 +169,11 @@ class BlockedTable:
         same = F.col(BLOCK) == F.col(f"__carry_{BLOCK}")
         for name in self.keys:
             same = same & self.frame[name].eqNullSafe(F.col(f"__carry_{name}"))
-        side = F.broadcast(renamed) if self.carry_rows <= BROADCAST_ROWS else renamed
+        # Fixed-width columns make the row bound a size bound. Text has no such bound, so there the
+        # choice is left to Spark, which knows the size by then; a sort-merge join would take the
+        # partitioning and order the rows have already.
+        fixed = all(_fixed_width(f.dataType) for f in carry.schema if f.name not in self.keys)
+        side = F.broadcast(renamed) if fixed and self.carry_rows <= BROADCAST_ROWS else renamed
         return self.frame.join(side, same, "left").drop(
             *[f"__carry_{name}" for name in [*self.keys, BLOCK]]
         )
