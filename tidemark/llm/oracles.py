@@ -49,6 +49,52 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+_SIZE = "len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT"
+_SEEDED = "md5('17:{salt}:' || coalesce(doc_id::VARCHAR, 'null'))"
+
+# Seats by the highest quotients, all written out.
+MIXING = f"""
+WITH d AS (SELECT doc_id, source, {_SIZE} AS size FROM documents),
+s AS (SELECT source, sum(size)::HUGEINT AS source_size, count(*) AS n_docs FROM d GROUP BY source),
+p AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place,
+             ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::HUGEINT AS weight FROM s),
+l AS (SELECT *, 3 * source_size AS most, row_number() OVER v AS level_place,
+             (SELECT sum(source_size) FROM s) - coalesce(sum(3 * source_size) OVER
+               (v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+             sum(weight) OVER (v ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left
+      FROM p WINDOW v AS (ORDER BY (3 * source_size)::DOUBLE / weight::DOUBLE, place)),
+free AS (SELECT * FROM l WHERE rest * weight <= most * weight_left ORDER BY level_place LIMIT 1),
+t AS (SELECT l.*, CASE WHEN l.level_place < f.level_place THEN l.most::DOUBLE
+                       ELSE f.rest::DOUBLE * l.weight::DOUBLE / f.weight_left::DOUBLE END AS target,
+             greatest(1, ceil((l.source_size + l.n_docs * 100)::DOUBLE / 1000000))::BIGINT AS shards
+      FROM l, free f),
+b AS (SELECT least(16, greatest(1, floor(sum(source_size)::DOUBLE / (count(*) * 1000))))::BIGINT AS block,
+             sum(source_size)::BIGINT AS total FROM s),
+q AS (SELECT source, target / (2 * unnest(range(0, (target / block)::BIGINT + 50)) + 1) AS quotient FROM t, b),
+w AS (SELECT source, quotient, row_number() OVER (ORDER BY quotient DESC, source NULLS LAST) AS rank FROM q),
+seats AS (SELECT source, count(*) FILTER (rank <= total // block) AS blocks FROM w, b GROUP BY source),
+x AS (SELECT d.*, t.source_size, t.target, seats.blocks,
+             ('0x' || substr({_SEEDED.format(salt="shard")}, 1, 8))::BIGINT % shards AS shard,
+             {_SEEDED.format(salt="order")} AS turn
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+      JOIN seats ON d.source IS NOT DISTINCT FROM seats.source),
+c AS (SELECT source, shard, sum(size)::BIGINT AS cell_size, any_value(blocks) AS blocks FROM x GROUP BY source, shard),
+cq AS (SELECT source, shard, blocks, cell_size / (2 * unnest(range(0, blocks + 1)) + 1) AS quotient FROM c),
+cw AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY quotient DESC, shard) AS rank FROM cq),
+cells AS (SELECT c.*, won, least(won * block, 3 * cell_size) AS words
+          FROM c JOIN (SELECT source, shard, count(*) FILTER (rank <= blocks) AS won FROM cw GROUP BY source, shard) n
+            ON c.source IS NOT DISTINCT FROM n.source AND c.shard = n.shard, b),
+y AS (SELECT x.*, won, words, cell_size,
+             sum(size) OVER (PARTITION BY x.source, x.shard ORDER BY turn, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+      FROM x JOIN cells ON x.source IS NOT DISTINCT FROM cells.source AND x.shard = cells.shard)
+SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+       (CASE WHEN cell_size = 0 THEN 0 ELSE words // cell_size * size
+         + greatest(0, least(size, words % cell_size - before)) END)::BIGINT AS taken,
+       shard, won::BIGINT AS shard_blocks
+FROM y
+"""
+
 ORACLES = {
     "op2_quality_rules": QUALITY_RULES,
+    "op5_mixing": MIXING,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules
+from tidemark.llm import mixing, quality_rules
 from tidemark.llm.common import read
 
 
@@ -12,6 +12,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op5_mixing": op5_mixing,
 }
