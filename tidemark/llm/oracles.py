@@ -94,7 +94,21 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target,
 FROM y
 """
 
+LINE_DEDUP = """
+WITH l AS (
+  SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+k AS (SELECT *, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+j AS (SELECT k.*, first IS NOT NULL AND doc_id <> first AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
 ORACLES = {
     "op2_quality_rules": QUALITY_RULES,
     "op5_mixing": MIXING,
+    "op9_line_dedup": LINE_DEDUP,
 }
