@@ -34,9 +34,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 @contextmanager
-def job_settings(spark: SparkSession) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in JOB_CONF}
-    for key, value in JOB_CONF.items():
+def job_settings(spark: SparkSession, **more: str) -> Iterator[None]:
+    """``more``: settings of a job of its own, with ``__`` for dots."""
+    held = JOB_CONF | {key.replace("__", "."): value for key, value in more.items()}
+    before = {key: spark.conf.get(key, None) for key in held}
+    for key, value in held.items():
         spark.conf.set(key, value)
     try:
         yield

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, quality_rules
+from tidemark.llm import line_dedup, mixing, quality_rules, topk
 from tidemark.llm.common import read
 
 
@@ -22,8 +22,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op5_mixing": op5_mixing,
     "op9_line_dedup": op9_line_dedup,
+    "op8_topk": op8_topk,
 }
