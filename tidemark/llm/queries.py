@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, quality_rules, topk
+from tidemark.llm import line_dedup, mixing, quality_rules, token_files, topk
 from tidemark.llm.common import read
+from tidemark.session import scratch_path
+
+
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,9 +34,16 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write(read(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
+    return token_files.read(spark, path)
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op5_mixing": op5_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op8_topk": op8_topk,
+    "op10_token_files": op10_token_files,
 }
