@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, quality_rules, token_files, topk
+from tidemark.llm import line_dedup, mixing, packing, quality_rules, token_files, topk
 from tidemark.llm.common import read
 from tidemark.session import scratch_path
 
@@ -40,9 +40,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op5_mixing": op5_mixing,
+    "op6_packing": op6_packing,
     "op9_line_dedup": op9_line_dedup,
     "op8_topk": op8_topk,
     "op10_token_files": op10_token_files,
