@@ -146,5 +146,3 @@ class Hashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def no_rows(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, packing, quality_rules, token_files, topk
+from tidemark.llm import line_dedup, mixing, near_dup, packing, quality_rules, token_files, topk
 from tidemark.llm.common import read
 from tidemark.session import scratch_path
 
@@ -17,6 +17,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.link(read(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dup": op1_near_dup,
     "op2_quality_rules": op2_quality_rules,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
