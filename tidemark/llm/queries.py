@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, near_dup, packing, quality_rules, token_files, topk
+from tidemark.llm import line_dedup, mixing, near_dup, packing, quality_rules, token_files, topk, url_filter
 from tidemark.llm.common import read
 from tidemark.session import scratch_path
 
@@ -34,6 +34,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
+    "op7_url_filter": op7_url_filter,
     "op9_line_dedup": op9_line_dedup,
     "op8_topk": op8_topk,
     "op10_token_files": op10_token_files,
