@@ -138,9 +138,22 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id =
 FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id
 """
 
+SUBSTRING_DEDUP = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+v AS (SELECT doc_id, i, array_to_string(w[i:i+19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1 AS again FROM v),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM r WHERE again),
+k AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+j AS (SELECT k.*, gone.p IS NULL AS stays FROM k LEFT JOIN gone USING (doc_id, p)),
+s AS (SELECT doc_id, count(*) FILTER (NOT stays) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (stays) AS kept FROM j GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+"""
+
 ORACLES = {
     "op1_near_dup": NEAR_DUP,
     "op2_quality_rules": QUALITY_RULES,
+    "op4_substring_dedup": SUBSTRING_DEDUP,
     "op5_mixing": MIXING,
     "op9_line_dedup": LINE_DEDUP,
     "op8_topk": TOPK,
