@@ -143,24 +143,25 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _with_dropped(docs: DataFrame, label: str, least: int) -> DataFrame:
-    """``docs`` as one struct ``whole``, with text and dropped places."""
+    """``docs`` as one struct ``whole``, with the places of the lines that go (null if none)."""
     with Scratch(docs.sparkSession, label) as scratch:
         gone = scratch.write(bitmaps(docs, scratch, least), "dropped", keep=True)
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("whole"), F.col("doc_id").cast("long").alias("id"), _row_key().alias("key"), "text")
-    same = F.col("id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("row"))
-    return rows.join(gone, same, "left")
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("whole")
+    rows = docs.select(whole, F.col("doc_id").cast("long").alias("id"), _row_key().alias("key"))
+    return rows.join(gone, F.col("id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("row")), "left")
 
 
 def dedup(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept (the text that stays) and keep_bitmap, one row per row of ``docs``."""
     rows = _with_dropped(docs.select("doc_id", "text"), "line-dedup", least)
-    return rows.select("id", "text", "dropped").mapInArrow(per_slice(_cut), _KEPT)
+    return rows.select("id", F.col("whole")["text"].alias("text"), "dropped").mapInArrow(per_slice(_cut), _KEPT)
 
 
 def clean(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
     """``docs`` with its columns, less the lines that go."""
     rows = _with_dropped(docs, "line-clean", least)
-    lines = F.split("text", "\n", -1)
+    own = F.col("whole")["text"]
+    lines = F.split(own, "\n", -1)
     stay = F.filter(lines, lambda x, i: ~F.array_contains("dropped", i))
-    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
+    text = F.when(F.col("dropped").isNull(), own).otherwise(F.array_join(stay, "\n"))
     return rows.select(*[(text if c == "text" else F.col("whole")[c]).alias(c) for c in docs.columns])

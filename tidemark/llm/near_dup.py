@@ -352,4 +352,4 @@ def link(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFr
 def keep_one(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
     """``docs`` without those that are not the smallest of their component."""
     gone = link(docs, percent, size).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

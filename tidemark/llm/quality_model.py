@@ -1,0 +1,203 @@
+"""Quality classifier: an interpolated modified Kneser-Ney model of trusted text, and quantiles of perplexity.
+
+Tokens are characters in 64 classes (letters of either case, digits, marks and ranges of other characters), so
+an ``ORDER``-gram is a number below 64 ** ORDER whatever the corpus: invented, rare and foreign words are scored
+like others, and every table below has that bound.
+
+1. Trusted documents (labelled of good quality) are counted: sums per task, then per n-gram. One half of
+   them, by a hash of the id, trains; the other half sets the thresholds.
+2. Lower orders count the different left neighbours. Discounts come from the counts of counts of each order.
+3. The n-grams of the whole corpus are gathered, sharded by their number, and joined order by order to the
+   sharded counts and the sums of their contexts, which gives each its probability.
+4. The scored n-grams (at most 64 ** ORDER rows of 12 bytes, the bound of the broadcast) give each document its
+   perplexity. Joining every document's n-grams themselves would shuffle several times the corpus.
+5. A document is kept if its perplexity is at most its language's ``QUANTILE`` of trusted documents: mean surprise
+   less an allowance that shrinks with the root of the length, as short texts scatter. The quantile is read from
+   a histogram in steps of a thousandth, over all trusted documents of the second half.
+
+Defined results: a null or empty text has no perplexity and is not kept. Languages (null is one) with fewer than
+``LEAST_TRUSTED`` such documents take the quantile of all. Without labels everything with text is kept. A
+document is trusted if all its labels say so. Repeated rows are judged alike; an empty table gives no rows. Other
+columns are not read, or carried by ``keep_good``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import Scratch, slices
+
+CLASSES = 64
+BITS = 6
+ORDER = 4
+QUANTILE = 0.995
+# Nats that a threshold lies above the quantile, and nats allowed to a text of one character.
+SLACK = 0.05
+SPREAD = 2.0
+LEAST_TRUSTED = 20
+_STEPS = 1000
+
+
+def _classes() -> np.ndarray:
+    table = np.full(0x110000, 62, dtype=np.uint8)
+    table[:32] = 63
+    table[ord("a") : ord("z") + 1] = np.arange(26)
+    table[ord("A") : ord("Z") + 1] = 26 + np.arange(26)
+    table[ord("0") : ord("9") + 1] = 52
+    for number, characters in ((53, " "), (54, "\n"), (55, "."), (56, ","), (57, "'\"-();:!?"), (58, "#$%&*|<>@^~_+=/\\[]{}`")):
+        table[[ord(c) for c in characters]] = number
+    table[0x80:0x100] = 59 + np.arange(0x80) % 3
+    return table
+
+
+_TABLE = _classes()
+
+
+def grams(text: str) -> np.ndarray:
+    """The n-gram that ends at each character; the last class is in the lowest bits. Before a text are line ends."""
+    classes = _TABLE[np.frombuffer(("\n" * (ORDER - 1) + text).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+    classes = classes.astype(np.int32)
+    made = classes[ORDER - 1 :].copy()
+    for k in range(1, ORDER):
+        made |= classes[ORDER - 1 - k : len(classes) - k] << (BITS * k)
+    return made
+
+
+_COUNTED = pa.schema([("gram", pa.int32()), ("n", pa.int64())])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds, counts = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+    for batch in slices(batches):
+        texts = [grams(t) for t in batch.column(0).to_pylist() if t]
+        if texts:
+            found, n = np.unique(np.concatenate(texts), return_counts=True)
+            kinds, where = np.unique(np.concatenate((kinds, found)), return_inverse=True)
+            counts = np.bincount(where, weights=np.concatenate((counts, n)), minlength=len(kinds)).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(counts)], schema=_COUNTED)
+
+
+def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = np.zeros(CLASSES**ORDER, dtype=bool)
+    for batch in slices(batches):
+        for text in batch.column(0).to_pylist():
+            if text:
+                seen[grams(text)] = True
+    found = np.flatnonzero(seen).astype(np.int32)
+    for start in range(0, len(found), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(found[start : start + 100_000])], names=["gram"])
+
+
+def _suffix(gram: Column, order: int) -> Column:
+    return gram.bitwiseAND(F.lit(CLASSES**order - 1))
+
+
+def discounts(ones: int, twos: int, threes: int, fours: int) -> tuple[float, float, float]:
+    """Of counts 1, 2 and 3 or more, by how many n-grams occur once to four times."""
+    share = ones / (ones + 2 * twos) if ones else 0.0
+    made = []
+    for k, (here, more) in enumerate(((ones, twos), (twos, threes), (threes, fours)), start=1):
+        made.append(min(max(k - (k + 1) * share * more / here, 0.0), float(k)) if here else min(k, 1) * 0.5)
+    return made[0], made[1], made[2]
+
+
+def score(counts: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
+    """gram, p for all ``wanted`` n-grams, by the counts (gram, n) of the highest order."""
+    below: DataFrame | None = None
+    for order in range(1, ORDER + 1):
+        if order == ORDER:
+            level = counts
+        else:
+            longer = counts.select(_suffix(F.col("gram"), order + 1).alias("gram")).distinct()
+            level = scratch.write(longer.groupBy(_suffix(F.col("gram"), order).alias("gram")).agg(F.count("*").alias("n")), f"order{order}")
+        of = level.agg(*[F.count(F.when(F.col("n") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
+        d1, d2, d3 = discounts(*of)
+        off = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+        context = F.shiftright("gram", BITS)
+        sums = level.groupBy(context.alias("context")).agg(F.sum("n").alias("total"), F.sum(off).alias("freed"))
+        asked = wanted.select(_suffix(F.col("gram"), order).alias("g")).distinct()
+        rows = asked.join(level.select(F.col("gram").alias("g"), (F.col("n") - off).alias("rest")), "g", "left")
+        rows = rows.withColumn("context", F.shiftright("g", BITS)).join(sums, "context", "left")
+        if below is None:
+            rows = rows.withColumn("lower", F.lit(1.0 / CLASSES))
+        else:
+            rows = rows.withColumn("suffix", _suffix(F.col("g"), order - 1))
+            rows = rows.join(below.select(F.col("gram").alias("suffix"), F.col("p").alias("lower")), "suffix")
+        mixed = F.coalesce(F.col("rest"), F.lit(0.0)) / F.col("total") + F.col("freed") / F.col("total") * F.col("lower")
+        p = F.when(F.col("total") > 0, mixed).otherwise(F.col("lower"))
+        below = scratch.write(rows.select(F.col("g").alias("gram"), p.alias("p")), f"scored{order}")
+    return below
+
+
+_SCORED = "doc_id long, lang string, n_grams long, surprise double"
+_SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_grams", pa.int64()), ("surprise", pa.float64())])
+
+
+def _surprise(model):
+    """Mean of -ln p over a text. ``model``: a broadcast of n-grams and their values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, values = model.value
+        table = np.zeros(CLASSES**ORDER, dtype=np.float32)
+        table[known] = values
+        for batch in slices(batches):
+            found = [grams(t) if t else None for t in batch.column(2).to_pylist()]
+            means = [None if g is None else float(table[g].mean(dtype=np.float64)) for g in found]
+            counts = [0 if g is None else len(g) for g in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(means, pa.float64())], schema=_SCORED_ARROW
+            )
+
+    return run
+
+
+def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """doc_id, lang, n_grams, perplexity, most (the perplexity up to which it would be kept) and kept."""
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+    with Scratch(spark, "quality") as scratch:
+        good = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("good_id")).agg(F.min("quality").alias("q"), F.count(F.when(F.col("quality").isNull(), 1)).alias("unknown"))
+        good = good.where("q = 1 and unknown = 0").select("good_id", F.pmod(F.xxhash64("good_id"), F.lit(2)).alias("half"))
+        good = scratch.write(good, "good")
+        training = texts.join(good.where("half = 0"), F.col("doc_id") == F.col("good_id"), "left_semi")
+        counted = training.select("text").mapInArrow(_count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        counts = scratch.write(counted, "counts")
+        wanted = scratch.write(texts.select("text").mapInArrow(_present, "gram int").distinct(), "wanted")
+        # At most CLASSES ** ORDER rows, whatever the corpus.
+        scored = score(counts, wanted, scratch).select("gram", (-F.log("p")).alias("v")).toArrow()
+        model = spark.sparkContext.broadcast((scored["gram"].to_numpy(), scored["v"].to_numpy().astype(np.float32)))
+        rows = scratch.write(texts.select("doc_id", "lang", "text").mapInArrow(_surprise(model), _SCORED), "rows", keep=True)
+
+        fair = F.col("surprise") - SPREAD / F.sqrt("n_grams")
+        held = rows.where("n_grams > 0").join(good.where("half = 1"), F.col("doc_id") == F.col("good_id"), "left_semi")
+        steps = held.groupBy("lang", F.ceil(fair * _STEPS).alias("step")).agg(F.count("*").alias("n"))
+        steps = scratch.write(steps, "steps")
+
+        def limit(by: list[str], frame: DataFrame) -> DataFrame:
+            so_far = F.sum("n").over(Window.partitionBy(*by).orderBy("step"))
+            ranked = frame.withColumn("up_to", so_far).withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
+            reached = ranked.where(F.col("up_to") >= F.col("all") * quantile)
+            return reached.groupBy(*by).agg((F.min("step") / _STEPS + SLACK).alias("most"), F.max("all").alias("trusted"))
+
+        own = limit(["lang"], steps).where(F.col("trusted") >= LEAST_TRUSTED).select(F.col("lang").alias("its_lang"), F.col("most").alias("own_most"))
+        whole = limit([], steps.groupBy("step").agg(F.sum("n").alias("n"))).select(F.col("most").alias("any_most"))
+        own = scratch.write(own, "own", keep=True)
+        found = whole.first()
+    anywhere = F.lit(found["any_most"] if found else None).cast("double")
+    most = F.coalesce("own_most", anywhere) + SPREAD / F.sqrt("n_grams")
+    judged = rows.join(own, F.col("lang").eqNullSafe(F.col("its_lang")), "left")
+    kept = (F.col("n_grams") > 0) & F.coalesce(F.col("surprise") <= most, F.lit(True))
+    return judged.select(
+        "doc_id", "lang", "n_grams", F.exp("surprise").alias("perplexity"), F.when(F.col("n_grams") > 0, F.exp(most)).alias("most"), kept.alias("kept")
+    )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """``docs`` less those rejected. Rows of one id are kept or rejected together: one good text keeps them."""
+    kept = judge(docs, labels, quantile).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")

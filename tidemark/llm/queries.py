@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, near_dup, packing, quality_rules, substring_dedup, token_files, topk, url_filter
+from tidemark.llm import line_dedup, mixing, near_dup, packing, quality_model, quality_rules, substring_dedup, token_files, topk, url_filter
 from tidemark.llm.common import read
 from tidemark.session import scratch_path
 
@@ -25,6 +25,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"))
 
 
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substring_dedup.dedup(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -60,6 +64,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_dup": op1_near_dup,
     "op2_quality_rules": op2_quality_rules,
+    "op3_quality_model": op3_quality_model,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
