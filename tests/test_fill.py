@@ -58,7 +58,6 @@ def test_keyed_fill_does_not_cross_keys(spark, cells, block, keys):
 def test_sparse_keys(spark, step):
     cells = [None, 1, None, None, 5, None, 7, None, None, None] * 5
     df = series(spark, cells, step=step)
-    assert OrderSpan.measure(df, "id").dense == (step < MAX_SPREAD)
     assert filled(forward_fill(df, "v", "id", rows_per_block=7)) == expected(cells, step=step)
 
 
@@ -67,7 +66,7 @@ def test_keys_crowded_at_one_end_are_numbered_first(spark):
     ids = [*range(100), 10**15]
     df = spark.createDataFrame([(i, i if i % 10 == 0 else None) for i in ids], "id bigint, v bigint")
     span = OrderSpan.measure(df, "id")
-    assert not span.dense and not cuts_evenly(df, ["id"], span, 5)
+    assert not cuts_evenly(df, ["id"], span, 5)
     assert filled(forward_fill(df, "v", "id", rows_per_block=5)) == [(i, i // 10 * 10 if i < 100 else 10**15) for i in ids]
     assert cuts_evenly(series(spark, [1] * 50, step=1000), ["id"], OrderSpan.measure(series(spark, [1] * 50, step=1000), "id"), 5)
 
@@ -214,3 +213,48 @@ def test_span_narrower_than_the_table(spark):
     span = OrderSpan(rows=20, low=105, high=124)
     result = forward_fill(series(spark, cells, keys=2), "v", "id", "k", span=span, rows_per_block=3)
     assert filled(result) == expected(cells, keys=2)
+
+
+LONG = 2**63
+
+
+def test_keys_at_both_ends_of_the_long_range(spark):
+    ids = [-LONG, -LONG + 1, *range(-50, 50), LONG - 2, LONG - 1, *[i * (LONG // 60) for i in range(-59, 60) if i]]
+    rows = sorted((i, None if k % 3 else k) for k, i in enumerate(ids))
+    df = spark.createDataFrame(rows, "id bigint, v bigint")
+    frame = pd.DataFrame({"v": pd.array([v for _, v in rows], dtype="Int64")}).ffill()
+    want = [(i, None if v is pd.NA else int(v)) for (i, _), v in zip(rows, frame["v"])]
+    for block in (3, 20, 60, 500):
+        assert filled(forward_fill(df, "v", "id", rows_per_block=block)) == want
+        numbered = row_index(df, "id", "n", rows_per_block=block).orderBy("id").collect()
+        assert [r["n"] for r in numbered] == list(range(len(rows)))
+    span = OrderSpan.measure(df, "id")
+    sizes = df.groupBy(span.block_of(F.col("id"), 60).alias("b")).count().collect()
+    assert all(0 < r["b"] <= span.block_count(60) for r in sizes)
+
+
+def test_a_repeated_key_is_counted_and_split(spark):
+    """Even keys and one key with most of the rows: blocks by key would hold it whole."""
+    df = spark.range(600).select(F.when(F.col("id") < 300, F.col("id")).otherwise(150).alias("k"), "id", F.when(F.col("id") % 4 == 0, F.col("id")).alias("v"))
+    span = OrderSpan.measure(df, "k")
+    assert not cuts_evenly(df, ["k"], span, 20)
+    rows = sorted((r["k"], r["id"], r["v"]) for r in df.collect())
+    last, want = None, {}
+    for k, i, v in rows:
+        last = v if v is not None else last
+        want[i] = last
+    assert {r["id"]: r["v"] for r in forward_fill(df, "v", ["k", "id"], rows_per_block=20).collect()} == want
+
+
+def test_rows_without_a_key_are_a_block_of_their_own(spark):
+    df = spark.range(200).select(F.when(F.col("id") % 20 > 0, F.col("id")).alias("k"), "id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("v"))
+    span = OrderSpan.measure(df, "k")
+    assert span.nulls == 10 and cuts_evenly(df, ["k"], span, 25)
+    largest = df.groupBy(span.block_of(F.col("k"), 25)).count().agg(F.max("count")).first()[0]
+    assert largest <= MAX_SPREAD * 25
+    rows = sorted(((r["k"] is not None, r["k"] or 0, r["id"], r["v"]) for r in df.collect()))
+    last, want = None, {}
+    for _, _, i, v in rows:
+        last = v if v is not None else last
+        want[i] = last
+    assert {r["id"]: r["v"] for r in forward_fill(df, "v", ["k", "id"], rows_per_block=25).collect()} == want

@@ -196,3 +196,36 @@ def test_first_per_key_with_one_key_holding_most_rows(spark):
 def test_fill_after_join_refuses_several_rows_per_key(spark):
     with pytest.raises(ValueError):
         flow.run(policy.DROP_THEN_FILL, sales(spark), economic(spark), economic_order=["index", "CPI"])
+
+
+@pytest.mark.parametrize("block", [1, 100])
+def test_both_sides_keep_their_first_row_and_clashes_follow_the_policy(spark, block):
+    left = spark.createDataFrame(
+        [("1", "1", "2023-01-06", "3", "20000", 2), ("1", "2", "2023-03-06", "4", "30000", 1),
+         ("2", "2", "2023-02-06", "4", "null", 1), ("2", "1", "2023-02-07", "4", "50000", 2), ("9", "1", "2023-02-07", "4", "60000", 1)],
+        "index string, Store_ID string, Date string, Dept string, Weekly_Sales string, copy int",
+    )
+    right = spark.createDataFrame(
+        [(1, 7, 0, 211.0, "8.1", 2), (1, 8, 1, 212.0, "8.2", 1), (2, None, 0, None, "8.3", 1)],
+        "index bigint, Store_ID int, IsHoliday int, CPI double, Unemployment string, line int",
+    )
+
+    def run(rules):
+        result = flow.run(
+            rules, left, right, sales_order=["index", "copy"], economic_order=["index", "line"], rows_per_block=block
+        )
+        return sorted((tuple(r) for r in result.clean.collect()), key=str)
+
+    # Key 2 takes its sales from the last row of key 1; the right store wins where a right row is, NULL or not.
+    assert sorted(map(str, run(policy.COGROUP))) == sorted(map(str, [
+        (8, 3, 4, 1, 30000.0, 212.0, 8.2), (None, 2, 4, 0, 20000.0, None, 8.3), (1, 2, 4, None, 60000.0, None, None)]))
+    assert run(policy.VALIDATED) == [
+        (1, 2, 4, 0, 60000.0, 0.0, 0.0), (2, 2, 4, 0, 20000.0, 211.0, 8.3), (2, 3, 4, 0, 30000.0, 212.0, 8.2)]
+
+
+def test_flow_result_carries_rejects_and_errors(spark):
+    left = sales(spark, ("1", "1", "2023-01-06", "3", "bad"), ("x", "1", "no date", "3", "1"), ("3", "y", "null", "3", ""))
+    result = flow.run(policy.VALIDATED, left, economic(spark, (1, 0, 1.0, "worse")))
+    assert sorted(r["index"] for r in result.rejected.collect()) == ["3", "x"]
+    assert {r["column"]: r["n_bad"] for r in result.errors.collect()} == {"Date": 1, "Weekly_Sales": 1, "CPI": 0, "Unemployment": 1}
+    assert flow.run(policy.COGROUP, left, economic(spark)).rejected.count() == 0

@@ -135,3 +135,13 @@ def test_text_carry_is_not_forced_into_a_broadcast(spark, sf_dir, no_auto_broadc
     (under,) = below(text, "SortMergeJoin")
     assert "Window" in "".join(under.split("\n")[:3])
     assert "Exchange" not in "".join(under.split("\n")[:3])
+
+
+@pytest.mark.parametrize("name", ["flow_cogroup_blocks_clean", "flow_validated_duplicates_blocks_clean"])
+def test_first_rows_per_key_are_taken_on_the_layout_of_the_fill(spark, sf_dir, no_auto_broadcast, name):
+    """One shuffle per table for fill, first row per key and join."""
+    text = plan(contract.queries()[name](spark, sf_dir))
+    join = text.find("SortMergeJoin [__block")
+    assert join > 0
+    assert "row_number()" in text[join:]
+    assert "hashpartitioning(index" not in text[join:]

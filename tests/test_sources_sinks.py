@@ -95,16 +95,13 @@ def test_averages_have_two_places(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "mean")).first()["value"] == "4,40373.40"
 
 
-def test_indexed_csv(spark, tmp_path, monkeypatch):
+def test_indexed_csv(spark, tmp_path):
     df = spark.createDataFrame([(m, m * 1.5) for m in (2, 3, 1)], "Month int, Average_Weekly_Sales double")
     path = tmp_path / "indexed"
     sinks.write_csv_indexed(df, str(path), "Month", single_file=True)
     (part,) = path.glob("part-*.csv")
     assert part.read_text().splitlines() == [
         "index,Month,Average_Weekly_Sales", "0,1,1.5", "1,2,3.0", "2,3,4.5"]
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 2)
-    with pytest.raises(ValueError):
-        sinks.write_csv_indexed(df, str(path), "Month", single_file=True)
     sinks.write_csv_indexed(df, str(path), "Month", start=1)
     rows = spark.read.option("header", True).csv(str(path)).orderBy("index").collect()
     assert [tuple(r) for r in rows] == [("1", "1", "1.5"), ("2", "2", "3.0"), ("3", "3", "4.5")]
@@ -209,7 +206,7 @@ def test_schema_contracts():
 
 def test_to_client_is_bounded(spark):
     df = spark.createDataFrame([(1, 2.5), (2, 3.5)], schemas.AGGREGATE)
-    assert list(to_client(df.orderBy("Month")).index) == [0, 1]
+    assert list(to_client(df.orderBy("Month"), max_rows=2).index) == [0, 1]
     with pytest.raises(ValueError):
         to_client(df, max_rows=1)
 

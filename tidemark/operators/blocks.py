@@ -4,8 +4,9 @@ A window over the whole table (or over one key that holds a third of it) sorts a
 rows in one task. Fill and row numbering avoid that by working block by block and handing
 one small value from each block to the next. A block is a range of the leading order
 column, computed by arithmetic: no shuffle, and the same answer when a task runs again.
-Before any cut the block sizes are known to be bounded, by the key's range if it is unique
-and without large holes, else by counting.
+NULLs, which come first in an order, are a block of their own. Before any cut the rows of
+every block are counted, in one pass that combines map-side and reads one column, so neither
+repeated values nor holes can make a block too large unseen.
 """
 
 from __future__ import annotations
@@ -21,10 +22,15 @@ from pyspark.sql import types as T
 BLOCK = "__block"
 POSITION = "__position"
 
-# Rows a block should have. Also the size from which a key counts as hot.
+# Rows a block should have at most. Also the size from which a key counts as hot.
 ROWS_PER_BLOCK = 1_000_000
-# Upper bound on the number of blocks, and so on every per-block table that is broadcast.
-MAX_BLOCKS = 100_000
+# Bytes a block should have at most, by the widths of its columns; text counts for TEXT_BYTES.
+BLOCK_BYTES = 128 * 1024 * 1024
+TEXT_BYTES = 64
+# Smaller tables are not cut, larger ones so that every core has a block.
+LEAST_BLOCK_ROWS = 100_000
+# Upper bound on the number of blocks: what the one-task window over per-block rows has to sort.
+MAX_BLOCKS = 10_000_000
 # How much larger than wanted a block may get.
 MAX_SPREAD = 4
 # Broadcast a per-block table only up to this many rows; beyond it the join is left to Spark.
@@ -70,7 +76,6 @@ class OrderSpan:
     low: int | None = None
     high: int | None = None
     nulls: int = 0
-    unique: bool = True  # the leading column is the whole order, hence unique
 
     @classmethod
     def measure(cls, df: DataFrame, order_by: str | Sequence[str]) -> OrderSpan:
@@ -84,26 +89,15 @@ class OrderSpan:
             F.max(value).alias("high"),
             F.count_if(value.isNull()).alias("nulls"),
         ).first()
-        return cls(row["rows"], row["low"], row["high"], row["nulls"], len(order) == 1)
-
-    @property
-    def extent(self) -> int:
-        return self.high - self.low + 1
-
-    @property
-    def dense(self) -> bool:
-        """A unique key whose range is not much larger than its row count cannot pile up."""
-        if not self.unique or self.low is None or self.nulls:
-            return False
-        return self.rows <= self.extent <= MAX_SPREAD * self.rows
+        return cls(row["rows"], row["low"], row["high"], row["nulls"])
 
     def union(self, other: OrderSpan) -> OrderSpan:
         """The span to cut two tables by when their blocks have to line up."""
-        nulls, unique = self.nulls + other.nulls, self.unique and other.unique
-        rows = max(self.rows, other.rows)
-        if self.low is None or other.low is None:
-            return OrderSpan(rows, None, None, nulls, unique)
-        return OrderSpan(rows, min(self.low, other.low), max(self.high, other.high), nulls, unique)
+        nulls, rows = self.nulls + other.nulls, max(self.rows, other.rows)
+        known = [s for s in (self, other) if s.low is not None]
+        if not known:
+            return OrderSpan(rows, None, None, nulls)
+        return OrderSpan(rows, min(s.low for s in known), max(s.high for s in known), nulls)
 
     def block_rows(self, rows_per_block: int) -> int:
         return max(rows_per_block, math.ceil(self.rows / MAX_BLOCKS), 1)
@@ -111,30 +105,46 @@ class OrderSpan:
     def too_large(self, rows_per_block: int) -> bool:
         return self.rows > self.block_rows(rows_per_block)
 
-    def width(self, rows_per_block: int) -> int:
-        return max(1, math.ceil(self.extent * self.block_rows(rows_per_block) / self.rows))
+    @property
+    def _halvings(self) -> int:
+        """How often to halve values so that their differences fit a long: once, if at all."""
+        return 1 if self.high - self.low >= 2**63 - 1 else 0
+
+    def _width_and_extent(self, rows_per_block: int) -> tuple[int, int]:
+        extent = (self.high >> self._halvings) - (self.low >> self._halvings) + 1
+        wanted = -(-extent * self.block_rows(rows_per_block) // max(self.rows, 1))
+        return min(max(1, wanted), 2**63 - 1), extent
 
     def block_count(self, rows_per_block: int) -> int:
-        return math.ceil(self.extent / self.width(rows_per_block))
+        width, extent = self._width_and_extent(rows_per_block)
+        return -(-extent // width) + 1
 
     def block_of(self, value: Column, rows_per_block: int) -> Column:
-        # Values below a span measured elsewhere belong to the first block.
-        offset = F.greatest(value - F.lit(self.low), F.lit(0))
-        return F.call_function("div", offset, F.lit(self.width(rows_per_block))).cast("int")
+        """Block 0 for NULL, then ascending from 1. Values outside a span measured elsewhere belong to
+        its first or last block."""
+        width, _ = self._width_and_extent(rows_per_block)
+        inside = F.least(F.greatest(value, F.lit(self.low).cast("long")), F.lit(self.high).cast("long"))
+        halved = F.shiftright(inside, self._halvings) - F.lit(self.low >> self._halvings).cast("long")
+        block = F.call_function("div", halved, F.lit(width).cast("long")) + 1
+        return F.when(value.isNull(), F.lit(0)).otherwise(block).cast("long")
 
 
-def cuts_evenly(df: DataFrame, order: list[str], span: OrderSpan, rows_per_block: int) -> bool:
-    """Whether arithmetic blocks of the leading column stay within MAX_SPREAD of the wanted size.
+def rows_for(df: DataFrame, rows: int, rows_per_block: int | None = None) -> int:
+    """Rows per block of a table of ``rows`` rows: as given, or by the bytes of a row and the cores at hand."""
+    if rows_per_block is not None:
+        return rows_per_block
+    width = sum(8 if _fixed_width(f.dataType) else TEXT_BYTES for f in df.schema)
+    by_bytes = max(1, min(ROWS_PER_BLOCK, BLOCK_BYTES // max(width, 1)))
+    by_cores = math.ceil(rows / df.sparkSession.sparkContext.defaultParallelism)
+    return min(by_bytes, max(LEAST_BLOCK_ROWS, by_cores))
 
-    Known for a dense key; otherwise the rows of each block are counted, which combines map-side
-    and reads one column.
-    """
-    if span.dense:
-        return True
-    if span.low is None or span.nulls:
+
+def cuts_evenly(df: DataFrame, order: list[str], span: OrderSpan, rows_per_block: int) -> bool:
+    """Whether arithmetic blocks of the leading column stay within MAX_SPREAD of the wanted size, by count."""
+    value = scale_of(df.schema[order[0]])
+    if span.low is None or value is None:
         return False
-    block = span.block_of(scale_of(df.schema[order[0]]), rows_per_block)
-    sizes = df.groupBy(block.alias(BLOCK)).agg(F.count(F.lit(1)).alias("__rows"))
+    sizes = df.groupBy(span.block_of(value, rows_per_block).alias(BLOCK)).agg(F.count(F.lit(1)).alias("__rows"))
     largest = sizes.agg(F.max("__rows")).first()[0]
     return (largest or 0) <= MAX_SPREAD * span.block_rows(rows_per_block)
 
@@ -183,12 +193,15 @@ class BlockedTable:
 
 
 def hot_keys(df: DataFrame, keys: list[str], more_than: int) -> tuple[DataFrame, int]:
-    """Keys with more than ``more_than`` rows, as a literal table, and how many they are.
+    """Keys with more than ``more_than`` rows, and how many they are.
 
-    Counting combines map-side, and at most rows / more_than keys can come back.
+    Counting combines map-side. Keys of fixed width come back as a literal table, at most rows / more_than
+    of them; text keys have no such bound on their size and stay a query.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     found = counted.where(F.col("__rows") > more_than).drop("__rows")
+    if not all(_fixed_width(df.schema[name].dataType) for name in keys):
+        return found, found.count()
     rows = found.collect()
     return df.sparkSession.createDataFrame(rows, found.schema), len(rows)
 
@@ -217,9 +230,10 @@ def cut(
     same = F.lit(True)
     for name in keys:
         same = same & df[name].eqNullSafe(F.col(f"__hot_{name}"))
-    # At most MAX_BLOCKS keys can be hot, so this side is always small.
+    # Keys of fixed width bound the size of this side; else the choice is left to Spark.
+    small = count <= BROADCAST_ROWS and all(_fixed_width(df.schema[name].dataType) for name in keys)
     frame = (
-        df.join(F.broadcast(marks), same, "left")
+        df.join(F.broadcast(marks) if small else marks, same, "left")
         .withColumn(BLOCK, F.when(F.col("__hot"), block).otherwise(F.lit(-1)))
         .drop("__hot", *[f"__hot_{name}" for name in keys])
     )

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from tidemark.operators.blocks import (
     BLOCK,
     POSITION,
-    ROWS_PER_BLOCK,
     BlockedTable,
     OrderSpan,
     as_list,
     cut,
     cuts_evenly,
+    rows_for,
 )
 from tidemark.operators.index import row_index
 
@@ -27,13 +27,15 @@ def forward_fill(
     partition_by: str | Sequence[str] | None = None,
     fill_when: Mapping[str, Column] | None = None,
     span: OrderSpan | None = None,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
 ) -> DataFrame:
     """Replace NULLs by the latest earlier non-NULL value in ``order_by``; leading NULLs stay.
 
     ``order_by`` has to be a total order (within ``partition_by`` if given). ``fill_when`` narrows,
     per column, which rows are filled; rows left out keep their value, NULL included. 
-    Up to ``rows_per_block`` rows one task sorts the table. Beyond that the table is cut into
+
+    Up to ``rows_per_block`` rows (by default what the bytes of a row and the cores at hand give) one
+    task sorts the table. Beyond that the table is cut into
     blocks: fill inside each block, take each block's last values, run those forward over the
     blocks (one row per block), and add them to the rows still empty. A keyed fill does this
     for keys above that size and leaves the other keys whole.
@@ -42,6 +44,7 @@ def forward_fill(
     fill_when = dict(fill_when or {})
     names = df.columns
     span = span or OrderSpan.measure(df, order)
+    rows_per_block = rows_for(df, span.rows, rows_per_block)
     if span.too_large(rows_per_block):
         if not cuts_evenly(df, order, span, rows_per_block):
             # No order column to cut by: number the rows once, then go by number.

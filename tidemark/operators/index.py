@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from tidemark.operators.blocks import (
     BLOCK,
     POSITION,
-    ROWS_PER_BLOCK,
     BlockedTable,
     OrderSpan,
     as_list,
     cut,
     cuts_evenly,
+    rows_for,
 )
 from tidemark.session import scratch_path
 
@@ -33,7 +33,7 @@ def row_index(
     start: int = 0,
     partition_by: str | Sequence[str] | None = None,
     span: OrderSpan | None = None,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
 ) -> DataFrame:
     """Add ``name``: start, start + 1, ... in ``order_by``, restarting per ``partition_by`` if given.
 
@@ -44,6 +44,7 @@ def row_index(
     order, keys = as_list(order_by), as_list(partition_by)
     names = [c for c in df.columns if c != name]
     span = span or OrderSpan.measure(df, order)
+    rows_per_block = rows_for(df, span.rows, rows_per_block)
     if span.too_large(rows_per_block):
         if not cuts_evenly(df, order, span, rows_per_block):
             numbered = _number_sorted(df, order)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.repair import default_when_unmatched
 from tidemark.operators.blocks import as_list
 from tidemark.operators.ordered import MATCHED
+from tidemark.operators.reduce import first_per_key
 
 
 def normalize_key(df: DataFrame, key: str = "index", kind: str = "bigint") -> DataFrame:
@@ -29,21 +30,6 @@ def join_left(
     return joined.select(*columns) if columns else joined
 
 
-def first_per_key(
-    df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str]
-) -> DataFrame:
-    """One whole row per key: the smallest by ``order_by``, remaining columns breaking ties.
-
-    An aggregate, so each task reduces its rows before the shuffle and a key with many rows
-    reaches the final task as one row per map task.
-    """
-    keys, order = as_list(key), as_list(order_by)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    ranked = F.struct(*order, *rest)
-    picked = df.groupBy(*keys).agg(F.min(ranked).alias("__first"))
-    return picked.select(*[c if c in keys else F.col(f"__first.`{c}`").alias(c) for c in df.columns])
-
-
 def cogroup_first_left(
     left: DataFrame,
     right: DataFrame,

@@ -5,27 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.blocks import (
     BLOCK,
     POSITION,
-    ROWS_PER_BLOCK,
     BlockedTable,
     OrderSpan,
     cut,
     cuts_evenly,
+    rows_for,
 )
 from tidemark.operators.fill import fill_by_block, forward_fill
 from tidemark.operators.index import row_index
+from tidemark.operators.reduce import first_per_key
 
 MATCHED = "__matched"
+_PLACE = "__place"
 
 
 @dataclass(frozen=True)
 class OrderedTable:
-    """A table with a unique key that gives both its order and its join key.
+    """A table whose join key leads its order; the key alone is the order where it is unique.
 
     If the table is larger than one task should sort, it carries a block column: every fill
     then works block by block, and joining two tables that were cut alike uses (block, key), so
@@ -34,7 +36,7 @@ class OrderedTable:
 
     frame: DataFrame
     key: str
-    order: str
+    order: tuple[str, ...]
     span: OrderSpan
     rows_per_block: int
     blocked: BlockedTable | None = None
@@ -45,11 +47,15 @@ class OrderedTable:
         cls,
         frames: Sequence[DataFrame],
         key: str,
-        rows_per_block: int = ROWS_PER_BLOCK,
+        rows_per_block: int | None = None,
         spans: Sequence[OrderSpan] | None = None,
+        orders: Sequence[Sequence[str]] | None = None,
     ) -> list[OrderedTable]:
         """Cut tables by one common span if any of them needs cutting.
 
+        ``orders`` are the total orders of the tables, each led by the key. Measuring spans and counting
+        blocks run jobs over the keys of ``frames``; hand in ``spans`` of base tables to save the first.
+
         A table whose keys give no even blocks is numbered once and cut by number instead; all
         its fills share that, but its join has to shuffle by key.
         """
@@ -57,19 +63,24 @@ class OrderedTable:
         shared = spans[0]
         for span in spans[1:]:
             shared = shared.union(span)
+        if rows_per_block is None:
+            rows_per_block = min(rows_for(frame, shared.rows) for frame in frames)
         large = shared.too_large(rows_per_block)
         alike = large and all(cuts_evenly(f, [key], shared, rows_per_block) for f in frames)
         tables = []
-        for frame, span in zip(frames, spans):
-            order, blocked = key, None
+        orders = [tuple(o) for o in orders] if orders else [(key,)] * len(frames)
+        for frame, span, order in zip(frames, spans, orders):
+            if order[0] != key:
+                raise ValueError(f"the order of a table has to start with its key: {order}")
+            blocked = None
             if alike:
                 span = shared
                 blocked = cut(frame, key, [], span, rows_per_block)
             elif span.too_large(rows_per_block):
                 if not cuts_evenly(frame, [key], span, rows_per_block):
-                    frame = row_index(frame, key, POSITION, span=span, rows_per_block=rows_per_block)
-                    order, span = POSITION, OrderSpan(span.rows, 0, span.rows - 1)
-                blocked = cut(frame, order, [], span, rows_per_block)
+                    frame = row_index(frame, order, POSITION, span=span, rows_per_block=rows_per_block)
+                    order, span = (POSITION,), OrderSpan(span.rows, 0, span.rows - 1)
+                blocked = cut(frame, order[0], [], span, rows_per_block)
             cut_frame = blocked.frame if blocked else frame
             tables.append(cls(cut_frame, key, order, span, rows_per_block, blocked))
         return tables
@@ -92,14 +103,25 @@ class OrderedTable:
             )
         else:
             filled = fill_by_block(
-                self.blocked.with_frame(self.frame), list(columns), [self.order], fill_when or {}
+                self.blocked.with_frame(self.frame), list(columns), list(self.order), fill_when or {}
             )
         return replace(self, frame=filled, shuffled=self.blocked is not None)
 
+    def first_per_key(self) -> OrderedTable:
+        """The first row of each key. Where all rows of a key are in one block, on the layout of the fill."""
+        rest = [c for c in self.order if c != self.key]
+        if not rest:
+            return self
+        if self.blocked is None or self.order[0] != self.key:
+            return replace(self, frame=first_per_key(self.frame.drop(BLOCK), self.key, rest), blocked=None, shuffled=False)
+        window = Window.partitionBy(BLOCK, self.key).orderBy(*rest)
+        rows = self._by_block().withColumn(_PLACE, F.row_number().over(window)).where(F.col(_PLACE) == 1)
+        return replace(self, frame=rows.drop(_PLACE), shuffled=True)
+
     def join(self, other: OrderedTable, how: str = "inner") -> OrderedTable:
         """Join on the key. Columns of both sides must differ apart from it."""
         cut_alike = self.blocked and other.blocked and self.span == other.span
-        if not cut_alike or not self.order == other.order == self.key:
+        if not cut_alike or not self.order[0] == other.order[0] == self.key:
             right = other.frame.drop(BLOCK, POSITION)
             return replace(self, frame=self.frame.join(right, self.key, how), shuffled=False)
         left, right = self._by_block(), other._by_block()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,9 +22,6 @@ from tidemark.functions.repair import (
     zero_to_null,
 )
 from tidemark.operators.aggregates import mean_by
-from tidemark.operators.blocks import ROWS_PER_BLOCK
-from tidemark.operators.fill import forward_fill
-from tidemark.operators.joins import first_per_key
 from tidemark.operators.ordered import MATCHED, OrderedTable
 from tidemark.operators.rows import above_threshold, in_domain, require_truthy, split_rejects
 from tidemark.plans.policy import ALL, Policy
@@ -32,6 +29,9 @@ from tidemark.schemas import CLEAN_FIELDS, KEY, SALES_THRESHOLD
 
 _FILL_DATE = "__fill_date"
 _FILL_SALES = "__fill_sales"
+_ORDER = "__order_"
+_RIGHT = "__right_"
+_SALES_KEYS = {KEY: "bigint", "Store_ID": "int"}
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,8 @@ class FlowResult:
     aggregate: DataFrame
     keyed: DataFrame  # the clean rows with their key, for numbering them in key order
     merged: DataFrame  # all columns after repair and join, for profiling
+    rejected: DataFrame | None = None  # sales rows with keys that the policy does not accept
+    errors: DataFrame | None = None  # unparsable values by column
 
 
 def run(
@@ -48,38 +50,75 @@ def run(
     economic: DataFrame,
     threshold: float = SALES_THRESHOLD,
     economic_order: Sequence[str] = (KEY,),
-    exact_scale: int | None = None,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    sales_order: Sequence[str] = (KEY,),
+    exact_scale: int | None = 2,
+    rows_per_block: int | None = None,
 ) -> FlowResult:
-    """Both outputs of a policy and what they were made from, all lazily.
+    """Both outputs of a policy, what they were made from, and what was rejected on the way.
 
-    Sales need a unique ``index``. ``economic_order`` is a total order of the economic rows; the
-    key alone if it is unique there too. ``exact_scale`` is that of ``mean_by``.
+    The outputs are lazy, but cutting large tables is not: it measures both keys and counts their blocks.
+    ``sales_order`` and ``economic_order`` are total orders of the two tables, each led by the key; the key
+    alone where it is unique. A policy that joins first rows keeps the first row per key of both sides.
+    ``exact_scale`` is that of ``mean_by``: money of two decimals by default, so that neither partitioning nor
+    a retry can change the last digit.
     """
-    one_per_key = list(economic_order) == [KEY]
-    if policy.fill_at == "after_join" and not one_per_key:
-        raise ValueError("a fill after the join needs one economic row per key: the key is its order")
-    sales = parse_sales(policy, sales)
+    sales_order, economic_order = list(sales_order), list(economic_order)
+    repeats = [o for o in (sales_order, economic_order) if o != [KEY]]
+    if policy.fill_at == "after_join" and repeats:
+        raise ValueError("a fill after the join needs one row per key on both sides: the key is its order")
+    raw_sales, raw_economic = sales, economic
+    sales = parse_sales(policy, sales, [c for c in sales_order if c != KEY])
     economic = parse_economic(policy, economic)
-    if one_per_key:
-        left, right = OrderedTable.align([sales, economic], KEY, rows_per_block)
-        if policy.fill_at == "before_join":
-            right = right.fill(_selected(policy.fill_economic, right))
-    else:
-        reduced = _fill_and_reduce(policy, economic, list(economic_order), rows_per_block)
-        (left,) = OrderedTable.align([sales], KEY, rows_per_block)
-        right = OrderedTable(reduced, KEY, KEY, left.span, rows_per_block)
+    own_order = [KEY, *[_ORDER + c for c in sales_order if c != KEY]]
+    left, right = OrderedTable.align([sales, economic], KEY, rows_per_block, orders=[own_order, economic_order])
+    if policy.fill_at == "before_join":
+        right = right.fill([c for c in _selected(policy.fill_economic, right) if c not in economic_order])
     left = _repair_sales(policy, left)
+    if policy.join == "first_left":
+        left, right = left.first_per_key(), right.first_per_key()
+    left = left.apply(lambda df: df.drop(*[c for c in df.columns if c.startswith(_ORDER)]))
     joined = _join(policy, left, right)
     if policy.fill_at == "after_join":
         joined = joined.fill([c for c in joined.columns if c != KEY])
-    return _outputs(policy, joined.rows(), threshold, exact_scale)
+    result = _outputs(policy, joined.rows(), threshold, exact_scale)
+    return replace(
+        result, rejected=rejected_sales(policy, raw_sales), errors=bad_values(policy, raw_sales, raw_economic)
+    )
+
+
+def rejected_sales(policy: Policy, sales: DataFrame) -> DataFrame:
+    """Sales rows whose keys the policy does not accept, as read."""
+    if not policy.reject_bad_keys:
+        return sales.limit(0)
+    return split_rejects(sales, _SALES_KEYS)[1]
+
+
+def bad_values(policy: Policy, sales: DataFrame, economic: DataFrame) -> DataFrame:
+    """Values of each repaired column that are neither missing nor parsable: column, n_bad."""
+    sales_tokens, economic_tokens = list(policy.sales_tokens), list(policy.economic_tokens)
+
+    def counted(df: DataFrame, name: str, parsed, tokens: list[str]) -> DataFrame:
+        text = F.col(name).cast("string")
+        bad = text.isNotNull() & ~text.isin(*tokens) & parsed(text).isNull() if tokens else text.isNotNull() & parsed(text).isNull()
+        return df.agg(F.count_if(bad).alias("n_bad")).select(F.lit(name).alias("column"), "n_bad")
+
+    def number(text):
+        return try_number(text, policy.measure)
 
+    rows = counted(sales, "Date", try_date, sales_tokens).union(counted(sales, "Weekly_Sales", number, sales_tokens))
+    for name in policy.parse_economic:
+        if name in economic.columns:
+            rows = rows.union(counted(economic, name, number, economic_tokens))
+    return rows
 
-def parse_sales(policy: Policy, sales: DataFrame) -> DataFrame:
-    """Typed sales; NULL where a value is missing or, unless the policy fails on it, unparsable."""
+
+def parse_sales(policy: Policy, sales: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Typed sales; NULL where a value is missing or, unless the policy fails on it, unparsable.
+
+    Columns of ``order`` come along under names of their own.
+    """
     if policy.reject_bad_keys:
-        sales, _ = split_rejects(sales, {KEY: "bigint", "Store_ID": "int"})
+        sales, _ = split_rejects(sales, _SALES_KEYS)
     tokens = policy.sales_tokens
     date_text = missing_to_null(F.col("Date").cast("string"), tokens) if tokens else F.col("Date").cast("string")
     text = F.col("Weekly_Sales").cast("string")
@@ -95,6 +134,7 @@ def parse_sales(policy: Policy, sales: DataFrame) -> DataFrame:
         try_date(date_text).alias("Date"),
         F.col("Dept").try_cast("int").alias("Dept"),
         number.alias("Weekly_Sales"),
+        *[F.col(c).alias(_ORDER + c) for c in order],
     ]
     if policy.bad_value == "null":
         columns += [
@@ -151,39 +191,31 @@ def _repair_sales(policy: Policy, sales: OrderedTable) -> OrderedTable:
     return sales.apply(lambda df: df.drop(_FILL_DATE, _FILL_SALES))
 
 
-def _fill_and_reduce(
-    policy: Policy, economic: DataFrame, order: list[str], rows_per_block: int
-) -> DataFrame:
-    """Several economic rows per key: fill in the full order, then keep the first row of each key."""
-    if policy.fill_at == "before_join":
-        columns = (
-            [c for c in economic.columns if c not in order]
-            if policy.fill_economic == ALL
-            else [c for c in policy.fill_economic if c in economic.columns]
-        )
-        economic = forward_fill(economic, columns, order, rows_per_block=rows_per_block)
-    if policy.join == "first_left":
-        economic = first_per_key(economic, KEY, [c for c in order if c != KEY])
-    return economic
-
-
 def _selected(wanted: tuple[str, ...] | str, table: OrderedTable) -> list[str]:
     present = [c for c in table.columns if c != KEY and not c.startswith("__")]
     return present if wanted == ALL else [c for c in wanted if c in present]
 
 
 def _join(policy: Policy, left: OrderedTable, right: OrderedTable) -> OrderedTable:
-    if policy.join == "inner":
+    both = [c for c in right.columns if c in left.columns and c != KEY]
+    if policy.clash == "right":
+        right = right.apply(lambda df: df.withColumnsRenamed({c: _RIGHT + c for c in both}))
+    else:
+        right = right.apply(lambda df: df.drop(*both))
+        both = []
+    if policy.join == "inner" and not both:
         return left.join(right, "inner")
-    if policy.unmatched is None:
-        return left.join(right, "left")
-    joined = left.join(right.apply(lambda df: df.withColumn(MATCHED, F.lit(True))), "left")
+    how = "inner" if policy.join == "inner" else "left"
+    joined = left.join(right.apply(lambda df: df.withColumn(MATCHED, F.lit(True))), how)
     matched = F.coalesce(F.col(MATCHED), F.lit(False))
-    defaults = {
-        name: default_when_unmatched(matched, F.col(name), policy.unmatched)
-        for name in ("CPI", "Unemployment")
-    }
-    return joined.apply(lambda df: df.withColumns(defaults).drop(MATCHED))
+    kinds = {f.name: f.dataType for f in left.frame.schema}
+    values = {c: F.when(matched, F.col(_RIGHT + c).try_cast(kinds[c])).otherwise(F.col(c)) for c in both}
+    if policy.unmatched is not None:
+        values |= {
+            name: default_when_unmatched(matched, F.col(name), policy.unmatched)
+            for name in ("CPI", "Unemployment")
+        }
+    return joined.apply(lambda df: df.withColumns(values).drop(MATCHED, *[_RIGHT + c for c in both]))
 
 
 def _outputs(
@@ -204,7 +236,7 @@ def _outputs(
 
 
 def average(
-    policy: Policy, clean: DataFrame, threshold: float, exact_scale: int | None = None
+    policy: Policy, clean: DataFrame, threshold: float, exact_scale: int | None = 2
 ) -> DataFrame:
     """The monthly mean of clean rows under the policy's threshold, rounding and names."""
     above = clean if policy.threshold_on == "none" else above_threshold(clean, limit=threshold)

@@ -45,6 +45,8 @@ class Policy:
     # Join: "inner", or "first_left" (left join of the first row per key on each side).
     join: str = "inner"
     unmatched: float | None = None
+    # A column that both sides have: from "left" (sales), or from "right" where a right row matched.
+    clash: str = "left"
 
     # Output.
     holiday: str = "keep"  # "keep", "zero" or "boolean"
@@ -57,6 +59,7 @@ class Policy:
     # key order for clean rows); averages as numbers or at fixed decimals.
     files: str = "indexed"
     index_start: int = 0
+    index_name: str = "index"  # its header; blank for none
     fixed_averages: bool = False
     round_tables: bool = False  # floats in catalog tables at two places
 
@@ -71,6 +74,7 @@ DROP_THEN_FILL = Policy(
     fill_economic=ALL,
     average_column="Avg_Sales",
     sort_aggregate=True,
+    index_name="",
 )
 
 FILL_ALL = Policy(
@@ -94,6 +98,7 @@ COGROUP = Policy(
     economic_tokens=TOKENS_NULL_NONE,
     bad_value="null",
     join="first_left",
+    clash="right",
 )
 
 VALIDATED = Policy(

@@ -13,7 +13,7 @@ from tidemark.operators.rows import round_floats
 from tidemark.plans.flow import FlowResult, average
 from tidemark.plans.policy import Policy
 from tidemark.schemas import KEY, SALES_THRESHOLD
-from tidemark.session import scratch_path
+from tidemark.session import discard, scratch_path
 from tidemark.sinks.files import write_csv, write_csv_headerless, write_csv_indexed
 from tidemark.sinks.outputs import Output, run_if_incomplete
 from tidemark.sinks.tables import write_table
@@ -37,23 +37,34 @@ def publish(
     result: FlowResult,
     targets: Targets,
     threshold: float = SALES_THRESHOLD,
-    exact_scale: int | None = None,
+    exact_scale: int | None = 2,
 ) -> None:
-    """Clean rows are written once and every output reads that written copy.
+    """Clean rows and means are written once each, every output reads those copies, and they go at the end.
 
     Caching would lose its blocks with their executors and then recompute fill and join; a
     written table does not.
     """
-    path = scratch_path(spark, f"clean-{policy.name}")
-    result.keyed.write.parquet(path)
-    keyed = spark.read.schema(result.keyed.schema).parquet(path)
+    path, means_path = scratch_path(spark, f"clean-{policy.name}"), scratch_path(spark, f"means-{policy.name}")
+    try:
+        result.keyed.write.parquet(path)
+        keyed = spark.read.schema(result.keyed.schema).parquet(path)
+        means = average(policy, keyed.drop(KEY), threshold, exact_scale)
+        # One row per month.
+        means.coalesce(1).write.parquet(means_path)
+        means = spark.read.schema(means.schema).parquet(means_path)
+        _write_all(policy, keyed, means, targets)
+    finally:
+        discard(spark, path)
+        discard(spark, means_path)
+
+
+def _write_all(policy: Policy, keyed: DataFrame, means: DataFrame, targets: Targets) -> None:
     clean = keyed.drop(KEY)
-    means = average(policy, clean, threshold, exact_scale)
     if targets.clean_csv:
         if policy.files == "indexed":
             write_csv_indexed(
                 keyed.withColumnRenamed(KEY, "__key"), targets.clean_csv, "__key",
-                start=policy.index_start, drop=["__key"],
+                policy.index_name, policy.index_start, drop=["__key"],
             )
         else:
             _write_plain(policy, clean, targets.clean_csv)
@@ -80,8 +91,9 @@ def _write_means(policy: Policy, means: DataFrame, path: str) -> None:
         text = fixed_point(F.col(policy.average_column), policy.decimals)
         means = means.withColumn(policy.average_column, text)
     if policy.files == "indexed":
-        # One row per month: small by nature, and the writer checks it.
-        write_csv_indexed(means, path, policy.month_column, start=policy.index_start, single_file=True)
+        write_csv_indexed(
+            means, path, policy.month_column, policy.index_name, policy.index_start, single_file=True
+        )
     else:
         _write_plain(policy, means, path)
 
@@ -90,15 +102,16 @@ def expected_outputs(policy: Policy, result: FlowResult, targets: Targets) -> li
     header = policy.files != "headerless"
 
     def in_file(schema: T.StructType) -> T.StructType:
-        index = [T.StructField("index", T.LongType())] if policy.files == "indexed" else []
+        index = [T.StructField(policy.index_name, T.LongType())] if policy.files == "indexed" else []
         return T.StructType([*index, *schema.fields])
 
     clean, means = result.clean.schema, result.aggregate.schema
     wanted = [
-        Output("clean_csv", targets.clean_csv, "csv", in_file(clean), header),
-        Output("aggregate_csv", targets.aggregate_csv, "csv", in_file(means), header),
-        Output("clean_table", targets.clean_table, "table", clean),
-        Output("aggregate_table", targets.aggregate_table, "table", means),
+        # Sales may all be below the threshold.
+        Output("clean_csv", targets.clean_csv, "csv", in_file(clean), header, may_be_empty=True),
+        Output("aggregate_csv", targets.aggregate_csv, "csv", in_file(means), header, may_be_empty=True),
+        Output("clean_table", targets.clean_table, "table", clean, may_be_empty=True),
+        Output("aggregate_table", targets.aggregate_table, "table", means, may_be_empty=True),
     ]
     return [output for output in wanted if output.target]
 

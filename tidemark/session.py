@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -43,11 +45,24 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for an intermediate table in the shared folder of ``spark.checkpoint.dir``.
 
-    Only a local-mode session may go without that setting; it then gets a temporary folder.
+    Only a session whose executors are threads of the driver may go without that setting; it then gets
+    one temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="tidemark-")
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

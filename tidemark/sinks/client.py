@@ -5,10 +5,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 
-CLIENT_ROWS = 100_000
 
-
-def to_client(df: DataFrame, max_rows: int = CLIENT_ROWS) -> pd.DataFrame:
+def to_client(df: DataFrame, max_rows: int) -> pd.DataFrame:
     """All rows as pandas with a fresh 0-based index; refuses results above ``max_rows``."""
     fetched = df.limit(max_rows + 1).toPandas()
     if len(fetched) > max_rows:

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import delimited, fixed_point
 from tidemark.operators.index import row_index
 
-# A single output file is written by a single task, so only up to this many rows.
-SINGLE_FILE_ROWS = 1_000_000
+_NUMBER = "__number"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -41,14 +40,13 @@ def write_csv_indexed(
 ) -> None:
     """CSV with a leading row number, in ``order_by``; ``drop`` lists columns that only order.
 
-    ``single_file`` is for small results, and refuses larger ones. Otherwise each file holds one
-    range of row numbers, in order.
+    ``single_file`` writes through one task and is for results that are small by nature, such as one
+    row per month. Otherwise each file holds one range of row numbers, in order. A blank ``index`` leaves
+    the header of the first column empty.
     """
     columns = [c for c in df.columns if c != index and c not in drop]
-    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: write them with single_file=False")
-    numbered = row_index(df, order_by, name=index, start=start).select(index, *columns)
+    numbered = row_index(df, order_by, name=_NUMBER, start=start).select(_NUMBER, *columns)
     laid_out = (
-        numbered.coalesce(1) if single_file else numbered.repartitionByRange(index)
-    ).sortWithinPartitions(index)
-    write_csv(laid_out, path)
+        numbered.coalesce(1) if single_file else numbered.repartitionByRange(_NUMBER)
+    ).sortWithinPartitions(_NUMBER)
+    write_csv(laid_out.withColumnRenamed(_NUMBER, index), path)

@@ -122,3 +122,43 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~every(key, 3), F.col("event_type")).alias("event_type"),
         F.when(~every(key, 4), F.col("user_id") * 10).alias("score"),
     )
+
+
+def sales_twice(spark: SparkSession, sf_dir: str, bad_keys: bool = False) -> DataFrame:
+    """Every sales row and a second one of its key, in the total order (index, copy)."""
+    rows = sales(spark, sf_dir, bad_keys).withColumn("copy", F.lit(1))
+    price = F.col("o_totalprice")
+    twice = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey"), F.format_string("%.2f", price * 2).alias("doubled")
+    )
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    index, store = key.cast("string"), ((customer + 1) % 5).cast("string")
+    if bad_keys:
+        index = F.when(every(key, 31), "invalid").otherwise(index)
+    second = twice.select(
+        index.alias("index"), store.alias("Store_ID"), F.lit("2024-02-02").alias("Date"), F.lit("50").alias("Dept"),
+        F.col("doubled").alias("Weekly_Sales"), F.lit(2).alias("copy"),
+    )
+    return rows.unionByName(second)
+
+
+def economic_lines_with_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Economic lines that carry a store of their own."""
+    return economic_lines(spark, sf_dir).withColumn("Store_ID", (F.col("index") % 3).cast("string"))
+
+
+def wide_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a unique key spread from one end of the long range to the other."""
+    spread = (F.col("event_id") % 1009 - 504) * F.lit(18_300_000_000_000_000).cast("long") + F.col("event_id")
+    return dirty_events(spark, sf_dir).withColumn("wide", spread)
+
+
+def null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events some of which have no key, in the total order (key, event_id)."""
+    return dirty_events(spark, sf_dir).withColumn("key", F.when(~every(F.col("event_id"), 50), F.col("event_id")))
+
+
+def busy_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by day, of which one holds a third of all, in the total order (day, event_id)."""
+    day = F.when(every(F.col("event_id"), 3), F.lit(40)).otherwise(F.col("event_id") % 90)
+    return dirty_events(spark, sf_dir).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), day.cast("int")))

@@ -96,7 +96,7 @@ ORACLES: dict[str, str] = {}
 
 # --- sources and sinks ---------------------------------------------------------------------
 
-ORACLES["scan_parquet"] = "SELECT event_id, user_id, value FROM events"
+ORACLES["scan_parquet"] = "SELECT * FROM events"
 ORACLES["scan_csv_positional"] = f"WITH {SALES} SELECT * FROM sales"
 ORACLES["scan_dispatch"] = """SELECT c_mktsegment, count(*) AS orders
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment"""
@@ -305,7 +305,10 @@ ORACLES["row_index_per_key_blocks"] = ORACLES["row_index_per_key"]
 
 # --- quality -------------------------------------------------------------------------------
 
-ORACLES["missing_outputs"] = """SELECT DISTINCT concat(year(o_orderdate), '-', month(o_orderdate)) AS output
+ORACLES["missing_outputs"] = """SELECT 'clean' AS output, false AS missing, count(*) AS rows FROM orders
+UNION ALL SELECT 'aggregate', false, count(DISTINCT o_orderstatus) FROM orders
+UNION ALL SELECT 'wrong_shape', true, NULL UNION ALL SELECT 'absent', true, NULL"""
+ORACLES["missing_names"] = """SELECT DISTINCT concat(year(o_orderdate), '-', month(o_orderdate)) AS output
 FROM orders WHERE concat(year(o_orderdate), '-', month(o_orderdate)) NOT IN
   (SELECT concat(year(o_orderdate), '-', month(o_orderdate)) FROM orders WHERE o_totalprice > 499000.0)"""
 ORACLES["validate_outputs"] = """WITH written AS (SELECT count(*) > 0 AS has_rows FROM orders)
@@ -371,7 +374,7 @@ ORACLES["sql_monthly_avg"] = ORACLES["agg_decimal_avg"]
 # --- whole flows: each is a CTE "clean" with all seven columns -----------------------------
 
 
-def _typed_sales(sales: str, tokens: str, measure: str = "DOUBLE") -> str:
+def _typed_sales(sales: str, tokens: str, measure: str = "DOUBLE", also: str = "") -> str:
     """Typed sales with flags for the texts that mean "missing"."""
     known_date = f"CASE WHEN \"Date\" NOT IN ({tokens}) THEN \"Date\" END"
     known_sales = f"CASE WHEN \"Weekly_Sales\" NOT IN ({tokens}) THEN \"Weekly_Sales\" END"
@@ -382,7 +385,7 @@ def _typed_sales(sales: str, tokens: str, measure: str = "DOUBLE") -> str:
 typed AS (SELECT TRY_CAST("index" AS BIGINT) AS "index", TRY_CAST("Store_ID" AS INTEGER) AS "Store_ID",
   TRY_CAST({known_date} AS TIMESTAMP) AS "Date", CAST("Dept" AS INTEGER) AS "Dept",
   {number} AS "Weekly_Sales",
-  "Date" IN ({tokens}) AS date_missing, "Weekly_Sales" IN ({tokens}) AS sales_missing FROM sales)"""
+  "Date" IN ({tokens}) AS date_missing, "Weekly_Sales" IN ({tokens}) AS sales_missing{also} FROM sales)"""
 
 
 def _flow(ctes: str, threshold_clean: bool, threshold_mean: bool, average: str, month_name: str = "Month",
@@ -465,7 +468,7 @@ left_filled AS (SELECT "index", "Store_ID",
   CASE WHEN sales_missing THEN {fill('"Weekly_Sales"')} ELSE "Weekly_Sales" END AS "Weekly_Sales" FROM typed),
 merged AS (SELECT l.*, f.holiday AS "IsHoliday", f.cpi AS "CPI", f.unemployment AS "Unemployment"
   FROM left_filled l LEFT JOIN firsts ON l."index" = firsts."index")""",
-    True, True, "Average_Weekly_Sales",
+    True, True, "Average_Weekly_Sales", blocks=True,
 )
 
 # Bad keys and other stores go before the fill; absent and zero values after it.
@@ -477,7 +480,7 @@ merged AS (SELECT l.*, CASE WHEN firsts."index" IS NULL THEN 0.0 ELSE f.cpi END
     CASE WHEN firsts."index" IS NULL THEN 0.0 ELSE f.unemployment END AS "Unemployment"
   FROM left_filled l LEFT JOIN firsts ON l."index" = firsts."index"
   WHERE "Date" IS NOT NULL AND "Weekly_Sales" IS NOT NULL AND "Weekly_Sales" <> 0)"""
-_add_flow("validated", _VALIDATED, False, True, "Average_Weekly_Sales", holiday="0")
+_add_flow("validated", _VALIDATED, False, True, "Average_Weekly_Sales", holiday="0", blocks=True)
 ORACLES["flow_published"] = ORACLES["flow_validated_agg"]
 ORACLES["flow_published_index"] = f"""WITH {_VALIDATED}
 SELECT row_number() OVER (ORDER BY "index") AS "index", "Store_ID", CAST(month("Date") AS INTEGER) AS "Month",
@@ -507,3 +510,113 @@ def _merged_profile() -> str:
 
 
 ORACLES["flow_zero_repair_profile"] = _merged_profile()
+
+
+# --- several sales rows per key, and a column that both sides have -------------------------
+
+
+def _sales_twice(bad_keys: bool = False) -> str:
+    index = "CAST(o_orderkey AS VARCHAR)"
+    if bad_keys:
+        index = f"CASE WHEN o_orderkey % 31 = 0 THEN 'invalid' ELSE {index} END"
+    once = _sales(bad_keys).replace("sales AS (", "sales_once AS (", 1)
+    return f"""{once},
+sales AS (SELECT *, 1 AS copy FROM sales_once UNION ALL
+  SELECT {index}, CAST((o_custkey + 1) % 5 AS VARCHAR), '2024-02-02', '50',
+    printf('%.2f', o_totalprice * 2), 2 FROM orders)"""
+
+
+_COPIES = '"index", copy'
+_FIRST_COPY = 'QUALIFY row_number() OVER (PARTITION BY "index" ORDER BY copy) = 1'
+
+
+def _cogroup_twice(store: str) -> str:
+    return f"""{_typed_sales(_sales_twice(), "'null', 'None'", also=", copy")},
+{_first_economic('"CPI"', fill(_NUMBER, _LINE_ORDER))},
+left_filled AS (SELECT "index", "Store_ID",
+  CASE WHEN date_missing THEN {fill('"Date"', _COPIES)} ELSE "Date" END AS "Date", "Dept",
+  CASE WHEN sales_missing THEN {fill('"Weekly_Sales"', _COPIES)} ELSE "Weekly_Sales" END AS "Weekly_Sales", copy
+  FROM typed),
+first_left AS (SELECT * FROM left_filled {_FIRST_COPY}),
+merged AS (SELECT l."index", {store} AS "Store_ID", l."Date", l."Dept", l."Weekly_Sales", f.holiday AS "IsHoliday",
+  f.cpi AS "CPI", f.unemployment AS "Unemployment"
+  FROM first_left l LEFT JOIN firsts ON l."index" = firsts."index")"""
+
+
+_add_flow("cogroup_duplicates", _cogroup_twice('l."Store_ID"'), True, True, "Average_Weekly_Sales", blocks=True)
+_add_flow(
+    "cogroup_clash",
+    _cogroup_twice('CASE WHEN firsts."index" IS NULL THEN l."Store_ID" ELSE CAST(l."index" % 3 AS INTEGER) END'),
+    True, True, "Average_Weekly_Sales", blocks=True,
+)
+
+_VALIDATED_TWICE = f"""{_typed_sales(_sales_twice(bad_keys=True), "'null', 'None', ''", also=", copy")},
+{_first_economic(fill('"CPI"', _LINE_ORDER), fill(_NUMBER, _LINE_ORDER))},
+left_filled AS (SELECT "index", "Store_ID", {fill('"Date"', _COPIES)} AS "Date", "Dept",
+  {fill('"Weekly_Sales"', _COPIES)} AS "Weekly_Sales", copy
+  FROM typed WHERE "index" IS NOT NULL AND "Store_ID" IN (1, 2)),
+first_left AS (SELECT * FROM left_filled
+  WHERE "Date" IS NOT NULL AND "Weekly_Sales" IS NOT NULL AND "Weekly_Sales" <> 0 {_FIRST_COPY}),
+merged AS (SELECT l."index", l."Store_ID", l."Date", l."Dept", l."Weekly_Sales",
+    CASE WHEN firsts."index" IS NULL THEN 0.0 ELSE f.cpi END AS "CPI",
+    CASE WHEN firsts."index" IS NULL THEN 0.0 ELSE f.unemployment END AS "Unemployment"
+  FROM first_left l LEFT JOIN firsts ON l."index" = firsts."index")"""
+for _name in ("validated_duplicates", "validated_clash"):
+    _add_flow(_name, _VALIDATED_TWICE, False, True, "Average_Weekly_Sales", holiday="0", blocks=True)
+
+_add_flow(
+    "fill_all_duplicate_keys",
+    f"""{_typed_sales(_sales_twice(), _NO_TOKEN, "FLOAT", also=", copy")}, {ECONOMIC},
+left_filled AS (SELECT "index", {fill('"Store_ID"', _COPIES)} AS "Store_ID", {fill('"Date"', _COPIES)} AS "Date",
+  {fill('"Dept"', _COPIES)} AS "Dept", {fill('"Weekly_Sales"', _COPIES)} AS "Weekly_Sales" FROM typed),
+right_filled AS (SELECT "index", {fill('"IsHoliday"')} AS "IsHoliday", {fill('"CPI"')} AS "CPI",
+  {fill(_single(_NUMBER))} AS "Unemployment" FROM economic),
+merged AS (SELECT * FROM left_filled JOIN right_filled USING ("index"))""",
+    True, True, "Avg_Sales", month_name="month", decimals=0, blocks=True,
+)
+
+# --- keys that are hard to cut -------------------------------------------------------------
+
+_WIDE = f"""{EVENTS},
+wide_events AS (SELECT *, (event_id % 1009 - 504) * 18300000000000000 + event_id AS wide FROM events_gaps)"""
+
+
+def _gap_fills(order: str) -> str:
+    return ", ".join(f"{fill(c, order)} AS {c}" for c in ("value", "event_type", "score"))
+
+
+ORACLES["ffill_hashed_key_blocks"] = f"WITH {_WIDE} SELECT event_id, wide, {_gap_fills('wide')} FROM wide_events"
+ORACLES["row_index_hashed_key_blocks"] = f"""WITH {_WIDE}
+SELECT row_number() OVER (ORDER BY wide) - 1 AS "index", event_id FROM wide_events"""
+ORACLES["ffill_null_key_blocks"] = f"""WITH {EVENTS},
+keyed AS (SELECT *, CASE WHEN event_id % 50 <> 0 THEN event_id END AS key FROM events_gaps)
+SELECT event_id, key, {_gap_fills('key NULLS FIRST, event_id')} FROM keyed"""
+ORACLES["ffill_text_order_blocks"] = f"""WITH {EVENTS},
+texts AS (SELECT g.*, e.event_type AS kind FROM events_gaps g JOIN events e USING (event_id))
+SELECT event_id, kind, {_gap_fills('kind, event_id')} FROM texts"""
+ORACLES["row_index_text_order_blocks"] = """SELECT row_number() OVER (ORDER BY event_type, event_id) - 1 AS "index",
+  event_id FROM events"""
+_BUSY = f"""{EVENTS},
+days AS (SELECT *, CAST('2024-01-01' AS DATE) + CAST(CASE WHEN event_id % 3 = 0 THEN 40 ELSE event_id % 90 END AS INTEGER) AS day
+  FROM events_gaps)"""
+ORACLES["ffill_busy_day_blocks"] = f"WITH {_BUSY} SELECT event_id, {_gap_fills('day, event_id')} FROM days"
+ORACLES["row_index_busy_day_blocks"] = f"""WITH {_BUSY}
+SELECT row_number() OVER (ORDER BY day, event_id) AS "index", event_id FROM days"""
+
+ORACLES["flow_rejects"] = f"""WITH {SALES_BAD_KEYS}
+SELECT * FROM sales WHERE TRY_CAST("index" AS BIGINT) IS NULL OR TRY_CAST("Store_ID" AS INTEGER) IS NULL"""
+_SALES_TOKENS, _LINE_TOKENS = "'null', 'None', ''", "'null', 'None'"
+ORACLES["flow_conversion_errors"] = f"""WITH {SALES_BAD_KEYS}, {ECONOMIC_LINES}
+SELECT 'Date' AS "column", count(*) AS n_bad FROM sales
+  WHERE "Date" NOT IN ({_SALES_TOKENS}) AND TRY_CAST("Date" AS TIMESTAMP) IS NULL
+UNION ALL SELECT 'Weekly_Sales', count(*) FROM sales
+  WHERE "Weekly_Sales" NOT IN ({_SALES_TOKENS}) AND TRY_CAST("Weekly_Sales" AS DOUBLE) IS NULL
+UNION ALL SELECT 'CPI', 0
+UNION ALL SELECT 'Unemployment', count(*) FROM economic_lines
+  WHERE "Unemployment" NOT IN ({_LINE_TOKENS}) AND TRY_CAST("Unemployment" AS DOUBLE) IS NULL"""
+ORACLES["flow_sql_published_index"] = f"""WITH {SQL_JOINED.replace('SELECT "Store_ID"', 'SELECT "index", "Store_ID"', 1)},
+dated AS (SELECT row_number() OVER (ORDER BY "Date", "index") - 1 AS "index", "Store_ID",
+  TRY_CAST(substr("Date", 6, 2) AS INTEGER) AS month, "Dept",
+  {_cents('"Weekly_Sales"')} AS "Weekly_Sales", {_cents('"CPI"')} AS "CPI", {_cents('"Unemployment"')} AS "Unemployment"
+  FROM joined WHERE "Store_ID" IN (1, 2) AND "Date" IS NOT NULL AND "Weekly_Sales" > {T})
+SELECT * FROM dated"""

@@ -26,7 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 # Blocks this small make the given tables large enough for the block-wise plans.
-SMALL_BLOCK = 1000
+# Blocks that a table of the block-wise queries is cut into, whatever its size.
+BLOCKS = 7
 
 
 def query(function: Query) -> Query:
@@ -48,6 +49,11 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.table(spark, sf_dir, "orders")
 
 
+def _block(df: DataFrame) -> int:
+    """Rows per block that make ``BLOCKS`` blocks of a table."""
+    return max(1, df.count() // BLOCKS)
+
+
 def _monthly(df: DataFrame) -> DataFrame:
     return df.withColumn("month", repair.month_of(F.col("o_orderdate")))
 
@@ -57,7 +63,8 @@ def _monthly(df: DataFrame) -> DataFrame:
 
 @query
 def scan_parquet(spark, sf_dir):
-    return files.read_parquet(spark, f"{sf_dir}/events.parquet", ["event_id", "user_id", "value"])
+    events = files.read_parquet(spark, f"{sf_dir}/events.parquet")
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query
@@ -364,7 +371,7 @@ def ffill_all(spark, sf_dir):
 def ffill_all_blocks(spark, sf_dir):
     events = inputs.dirty_events(spark, sf_dir)
     columns = [c for c in events.columns if c != "event_id"]
-    return forward_fill(events, columns, "event_id", rows_per_block=SMALL_BLOCK)
+    return forward_fill(events, columns, "event_id", rows_per_block=_block(events))
 
 
 @query
@@ -378,7 +385,7 @@ def ffill_composite_order_blocks(spark, sf_dir):
     events = inputs.dirty_events(spark, sf_dir).join(
         inputs.table(spark, sf_dir, "events").select("event_id", "ts"), "event_id"
     )
-    filled = forward_fill(events, _GAPS, ["ts", "event_id"], rows_per_block=SMALL_BLOCK)
+    filled = forward_fill(events, _GAPS, ["ts", "event_id"], rows_per_block=_block(events))
     return filled.drop("ts")
 
 
@@ -407,10 +414,8 @@ def ffill_missing_only(spark, sf_dir):
 @query
 def ffill_missing_only_blocks(spark, sf_dir):
     missing = repair.is_missing(F.col("raw"), schemas.TOKENS_NULL_NONE)
-    filled = forward_fill(
-        _parsed_sales(spark, sf_dir), "sales", "index",
-        fill_when={"sales": missing}, rows_per_block=SMALL_BLOCK,
-    )
+    sales = _parsed_sales(spark, sf_dir)
+    filled = forward_fill(sales, "sales", "index", fill_when={"sales": missing}, rows_per_block=_block(sales))
     return filled.select("index", "sales")
 
 
@@ -423,7 +428,7 @@ def ffill_by_key(spark, sf_dir):
 def ffill_by_key_blocks(spark, sf_dir):
     """Keyed by an attribute with few values, so that every key is split."""
     sales = _parsed_sales(spark, sf_dir)
-    return forward_fill(sales, "sales", "index", "Store_ID", rows_per_block=SMALL_BLOCK).select(
+    return forward_fill(sales, "sales", "index", "Store_ID", rows_per_block=_block(sales)).select(
         "index", "Store_ID", "sales"
     )
 
@@ -672,14 +677,14 @@ def row_index_zero_based_blocks(spark, sf_dir):
     """By date and key: too large for one task, and no integer order, so one written range sort."""
     orders = _orders(spark, sf_dir).select(*_NUMBERED)
     return row_index(
-        orders, ["o_orderdate", "o_orderkey"], rows_per_block=SMALL_BLOCK
+        orders, ["o_orderdate", "o_orderkey"], rows_per_block=_block(orders)
     ).select("index", "o_orderkey")
 
 
 @query
 def row_index_one_based(spark, sf_dir):
     orders = _orders(spark, sf_dir).select(*_NUMBERED)
-    return row_index(orders, "o_orderkey", start=1, rows_per_block=SMALL_BLOCK).select("index", "o_orderkey")
+    return row_index(orders, "o_orderkey", start=1, rows_per_block=_block(orders)).select("index", "o_orderkey")
 
 
 @query
@@ -694,7 +699,7 @@ def row_index_per_key(spark, sf_dir):
 def row_index_per_key_blocks(spark, sf_dir):
     orders = _orders(spark, sf_dir).select(*_NUMBERED)
     return row_index(
-        orders, "o_orderkey", start=1, partition_by="o_orderstatus", rows_per_block=SMALL_BLOCK
+        orders, "o_orderkey", start=1, partition_by="o_orderstatus", rows_per_block=_block(orders)
     ).select("index", "o_orderkey", "o_orderstatus")
 
 
@@ -724,6 +729,16 @@ def validate_outputs(spark, sf_dir):
 
 @query
 def missing_outputs(spark, sf_dir):
+    """Of some written outputs those that are absent or of another shape, with the rows of the sound ones."""
+    expected = _written_outputs(spark, sf_dir)
+    missing = outputs.missing_outputs(spark, expected)
+    sound = [o for o in expected if o.name not in missing]
+    counts = [(o.name, False, o.read(spark).count()) for o in sound] + [(name, True, None) for name in missing]
+    return spark.createDataFrame(counts, "output string, missing boolean, rows long")
+
+
+@query
+def missing_names(spark, sf_dir):
     """Months expected from the orders, without those that sales above a limit produced."""
     orders = _monthly(_orders(spark, sf_dir))
     expected = orders.select(F.concat_ws("-", F.year("o_orderdate"), "month").alias("output")).distinct()
@@ -733,6 +748,18 @@ def missing_outputs(spark, sf_dir):
     return outputs.missing_names(expected, found, "output")
 
 
+@query
+def flow_rejects(spark, sf_dir):
+    """Sales rows that the validated flow does not accept."""
+    return _flow(spark, sf_dir, policy.VALIDATED).rejected
+
+
+@query
+def flow_conversion_errors(spark, sf_dir):
+    """Texts in the validated flow's inputs that are neither missing nor parsable."""
+    return _flow(spark, sf_dir, policy.VALIDATED).errors
+
+
 @query
 def idempotent_rerun(spark, sf_dir):
     """A first run writes, a second finds everything in order; (run, wrote, rows) of each."""
@@ -820,28 +847,37 @@ def sql_monthly_avg(spark, sf_dir):
 # --- whole flows ---------------------------------------------------------------------------
 
 
-def _flow(spark, sf_dir, rules: policy.Policy, rows_per_block: int | None = None) -> flow.FlowResult:
+def _flow(spark, sf_dir, rules: policy.Policy, blocks: bool = False, form: str = "") -> flow.FlowResult:
     options = {"threshold": THRESHOLD, "exact_scale": 2}
-    if rows_per_block:
-        options["rows_per_block"] = rows_per_block
+    if blocks:
+        options["rows_per_block"] = _block(_orders(spark, sf_dir))
     if rules.join == "first_left":
+        lines = inputs.economic_lines_with_store if form == "clash" else inputs.economic_lines
+        sales = inputs.sales_twice if form else inputs.sales
+        if form:
+            options["sales_order"] = ["index", "copy"]
         return flow.run(
             rules,
-            inputs.sales(spark, sf_dir, bad_keys=rules.reject_bad_keys),
-            inputs.economic_lines(spark, sf_dir),
+            sales(spark, sf_dir, bad_keys=rules.reject_bad_keys),
+            lines(spark, sf_dir),
             economic_order=["index", *LINE_ORDER],
             **options,
         )
+    if form:
+        return flow.run(
+            rules, inputs.sales_twice(spark, sf_dir), inputs.economic(spark, sf_dir),
+            sales_order=["index", "copy"], **options,
+        )
     source = inputs.sales_null_only if rules.bad_value == "fail" else inputs.sales
     return flow.run(rules, source(spark, sf_dir), inputs.economic(spark, sf_dir), **options)
 
 
-def _register_flow(name: str, rules: policy.Policy, rows_per_block: int | None = None) -> None:
+def _register_flow(name: str, rules: policy.Policy, blocks: bool = False, form: str = "") -> None:
     def clean(spark, sf_dir):
-        return _plain(_flow(spark, sf_dir, rules, rows_per_block).clean)
+        return _plain(_flow(spark, sf_dir, rules, blocks, form).clean)
 
     def aggregate(spark, sf_dir):
-        return _flow(spark, sf_dir, rules, rows_per_block).aggregate
+        return _flow(spark, sf_dir, rules, blocks, form).aggregate
 
     clean.__name__, aggregate.__name__ = f"{name}_clean", f"{name}_agg"
     query(clean)
@@ -850,9 +886,70 @@ def _register_flow(name: str, rules: policy.Policy, rows_per_block: int | None =
 
 for _rules in policy.POLICIES.values():
     _register_flow(f"flow_{_rules.name}", _rules)
-# The same flows with blocks small enough that every fill and join runs block-wise.
-for _rules in (policy.DROP_THEN_FILL, policy.FILL_ALL, policy.FILL_SELECTED, policy.ZERO_REPAIR):
-    _register_flow(f"flow_{_rules.name}_blocks", _rules, SMALL_BLOCK)
+    # The same flows with blocks small enough that every fill and join runs block-wise.
+    _register_flow(f"flow_{_rules.name}_blocks", _rules, True)
+# Several sales rows per key; and an economic side with a column that sales have too.
+for _rules in (policy.COGROUP, policy.VALIDATED):
+    for _form in ("duplicates", "clash"):
+        _register_flow(f"flow_{_rules.name}_{_form}", _rules, form=_form)
+        _register_flow(f"flow_{_rules.name}_{_form}_blocks", _rules, True, _form)
+_register_flow("flow_fill_all_duplicate_keys", policy.FILL_ALL, form="duplicates")
+_register_flow("flow_fill_all_duplicate_keys_blocks", policy.FILL_ALL, True, "duplicates")
+
+
+# --- keys that are hard to cut -------------------------------------------------------------
+
+
+@query
+def ffill_hashed_key_blocks(spark, sf_dir):
+    """Keys from one end of the long range to the other."""
+    events = inputs.wide_keys(spark, sf_dir)
+    filled = forward_fill(events, _GAPS, "wide", rows_per_block=_block(events))
+    return filled.select("event_id", "wide", *_GAPS)
+
+
+@query
+def row_index_hashed_key_blocks(spark, sf_dir):
+    events = inputs.wide_keys(spark, sf_dir)
+    return row_index(events, "wide", rows_per_block=_block(events)).select("index", "event_id")
+
+
+@query
+def ffill_null_key_blocks(spark, sf_dir):
+    """Rows without a key come first and are a block of their own."""
+    events = inputs.null_keys(spark, sf_dir)
+    filled = forward_fill(events, _GAPS, ["key", "event_id"], rows_per_block=_block(events))
+    return filled.select("event_id", "key", *_GAPS)
+
+
+@query
+def ffill_text_order_blocks(spark, sf_dir):
+    """A text order can't be cut by arithmetic: the table is range sorted and cut by number."""
+    kinds = inputs.table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("kind"))
+    events = inputs.dirty_events(spark, sf_dir).join(kinds, "event_id")
+    filled = forward_fill(events, _GAPS, ["kind", "event_id"], rows_per_block=_block(events))
+    return filled.select("event_id", "kind", *_GAPS)
+
+
+@query
+def row_index_text_order_blocks(spark, sf_dir):
+    events = inputs.table(spark, sf_dir, "events")
+    return row_index(events, ["event_type", "event_id"], rows_per_block=_block(events) // 8 + 1).select("index", "event_id")
+
+
+@query
+def ffill_busy_day_blocks(spark, sf_dir):
+    """A third of the rows share one day: no even blocks by day, so the table is range sorted."""
+    events = inputs.busy_day(spark, sf_dir)
+    filled = forward_fill(events, _GAPS, ["day", "event_id"], rows_per_block=_block(events) // 8 + 1)
+    return filled.select("event_id", *_GAPS)
+
+
+@query
+def row_index_busy_day_blocks(spark, sf_dir):
+    events = inputs.busy_day(spark, sf_dir)
+    numbered = row_index(events, ["day", "event_id"], start=1, rows_per_block=_block(events) // 8 + 1)
+    return numbered.select("index", "event_id")
 
 
 @query
@@ -867,6 +964,16 @@ def flow_sql_drop_nulls_agg(spark, sf_dir):
     return _plain(statements.run_sql(spark, sales, economic, THRESHOLD, ordered=True)[1])
 
 
+@query
+def flow_sql_published_index(spark, sf_dir):
+    """The numbered clean file of the SQL flow, in the order of its dates, as read back."""
+    sales, economic = _sql_inputs(spark, sf_dir)
+    targets = statements.SqlTargets(scratch_path(spark, "sql-clean-csv"), scratch_path(spark, "sql-aggregate-csv"))
+    statements.publish_sql(spark, sales, economic, targets, THRESHOLD)
+    numbered = "index bigint, Store_ID int, month int, Dept int, Weekly_Sales double, CPI double, Unemployment double"
+    return spark.read.schema(numbered).option("header", True).csv(targets.clean_csv)
+
+
 @query
 def flow_zero_repair_profile(spark, sf_dir):
     """The check between join and output: rows, gaps and zeros of every merged column."""
