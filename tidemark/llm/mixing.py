@@ -79,7 +79,7 @@ def apportion(parties: DataFrame, group: list[str], party: list[str], votes: str
     ``seats`` is the number to give in each group, the same in all its rows. Ties go by the order of ``party``.
     """
     whole = Window.partitionBy(*group)
-    share = F.coalesce(F.col(votes) / F.sum(votes).over(whole), F.lit(0.0))
+    share = F.coalesce(F.try_divide(F.col(votes), F.sum(votes).over(whole)), F.lit(0.0))
     quota = F.floor(share * F.col(seats))
     width = F.ceil(share * F.count("*").over(whole) / 2) + 2
     near = (

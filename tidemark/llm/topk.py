@@ -120,9 +120,11 @@ def _search(top: int, dims_step: int):
             for row in batch.to_pylist():
                 q_ids = np.frombuffer(row["q_ids"], dtype="<i8")
                 c_ids = np.frombuffer(row["ids"], dtype="<i8")
-                q = np.frombuffer(row["q_columns"], dtype="<f8").reshape(row["q_dims"], -1)
-                c = np.frombuffer(row["columns"], dtype="<f8").reshape(row["dims"], -1)
-                found = list(pair(q_ids, q, c_ids, c)) if len(q) else [(i, c_ids[c_ids != i][:0], np.zeros(0, np.int64), 0) for i in q_ids]
+                q = np.frombuffer(row["q_columns"], dtype="<f8").reshape(row["q_dims"], len(q_ids))
+                c = np.frombuffer(row["columns"], dtype="<f8").reshape(row["dims"], len(c_ids))
+                if not len(q):  # vectors without components all score 0
+                    q, c = np.zeros((1, len(q_ids))), np.zeros((1, len(c_ids)))
+                found = list(pair(q_ids, q, c_ids, c))
                 if found:
                     yield pa.RecordBatch.from_arrays(
                         [
