@@ -130,7 +130,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Hashes(dict):
     """64-bit hashes of words (bytes), remembered up to a bound."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 800_000):
         import xxhash
 
         self._digest, self._most = xxhash.xxh3_64_intdigest, most

@@ -58,18 +58,36 @@ def _runs(h: np.ndarray, size: int) -> np.ndarray:
     return whole
 
 
-def anchors(h: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR):
-    """Blocks of a document of word hashes: anchor hash, place of the first phrase, number of phrases, and for
-    each phrase the place of its anchor in it and its print."""
-    n = len(h) - window + 1
-    if n < 1:
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the least of each ``width`` neighbours, the first of equals; by doubling, then one overlap."""
+    length, place = 1, np.arange(len(values))
+    while length < width:
+        step = min(length, width - length)
+        left, right = place[: len(place) - step], place[step:]
+        place = np.where(values[right] < values[left], right, left)
+        length += step
+    return place
+
+
+def anchors(words: list[list[bytes]], hashes: Hashes, window: int, anchor: int, prints: bool = True):
+    """Blocks of some documents: their numbers of blocks, then for each block the anchor hash, place of the first
+    phrase, number of phrases and place of the anchor in the first; and the hashes of all phrases in turn."""
+    sizes = np.array([len(w) for w in words])
+    starts = np.append(0, np.cumsum(sizes))
+    h = hashes.of([x for w in words for x in w])
+    phrases_of = np.maximum(sizes - window + 1, 0)
+    if not phrases_of.sum():
         return None
-    runs, phrases = _runs(h, anchor), _runs(h, window)
-    views = np.lib.stride_tricks.sliding_window_view(runs, window - anchor + 1)
-    place = np.arange(n) + views.argmin(axis=1)
+    doc = np.repeat(np.arange(len(words)), phrases_of)
+    at = np.arange(len(doc)) - np.repeat(np.cumsum(phrases_of) - phrases_of, phrases_of)
+    begin = starts[doc] + at
+    runs = _runs(h, anchor)
+    place = _least(runs, window - anchor + 1)[begin]
     first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
-    counts = np.diff(np.append(first, n))
-    return runs[place[first]], first, counts, place, phrases
+    counts = np.diff(np.append(first, len(doc)))
+    made = _runs(h, window)[begin] if prints else None
+    blocks_of = np.bincount(doc[first], minlength=len(words))
+    return blocks_of, runs[place[first]], at[first], counts, place[first] - begin[first], made
 
 
 _BLOCKS = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("lead", pa.int32()), ("prints", pa.binary())])
@@ -79,11 +97,11 @@ _BLOCKS_DDL = "anchor long, doc long, row long, start int, lead int, prints bina
 def _anchor_hashes(window: int, anchor: int):
     hashes = Hashes()
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [anchors(hashes.of(_words(t)), window, anchor) for t in batch.column(0).to_pylist()]
-        found = [f[0] for f in found if f is not None]
-        made = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(made.astype(np.int64))], names=["anchor"])
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        found = anchors([_words(t) for t in batch.column(0).to_pylist()], hashes, window, anchor, prints=False)
+        if found is None:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(found[1].astype(np.int64))], names=["anchor"])
 
     return per_slice(run)
 
@@ -92,48 +110,45 @@ def _blocks(window: int, anchor: int):
     """``lead`` is the place of the anchor in the block's first phrase."""
     hashes = Hashes()
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        parts: list[list] = [[] for _ in range(5)]
-        prints: list[bytes] = []
-        for doc, row, text in zip(*(c.to_pylist() for c in batch.columns)):
-            found = anchors(hashes.of(_words(text)), window, anchor)
-            if found is None:
-                continue
-            hashed, first, counts, place, phrases = found
-            data = phrases.astype("<u8").view("u1").reshape(-1, 8)[:, :PRINT_BYTES].tobytes()
-            ends = (first + counts) * PRINT_BYTES
-            prints += [data[a:b] for a, b in zip((first * PRINT_BYTES).tolist(), ends.tolist())]
-            parts[0].append(hashed.astype(np.int64))
-            parts[1] += [doc] * len(first)
-            parts[2] += [row] * len(first)
-            parts[3].append(first)
-            parts[4].append(place[first] - first)
-
-        def joined(i: int) -> np.ndarray:
-            return np.concatenate(parts[i]) if parts[i] else np.zeros(0, dtype=np.int64)
-
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        found = anchors([_words(t) for t in batch.column(2).to_pylist()], hashes, window, anchor)
+        if found is None:
+            return None
+        blocks_of, hashed, first, counts, lead, phrases = found
+        source = pa.array(np.repeat(np.arange(batch.num_rows), blocks_of))
+        data = np.ascontiguousarray(phrases.astype("<u8").view("u1").reshape(-1, 8)[:, :PRINT_BYTES])
+        ends = np.append(0, np.cumsum(counts * PRINT_BYTES)).astype(np.int32)
+        prints = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
         columns = [
-            pa.array(joined(0)), pa.array(parts[1], pa.int64()), pa.array(parts[2], pa.int64()),
-            pa.array(joined(3).astype(np.int32)), pa.array(joined(4).astype(np.int32)), pa.array(prints, pa.binary()),
+            pa.array(hashed.astype(np.int64)), batch.column(0).take(source), batch.column(1).take(source),
+            pa.array(first.astype(np.int32)), pa.array(lead.astype(np.int32)), prints,
         ]
         return pa.RecordBatch.from_arrays(columns, schema=_BLOCKS)
 
     return per_slice(run)
 
 
-_PHRASES = pa.schema([("anchor", pa.int64()), ("lead", pa.int32()), ("prints", pa.binary()), ("i", pa.int32()), ("at", pa.int32()), ("print", pa.binary())])
+_PHRASES = pa.schema(
+    [("anchor", pa.int64()), ("at", pa.int32()), ("print", pa.int64()), ("known", pa.bool_()), ("doc", pa.int64()), ("row", pa.int64()), ("start", pa.int32())]
+)
+_PHRASES_DDL = "anchor long, at int, print long, known boolean, doc long, row long, start int"
 
 
 def _phrases(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Phrases of blocks (anchor, lead, prints); ``at`` is the place of the anchor in the phrase."""
-    lead, prints = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-    counts = [len(p) // PRINT_BYTES for p in prints]
-    source = pa.array(np.repeat(np.arange(len(counts)), counts))
-    i = [k for n in counts for k in range(n)]
-    at = [b - k for b, n in zip(lead, counts) for k in range(n)]
-    cut = [p[k * PRINT_BYTES : (k + 1) * PRINT_BYTES] for p, n in zip(prints, counts) for k in range(n)]
+    """Phrases of blocks (anchor, lead, prints, known, doc, row, start); ``at`` is the place of the anchor in the phrase."""
+    prints = batch.column(2).to_pylist()
+    counts = np.array([len(p) // PRINT_BYTES for p in prints])
+    source = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(source)) - np.repeat(np.cumsum(counts) - counts, counts)
+    wide = np.zeros((len(source), 8), dtype=np.uint8)
+    wide[:, :PRINT_BYTES] = np.frombuffer(b"".join(prints), dtype=np.uint8).reshape(-1, PRINT_BYTES)
+    lead, start = batch.column(1).to_numpy()[source], batch.column(6).to_numpy()[source]
+    kept = pa.array(source)
     return pa.RecordBatch.from_arrays(
-        [batch.column(0).take(source), batch.column(1).take(source), batch.column(2).take(source), pa.array(i, pa.int32()), pa.array(at, pa.int32()), pa.array(cut, pa.binary())],
+        [
+            batch.column(0).take(kept), pa.array((lead - place).astype(np.int32)), pa.array(wide.view("<i8").reshape(-1)),
+            *[batch.column(k).take(kept) for k in (3, 4, 5)], pa.array((start + place).astype(np.int32)),
+        ],
         schema=_PHRASES,
     )
 
@@ -155,38 +170,37 @@ def copies(docs: DataFrame, scratch: Scratch, window: int = WINDOW, anchor: int
     # Different blocks of one anchor: the first place of each phrase among them.
     phrase = ["anchor", "at", "print"]
     several = different.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    compared = scratch.write(different.join(several, "anchor"), "compared")
-    phrases = compared.select(*block).mapInArrow(per_slice(_phrases, 5000), "anchor long, lead int, prints binary, i int, at int, print binary")
-    phrases = scratch.write(phrases.join(compared, block), "phrases")
-    own = F.struct(F.col("first")["known"].alias("known"), F.col("first")["doc"].alias("doc"), F.col("first")["row"].alias("row"), (F.col("first")["start"] + F.col("i")).alias("start"))
-    phrases = phrases.withColumn("own", own)
-    firsts = phrases.groupBy(*phrase).agg(F.min("own").alias("source"), F.count("*").alias("n")).where("n > 1").drop("n")
-    shared = phrases.join(firsts, phrase).where("source < own")
-    shared = scratch.write(shared.select(*block, F.col("own")["start"].alias("start"), "i", "source", "first"), "shared")
+    compared = different.join(several, "anchor").select(*block, "first.*")
+    phrases = scratch.write(compared.mapInArrow(per_slice(_phrases, 5000), _PHRASES_DDL), "phrases")
+    phrases = phrases.select(*phrase, place.alias("own"))
+    firsts = phrases.groupBy(*phrase).agg(F.min("own").alias("source"), F.max("own").alias("last"))
+    shared = phrases.join(firsts.where("source < last").drop("last"), phrase).where("source < own").select("own", "source")
 
     # Of a repeated block all phrases have an earlier place: its first one's. Of a first one, those found above.
     first = F.col("first")
-    later = blocks.join(different, block).where(F.struct(F.col("doc").isNotNull().alias("known"), "doc", "row", "start") > first)
+    later = blocks.join(different, block).where(place > first)
     whole = later.select(
         "doc", "row", F.struct(F.col("start"), (F.length("prints") / PRINT_BYTES).cast("int").alias("n"), first["doc"].alias("from_doc"), first["row"].alias("from_row"), first["start"].alias("from_start")).alias("f"),
     )
+    own, source = F.col("own"), F.col("source")
     single = shared.select(
-        first["doc"].alias("doc"), first["row"].alias("row"),
-        F.struct(F.col("start"), F.lit(1).alias("n"), F.col("source")["doc"].alias("from_doc"), F.col("source")["row"].alias("from_row"), F.col("source")["start"].alias("from_start")).alias("f"),
+        own["doc"].alias("doc"), own["row"].alias("row"),
+        F.struct(own["start"].alias("start"), F.lit(1).alias("n"), source["doc"].alias("from_doc"), source["row"].alias("from_row"), source["start"].alias("from_start")).alias("f"),
     )
     return whole.union(single).groupBy("doc", "row").agg(F.collect_set("f").alias("found"))
 
 
-def parse(found: list[dict], window: int = WINDOW) -> list[tuple]:
-    """Greedy factors (start, words, from_doc, from_row, from_start) of a document, from its repeated phrases."""
+def parse(found: list[tuple], window: int = WINDOW) -> list[tuple]:
+    """Greedy factors (start, words, from_doc, from_row, from_start) of a document, from its repeated phrases:
+    stretches (start, phrases, from_doc, from_row, from_start)."""
     factors: list[list] = []
-    for f in sorted(found, key=lambda f: f["start"]):
-        last = factors[-1] if factors else None
-        source = (f["from_doc"], f["from_row"])
-        if last and last[2:4] == list(source) and f["start"] - last[0] == f["from_start"] - last[4] and f["start"] <= last[0] + last[1] - window + 1:
-            last[1] = max(last[1], f["start"] + f["n"] - 1 + window - last[0])
+    last: list | None = None
+    for start, n, from_doc, from_row, from_start in sorted(found, key=lambda f: f[0]):
+        if last and last[4] + start - last[0] == from_start and last[2] == from_doc and last[3] == from_row and start <= last[0] + last[1] - window + 1:
+            last[1] = max(last[1], start + n - 1 + window - last[0])
         else:
-            factors.append([f["start"], f["n"] - 1 + window, *source, f["from_start"]])
+            last = [start, n - 1 + window, from_doc, from_row, from_start]
+            factors.append(last)
     return [tuple(f) for f in factors]
 
 
@@ -200,20 +214,31 @@ _CUT = pa.schema(
 
 def _cut(window: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, counts, removed, kept, factors = [], [], [], [], []
-        for doc, text, found in zip(*(c.to_pylist() for c in batch.columns)):
+        stretches = batch.column(2)
+        flat = stretches.flatten()
+        rows = list(zip(*(flat.field(c).to_pylist() for c in ("start", "n", "from_doc", "from_row", "from_start"))))
+        counts = stretches.value_lengths().fill_null(0).to_pylist()
+        sizes, removed, kept, factors, at = [], [], [], [], 0
+        for text, n in zip(batch.column(1).to_pylist(), counts):
             words = _words(text)
-            made = parse(found or [], window)
-            gone = np.zeros(len(words), dtype=bool)
-            for f in made:
-                gone[f[0] : f[0] + f[1]] = True
-            left = [w for w, g in zip(words, gone.tolist()) if not g] if made else words
-            ids.append(doc)
-            counts.append(len(words))
+            made = parse(rows[at : at + n], window) if n else []
+            at += n
+            left, end = words, 0
+            if made:
+                left = []
+                for start, length, *_ in made:  # in the order of their starts
+                    left += words[end:start]
+                    end = max(end, start + length)
+                left += words[end:]
+            sizes.append(len(words))
             removed.append(len(words) - len(left))
-            kept.append(b" ".join(left).decode("utf-8", "surrogatepass"))
+            kept.append(b" ".join(left))
             factors.append([{"start": f[0], "words": f[1], "from_doc": f[2], "from_start": f[4]} for f in made])
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, counts, removed, kept, factors), _CUT)], schema=_CUT)
+        columns = [
+            batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
+            pa.array(kept, pa.binary()).cast(pa.string()), pa.array(factors, _CUT.field("factors").type),
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=_CUT)
 
     return per_slice(run)
 
