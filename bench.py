@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -40,6 +41,14 @@ HEADLINE = [
     "flow_sql_drop_nulls_agg",
     "flow_zero_repair_agg",
     "flow_published",
+    "ffill_all_blocks",
+    "ffill_hashed_key_blocks",
+    "row_index_busy_day_blocks",
+    "flow_drop_then_fill_blocks_clean",
+    "flow_fill_all_blocks_clean",
+    "flow_fill_selected_blocks_agg",
+    "flow_cogroup_blocks_agg",
+    "flow_validated_blocks_clean",
 ]
 
 
@@ -50,6 +59,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in RUNTIME_CONF.items():
