@@ -15,7 +15,9 @@ _NUMBER = "__number"
 
 def write_csv(df: DataFrame, path: str) -> None:
     """A directory of CSV files with headers, taken from the column names."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    # A blank header is written as nothing at all; so are empty texts then.
+    (writer.option("emptyValue", "") if "" in df.columns else writer).csv(path)
 
 
 def write_csv_headerless(df: DataFrame, path: str, null: str = "None") -> None:
