@@ -220,3 +220,12 @@ def test_tune_sizes_the_shuffle(spark):
         assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 476838
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("name", ["drop_then_fill", "fill_selected", "validated"])
+def test_a_rightly_empty_output_is_in_order(spark, tmp_path, name):
+    rules = policy.POLICIES[name]
+    result = flow.run(rules, sales(spark, ("1", "9", "2023-01-06", "3", "5")), economic(spark, (1, 0, 211.0, "8.1")))
+    targets = publish.Targets(clean_csv=str(tmp_path / "clean"), aggregate_csv=str(tmp_path / "agg"))
+    assert publish.publish_if_incomplete(spark, rules, result, targets) is True
+    assert publish.publish_if_incomplete(spark, rules, result, targets) is False
