@@ -9,7 +9,7 @@ like others, and every table below has that bound.
 2. Lower orders count the different left neighbours. Discounts come from the counts of counts of each order.
 3. The n-grams of the whole corpus are gathered, sharded by their number, and joined order by order to the
    sharded counts and the sums of their contexts, which gives each its probability.
-4. The scored n-grams (at most 64 ** ORDER rows of 12 bytes, the bound of the broadcast) give each document its
+4. The scored n-grams (at most 64 ** ORDER rows of 8 bytes, the bound of the broadcast) give each document its
    perplexity. Joining every document's n-grams themselves would shuffle several times the corpus.
 5. A document is kept if its perplexity is at most its language's ``QUANTILE`` of trusted documents: mean surprise
    less an allowance that shrinks with the root of the length, as short texts scatter. The quantile is read from
@@ -164,7 +164,8 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
         good = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("good_id")).agg(F.min("quality").alias("q"), F.count(F.when(F.col("quality").isNull(), 1)).alias("unknown"))
         good = good.where("q = 1 and unknown = 0").select("good_id", F.pmod(F.xxhash64("good_id"), F.lit(2)).alias("half"))
         good = scratch.write(good, "good")
-        training = texts.join(good.where("half = 0"), F.col("doc_id") == F.col("good_id"), "left_semi")
+        # A merge join at every size: labels grow with the corpus, and texts are shuffled once.
+        training = texts.join(good.where("half = 0").hint("merge"), F.col("doc_id") == F.col("good_id"), "left_semi")
         counted = training.select("text").mapInArrow(_count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         counts = scratch.write(counted, "counts")
         wanted = scratch.write(texts.select("text").mapInArrow(_present, "gram int").distinct(), "wanted")
