@@ -9,15 +9,17 @@ are the maxima of the registers, and two registers are equal about as often as t
 2. Bands of registers are hashed; representatives that share a band are in a bucket.
 3. Each bucket's smallest member is its hub. Pairs of member and hub are estimated by maximum likelihood over all
    registers jointly (greater, smaller, equal, and the known set sizes); the promising ones are verified on full
-   sets, the best of each member first. Linear in the members: no bucket is written out as pairs.
+   sets, the best of each member first, then the best between components, then what is left between components.
+   Linear in the members: no bucket is written out as pairs.
 4. Links are joined to components. A bucket all of whose members are in one component is finished.
 5. In the others, members of different components are compared by their sketches in blocks of bounded size, each
-   pair in its first common band only. The best candidates of each member that were not tried before are verified, and
-   components joined, until no candidate is left: whatever shares a band and is estimated near the threshold is
-   verified or already in one component.
+   pair in its first common band only. The best candidates between each two components that were not tried before are
+   verified, and components joined, until no candidate is left: whatever shares a band and is estimated near the
+   threshold is verified or already in one component.
 
 What can be lost is a pair above the threshold that shares none of the ``BANDS`` bands: with the defaults under 3 in a
-million at a similarity of 0.8, and fewer above, or one that is estimated six standard deviations too low.
+million at a similarity of 0.8, and fewer above, or one that is estimated four standard deviations too low; where a
+group has other links, its component stays whole.
 
 Hot groups: equal sets are pre-aggregated; members are joined to hubs by plain joins of two shuffled sides, which
 adaptive execution can split; blocks split the rest. Nothing is collected.
@@ -31,14 +33,13 @@ are not read, or carried by ``keep_one``.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Hashes, Scratch, mix, per_slice
+from tidemark.llm.common import Hashes, Scratch, job_settings, mix, per_slice
 
 SIMILAR = 80
 SHINGLE = 2
@@ -48,13 +49,16 @@ RATE = 20.0
 TOP = 65535
 BAND_REGISTERS = 6
 BANDS = M // BAND_REGISTERS
-# Six standard deviations of the estimate at the threshold.
-MARGIN = 0.15
-BLOCK_ROWS = 512
-# Candidates of a member in one round of step 5; more follow in the next.
+# Four standard deviations of the estimate at the threshold.
+MARGIN = 0.1
+BLOCK_ROWS = 2048
+# Candidates between two components of a bucket in the first round of step 5; each further round takes GROWTH
+# times as many, so that few rounds are left for what verification turns down.
 BEST = 4
+GROWTH = 16
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+_JUMPS = np.arange(1, M + 1, dtype=np.uint64) * _GOLD
 _STEP = -np.log1p(-np.arange(M) / M) / RATE
 _ENDS = np.append(_STEP[1:], np.inf)
 _SPAN = 1 - np.exp(-RATE * (_ENDS - _STEP))
@@ -64,7 +68,7 @@ def sketch(elements: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """Registers of ``n`` sets; ``owner`` tells whose element each hash is."""
     least = np.full(n * M, np.inf)
     for j in range(M):
-        u = (mix(elements + np.uint64(j + 1) * _GOLD) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        u = (mix(elements + _JUMPS[j]) >> np.uint64(11)).astype(np.float64) * 2.0**-53
         points = _STEP[j] - np.log1p(-u * _SPAN[j]) / RATE
         turn = elements + np.uint64(j) * (elements >> np.uint64(8) | np.uint64(1))
         key = owner * M + (turn & np.uint64(M - 1)).astype(np.int64)
@@ -201,38 +205,54 @@ def _sets(size: int):
     return per_slice(run)
 
 
-def _compare_block(percent: int):
-    """Candidates among the members of one pair of blocks of one bucket."""
+_FOUND = pa.schema([("band", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+_PAIRS_AT_ONCE = 20_000
 
-    def run(table: pa.Table) -> pa.Table:
-        reps, labels, blocks, sizes = (table[c].to_numpy() for c in ("rep", "label", "block", "n"))
-        band, low, high = table["band"][0].as_py(), table["low"][0].as_py(), table["high"][0].as_py()
-        registers = _registers(table["sketch"].to_pylist())
+
+def _compare_blocks(percent: int, most: int):
+    """Candidates among members of different components, in each pair of blocks (a row: band, low, high, members)."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bands = batch.column(0).to_numpy()
+        crossed = batch.column(1).to_numpy() != batch.column(2).to_numpy()
+        members = batch.column(3)
+        sizes = np.diff(members.offsets.to_numpy())
+        flat = members.flatten()
+        reps, labels, blocks, n = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "block", "n"))
+        registers = _registers(flat.field("sketch").to_pylist())
+        tried = [frozenset(x or ()) for x in flat.field("tried").to_pylist()]
         hashed = band_hashes(registers)
-        tried = [frozenset(x or ()) for x in table["tried"].to_pylist()]
-        found: list[tuple[int, int, float]] = []
-        for i in range(len(reps)):
-            other = (labels != labels[i]) & (reps != reps[i])
-            if low != high:
-                other &= blocks != blocks[i]
-            others = np.flatnonzero(other)
-            if len(others) == 0:
-                continue
-            # A pair is looked at in the first band that it shares.
-            shared = hashed[others] == hashed[i]
-            others = others[hashed[i][shared.argmax(axis=1)] == band]
-            if tried[i]:
-                others = others[[r not in tried[i] for r in reps[others].tolist()]]
-            if len(others) == 0:
-                continue
-            greater, smaller = (registers[i] > registers[others]).sum(axis=1), (registers[i] < registers[others]).sum(axis=1)
-            alike = likely_similarity(greater, smaller, np.full(len(others), float(sizes[i])), sizes[others].astype(float))
-            best = np.argsort(-alike, kind="stable")[:BEST]
-            for k in best[alike[best] >= percent / 100 - MARGIN].tolist():
-                pair = sorted((int(reps[i]), int(reps[others[k]])))
-                found.append((pair[0], pair[1], float(alike[k])))
-        a, b, alike = zip(*set(found)) if found else ((), (), ())
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(alike, pa.float64())], schema=_ESTIMATED)
+        start, found = 0, []
+        for band, cross, size in zip(bands.tolist(), crossed.tolist(), sizes.tolist()):
+            i, j = np.triu_indices(size, 1)
+            i, j = i + start, j + start
+            start += size
+            # No two sets are more alike than their sizes.
+            sized = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            open_pairs = (labels[i] != labels[j]) & (reps[i] != reps[j]) & sized
+            if cross:
+                open_pairs &= blocks[i] != blocks[j]
+            i, j = i[open_pairs], j[open_pairs]
+            alike = np.zeros(len(i))
+            for at in range(0, len(i), _PAIRS_AT_ONCE):
+                x, y = i[at : at + _PAIRS_AT_ONCE], j[at : at + _PAIRS_AT_ONCE]
+                # A pair is looked at in the first band that it shares.
+                mine = hashed[x, (hashed[x] == hashed[y]).argmax(axis=1)] == band
+                x, y = x[mine], y[mine]
+                greater, smaller = (registers[x] > registers[y]).sum(axis=1), (registers[x] < registers[y]).sum(axis=1)
+                alike[at + np.flatnonzero(mine)] = likely_similarity(greater, smaller, n[x].astype(float), n[y].astype(float))
+            good = np.flatnonzero(alike >= percent / 100 - MARGIN)
+            fresh = [k for k in good.tolist() if int(reps[j[k]]) not in tried[i[k]]]
+            # The best between each two components; the others wait for the next round.
+            taken: dict[tuple[int, int], int] = {}
+            for k in sorted(fresh, key=lambda k: -alike[k]):
+                x, y = i[k], j[k]
+                between = (int(min(labels[x], labels[y])), int(max(labels[x], labels[y])))
+                taken[between] = taken.get(between, 0) + 1
+                if taken[between] <= most:
+                    found.append((band, *sorted((int(reps[x]), int(reps[y])))))
+        columns = zip(*found) if found else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_FOUND)
 
     return run
 
@@ -240,21 +260,17 @@ def _compare_block(percent: int):
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, label: the smallest node that each node of ``links`` (a, b) is connected with."""
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a")).distinct()
-    both = scratch.write(both, "edges")
+    both = scratch.write(both, "edges", few=True)
     labels = both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("label"))
-    labels = scratch.write(labels, "labels")
     while True:
         theirs = labels.select(F.col("node").alias("v"), F.col("label").alias("their"))
         near = both.join(theirs, "v").groupBy("u").agg(F.min("their").alias("near"))
         lower = labels.join(near, F.col("node") == F.col("u")).select("node", F.col("label").alias("before"), F.least("label", "near").alias("label"))
-        lower = scratch.write(lower, "lower")
         # A label is a node: take over its label too, so long chains shorten by half.
-        jump = lower.select(F.col("node").alias("label"), F.least("label", "before").alias("further"))
-        jumped = lower.join(jump, "label").select("node", "before", F.least("label", "further").alias("label"))
-        jumped = scratch.write(jumped, "labels")
-        changed = jumped.where("label <> before").limit(1).count()
-        labels = jumped.select("node", "label")
-        if not changed:
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        made = scratch.write(lower.join(jump, "label").select("node", "before", F.least("label", "further").alias("label")), "labels", few=True)
+        labels = made.select("node", "label")
+        if not made.where("label <> before").limit(1).count():
             return labels
 
 
@@ -296,11 +312,12 @@ def link(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFr
             return rows.mapInArrow(_verify(percent), "a long, b long").distinct()
 
         def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-            """Pairs whose ends are not in one component."""
+            """Pairs whose ends are not in one component, with the components low and high."""
             one = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
             two = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
             rows = pairs.join(one, "a", "left").join(two, "b", "left")
-            return rows.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+            ends = F.coalesce("label_a", "a"), F.coalesce("label_b", "b")
+            return rows.select("a", "b", "alike", F.least(*ends).alias("low"), F.greatest(*ends).alias("high")).where("low < high")
 
         to_hubs = buckets.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
         likely = scratch.write(estimated(to_hubs), "likely")
@@ -309,36 +326,53 @@ def link(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFr
         texts_of = usable.select("doc_id", "s1", "s2").join(classes, ["s1", "s2"]).select("doc_id", "rep").distinct()
         lowest = texts_of.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select("doc_id", "a")
         same = texts_of.join(lowest, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
-        links = scratch.write(verified(best).union(same), "links")
+        links = scratch.write(verified(best).union(same), "links", few=True)
         labels = components(links, scratch)
-        rest = scratch.write(labelled(likely.select("a", "b").join(best, ["a", "b"], "left_anti"), labels), "rest")
-        tried = scratch.write(best.union(rest).distinct(), "tried")
-        links = scratch.write(links.union(verified(rest)).distinct(), "links")
+        # Then the best pair between each two components that pairs still join, then all such pairs.
+        pair = F.max(F.struct("alike", "a", "b")).alias("best")
+        between = labelled(likely, labels).groupBy("low", "high").agg(pair)
+        between = scratch.write(verified(between.select(F.col("best")["a"].alias("a"), F.col("best")["b"].alias("b"))), "between", few=True)
+        links = links.union(between)
         labels = components(links, scratch)
+        links = links.union(scratch.write(verified(labelled(likely, labels)), "rest", few=True))
+        labels = components(links, scratch)
+        # All pairs with a hub are settled: verified, in one component, or not alike. Others remain where a
+        # bucket has more members and several components.
+        tried: DataFrame | None = None
+        most = BEST
+        unsettled = buckets.where("members > 2 and rep <> hub").select("band", "rep", "members")
+        open_bands = unsettled.select("band")
         while True:
             at = labels.select(F.col("node").alias("rep"), "label")
-            named = buckets.join(at, "rep", "left").select("band", "rep", "members", F.coalesce("label", "rep").alias("label"))
-            named = scratch.write(named, "named")
+            named = unsettled.join(open_bands.distinct(), "band").join(at, "rep", "left")
+            named = named.select("band", "rep", "members", F.coalesce("label", "rep").alias("label"))
             mixed = named.groupBy("band").agg(F.min("label").alias("low_label"), F.max("label").alias("high_label"))
-            mixed = scratch.write(mixed.where("low_label < high_label").select("band"), "mixed")
-            open_rows = named.join(mixed, "band")
+            mixed = mixed.where("low_label < high_label").select("band")
             parts = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
-            open_rows = open_rows.withColumn("block", F.pmod(F.xxhash64("rep"), parts).cast("int"))
-            open_rows = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-            partners = tried.select(F.col("a").alias("rep"), F.col("b").alias("p")).union(tried.select("b", "a"))
-            partners = partners.groupBy("rep").agg(F.collect_list("p").alias("tried"))
-            rows = open_rows.join(reps, "rep").join(partners, "rep", "left").select(
-                "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                "rep", "label", "block", "n", "sketch", "tried",
-            )
-            found = rows.groupBy("band", "low", "high").applyInArrow(_compare_block(percent), "a long, b long, alike double")
-            found = scratch.write(found.select("a", "b").distinct(), "found")
+            rows = named.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("rep"), parts).cast("int"))
+            rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+            if tried is None:
+                rows = rows.withColumn("tried", F.lit(None).cast("array<long>"))
+            else:
+                partners = tried.select(F.col("a").alias("rep"), F.col("b").alias("p")).union(tried.select("b", "a"))
+                rows = rows.join(partners.groupBy("rep").agg(F.collect_set("p").alias("tried")), "rep", "left")
+            member = F.struct("rep", "label", "block", "n", "sketch", "tried")
+            groups = rows.join(reps, "rep").groupBy(
+                "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+            ).agg(F.collect_list(member).alias("member"))
+            groups = groups.where(F.size("member") > 1)
+            # A row is up to two blocks of sketches.
+            with job_settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="64"):
+                found = scratch.write(groups.mapInArrow(per_slice(_compare_blocks(percent, most)), "band long, a long, b long"), "found")
             if not found.limit(1).count():
                 break
-            tried = scratch.write(tried.union(found).distinct(), "tried")
-            links = scratch.write(links.union(verified(found)).distinct(), "links")
+            # A bucket without candidates has none later either, as components only grow.
+            most *= GROWTH
+            open_bands, pairs = found.select("band"), found.select("a", "b")
+            tried = pairs if tried is None else tried.union(pairs)
+            links = links.union(scratch.write(verified(pairs.distinct()), "links", few=True))
             labels = components(links, scratch)
-        labels = scratch.write(labels, "components", keep=True)
+        labels = scratch.write(labels, "components", keep=True, few=True)
 
     mine = signed.select("doc_id", "n", "s1", "s2").join(classes, ["s1", "s2"], "left")
     mine = mine.join(labels, F.col("rep") == F.col("node"), "left")
