@@ -42,12 +42,13 @@ def _bits(values: np.ndarray) -> np.ndarray:
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of BLOCK values below 2**width as rows of 64-bit words."""
     words = np.zeros((BLOCK * width // 64, len(values)), dtype=np.uint64)
-    columns = np.ascontiguousarray(values.T.astype(np.uint64))
+    columns = np.ascontiguousarray(values.T)
     for i in range(BLOCK):
         word, shift = divmod(i * width, 64)
-        words[word] |= columns[i] << np.uint64(shift)
+        column = columns[i].astype(np.uint64)
+        words[word] |= column << np.uint64(shift)
         if shift + width > 64:
-            words[word + 1] |= columns[i] >> np.uint64(64 - shift)
+            words[word + 1] |= column >> np.uint64(64 - shift)
     return np.ascontiguousarray(words.T)
 
 
@@ -68,18 +69,19 @@ def encode(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
     """A sequence of unsigned 32-bit ids as one self-contained value."""
     n = len(ids)
     n_blocks = -(-n // BLOCK)
-    padded = np.full(n_blocks * BLOCK, ids[-1] if n else 0, dtype=np.int64)
+    padded = np.full(n_blocks * BLOCK, ids[-1] if n else 0, dtype=np.uint32)
     padded[:n] = ids
     blocks = padded.reshape(n_blocks, BLOCK)
-    low = blocks.min(axis=1) if n_blocks else np.zeros(0, dtype=np.int64)
+    low = blocks.min(axis=1) if n_blocks else np.zeros(0, dtype=np.uint32)
     over = blocks - low[:, None]
     place = -(-BLOCK * percentile // 100) - 1
     widths = _bits(np.partition(over, place, axis=1)[:, place]) if n_blocks else np.zeros(0, dtype=np.int64)
-    outside = over >= (np.int64(1) << widths)[:, None]
+    outside = over > ((np.int64(1) << widths) - 1).astype(np.uint32)[:, None]
     starts = np.zeros(n_blocks + 1, dtype=np.int64)
     np.cumsum(widths * (BLOCK // 64), out=starts[1:])
     packed = np.zeros(starts[-1], dtype=np.uint64)
-    inside = np.where(outside, 0, over)
+    inside = over
+    inside[outside] = 0
     for width in np.unique(widths[widths > 0]).tolist():
         mine = np.flatnonzero(widths == width)
         at = starts[mine][:, None] + np.arange(width * BLOCK // 64)

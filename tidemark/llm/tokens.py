@@ -10,6 +10,7 @@ those that hold the text of a special token, go to the tokenizer whole.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import numpy as np
 
@@ -26,7 +27,7 @@ class Encoder:
     text on either side of a special token is encoded on its own.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -62,7 +63,8 @@ class Encoder:
                 pieces[i] = _PIECES.findall(text)
         wanted = set().union(*pieces.values())
         if len(self._known) + len(wanted) > self._most:
-            self._known.clear()
+            # The half learned first stays: frequent pieces are met early.
+            self._known = dict(islice(self._known.items(), self._most // 2))
         new = wanted.difference(self._known)
         if new:
             self._learn(list(new))
