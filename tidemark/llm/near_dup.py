@@ -54,8 +54,8 @@ MARGIN = 0.1
 BLOCK_ROWS = 2048
 # Candidates between two components of a bucket in the first round of step 5; each further round takes GROWTH
 # times as many, so that few rounds are left for what verification turns down.
-BEST = 4
-GROWTH = 16
+BEST = 16
+GROWTH = 1000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _JUMPS = np.arange(1, M + 1, dtype=np.uint64) * _GOLD
@@ -346,6 +346,7 @@ def link(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFr
             at = labels.select(F.col("node").alias("rep"), "label")
             named = unsettled.join(open_bands.distinct(), "band").join(at, "rep", "left")
             named = named.select("band", "rep", "members", F.coalesce("label", "rep").alias("label"))
+            named = scratch.write(named, "named", few=True)
             mixed = named.groupBy("band").agg(F.min("label").alias("low_label"), F.max("label").alias("high_label"))
             mixed = mixed.where("low_label < high_label").select("band")
             parts = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
