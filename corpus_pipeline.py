@@ -17,14 +17,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup, mixing, near_dup, packing, quality_model
+from tidemark.llm import line_dedup, mixing, near_dup, packing, word_model
 from tidemark.llm.common import read
 from tidemark.llm.queries import tokenizer_path
 from tidemark.session import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_model.keep_good(docs, read(spark, sf_dir, "labels"))
+    return word_model.keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, near_dup, packing, quality_model, quality_rules, substring_dedup, token_files, topk, url_filter
+from tidemark.llm import line_dedup, mixing, near_dup, packing, quality_rules, substring_dedup, token_files, topk, url_filter, word_model
 from tidemark.llm.common import read
 from tidemark.session import scratch_path
 
@@ -26,7 +26,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_model.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return word_model.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
