@@ -5,7 +5,7 @@ the ``docs`` of the next. All but the last return the columns of ``documents``:
 
 1. ``quality``: documents whose perplexity is above their language's threshold go.
 2. ``lines``: lines that an earlier document holds go; the other lines stay, joined as they were.
-3. ``near_dup``: of each group of near duplicates the smallest id stays.
+3. ``near_dup``: of each group of near duplicates (0.8 alike in shingles of five words) the smallest id stays.
 4. ``mix``: texts are repeated or cut so that sources come near their target weights. Every copy is a row.
 5. ``pack``: texts become sequences of at most 2048 tokens; one row per piece, with its place.
 
@@ -22,6 +22,9 @@ from tidemark.llm.common import read
 from tidemark.llm.queries import tokenizer_path
 from tidemark.session import scratch_path
 
+# Words of a shingle in the stage; the query op1_near_dup is asked for near_dup.SHINGLE.
+STAGE_SHINGLE = 5
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return word_model.keep_good(docs, read(spark, sf_dir, "labels"))
@@ -32,7 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.keep_one(docs)
+    return near_dup.keep_one(docs, size=STAGE_SHINGLE)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
