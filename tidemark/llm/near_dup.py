@@ -18,8 +18,8 @@ are the maxima of the registers, and two registers are equal about as often as t
    threshold is verified or already in one component.
 
 What can be lost is a pair above the threshold that shares none of the ``BANDS`` bands: with the defaults under 3 in a
-million at a similarity of 0.8, and fewer above, or one that is estimated four standard deviations too low; where a
-group has other links, its component stays whole.
+million at a similarity of 0.8, and fewer above, or one that is estimated six standard deviations too low (about one in
+a hundred million at 0.8); where a group has other links, its component stays whole.
 
 Hot groups: equal sets are pre-aggregated; members are joined to hubs by plain joins of two shuffled sides, which
 adaptive execution can split; blocks split the rest. Nothing is collected.
@@ -49,8 +49,8 @@ RATE = 20.0
 TOP = 65535
 BAND_REGISTERS = 6
 BANDS = M // BAND_REGISTERS
-# Four standard deviations of the estimate at the threshold.
-MARGIN = 0.1
+# Six standard deviations of the estimate at the threshold.
+MARGIN = 0.15
 BLOCK_ROWS = 2048
 # Candidates between two components of a bucket in the first round of step 5; each further round takes GROWTH
 # times as many, so that few rounds are left for what verification turns down.
