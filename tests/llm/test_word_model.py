@@ -93,3 +93,34 @@ def test_query_scores_words(spark):
     rows = {r.doc_id: r.n_grams for r in QUERIES["op3_quality_model"](spark, sf_dir).collect()}
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     assert rows == {r.doc_id: len(word_model.tokens(r.text)) for r in texts}
+
+
+def kind_of_junk(text):
+    words = text.split()
+    if sum(a == b for a, b in zip(words, words[1:])) > 0.3 * len(words):
+        return "repeated"
+    if text.count("!!") > 5:
+        return "shouted"
+    return "bars" if text.count("|") > 0.1 * len(words) else "marks"
+
+
+def test_each_kind_of_junk_goes(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    kinds: dict[str, list[bool]] = {}
+    for r in QUERIES["op3_quality_model"](spark, sf_dir).collect():
+        if quality.get(r.doc_id) is not None:
+            kinds.setdefault("good" if quality[r.doc_id] == 1 else kind_of_junk(texts[r.doc_id]), []).append(r.kept)
+    shares = {kind: round(float(np.mean(kept)), 3) for kind, kept in kinds.items()}
+    print(shares, {kind: len(kept) for kind, kept in kinds.items()})
+    assert shares.pop("good") > 0.97
+    assert max(shares.values()) <= 0.1, shares
+
+
+def test_without_labels_and_without_rows(spark):
+    docs = spark.createDataFrame([(1, "some text", "en"), (2, None, "en"), (None, "a", None)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.doc_id: (r.kept, r.perplexity) for r in word_model.judge(docs, labels).collect()} == {1: (True, None), 2: (False, None), None: (True, None)}
+    assert word_model.judge(docs.limit(0), labels).count() == 0
+    assert word_model.keep_good(docs, labels).columns == docs.columns

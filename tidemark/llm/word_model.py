@@ -18,6 +18,8 @@ every table below grows with the text it is made from.
 5. A document is kept if its perplexity is at most its language's ``QUANTILE`` of trusted documents: mean surprise
    less an allowance that shrinks with the root of the length, as short texts scatter. The quantile is read from
    a histogram in steps of a thousandth, over all trusted documents of the second half.
+6. So is a limit of the share of n-grams that a text has had before: words repeated over and over have the
+   perplexity of the same words in any order, so n-grams alone keep most of such texts.
 
 Defined results: a null or empty text, or one of spaces, has no perplexity and is not kept. Languages (null is one)
 with fewer than ``LEAST_TRUSTED`` such documents take the quantile of all. Without labels everything with text is
@@ -41,8 +43,7 @@ from tidemark.llm.quality_model import discounts
 
 ORDER = 2
 QUANTILE = 0.995
-# Nats that a threshold lies above the quantile, and nats allowed to a text of one token.
-SLACK = 0.05
+# Nats allowed to a text of one token.
 SPREAD = 2.0
 LEAST_TRUSTED = 20
 # Few counts can give a discount of 0, by which what training does not have would be impossible.
@@ -227,6 +228,11 @@ def scores(texts: DataFrame, table: DataFrame, base: float | None, scratch: Scra
     return rows.join(each.hint("merge"), ["a", "b"]).select("doc_id", "lang", "n_grams", "fresh", surprise.alias("surprise"))
 
 
+def share_again() -> Column:
+    """Of a text's n-grams, those that it has had before."""
+    return 1 - F.col("fresh") / F.nullif("n_grams", F.lit(0))
+
+
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order: int = ORDER) -> DataFrame:
     """doc_id, lang, n_grams, perplexity, most (the perplexity up to which it would be kept) and kept."""
     spark = docs.sparkSession
@@ -244,25 +250,30 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order:
             table = scratch.write(table, "model")
         rows = scratch.write(scores(texts, table, base, scratch, order), "scores", keep=True)
 
-        fair = F.col("surprise") - SPREAD / F.sqrt("n_grams")
         held = rows.where("surprise is not null").join(good.where("half = 1"), F.col("doc_id") == F.col("good_id"), "left_semi")
-        steps = held.groupBy("lang", F.ceil(fair * _STEPS).alias("step")).agg(F.count("*").alias("n"))
+        fair = F.ceil((F.col("surprise") - SPREAD / F.sqrt("n_grams")) * _STEPS)
+        again = F.ceil(share_again() * _STEPS)
+        measures = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), v.alias("step")) for m, v in (("most", fair), ("again", again))]))
+        steps = held.select("lang", measures.alias("m")).groupBy("lang", "m.measure", "m.step").agg(F.count("*").alias("n"))
         steps = scratch.write(steps, "steps")
 
         def limit(by: list[str], frame: DataFrame) -> DataFrame:
-            so_far = F.sum("n").over(Window.partitionBy(*by).orderBy("step"))
-            ranked = frame.withColumn("up_to", so_far).withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
-            reached = ranked.where(F.col("up_to") >= F.col("all") * quantile)
-            return reached.groupBy(*by).agg((F.min("step") / _STEPS + SLACK).alias("most"), F.max("all").alias("trusted"))
-
-        own = limit(["lang"], steps).where(F.col("trusted") >= LEAST_TRUSTED).select(F.col("lang").alias("its_lang"), F.col("most").alias("own_most"))
-        whole = limit([], steps.groupBy("step").agg(F.sum("n").alias("n"))).select(F.col("most").alias("any_most"))
+            so_far = F.sum("n").over(Window.partitionBy("measure", *by).orderBy("step"))
+            ranked = frame.withColumn("up_to", so_far).withColumn("all", F.sum("n").over(Window.partitionBy("measure", *by)))
+            reached = ranked.where(F.col("up_to") >= F.col("all") * quantile).groupBy("measure", *by).agg((F.min("step") / _STEPS).alias("limit"), F.max("all").alias("trusted"))
+            each = [F.max(F.when(F.col("measure") == m, F.col("limit"))).alias(m) for m in ("most", "again")]
+            return reached.groupBy(*by).agg(*each, F.max("trusted").alias("trusted"))
+
+        own = limit(["lang"], steps).where(F.col("trusted") >= LEAST_TRUSTED)
+        own = own.select(F.col("lang").alias("its_lang"), F.col("most").alias("own_most"), F.col("again").alias("own_again"))
+        whole = limit([], steps.groupBy("measure", "step").agg(F.sum("n").alias("n")))
         own = scratch.write(own, "own", keep=True)
         found = whole.first()
-    anywhere = F.lit(found["any_most"] if found else None).cast("double")
+    anywhere, any_again = (F.lit(found[m] if found else None).cast("double") for m in ("most", "again"))
     most = F.coalesce("own_most", anywhere) + SPREAD / F.sqrt("n_grams")
     judged = rows.join(own, F.col("lang").eqNullSafe(F.col("its_lang")), "left")
-    kept = (F.col("n_grams") > 0) & F.coalesce(F.col("surprise") <= most, F.lit(True))
+    fits = (F.col("surprise") <= most) & (share_again() <= F.coalesce("own_again", any_again))
+    kept = (F.col("n_grams") > 0) & F.coalesce(fits, F.lit(True))
     return judged.select(
         "doc_id", "lang", "n_grams", F.exp("surprise").alias("perplexity"), F.when(F.col("n_grams") > 0, F.exp(most)).alias("most"), kept.alias("kept")
     )
