@@ -150,6 +150,51 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_
 FROM d LEFT JOIN s USING (doc_id)
 """
 
+# Pattern, place, kind, points, words nearby, check of a proposal.
+_DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
+_KINDS = [
+    ("[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+", "email", 80, "mail|contact|write", "true"),
+    ("[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)", "ip", 60, "ip|host|server|address",
+     "len(list_filter(string_split(hit, '.'), lambda p: ltrim(p, '0') <> '' AND ltrim(p, '0')::HUGEINT > 255)) = 0"),
+    ("[0-9]([\\x20-]?[0-9])+", "card", 80, "card|visa|carte|karte|tarjeta", f"""
+     length({_DIGITS}) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i:
+       CASE WHEN i % 2 = 1 THEN substr(reverse({_DIGITS}), i, 1)::INT
+            ELSE (2 * substr(reverse({_DIGITS}), i, 1)::INT) % 10 + (2 * substr(reverse({_DIGITS}), i, 1)::INT) // 10 END)) % 10 = 0"""),
+    ("\\+[0-9][\\x20().0-9-]+[0-9]", "phone", 60, "phone|tel|call|fax|mobil", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+    ("[A-Z][A-Z][0-9][0-9](\\x20?[A-Z0-9]){11,30}", "iban", 80, "iban|account|bank|konto|compte|cuenta", """
+     NOT regexp_matches(prior, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]') AND list_reduce(
+       list_transform(string_split(array_to_string(list_transform(string_split(substr(replace(hit, ' ', ''), 5) || substr(hit, 1, 4), ''), lambda c:
+         CASE WHEN c BETWEEN '0' AND '9' THEN c ELSE (ascii(c) - 55)::VARCHAR END), ''), ''), lambda x: x::INT), lambda a, b: (a * 10 + b) % 97) = 1"""),
+    ("\\(?[0-9]{3}\\)?[\\x20.-][0-9]{3}[.-][0-9]{4}", "local", 30, "phone|tel|call|fax|mobil", """
+     NOT regexp_matches(prior, '[0-9+.-]$') AND NOT regexp_matches(after, '^[0-9+.-]') AND NOT regexp_matches(prior, '\\+[0-9][\\x20().0-9-]*$')"""),
+    ("[0-9]{3}-[0-9]{2}-[0-9]{4}", "number", 30, "ssn|social security|tax id",
+     "NOT regexp_matches(prior, '[0-9+.-]$') AND NOT regexp_matches(after, '^[0-9+.-]')"),
+]
+_PROPOSALS = " UNION ALL ".join(
+    f"""
+  SELECT r, place, kind, hit, start, start + length(hit) AS stop, points + CASE WHEN regexp_matches(translate(prior,
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:{words})') THEN 40 ELSE 0 END AS score
+  FROM (SELECT r, {place} AS place, '{kind}' AS kind, {points} AS points, h[i] AS hit, right(g[i], 30) AS prior,
+               left(g[i + 1] || coalesce(h[i + 1], ''), 1) AS after,
+               list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0) AS start
+        FROM (SELECT r, g, h, unnest(range(1, len(h) + 1)) AS i
+              FROM (SELECT r, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}') AS h FROM d)))
+  WHERE {check}"""
+    for place, (pattern, kind, points, words, check) in enumerate(_KINDS)
+)
+PII = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+p AS ({_PROPOSALS}),
+s AS (
+  SELECT r, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in ("email", "ip", "card", "phone"))},
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (place < 4) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
+  FROM p WHERE place < 4 OR score >= 70 GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in ("email", "ip", "card", "phone"))},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN s USING (r)
+"""
+
 ORACLES = {
     "op1_near_dup": NEAR_DUP,
     "op2_quality_rules": QUALITY_RULES,
@@ -157,4 +202,5 @@ ORACLES = {
     "op5_mixing": MIXING,
     "op9_line_dedup": LINE_DEDUP,
     "op8_topk": TOPK,
+    "op11_pii": PII,
 }

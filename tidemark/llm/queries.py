@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, near_dup, packing, quality_rules, substring_dedup, token_files, topk, url_filter, word_model
+from tidemark.llm import line_dedup, mixing, near_dup, packing, pii, quality_rules, substring_dedup, token_files, topk, url_filter, word_model
 from tidemark.llm.common import read
 from tidemark.session import scratch_path
 
@@ -61,6 +61,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.find(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 QUERIES = {
     "op1_near_dup": op1_near_dup,
     "op2_quality_rules": op2_quality_rules,
@@ -72,4 +77,5 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op8_topk": op8_topk,
     "op10_token_files": op10_token_files,
+    "op11_pii": op11_pii,
 }
