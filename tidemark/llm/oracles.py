@@ -155,7 +155,7 @@ _DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
 _KINDS = [
     ("[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+", "email", 80, "mail|contact|write", "true"),
     ("[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)", "ip", 60, "ip|host|server|address",
-     "len(list_filter(string_split(hit, '.'), lambda p: ltrim(p, '0') <> '' AND ltrim(p, '0')::HUGEINT > 255)) = 0"),
+     "len(list_filter(string_split(hit, '.'), lambda p: length(ltrim(p, '0')) > 3 OR ('0' || right(ltrim(p, '0'), 3))::INT > 255)) = 0"),
     ("[0-9]([\\x20-]?[0-9])+", "card", 80, "card|visa|carte|karte|tarjeta", f"""
      length({_DIGITS}) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i:
        CASE WHEN i % 2 = 1 THEN substr(reverse({_DIGITS}), i, 1)::INT
@@ -195,6 +195,29 @@ SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in ("emai
 FROM d LEFT JOIN s USING (r)
 """
 
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+COLLOCATIONS = f"""
+WITH w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_FOLDED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, range(1, 6) AS t(k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 100),
+gone AS (SELECT DISTINCT s.lang, s.phrase FROM c s JOIN c b ON s.lang = b.lang AND b.k > s.k
+           AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * b.f >= 100 * s.f),
+cuts AS (
+  SELECT lang, phrase, f AS a, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS first, array_to_string(string_split(phrase, ' ')[j + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c ANTI JOIN gone USING (lang, phrase))),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, j, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts JOIN n USING (lang) JOIN f x ON x.lang = cuts.lang AND x.phrase = first JOIN f y ON y.lang = cuts.lang AND y.phrase = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
 ORACLES = {
     "op1_near_dup": NEAR_DUP,
     "op2_quality_rules": QUALITY_RULES,
@@ -203,4 +226,5 @@ ORACLES = {
     "op9_line_dedup": LINE_DEDUP,
     "op8_topk": TOPK,
     "op11_pii": PII,
+    "op13_collocations": COLLOCATIONS,
 }
