@@ -218,6 +218,20 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM best QUALIFY rank <= 2000
 """
 
+_TERMS = f"regexp_extract_all({_FOLDED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+RANKED_SEARCH = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ws FROM documents),
+d AS (SELECT r, doc_id, ws, len(ws)::BIGINT AS n FROM t WHERE len(ws) > 0),
+s AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM d),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS w FROM benchmark),
+tf AS (SELECT r, doc_id, n, w, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, n, unnest(ws) AS w FROM d) SEMI JOIN q USING (w) GROUP BY ALL),
+df AS (SELECT w, floor(1000 * ln((2 * (SELECT nd FROM s) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM tf GROUP BY w),
+p AS (SELECT r, doc_id, w, weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // l))) AS impact FROM tf JOIN df USING (w), s),
+x AS (SELECT item_id, r, doc_id, sum(impact)::BIGINT AS score FROM q JOIN p USING (w) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= 50
+"""
+
 ORACLES = {
     "op1_near_dup": NEAR_DUP,
     "op2_quality_rules": QUALITY_RULES,
@@ -226,5 +240,6 @@ ORACLES = {
     "op9_line_dedup": LINE_DEDUP,
     "op8_topk": TOPK,
     "op11_pii": PII,
+    "op12_ranked_search": RANKED_SEARCH,
     "op13_collocations": COLLOCATIONS,
 }

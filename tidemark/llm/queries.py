@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import collocations, line_dedup, mixing, near_dup, packing, pii, quality_rules, substring_dedup, token_files, topk, url_filter, word_model
+from tidemark.llm import collocations, line_dedup, mixing, near_dup, packing, pii, quality_rules, ranked_search, substring_dedup, token_files, topk, url_filter, word_model
 from tidemark.llm.common import read
 from tidemark.session import scratch_path
 
@@ -66,6 +66,10 @@ def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(read(spark, sf_dir, "documents"))
 
@@ -82,5 +86,6 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op10_token_files": op10_token_files,
     "op11_pii": op11_pii,
+    "op12_ranked_search": op12_ranked_search,
     "op13_collocations": op13_collocations,
 }
