@@ -6,20 +6,20 @@ A term's weight is floor(1000 ln((2N+2) / (2 df + 1))), a posting's impact what
    (N, L, df) are sums over all documents.
 2. A posting has a level, the step of its impact on a scale of ``STEPS`` a doubling, so that every term's list is read
    from its greatest impacts down, and a small table (term, level, postings, greatest impact) tells what lies where.
-3. Items read their lists in rounds, all their terms down to a common impact: the first round some ``FIRST`` postings an
-   item, every next one ``GROWTH`` times as many. What a term's unread part can add at most is its frontier. A document
-   seen lies between the sum of its impacts read and that sum plus the frontiers of the terms not read for it;
-   one not seen is at most the sum of all frontiers.
-4. An item is settled once its k-th best lower end is above what any unseen document can reach. Candidates are the
-   documents whose upper end reaches that k-th lower end, ties included; only their postings are read
-   further, to the end of the lists, which gives their exact scores, and the k best with ties by id.
+3. Lists are read from the top. What a term's unread part can add at most is its frontier. A document seen lies between
+   the sum of its impacts read and that sum plus the frontiers of the terms not read for it; one not seen is
+   at most the sum of all frontiers. A first round reads some ``PROBE`` postings of every list. The k-th best lower end
+   of an item is then a bar that its result has to reach.
+4. A second round reads on, for items that are open, just as far as leaves the sum of frontiers under that bar, the
+   longest lists the least. No unseen document can reach the result any more. Candidates are the documents whose
+   upper end reaches the bar, ties included; only their postings are read further, to the end of the lists, which gives
+   their exact scores, and the k best with ties by id.
    Items whose lists end before k documents are seen are settled by having read all.
 
-A round reads its postings anew from the top, so a round keeps no state but the items' depths; as rounds grow by a
-factor, all of them cost little more than the last. Sums are combined per task before the shuffle; per-item and
-per-document groups are hash aggregates and rank limits that Spark applies before the shuffle, so a hot term or
-item is never gathered. Joins are left to Spark, which knows the size of the written item tables; only numbers
-of rounds reach the driver.
+Sums are combined per task before the shuffle, and documents that can't reach the bar are dropped before anything is
+written; per-item and per-document groups are hash aggregates and rank limits that Spark applies before the shuffle, so
+a hot term or item is never gathered. Joins are left to Spark, which knows the sizes of the written item tables; only
+two totals reach the driver.
 
 Defined results: texts without a term are no documents of the statistics. A null text has none. Every row is a
 document of its own, also with a repeated or null ``doc_id`` (null ids after all others in ties; equal rows take ranks of
@@ -41,8 +41,9 @@ from tidemark.llm.common import Scratch, slices
 
 TOP = 50
 STEPS = 8
-FIRST = 4000
-GROWTH = 8
+PROBE = 500
+# The depth of a list of which nothing is read.
+_NONE = 2**30
 
 # Letters and digits of ASCII and everything beyond ASCII.
 _TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -82,12 +83,10 @@ def _div(above: str, below: str) -> Column:
 def _postings(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(term, row, doc_id, impact, level) of the items' terms, and (term, level, postings, most) of their lists."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_counted, _READ)
-    # A row without a term stands for the document itself.
     marked = rows.where("n > 0").select("row", "doc_id", "n", F.explode(F.arrays_zip(
         F.concat("terms", F.array(F.lit(""))).alias("word"), F.concat("tfs", F.array(F.lit(0).cast("long"))).alias("tf")
     )).alias("x")).select("row", "doc_id", "n", "x.word", "x.tf")
-    known = wanted.union(wanted.sparkSession.createDataFrame([("", -1)], "word string, term long"))
-    found = scratch.write(marked.join(known, "word").select("term", "row", "doc_id", "n", "tf"), "found")
+    found = scratch.write(marked.join(wanted, "word").select("term", "row", "doc_id", "n", "tf"), "found")
     whole = found.where("term = -1").agg(F.count("*").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first()
     frequency = found.where("term >= 0").groupBy("term").agg(F.count("*").alias("df"))
     weight = F.floor(1000 * F.log(F.lit(2.0 * whole["docs"] + 2) / (2 * F.col("df") + 1))).cast("long")
@@ -101,19 +100,41 @@ def _postings(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> tuple[Dat
     return postings, scratch.write(lists, "lists")
 
 
-def _depths(lists: DataFrame, asked: DataFrame, reads: int) -> DataFrame:
-    """item, depth: the level to which an item reads its lists, to the first that makes ``reads`` postings; null if it
-    ends before."""
-    levels = asked.join(lists, "term").groupBy("item", "level").agg(F.sum("postings").alias("postings"))
-    before = Window.partitionBy("item").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
-    deep = levels.withColumn("read", F.sum("postings").over(before)).where(F.col("read") >= reads)
-    reached = deep.groupBy("item").agg(F.max("level").alias("depth"))
-    # What lies below decides whether anything is left to read.
-    last = levels.groupBy("item").agg(F.min("level").alias("last"))
-    return last.join(reached, "item", "left").select("item", F.when(F.col("depth") > F.col("last"), F.col("depth")).alias("depth"))
+def _first_depths(lists: DataFrame, reads: int) -> DataFrame:
+    """term, depth: the level to which a list gives ``reads`` postings; null if that is all of it."""
+    before = Window.partitionBy("term").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
+    run = lists.withColumn("read", F.sum("postings").over(before))
+    ends = run.groupBy("term").agg(F.max(F.when(F.col("read") >= reads, F.col("level"))).alias("depth"), F.min("level").alias("last"))
+    return ends.select("term", F.when(F.col("depth") > F.col("last"), F.col("depth")).alias("depth"))
 
 
-def search(docs: DataFrame, items: DataFrame, top: int = TOP, first: int = FIRST, growth: int = GROWTH) -> DataFrame:
+def _next_depths(lists: DataFrame, reading: DataFrame, bars: DataFrame) -> DataFrame:
+    """item, term, depth: how far to read on, so that what is left of all lists adds up to less than the item's bar.
+
+    The longest lists stay as they are while their greatest impacts fit under the bar, one more is read
+    as far as it has to be, and the shorter ones are read to their ends.
+    """
+    whole = lists.groupBy("term").agg(F.sum("postings").alias("df"), F.max("most").alias("top"))
+    longest = Window.partitionBy("item").orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
+    terms = reading.join(bars, "item").join(whole, "term").withColumn("sum", F.sum("top").over(longest))
+    terms = terms.withColumn("room", F.col("bar") - F.col("sum") + F.col("top"))
+    # Levels whose greatest impact doesn't fit into the room that is left have to be read.
+    partly = terms.where("sum >= bar and room > 0").select("item", "term", "room").join(lists, "term").where("most >= room")
+    partly = partly.groupBy("item", "term").agg(F.min("level").alias("to"))
+    planned = F.when(F.col("sum") < F.col("bar"), F.lit(_NONE)).when(F.col("room") > 0, F.col("to"))
+    terms = terms.join(partly, ["item", "term"], "left").withColumn("to", planned)
+    # Reading goes on, never back; a null depth is the end of a list.
+    deeper = F.when(F.col("depth").isNotNull() & F.col("to").isNotNull(), F.least("depth", "to"))
+    return terms.select("item", "term", deeper.alias("depth"))
+
+
+def _with_frontiers(lists: DataFrame, reading: DataFrame) -> DataFrame:
+    """item, term, depth, frontier."""
+    ahead = reading.join(lists, "term").where("level < depth").groupBy("item", "term").agg(F.max("most").alias("frontier"))
+    return reading.join(ahead, ["item", "term"], "left").select("item", "term", "depth", F.coalesce("frontier", F.lit(0).cast("long")).alias("frontier"))
+
+
+def search(docs: DataFrame, items: DataFrame, top: int = TOP, probe: int = PROBE) -> DataFrame:
     """item_id, rank, doc_id, score: the ``top`` documents of highest score above 0 for each item."""
     spark = docs.sparkSession
     with Scratch(spark, "ranked") as scratch:
@@ -121,49 +142,49 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, first: int = FIRST
         words = F.regexp_extract_all("text", F.lit("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"), F.lit(0))
         held = scratch.write(texts.select("item_id", F.explode(words).alias("word")).distinct(), "items")
         wanted = held.select("word").distinct().withColumn("term", F.monotonically_increasing_id())
-        wanted = scratch.write(wanted, "terms")
+        # The empty word is found in every document, once: it stands for the document itself.
+        wanted = scratch.write(wanted.union(spark.range(1).select(F.lit("").alias("word"), F.lit(-1).cast("long").alias("term"))), "terms")
         ids = held.select("item_id").distinct().withColumn("item", F.monotonically_increasing_id())
         ids = scratch.write(ids, "ids", keep=True)
         asked = held.join(wanted, "word").join(ids, held["item_id"].eqNullSafe(ids["item_id"])).select("item", "term")
         asked = scratch.write(asked, "asked")
         postings, lists = _postings(docs, wanted, scratch)
 
-        open_items, settled, number, reads = asked, [], 0, first
-        while True:
-            depths = _depths(lists, open_items, reads)
-            below = open_items.join(depths, "item").join(lists, "term").where(F.col("depth").isNotNull() & (F.col("level") < F.col("depth")))
-            ahead = below.groupBy("item", "term").agg(F.max("most").alias("frontier"))
-            reading = open_items.join(depths, "item").join(ahead, ["item", "term"], "left")
-            reading = reading.select("item", "term", "depth", F.coalesce("frontier", F.lit(0).cast("long")).alias("frontier"))
-            reading = scratch.write(reading, f"reading{number}")
+        def read(reading: DataFrame, bars: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
+            """(item, row, doc_id, low, high) of what is seen and can reach the bar; (item, unseen, bar, places)."""
             unseen = reading.groupBy("item").agg(F.sum("frontier").alias("unseen"))
             seen = postings.join(reading, "term").where(F.col("depth").isNull() | (F.col("level") >= F.col("depth")))
             seen = seen.groupBy("item", "row").agg(F.sum("impact").alias("low"), F.sum("frontier").alias("known"), F.min("doc_id").alias("doc_id"))
-            seen = scratch.write(seen, f"seen{number}")
+            high = F.col("low") - F.col("known") + F.col("unseen")
+            seen = seen.join(unseen.join(bars, "item"), "item").withColumn("high", high).where("high >= bar")
+            seen = scratch.write(seen.select("item", "row", "doc_id", "low", "high"), f"seen{number}")
             best = Window.partitionBy("item").orderBy(F.desc("low"))
             bar = seen.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top)
             bar = bar.groupBy("item").agg(F.min("low").alias("bar"), F.count("*").alias("places"))
-            state = unseen.join(bar, "item", "left")
-            # With fewer documents than asked for, and as long as an unseen one could tie, reading goes on.
-            done = (F.col("unseen") == 0) | ((F.coalesce("places", F.lit(0)) == top) & (F.col("bar") > F.col("unseen")))
-            state = scratch.write(state.withColumn("done", done).withColumn("bar", F.when(F.col("places") == top, F.col("bar")).otherwise(0)), f"state{number}")
-            reach = seen.join(state.where("done"), "item").where(F.col("low") - F.col("known") + F.col("unseen") >= F.col("bar"))
-            candidates = scratch.write(reach.select("item", "row", "doc_id", "low"), f"candidates{number}")
+            # With fewer documents than asked for there is no bar: reading has to go to the end.
+            state = unseen.join(bar, "item").select("item", "unseen", F.when(F.col("places") == top, F.col("bar")).otherwise(0).alias("bar"))
+            return seen, scratch.write(state, f"state{number}")
+
+        none = asked.select("item").distinct().withColumn("bar", F.lit(0).cast("long"))
+        first = scratch.write(_with_frontiers(lists, asked.join(_first_depths(lists, probe), "term")), "reading0")
+        seen, state = read(first, none, 0)
+        settled = state.where("unseen = 0 or unseen < bar")
+        bars = state.join(settled, "item", "left_anti").select("item", "bar")
+        rounds = [(first, seen, settled)]
+        second = scratch.write(_with_frontiers(lists, _next_depths(lists, first, bars)), "reading1")
+        seen, state = read(second, bars, 1)
+        rounds.append((second, seen, state))
+        scores = []
+        for number, (reading, seen, state) in enumerate(rounds):
+            candidates = seen.join(state.select("item", "bar"), "item").where("high >= bar").select("item", "row", "doc_id", "low")
+            candidates = scratch.write(candidates, f"candidates{number}")
             # The rest of their lists, for candidates only.
             rest = reading.where("frontier > 0").select("item", "term", "depth")
             further = candidates.select("item", "row").join(postings.drop("doc_id"), "row").join(rest, ["item", "term"]).where("level < depth")
             more = further.groupBy("item", "row").agg(F.sum("impact").alias("more"))
-            scores = candidates.join(more, ["item", "row"], "left").select("item", "row", "doc_id", (F.col("low") + F.coalesce("more", F.lit(0))).alias("score"))
-            settled.append(scratch.write(scores, f"scores{number}"))
-            waiting = state.where("not done").select("item")
-            if not waiting.limit(1).count():
-                break
-            open_items = scratch.write(open_items.join(waiting, "item"), f"open{number}")
-            number, reads = number + 1, reads * growth
-        scores = settled[0]
-        for part in settled[1:]:
-            scores = scores.union(part)
+            found = candidates.join(more, ["item", "row"], "left")
+            scores.append(found.select("item", "row", "doc_id", (F.col("low") + F.coalesce("more", F.lit(0))).alias("score")))
         order = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "row")
-        ranked = scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+        ranked = scores[0].union(scores[1]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
         ranked = scratch.write(ranked.select("item", "rank", "doc_id", "score"), "ranked", keep=True)
     return ranked.join(ids, "item").select("item_id", "rank", "doc_id", "score")
