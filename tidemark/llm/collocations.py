@@ -10,7 +10,7 @@ a piece. Everything is counted by language.
    the symbols that an interval of the forward transform holds are the words that stand before the phrase, how often each
    occurs is the count of the longer phrase, and ranks give its interval. The smaller symbols' counts place it in
    the backward interval, so that the next step can extend to the other side. Steps take turns.
-3. Level by level, counts are summed over shards (128-bit keys of phrases, summed per task before the shuffle), and only
+3. Level by level, counts are summed over shards (by 128-bit keys of phrases; a shard gives a phrase one row), and only
    phrases that occur ``LEAST`` times in all go back to their shards to be extended: a phrase cannot occur more often
    than its parts. A longer phrase is also left out in the shard where the part on its other side isn't frequent.
 4. A candidate's cuts are looked up among the frequent phrases, as its parts are frequent too. Its greatest extension
@@ -28,7 +28,9 @@ ordered by count, then by the phrase's bytes. Other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -42,40 +44,46 @@ LEAST = 100
 BEST = 2000
 SHARD_WORDS = 1_500_000
 
-_PIECE_ENDS = re.compile("[.,;:!?\n\x0b\x0c\r]")
-_BLANK = re.compile("[ \t]+")
-_FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+# Words, and what ends a piece, in UTF-8: all of these marks are single bytes.
+_TOKEN = re.compile(rb"[^ \t.,;:!?\n\x0b\x0c\r]+|[.,;:!?\n\x0b\x0c\r]")
+_ENDS = [bytes([c]) for c in b".,;:!?\n\x0b\x0c\r"]
+_PACKED_BITS = 21
 
+_END = np.zeros(1, dtype=np.int32)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xD1342543DE82EF95], dtype=np.uint64)
 
 # A row is a shard, so Python gets one at a time.
 ONE_BY_ONE = {"spark__sql__execution__arrow__maxRecordsPerBatch": "1"}
 
 
-def pieces(text: str | None) -> list[list[str]]:
-    found = []
-    for piece in _PIECE_ENDS.split((text or "").translate(_FOLD)):
-        words = [w for w in _BLANK.split(piece) if w]
-        if words:
-            found.append(words)
-    return found
+def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ``keys``, and the place of each among the different ones."""
+    order = np.argsort(keys)
+    held = keys[order]
+    step = np.zeros(len(keys), dtype=np.int64)
+    step[1:] = held[1:] != held[:-1]
+    rank = np.empty(len(keys), dtype=np.int64)
+    rank[order] = np.cumsum(step)
+    return order, rank
+
+
+def _ahead(x: np.ndarray, by: int) -> np.ndarray:
+    moved = np.zeros(len(x), dtype=np.int64)
+    moved[: max(len(x) - by, 0)] = x[by:]
+    return moved
 
 
 def transform(ids: np.ndarray, depth: int) -> np.ndarray:
-    """The Burrows-Wheeler transform of ``ids`` (0 ends a piece), rows sorted by their first ``depth`` symbols."""
+    """The Burrows-Wheeler transform of ``ids`` (0 ends a piece), rows sorted by their first ``depth`` symbols or more."""
     rank, known = ids.astype(np.int64), 1
+    if int(rank.max()) < 1 << _PACKED_BITS:
+        # Three symbols fit one number.
+        order, rank = _ranks((rank << 2 * _PACKED_BITS) | (_ahead(rank, 1) << _PACKED_BITS) | _ahead(rank, 2))
+        known = 3
     while known < depth:
-        shifted = np.zeros(len(rank), dtype=np.int64)
-        shifted[:-known] = rank[known:]
-        pair = rank * (int(rank.max()) + 1) + shifted
-        order = np.argsort(pair, kind="stable")
-        step = np.ones(len(pair), dtype=np.int64)
-        step[1:] = pair[order][1:] != pair[order][:-1]
-        rank = np.empty(len(pair), dtype=np.int64)
-        rank[order] = np.cumsum(step) - 1
+        order, rank = _ranks(rank * (int(rank.max()) + 1) + _ahead(rank, known))
         known *= 2
-    before = np.roll(ids, 1)
-    return before[order].astype("<i4")
+    return np.roll(ids, 1)[order].astype("<i4")
 
 
 def last_to_first(bwt: np.ndarray) -> np.ndarray:
@@ -111,8 +119,12 @@ def extend(bwt: np.ndarray, rank: np.ndarray, low: np.ndarray, other: np.ndarray
 _SHARD = "shard long, lang string, n long, words binary, forward binary, backward binary"
 _SHARD_ARROW = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("words", pa.binary()), ("forward", pa.binary()), ("backward", pa.binary())])
 # The phrases of a shard, a value for each column: ids of their words, intervals, counts.
-_STATE = "shard long, lang string, ids binary, low binary, other binary, size binary, keys binary"
-_STATE_ARROW = pa.schema([("shard", pa.int64()), ("lang", pa.string()), *[(c, pa.binary()) for c in ("ids", "low", "other", "size", "keys")]])
+# With them the texts and counts of those phrases they extend that this shard is to name.
+_STATE = "shard long, lang string, ids binary, low binary, other binary, size binary, keys binary, phrases array<string>, counts array<long>"
+_STATE_ARROW = pa.schema([
+    ("shard", pa.int64()), ("lang", pa.string()), *[(c, pa.binary()) for c in ("ids", "low", "other", "size", "keys")],
+    ("phrases", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
+])
 
 
 def _shards(most: int, depth: int):
@@ -122,28 +134,46 @@ def _shards(most: int, depth: int):
         from pyspark import TaskContext
 
         made = TaskContext.get().partitionId() << 32
-        vocabularies: dict[str, dict[str, int]] = {}
-        waiting: dict[str, list[int]] = {}
+        vocabularies: dict[str, dict[bytes, int]] = {}
+        waiting: dict[str, list[np.ndarray]] = {}
+        held: dict[str, int] = {}
 
-        def emit(lang: str) -> pa.RecordBatch:
+        def emit(lang: str) -> pa.RecordBatch | None:
             nonlocal made
-            words, ids = list(vocabularies.pop(lang)), np.array(waiting.pop(lang), dtype=np.int64)
+            vocabulary, ids = vocabularies.pop(lang), np.concatenate([[0], *waiting.pop(lang), [0]]).astype(np.int64)
+            held.pop(lang)
+            # One end between pieces is enough.
+            ids = ids[np.concatenate([[True], (ids[1:] > 0) | (ids[:-1] > 0)])]
+            words = list(vocabulary)[len(_ENDS) :]
+            if not words:
+                return None
             made += 1
-            values = "\n".join(words).encode("utf-8", "surrogatepass"), transform(ids, depth).tobytes(), transform(ids[::-1], depth).tobytes()
+            values = b"\n".join(words), transform(ids, depth).tobytes(), transform(ids[::-1], depth).tobytes()
             columns = [pa.array([made]), pa.array([lang]), pa.array([int((ids > 0).sum())]), *[pa.array([v], pa.binary()) for v in values]]
             return pa.RecordBatch.from_arrays(columns, schema=_SHARD_ARROW)
 
+        def fresh() -> dict[bytes, int]:
+            """Numbers words as they come, from 1; ends are 0."""
+            vocabulary = defaultdict(count(1).__next__)
+            vocabulary.update(dict.fromkeys(_ENDS, 0))
+            return vocabulary
+
         for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for words in pieces(text):
-                    vocabulary = vocabularies.setdefault(lang, {})
-                    held = waiting.setdefault(lang, [0])
-                    held.extend([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words])
-                    held.append(0)
-                    if len(held) >= most:
-                        yield emit(lang)
+                tokens = _TOKEN.findall((text or "").encode("utf-8", "surrogatepass").lower())
+                if not tokens:
+                    continue
+                if lang not in vocabularies:
+                    vocabularies[lang] = fresh()
+                numbers = vocabularies[lang]
+                ids = np.fromiter(map(numbers.__getitem__, tokens), dtype=np.int32, count=len(tokens))
+                waiting.setdefault(lang, []).extend((ids, _END))
+                held[lang] = held.get(lang, 0) + len(ids)
+                if held[lang] >= most and (made_batch := emit(lang)) is not None:
+                    yield made_batch
         for lang in list(waiting):
-            yield emit(lang)
+            if (made_batch := emit(lang)) is not None:
+                yield made_batch
 
     return run
 
@@ -156,29 +186,39 @@ def word_keys(words: bytes) -> np.ndarray:
     return np.frombuffer(b"\0" * 16 + b"".join(digests), dtype="<u8").reshape(-1, 2)
 
 
-def phrase_keys(ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    state = np.zeros((len(ids), 2), dtype=np.uint64)
+def phrase_keys(lang: str, ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    state = np.tile(word_keys(lang.encode("utf-8", "surrogatepass"))[1], (len(ids), 1))
     for column in ids.T:
         state = mix(state * _ODD + keys[column])
     return state
 
 
-def _state(shard: int, lang: str, ids, low, other, size, keys) -> pa.RecordBatch:
+def _state(row: dict, ids, low, other, size, phrases=(), counts=()) -> pa.RecordBatch:
+    keys = phrase_keys(row["lang"], ids, word_keys(row["words"]))
     values = ids.astype("<i4"), low.astype("<i4"), other.astype("<i4"), size.astype("<i4"), keys
-    return pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([lang]), *[pa.array([v.tobytes()], pa.binary()) for v in values]], schema=_STATE_ARROW)
+    columns = [pa.array([row["shard"]]), pa.array([row["lang"]]), *[pa.array([v.tobytes()], pa.binary()) for v in values]]
+    columns += [pa.array([list(phrases)], pa.list_(pa.string())), pa.array([list(counts)], pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, schema=_STATE_ARROW)
 
 
 def _first(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Rows (shard, lang, words, forward): the state of single words."""
     (row,) = batch.to_pylist()
-    keys = word_keys(row["words"])
-    size = np.bincount(np.frombuffer(row["forward"], dtype="<i4"), minlength=len(keys))
-    low, ids = (np.cumsum(size) - size)[1:], np.arange(1, len(keys))[:, None]
-    return _state(row["shard"], row["lang"], ids, low, low, size[1:], phrase_keys(ids, keys))
+    size = np.bincount(np.frombuffer(row["forward"], dtype="<i4"), minlength=row["words"].count(b"\n") + 2)
+    low = (np.cumsum(size) - size)[1:]
+    return _state(row, np.arange(1, len(size))[:, None], low, low, size[1:])
+
+
+def _named(row: dict, length: int) -> tuple[list[str], list[int]]:
+    """The texts and counts of the phrases that a shard is to name."""
+    words = np.array([b"", *row["words"].split(b"\n")], dtype=object)
+    chosen = [(i, f) for i, f in zip(row["chosen"], row["counts"])]
+    ids = np.frombuffer(row["ids"], dtype="<i4").reshape(-1, length)[[i for i, _ in chosen]]
+    return [b" ".join(words[x]).decode("utf-8", "surrogatepass") for x in ids], [f for _, f in chosen]
 
 
 def _next(length: int, leftwards: bool):
-    """Rows (shard, lang, words, bwt, ids, low, other, size, alive): the state of phrases of ``length`` words."""
+    """Rows (shard, lang, words, bwt, ids, low, other, size, alive, chosen, counts): the state of phrases of ``length`` words."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         (row,) = batch.to_pylist()
@@ -198,28 +238,25 @@ def _next(length: int, leftwards: bool):
         longer = np.hstack([symbol, ids[of]] if leftwards else [ids[of], symbol])
         if not leftwards:
             new_low, new_other = new_other, new_low
-        return _state(row["shard"], row["lang"], longer, new_low, new_other, count, phrase_keys(longer, word_keys(row["words"])))
+        return _state(row, longer, new_low, new_other, count, *_named(row, length - 1))
 
     return run
 
 
-_LOCAL = "shard long, lang string, i int, a long, b long, size long"
-_LOCAL_ARROW = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("i", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("size", pa.int64())])
+_LOCAL = "shard long, i int, a long, b long, size long"
+_LOCAL_ARROW = pa.schema([("shard", pa.int64()), ("i", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("size", pa.int64())])
 _EMIT_ROWS = 100_000
 
 
 def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, lang, size, keys) as a row for each phrase."""
+    """Rows (shard, size, keys) as a row for each phrase."""
     for batch in batches:
         for row in batch.to_pylist():
             size, keys = np.frombuffer(row["size"], dtype="<i4").astype(np.int64), np.frombuffer(row["keys"], dtype="<i8").reshape(-1, 2)
             for start in range(0, len(size), _EMIT_ROWS):
                 part = slice(start, start + _EMIT_ROWS)
                 n = len(size[part])
-                columns = [
-                    pa.array(np.full(n, row["shard"], dtype=np.int64)), pa.array([row["lang"]], pa.string()).take(pa.array(np.zeros(n, dtype=np.int32))),
-                    pa.array(np.arange(start, start + n, dtype=np.int32)), pa.array(keys[part, 0]), pa.array(keys[part, 1]), pa.array(size[part]),
-                ]
+                columns = [pa.array(np.full(n, row["shard"], dtype=np.int64)), pa.array(np.arange(start, start + n, dtype=np.int32)), pa.array(keys[part, 0]), pa.array(keys[part, 1]), pa.array(size[part])]
                 yield pa.RecordBatch.from_arrays(columns, schema=_LOCAL_ARROW)
 
 
@@ -227,15 +264,12 @@ _TEXT_ARROW = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase"
 
 
 def _texts(length: int):
-    """Rows (shard, lang, words, ids, chosen): the texts of the chosen phrases with their counts."""
+    """Rows (shard, lang, words, ids, chosen, counts): the texts of the chosen phrases with their counts."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         (row,) = batch.to_pylist()
-        words = np.array([b"", *row["words"].split(b"\n")], dtype=object)
-        ids = np.frombuffer(row["ids"], dtype="<i4").reshape(-1, length)[[c["i"] for c in row["chosen"]]]
-        texts = [b" ".join(words[x]).decode("utf-8", "surrogatepass") for x in ids]
-        n = len(texts)
-        columns = [pa.array([row["lang"]] * n), pa.array(np.full(n, length, dtype=np.int32)), pa.array(texts), pa.array([c["f"] for c in row["chosen"]], pa.int64())]
+        texts, counts = _named(row, length)
+        columns = [pa.array([row["lang"]] * len(texts), pa.string()), pa.array(np.full(len(texts), length, dtype=np.int32)), pa.array(texts, pa.string()), pa.array(counts, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, schema=_TEXT_ARROW)
 
     return run
@@ -244,32 +278,41 @@ def _texts(length: int):
 def frequent(docs: DataFrame, scratch: Scratch, least: int, longest: int, shard_words: int) -> tuple[DataFrame, DataFrame]:
     """(lang, words, phrase, f) of all phrases of up to ``longest`` words that occur ``least`` times; (lang, n)."""
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    shards = scratch.write(rows.mapInArrow(_shards(shard_words, longest), _SHARD), "shards")
-    totals = shards.groupBy("lang").agg(F.sum("n").alias("n"))
-    found: list[DataFrame] = []
+    def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+        return scratch.write(df, name, keep, codec="zstd")
+
+    shards = stored(rows.mapInArrow(_shards(shard_words, longest), _SHARD), "shards")
+    totals = stored(shards.groupBy("lang").agg(F.sum("n").alias("n")), "totals", keep=True)
+    named: list[DataFrame] = []
+    same = Window.partitionBy("a", "b")
     with job_settings(docs.sparkSession, **ONE_BY_ONE):
-        state = scratch.write(shards.select("shard", "lang", "words", "forward").mapInArrow(per_slice(_first), _STATE), "state1")
+        state = stored(shards.select("shard", "lang", "words", "forward").mapInArrow(per_slice(_first), _STATE), "state1")
         for length in range(1, longest + 1):
-            local = state.select("shard", "lang", "size", "keys").mapInArrow(_phrases, _LOCAL)
-            total = local.groupBy("lang", "a", "b").agg(F.sum("size").alias("f"), F.min(F.struct("shard", "i")).alias("example"))
-            total = scratch.write(total.where(F.col("f") >= least), f"frequent{length}")
-            # Texts come from one shard that has the phrase.
-            chosen = total.select(F.col("example")["shard"].alias("shard"), F.struct(F.col("example")["i"].alias("i"), "f").alias("c"))
-            chosen = chosen.groupBy("shard").agg(F.collect_list("c").alias("chosen"))
-            texts = shards.select("shard", "lang", "words").join(state.select("shard", "ids"), "shard").join(chosen, "shard")
-            texts = texts.select("shard", "lang", "words", "ids", "chosen").mapInArrow(per_slice(_texts(length)), "lang string, words int, phrase string, f long")
-            found.append(scratch.write(texts, f"texts{length}", keep=True))
+            local = state.select("shard", "size", "keys").mapInArrow(_phrases, _LOCAL)
+            local = local.withColumns({"f": F.sum("size").over(same), "namer": F.min("shard").over(same)}).where(F.col("f") >= least)
+            # The first of the shards that have a phrase names it.
+            names = F.col("namer") == F.col("shard")
+            alive = local.groupBy("shard").agg(
+                F.collect_list("i").alias("alive"), F.collect_list(F.when(names, F.struct("i", "f"))).alias("named")
+            )
+            alive = stored(alive.select("shard", "alive", F.col("named.i").alias("chosen"), F.col("named.f").alias("counts")), f"alive{length}")
             if length == longest:
+                last = shards.select("shard", "lang", "words").join(state.select("shard", "ids"), "shard").join(alive.drop("alive"), "shard")
+                last = last.select("shard", "lang", "words", "ids", "chosen", "counts").mapInArrow(per_slice(_texts(length)), "lang string, words int, phrase string, f long")
+                named.append(stored(last, f"texts{length}", keep=True))
                 break
-            alive = local.join(total.select("lang", "a", "b"), ["lang", "a", "b"]).groupBy("shard").agg(F.collect_list("i").alias("alive"))
             side = "forward" if length % 2 else "backward"
             index = shards.select("shard", "words", F.col(side).alias("bwt"))
-            waiting = state.drop("keys").join(alive, "shard").join(index, "shard")
-            waiting = waiting.select("shard", "lang", "words", "bwt", "ids", "low", "other", "size", "alive")
-            state = scratch.write(waiting.mapInArrow(per_slice(_next(length + 1, side == "forward")), _STATE), f"state{length + 1}")
-        totals = scratch.write(totals, "totals", keep=True)
-    whole = found[0]
-    for more in found[1:]:
+            waiting = state.select("shard", "lang", "ids", "low", "other", "size").join(alive, "shard").join(index, "shard")
+            waiting = waiting.select("shard", "lang", "words", "bwt", "ids", "low", "other", "size", "alive", "chosen", "counts")
+            longer = stored(waiting.mapInArrow(per_slice(_next(length + 1, side == "forward")), _STATE), f"state{length + 1}")
+            scratch.drop(state)
+            texts = longer.select("lang", F.explode(F.arrays_zip("phrases", "counts")).alias("x"))
+            texts = texts.select("lang", F.lit(length).alias("words"), F.col("x.phrases").alias("phrase"), F.col("x.counts").alias("f"))
+            named.append(stored(texts, f"texts{length}", keep=True))
+            state = longer
+    whole = named[0]
+    for more in named[1:]:
         whole = whole.union(more)
     return whole, totals
 

@@ -70,12 +70,18 @@ class Scratch:
         for path in self.paths:
             remove(self.spark, path)
 
-    def write(self, df: DataFrame, name: str, keep: bool = False, few: bool = False) -> DataFrame:
+    def drop(self, table: DataFrame) -> None:
+        """Remove a table that nothing reads any more."""
+        for path in [p for p in self.paths if any(f"/{p.rsplit('/', 1)[1]}/" in f for f in table.inputFiles()[:1])]:
+            self.paths.remove(path)
+            remove(self.spark, path)
+
+    def write(self, df: DataFrame, name: str, keep: bool = False, few: bool = False, codec: str | None = None) -> DataFrame:
         """``few``: in two files per core of the cluster, for tables of a few numbers a row."""
         if few:
             df = df.coalesce(2 * self.spark.sparkContext.defaultParallelism)
         path = scratch_path(self.spark, f"{self.label}-{name}")
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
         if not keep:
             self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
