@@ -43,6 +43,8 @@ LONGEST = 5
 LEAST = 100
 BEST = 2000
 SHARD_WORDS = 1_500_000
+# Parts of all keys that are summed one after the other, so that only a part's shuffle is on disk.
+PARTS = 3
 
 # Words, and what ends a piece, in UTF-8: all of these marks are single bytes.
 _TOKEN = re.compile(rb"[^ \t.,;:!?\n\x0b\x0c\r]+|[.,;:!?\n\x0b\x0c\r]")
@@ -118,15 +120,25 @@ def extend(bwt: np.ndarray, rank: np.ndarray, low: np.ndarray, other: np.ndarray
 
 _SHARD = "shard long, lang string, n long, words binary, forward binary, backward binary"
 _SHARD_ARROW = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("words", pa.binary()), ("forward", pa.binary()), ("backward", pa.binary())])
-# The phrases of a shard, a value for each column: ids of their words, intervals, counts.
+# The phrases of a shard, a value for each column: ids of their words, intervals, counts; and which words they use, with
+# their keys.
 # With them the texts and counts of those phrases they extend that this shard is to name.
-_STATE = "shard long, lang string, ids binary, low binary, other binary, size binary, keys binary, phrases array<string>, counts array<long>"
+_STATE = "shard long, lang string, ids binary, low binary, other binary, size binary, used binary, keys binary, phrases array<string>, counts array<long>"
 _STATE_ARROW = pa.schema([
-    ("shard", pa.int64()), ("lang", pa.string()), *[(c, pa.binary()) for c in ("ids", "low", "other", "size", "keys")],
+    ("shard", pa.int64()), ("lang", pa.string()), *[(c, pa.binary()) for c in ("ids", "low", "other", "size", "used", "keys")],
     ("phrases", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
 ])
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers under 2**32 byte by byte, all lowest bytes first: most higher ones are 0 and compress away."""
+    return np.ascontiguousarray(x.astype("<u4").reshape(-1).view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+
+
 def _shards(most: int, depth: int):
     """Rows (lang, text) of one task as shards."""
 
@@ -147,8 +159,13 @@ def _shards(most: int, depth: int):
             words = list(vocabulary)[len(_ENDS) :]
             if not words:
                 return None
+            # Frequent words get small ids.
+            order = np.argsort(-np.bincount(ids, minlength=len(words) + 1)[1:], kind="stable")
+            place = np.zeros(len(words) + 1, dtype=np.int64)
+            place[order + 1] = np.arange(1, len(words) + 1)
+            ids, words = place[ids], [words[k] for k in order.tolist()]
             made += 1
-            values = b"\n".join(words), transform(ids, depth).tobytes(), transform(ids[::-1], depth).tobytes()
+            values = b"\n".join(words), _packed(transform(ids, depth)), _packed(transform(ids[::-1], depth))
             columns = [pa.array([made]), pa.array([lang]), pa.array([int((ids > 0).sum())]), *[pa.array([v], pa.binary()) for v in values]]
             return pa.RecordBatch.from_arrays(columns, schema=_SHARD_ARROW)
 
@@ -187,6 +204,7 @@ def word_keys(words: bytes) -> np.ndarray:
 
 
 def phrase_keys(lang: str, ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Two halves of a hash of each phrase; ``ids`` are places in ``keys``."""
     state = np.tile(word_keys(lang.encode("utf-8", "surrogatepass"))[1], (len(ids), 1))
     for column in ids.T:
         state = mix(state * _ODD + keys[column])
@@ -194,17 +212,22 @@ def phrase_keys(lang: str, ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _state(row: dict, ids, low, other, size, phrases=(), counts=()) -> pa.RecordBatch:
-    keys = phrase_keys(row["lang"], ids, word_keys(row["words"]))
-    values = ids.astype("<i4"), low.astype("<i4"), other.astype("<i4"), size.astype("<i4"), keys
-    columns = [pa.array([row["shard"]]), pa.array([row["lang"]]), *[pa.array([v.tobytes()], pa.binary()) for v in values]]
+    used = np.unique(ids)
+    values = [_packed(x) for x in (ids.T, low, other, size, used)] + [word_keys(row["words"])[used].tobytes()]
+    columns = [pa.array([row["shard"]]), pa.array([row["lang"]]), *[pa.array([v], pa.binary()) for v in values]]
     columns += [pa.array([list(phrases)], pa.list_(pa.string())), pa.array([list(counts)], pa.list_(pa.int64()))]
     return pa.RecordBatch.from_arrays(columns, schema=_STATE_ARROW)
 
 
+def _ids(data: bytes, length: int) -> np.ndarray:
+    """The words of phrases, a row for each."""
+    return _unpacked(data).reshape(length, -1).T
+
+
 def _first(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Rows (shard, lang, words, forward): the state of single words."""
     (row,) = batch.to_pylist()
-    size = np.bincount(np.frombuffer(row["forward"], dtype="<i4"), minlength=row["words"].count(b"\n") + 2)
+    size = np.bincount(_unpacked(row["forward"]), minlength=row["words"].count(b"\n") + 2)
     low = (np.cumsum(size) - size)[1:]
     return _state(row, np.arange(1, len(size))[:, None], low, low, size[1:])
 
@@ -213,7 +236,7 @@ def _named(row: dict, length: int) -> tuple[list[str], list[int]]:
     """The texts and counts of the phrases that a shard is to name."""
     words = np.array([b"", *row["words"].split(b"\n")], dtype=object)
     chosen = [(i, f) for i, f in zip(row["chosen"], row["counts"])]
-    ids = np.frombuffer(row["ids"], dtype="<i4").reshape(-1, length)[[i for i, _ in chosen]]
+    ids = _ids(row["ids"], length)[np.array([i for i, _ in chosen], dtype=np.int64)]
     return [b" ".join(words[x]).decode("utf-8", "surrogatepass") for x in ids], [f for _, f in chosen]
 
 
@@ -223,9 +246,8 @@ def _next(length: int, leftwards: bool):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         (row,) = batch.to_pylist()
         alive = np.sort(np.array(row["alive"], dtype=np.int64))
-        bwt = np.frombuffer(row["bwt"], dtype="<i4")
-        ids = np.frombuffer(row["ids"], dtype="<i4").reshape(-1, length - 1)[alive]
-        low, other, size = (np.frombuffer(row[c], dtype="<i4").astype(np.int64)[alive] for c in ("low", "other", "size"))
+        bwt, ids = _unpacked(row["bwt"]), _ids(row["ids"], length - 1)[alive]
+        low, other, size = (_unpacked(row[c])[alive] for c in ("low", "other", "size"))
         if not leftwards:
             low, other = other, low
         of, symbol, new_low, new_other, count = extend(bwt, last_to_first(bwt), low, other, size)
@@ -248,16 +270,26 @@ _LOCAL_ARROW = pa.schema([("shard", pa.int64()), ("i", pa.int32()), ("a", pa.int
 _EMIT_ROWS = 100_000
 
 
-def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, size, keys) as a row for each phrase."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            size, keys = np.frombuffer(row["size"], dtype="<i4").astype(np.int64), np.frombuffer(row["keys"], dtype="<i8").reshape(-1, 2)
-            for start in range(0, len(size), _EMIT_ROWS):
-                part = slice(start, start + _EMIT_ROWS)
-                n = len(size[part])
-                columns = [pa.array(np.full(n, row["shard"], dtype=np.int64)), pa.array(np.arange(start, start + n, dtype=np.int32)), pa.array(keys[part, 0]), pa.array(keys[part, 1]), pa.array(size[part])]
-                yield pa.RecordBatch.from_arrays(columns, schema=_LOCAL_ARROW)
+def _phrases(length: int, part: int, parts: int):
+    """Rows (shard, lang, ids, size, used, keys) as a row for each phrase of one part of all keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                size, ids, used = _unpacked(row["size"]), _ids(row["ids"], length), _unpacked(row["used"])
+                words = np.frombuffer(row["keys"], dtype="<u8").reshape(-1, 2)
+                for start in range(0, len(size), _EMIT_ROWS):
+                    places = np.searchsorted(used, ids[start : start + _EMIT_ROWS])
+                    keys = phrase_keys(row["lang"], places, words)
+                    own = np.flatnonzero(keys[:, 0] % np.uint64(parts) == part)
+                    keys = keys[own].view(np.int64)
+                    columns = [
+                        pa.array(np.full(len(own), row["shard"], dtype=np.int64)), pa.array((own + start).astype(np.int32)),
+                        pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(size[own + start]),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, schema=_LOCAL_ARROW)
+
+    return run
 
 
 _TEXT_ARROW = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
@@ -288,14 +320,23 @@ def frequent(docs: DataFrame, scratch: Scratch, least: int, longest: int, shard_
     with job_settings(docs.sparkSession, **ONE_BY_ONE):
         state = stored(shards.select("shard", "lang", "words", "forward").mapInArrow(per_slice(_first), _STATE), "state1")
         for length in range(1, longest + 1):
-            local = state.select("shard", "size", "keys").mapInArrow(_phrases, _LOCAL)
-            local = local.withColumns({"f": F.sum("size").over(same), "namer": F.min("shard").over(same)}).where(F.col("f") >= least)
-            # The first of the shards that have a phrase names it.
-            names = F.col("namer") == F.col("shard")
-            alive = local.groupBy("shard").agg(
-                F.collect_list("i").alias("alive"), F.collect_list(F.when(names, F.struct("i", "f"))).alias("named")
-            )
-            alive = stored(alive.select("shard", "alive", F.col("named.i").alias("chosen"), F.col("named.f").alias("counts")), f"alive{length}")
+            # Single words are many only once; phrases are summed a part of all keys at a time.
+            parts = PARTS if length > 1 else 1
+            found = []
+            for part in range(parts):
+                local = state.select("shard", "lang", "ids", "size", "used", "keys").mapInArrow(_phrases(length, part, parts), _LOCAL)
+                local = local.withColumns({"f": F.sum("size").over(same), "namer": F.min("shard").over(same)}).where(F.col("f") >= least)
+                # The first of the shards that have a phrase names it.
+                names = F.col("namer") == F.col("shard")
+                held = local.groupBy("shard").agg(
+                    F.collect_list("i").alias("alive"), F.collect_list(F.when(names, F.struct("i", "f"))).alias("named")
+                )
+                found.append(stored(held, f"alive{length}-{part}"))
+            alive = found[0]
+            for more in found[1:]:
+                alive = alive.union(more)
+            lists = {c: F.flatten(F.collect_list(c)).alias(c) for c in ("alive", "named")}
+            alive = alive.groupBy("shard").agg(*lists.values()).select("shard", "alive", F.col("named.i").alias("chosen"), F.col("named.f").alias("counts"))
             if length == longest:
                 last = shards.select("shard", "lang", "words").join(state.select("shard", "ids"), "shard").join(alive.drop("alive"), "shard")
                 last = last.select("shard", "lang", "words", "ids", "chosen", "counts").mapInArrow(per_slice(_texts(length)), "lang string, words int, phrase string, f long")
