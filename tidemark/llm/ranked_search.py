@@ -8,8 +8,8 @@ A term's weight is floor(1000 ln((2N+2) / (2 df + 1))), a posting's impact what
    from its greatest impacts down, and a small table (term, level, postings, greatest impact) tells what lies where.
 3. Lists are read from the top. What a term's unread part can add at most is its frontier. A document seen lies between
    the sum of its impacts read and that sum plus the frontiers of the terms not read for it; one not seen is
-   at most the sum of all frontiers. A first round reads some ``PROBE`` postings of every list. The k-th best lower end
-   of an item is then a bar that its result has to reach.
+   at most the sum of all frontiers. A first round reads some ``PROBE`` postings of every list. The k documents that lead
+   then are read to the end; the least of their scores is a bar that an item's result has to reach.
 4. A second round reads on, for items that are open, just as far as leaves the sum of frontiers under that bar, the
    longest lists the least. No unseen document can reach the result any more. Candidates are the documents whose
    upper end reaches the bar, ties included; only their postings are read further, to the end of the lists, which gives
@@ -165,25 +165,33 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, probe: int = PROBE
             state = unseen.join(bar, "item").select("item", "unseen", F.when(F.col("places") == top, F.col("bar")).otherwise(0).alias("bar"))
             return seen, scratch.write(state, f"state{number}")
 
+        def exact(candidates: DataFrame, reading: DataFrame) -> DataFrame:
+            """(item, row, doc_id, score): what is left of an item's lists is read for its candidates only."""
+            rest = reading.where("frontier > 0").select("item", "term", "depth")
+            further = candidates.select("item", "row").join(postings.drop("doc_id"), "row").join(rest, ["item", "term"]).where("level < depth")
+            more = further.groupBy("item", "row").agg(F.sum("impact").alias("more"))
+            found = candidates.join(more, ["item", "row"], "left")
+            return found.select("item", "row", "doc_id", (F.col("low") + F.coalesce("more", F.lit(0))).alias("score"))
+
+        best = Window.partitionBy("item").orderBy(F.desc("low"))
         none = asked.select("item").distinct().withColumn("bar", F.lit(0).cast("long"))
         first = scratch.write(_with_frontiers(lists, asked.join(_first_depths(lists, probe), "term")), "reading0")
         seen, state = read(first, none, 0)
         settled = state.where("unseen = 0 or unseen < bar")
-        bars = state.join(settled, "item", "left_anti").select("item", "bar")
+        # The k that lead after the first round make a better bar by their whole scores: no result is under it.
+        leading = seen.join(state.join(settled, "item", "left_anti").select("item"), "item")
+        leading = leading.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top)
+        leading = scratch.write(leading.select("item", "row", "doc_id", "low"), "leading")
+        bars = exact(leading, first).groupBy("item").agg(F.min("score").alias("least"), F.count("*").alias("places"))
+        bars = scratch.write(bars.select("item", F.when(F.col("places") == top, F.col("least")).otherwise(0).alias("bar")), "bars")
         rounds = [(first, seen, settled)]
         second = scratch.write(_with_frontiers(lists, _next_depths(lists, first, bars)), "reading1")
         seen, state = read(second, bars, 1)
-        rounds.append((second, seen, state))
+        rounds.append((second, seen, state.join(bars.withColumnRenamed("bar", "known"), "item").withColumn("bar", F.greatest("bar", "known"))))
         scores = []
         for number, (reading, seen, state) in enumerate(rounds):
             candidates = seen.join(state.select("item", "bar"), "item").where("high >= bar").select("item", "row", "doc_id", "low")
-            candidates = scratch.write(candidates, f"candidates{number}")
-            # The rest of their lists, for candidates only.
-            rest = reading.where("frontier > 0").select("item", "term", "depth")
-            further = candidates.select("item", "row").join(postings.drop("doc_id"), "row").join(rest, ["item", "term"]).where("level < depth")
-            more = further.groupBy("item", "row").agg(F.sum("impact").alias("more"))
-            found = candidates.join(more, ["item", "row"], "left")
-            scores.append(found.select("item", "row", "doc_id", (F.col("low") + F.coalesce("more", F.lit(0))).alias("score")))
+            scores.append(exact(scratch.write(candidates, f"candidates{number}"), reading))
         order = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "row")
         ranked = scores[0].union(scores[1]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
         ranked = scratch.write(ranked.select("item", "rank", "doc_id", "score"), "ranked", keep=True)
