@@ -8,8 +8,8 @@ are the maxima of the registers, and two registers are equal about as often as t
 1. Documents with equal sets are one class; only its smallest id goes on (a map-side combined minimum).
 2. Bands of registers are hashed; representatives that share a band are in a bucket.
 3. Each bucket's smallest member is its hub. Pairs of member and hub are estimated by maximum likelihood over all
-   registers jointly (greater, smaller, equal, and the known set sizes); the promising ones are verified on full
-   sets, the best of each member first, then the best between components, then what is left between components.
+   registers jointly (greater, smaller, equal, and the known set sizes), those of a second sketch of ``FINE`` registers
+   that only members of buckets get included; the promising ones are verified on full sets, the best of each member first, then the best between components, then what is left between components.
    Linear in the members: no bucket is written out as pairs.
 4. Links are joined to components. A bucket all of whose members are in one component is finished.
 5. In the others, members of different components are compared by their sketches in blocks of bounded size, each
@@ -18,8 +18,10 @@ are the maxima of the registers, and two registers are equal about as often as t
    threshold is verified or already in one component.
 
 What can be lost is a pair above the threshold that shares none of the ``BANDS`` bands: with the defaults under 3 in a
-million at a similarity of 0.8, and fewer above, or one that is estimated six standard deviations too low (about one in
-a hundred million at 0.8); where a group has other links, its component stays whole.
+million at a similarity of 0.8, and fewer above, or one that is estimated six standard deviations too low, by the first
+sketch or by both (about one in a hundred million at 0.8); where a group has other links, its component stays whole.
+A group whose members are 0.67 alike, say, gives pairs in numbers that only estimates can turn down; by both
+sketches they are far off.
 
 Hot groups: equal sets are pre-aggregated; members are joined to hubs by plain joins of two shuffled sides, which
 adaptive execution can split; blocks split the rest. Nothing is collected.
@@ -33,6 +35,7 @@ are not read, or carried by ``keep_one``.
 from __future__ import annotations
 
 import hashlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,31 +60,42 @@ BLOCK_ROWS = 2048
 BEST = 16
 GROWTH = 1000
 
+# Registers of a second sketch, made only for documents that share a bucket: with both, an estimate is so sharp that
+# six standard deviations are less than half of those of the first alone.
+FINE = 1024
+FINE_MARGIN = 0.07
+
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-_JUMPS = np.arange(1, M + 1, dtype=np.uint64) * _GOLD
-_STEP = -np.log1p(-np.arange(M) / M) / RATE
-_ENDS = np.append(_STEP[1:], np.inf)
-_SPAN = 1 - np.exp(-RATE * (_ENDS - _STEP))
-
-
-def sketch(elements: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Registers of ``n`` sets; ``owner`` tells whose element each hash is."""
-    least = np.full(n * M, np.inf)
-    for j in range(M):
-        u = (mix(elements + _JUMPS[j]) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        points = _STEP[j] - np.log1p(-u * _SPAN[j]) / RATE
+_SALT = np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+@cache
+def _intervals(m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each of ``m`` points of an element: its jump, where its interval begins, and the interval's mass."""
+    begins = -np.log1p(-np.arange(m) / m) / RATE
+    ends = np.append(begins[1:], np.inf)
+    return np.arange(1, m + 1, dtype=np.uint64) * _GOLD, begins, 1 - np.exp(-RATE * (ends - begins))
+
+
+def sketch(elements: np.ndarray, owner: np.ndarray, n: int, m: int = M) -> np.ndarray:
+    """``m`` registers, a power of two, of ``n`` sets; ``owner`` tells whose element each hash is."""
+    jumps, begins, mass = _intervals(m)
+    least = np.full(n * m, np.inf)
+    for j in range(m):
+        u = (mix(elements + jumps[j]) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        points = begins[j] - np.log1p(-u * mass[j]) / RATE
         turn = elements + np.uint64(j) * (elements >> np.uint64(8) | np.uint64(1))
-        key = owner * M + (turn & np.uint64(M - 1)).astype(np.int64)
+        key = owner * m + (turn & np.uint64(m - 1)).astype(np.int64)
         # Intervals ascend: a register hit at an earlier step holds a lesser point already.
         free = np.isinf(least[key])
         np.minimum.at(least, key[free], points[free])
-        unfilled = np.isinf(least).reshape(n, M).any(axis=1)[owner]
+        unfilled = np.isinf(least).reshape(n, m).any(axis=1)[owner]
         elements, owner = elements[unfilled], owner[unfilled]
         if not len(owner):
             break
     with np.errstate(divide="ignore"):
         values = np.floor(1 - np.log(least) / np.log(BASE))
-    return np.clip(values, 0, TOP).astype("<u2").reshape(n, M)
+    return np.clip(values, 0, TOP).astype("<u2").reshape(n, m)
 
 
 def shingles(text: str | None, hashes: Hashes, size: int = SHINGLE) -> np.ndarray:
@@ -108,7 +122,7 @@ def _signatures(size: int):
         sets = [shingles(t, hashes, size) for t in batch.column(1).to_pylist()]
         sizes = np.array([len(s) for s in sets])
         registers = sketch(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), len(sets))
-        digests = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), dtype="<i8").reshape(-1, 2)
+        digests = _digests(sets)
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]),
@@ -128,8 +142,8 @@ def band_hashes(registers: np.ndarray) -> np.ndarray:
     return state.astype(np.int64)
 
 
-def _registers(values) -> np.ndarray:
-    return np.frombuffer(b"".join(values), dtype="<u2").reshape(-1, M)
+def _registers(values, m: int = M) -> np.ndarray:
+    return np.frombuffer(b"".join(values), dtype="<u2").reshape(-1, m)
 
 
 _BANDED = pa.schema([("band", pa.int64()), ("rep", pa.int64())])
@@ -145,10 +159,10 @@ def _collision(x: np.ndarray) -> np.ndarray:
     return -np.log1p(-x * (BASE - 1) / BASE) / np.log(BASE)
 
 
-def likely_similarity(greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Jaccard similarity of greatest likelihood, given how many registers of a are greater and smaller than b's."""
+def likely_similarity(greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, m: int = M) -> np.ndarray:
+    """Jaccard similarity of greatest likelihood, given how many of ``m`` registers of a are greater and smaller than b's."""
     a, b = n_a / (n_a + n_b), n_b / (n_a + n_b)
-    equal = M - greater - smaller
+    equal = m - greater - smaller
 
     def likelihood(j: np.ndarray) -> np.ndarray:
         up, down = _collision(np.maximum(a - b * j, 0)), _collision(np.maximum(b - a * j, 0))
@@ -169,10 +183,15 @@ def likely_similarity(greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray,
 _ESTIMATED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("alike", pa.float64())])
 
 
+def _sides(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (one > two).sum(axis=1), (one < two).sum(axis=1)
+
+
 def _estimate(batch: pa.RecordBatch) -> pa.RecordBatch:
-    one, two = (_registers(batch.column(i).to_pylist()) for i in (2, 3))
+    coarse = _sides(*(_registers(batch.column(i).to_pylist()) for i in (2, 3)))
+    fine = _sides(*(_registers(batch.column(i).to_pylist(), FINE) for i in (6, 7)))
     n_a, n_b = (batch.column(i).to_numpy().astype(float) for i in (4, 5))
-    alike = likely_similarity((one > two).sum(axis=1), (one < two).sum(axis=1), n_a, n_b)
+    alike = likely_similarity(coarse[0] + fine[0], coarse[1] + fine[1], n_a, n_b, M + FINE)
     return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(alike)], schema=_ESTIMATED)
 
 
@@ -192,21 +211,30 @@ def _verify(percent: int):
     return per_slice(run, 64)
 
 
-_SETS = pa.schema([("rep", pa.int64()), ("elements", pa.binary())])
+_SETS = pa.schema([("rep", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("elements", pa.binary()), ("fine", pa.binary())])
+
+
+def _digests(sets: list[np.ndarray]) -> np.ndarray:
+    return np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), dtype="<i8").reshape(-1, 2)
 
 
 def _sets(size: int):
     hashes = Hashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingles(t, hashes, size).tobytes() for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], schema=_SETS)
+        sets = [shingles(t, hashes, size) for t in batch.column(1).to_pylist()]
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        fine = sketch(mix(np.concatenate(sets) ^ _SALT), owner, len(sets), FINE)
+        digests = _digests(sets)
+        columns = [pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([f.tobytes() for f in fine], pa.binary())]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests[:, 0]), pa.array(digests[:, 1]), *columns], schema=_SETS)
 
     return per_slice(run)
 
 
 _FOUND = pa.schema([("band", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 _PAIRS_AT_ONCE = 20_000
+_FINE_PAIRS_AT_ONCE = 5_000
 
 
 def _compare_blocks(percent: int, most: int):
@@ -219,7 +247,7 @@ def _compare_blocks(percent: int, most: int):
         sizes = np.diff(members.offsets.to_numpy())
         flat = members.flatten()
         reps, labels, blocks, n = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "block", "n"))
-        registers = _registers(flat.field("sketch").to_pylist())
+        registers, fine = _registers(flat.field("sketch").to_pylist()), _registers(flat.field("fine").to_pylist(), FINE)
         tried = [frozenset(x or ()) for x in flat.field("tried").to_pylist()]
         hashed = band_hashes(registers)
         start, found = 0, []
@@ -239,9 +267,15 @@ def _compare_blocks(percent: int, most: int):
                 # A pair is looked at in the first band that it shares.
                 mine = hashed[x, (hashed[x] == hashed[y]).argmax(axis=1)] == band
                 x, y = x[mine], y[mine]
-                greater, smaller = (registers[x] > registers[y]).sum(axis=1), (registers[x] < registers[y]).sum(axis=1)
-                alike[at + np.flatnonzero(mine)] = likely_similarity(greater, smaller, n[x].astype(float), n[y].astype(float))
-            good = np.flatnonzero(alike >= percent / 100 - MARGIN)
+                sizes_of = n[x].astype(float), n[y].astype(float)
+                coarse = _sides(registers[x], registers[y])
+                # The first sketch alone turns down what is far off, both decide about the rest.
+                near = np.flatnonzero(likely_similarity(*coarse, *sizes_of) >= percent / 100 - MARGIN)
+                for some in np.array_split(near, len(near) // _FINE_PAIRS_AT_ONCE + 1):
+                    sharp = _sides(fine[x[some]], fine[y[some]])
+                    both = likely_similarity(coarse[0][some] + sharp[0], coarse[1][some] + sharp[1], sizes_of[0][some], sizes_of[1][some], M + FINE)
+                    alike[at + np.flatnonzero(mine)[some]] = both
+            good = np.flatnonzero(alike >= percent / 100 - FINE_MARGIN)
             fresh = [k for k in good.tolist() if int(reps[j[k]]) not in tried[i[k]]]
             # The best between each two components; the others wait for the next round.
             taken: dict[tuple[int, int], int] = {}
@@ -286,7 +320,7 @@ def link(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFr
         usable = signed.where("n > 0 and doc_id is not null")
         classes = scratch.write(usable.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "classes", keep=True)
         first = F.col("doc_id") == F.col("rep")
-        reps = usable.join(classes, ["s1", "s2"]).where(first).select("rep", "n", "sketch")
+        reps = usable.join(classes, ["s1", "s2"]).where(first).select("rep", "n", "s1", "s2", "sketch")
         reps = scratch.write(reps, "reps")
         banded = reps.select("rep", "sketch").mapInArrow(per_slice(_bands, 2000), "band long, rep long")
         hubs = banded.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last"), F.count("*").alias("members"))
@@ -295,14 +329,20 @@ def link(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFr
         asked = buckets.select("rep").distinct()
         reps = scratch.write(reps.join(asked, "rep"), "asked")
         ids = reps.select(F.col("rep").alias("doc_id")).distinct()
-        sets = scratch.write(texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), "rep long, elements binary"), "sets")
+        both = texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), "rep long, s1 long, s2 long, elements binary, fine binary")
+        sets = scratch.write(both, "sets")
+        # An id may have several texts; equal ones have equal sketches.
+        fine = sets.groupBy("rep", "s1", "s2").agg(F.max("fine").alias("fine"))
+        reps = scratch.write(reps.join(fine, ["rep", "s1", "s2"]).select("rep", "n", "sketch", "fine"), "fine")
 
         def estimated(pairs: DataFrame) -> DataFrame:
-            one = reps.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"), F.col("n").alias("n_a"))
-            two = reps.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b"), F.col("n").alias("n_b"))
-            rows = pairs.join(one, "a").join(two, "b").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b")
+            def side(end: str) -> DataFrame:
+                return reps.select(F.col("rep").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("sketch", "n", "fine")])
+
+            rows = pairs.join(side("a"), "a").join(side("b"), "b")
+            rows = rows.select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b", "fine_a", "fine_b")
             return rows.mapInArrow(per_slice(_estimate, 2000), "a long, b long, alike double").where(
-                F.col("alike") >= percent / 100 - MARGIN
+                F.col("alike") >= percent / 100 - FINE_MARGIN
             )
 
         def verified(pairs: DataFrame) -> DataFrame:
@@ -357,7 +397,7 @@ def link(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFr
             else:
                 partners = tried.select(F.col("a").alias("rep"), F.col("b").alias("p")).union(tried.select("b", "a"))
                 rows = rows.join(partners.groupBy("rep").agg(F.collect_set("p").alias("tried")), "rep", "left")
-            member = F.struct("rep", "label", "block", "n", "sketch", "tried")
+            member = F.struct("rep", "label", "block", "n", "sketch", "fine", "tried")
             groups = rows.join(reps, "rep").groupBy(
                 "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
             ).agg(F.collect_list(member).alias("member"))
