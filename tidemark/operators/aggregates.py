@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.exact import mean_of_doubles
 from tidemark.functions.numbers import divide_units, round_to, whole_units
 from tidemark.operators.blocks import as_list
 from tidemark.operators.rows import above_threshold_tolerant
@@ -25,13 +26,13 @@ def mean_by(
 ) -> DataFrame:
     """Mean of ``value`` per group, rounded. NULLs are skipped.
 
-    With ``exact_scale`` values are summed as decimals of that scale and divided once, so the
-    result does not depend on partitioning or retries; without it the mean is a double average.
+    The result does not depend on partitioning or retries: doubles are summed exactly, as they are, and divided and
+    rounded once. With ``exact_scale`` values are taken as decimals of that scale, which is cheaper and right for money.
     ``empty`` replaces the mean of no values.
     """
     keys = as_list(by)
     if exact_scale is None:
-        result = df.groupBy(*keys).agg(F.avg(value).alias(name))
+        result = mean_of_doubles(df, keys, value, name)
         mean = round_to(F.col(name), decimals, rounding)
     else:
         result = df.groupBy(*keys).agg(
