@@ -1,5 +1,7 @@
 """Cutting an ordered table into blocks of bounded size.
 
+The bound holds up to MAX_BLOCKS blocks; a table beyond that, some ten million times a block, gets larger ones.
+
 A window over the whole table (or over one key that holds a third of it) sorts all its
 rows in one task. Fill and row numbering avoid that by working block by block and handing
 one small value from each block to the next. A block is a range of the leading order
@@ -13,12 +15,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import scratch_path
+
 BLOCK = "__block"
 POSITION = "__position"
 
@@ -35,6 +39,8 @@ MAX_BLOCKS = 10_000_000
 MAX_SPREAD = 4
 # Broadcast a per-block table only up to this many rows; beyond it the join is left to Spark.
 BROADCAST_ROWS = 100_000
+# Broadcast a table whose size was counted only up to this.
+BROADCAST_BYTES = 8 * 1024 * 1024
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -45,7 +51,7 @@ def as_list(names: str | Sequence[str] | None) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-def _fixed_width(kind: T.DataType) -> bool:
+def fixed_width(kind: T.DataType) -> bool:
     return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
@@ -91,6 +97,19 @@ class OrderSpan:
         ).first()
         return cls(row["rows"], row["low"], row["high"], row["nulls"])
 
+    @classmethod
+    def measure_all(cls, frames: Sequence[DataFrame], lead: str) -> list[OrderSpan]:
+        """The spans of several tables along a column they share, in one job."""
+        values = [scale_of(frame.schema[lead]) for frame in frames]
+        if any(value is None for value in values):
+            return [cls.measure(frame, lead) for frame in frames]
+        found = _tagged(frames, values).groupBy("__table").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("__value").alias("low"), F.max("__value").alias("high"),
+            F.count_if(F.col("__value").isNull()).alias("nulls"),
+        )
+        by_table = {r["__table"]: cls(r["rows"], r["low"], r["high"], r["nulls"]) for r in found.collect()}
+        return [by_table.get(i, cls(0)) for i in range(len(frames))]
+
     def union(self, other: OrderSpan) -> OrderSpan:
         """The span to cut two tables by when their blocks have to line up."""
         nulls, rows = self.nulls + other.nulls, max(self.rows, other.rows)
@@ -126,25 +145,38 @@ class OrderSpan:
         inside = F.least(F.greatest(value, F.lit(self.low).cast("long")), F.lit(self.high).cast("long"))
         halved = F.shiftright(inside, self._halvings) - F.lit(self.low >> self._halvings).cast("long")
         block = F.call_function("div", halved, F.lit(width).cast("long")) + 1
-        return F.when(value.isNull(), F.lit(0)).otherwise(block).cast("long")
+        # Never NULL, and known not to be: joins on it then add no filters below the shuffle.
+        return F.coalesce(F.when(value.isNull(), F.lit(0)).otherwise(block).cast("long"), F.lit(0).cast("long"))
 
 
 def rows_for(df: DataFrame, rows: int, rows_per_block: int | None = None) -> int:
     """Rows per block of a table of ``rows`` rows: as given, or by the bytes of a row and the cores at hand."""
     if rows_per_block is not None:
         return rows_per_block
-    width = sum(8 if _fixed_width(f.dataType) else TEXT_BYTES for f in df.schema)
+    width = sum(8 if fixed_width(f.dataType) else TEXT_BYTES for f in df.schema)
     by_bytes = max(1, min(ROWS_PER_BLOCK, BLOCK_BYTES // max(width, 1)))
     by_cores = math.ceil(rows / df.sparkSession.sparkContext.defaultParallelism)
     return min(by_bytes, max(LEAST_BLOCK_ROWS, by_cores))
 
 
-def cuts_evenly(df: DataFrame, order: list[str], span: OrderSpan, rows_per_block: int) -> bool:
-    """Whether arithmetic blocks of the leading column stay within MAX_SPREAD of the wanted size, by count."""
-    value = scale_of(df.schema[order[0]])
-    if span.low is None or value is None:
+def _tagged(frames: Sequence[DataFrame], values: Sequence[Column]) -> DataFrame:
+    """One column of each table, with the number of the table."""
+    parts = [f.select(F.lit(i).alias("__table"), v.alias("__value")) for i, (f, v) in enumerate(zip(frames, values))]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.union(part)
+    return whole
+
+
+def cuts_evenly(df: DataFrame | Sequence[DataFrame], order: list[str], span: OrderSpan, rows_per_block: int) -> bool:
+    """Whether arithmetic blocks of the leading column stay within MAX_SPREAD of the wanted size, by count, in
+    the table or in each of several, in one job."""
+    frames = [df] if isinstance(df, DataFrame) else list(df)
+    values = [scale_of(frame.schema[order[0]]) for frame in frames]
+    if span.low is None or any(value is None for value in values):
         return False
-    sizes = df.groupBy(span.block_of(value, rows_per_block).alias(BLOCK)).agg(F.count(F.lit(1)).alias("__rows"))
+    blocks = _tagged(frames, [span.block_of(value, rows_per_block) for value in values])
+    sizes = blocks.groupBy("__table", "__value").agg(F.count(F.lit(1)).alias("__rows"))
     largest = sizes.agg(F.max("__rows")).first()[0]
     return (largest or 0) <= MAX_SPREAD * span.block_rows(rows_per_block)
 
@@ -182,7 +214,7 @@ class BlockedTable:
         # Fixed-width columns make the row bound a size bound. Text has no such bound, so there the
         # choice is left to Spark, which knows the size by then; a sort-merge join would take the
         # partitioning and order the rows have already.
-        fixed = all(_fixed_width(f.dataType) for f in carry.schema if f.name not in self.keys)
+        fixed = all(fixed_width(f.dataType) for f in carry.schema if f.name not in self.keys)
         side = F.broadcast(renamed) if fixed and self.carry_rows <= BROADCAST_ROWS else renamed
         return self.frame.join(side, same, "left").drop(
             *[f"__carry_{name}" for name in [*self.keys, BLOCK]]
@@ -192,18 +224,34 @@ class BlockedTable:
         return BlockedTable(frame, self.keys, self.carry_rows)
 
 
-def hot_keys(df: DataFrame, keys: list[str], more_than: int) -> tuple[DataFrame, int]:
-    """Keys with more than ``more_than`` rows, and how many they are.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys above a size, in a written table."""
+
+    frame: DataFrame
+    rows: int
+    bytes: int  # counted over the rows
+
+    def side(self) -> DataFrame:
+        """For a join: broadcast if its counted size allows, else left to Spark."""
+        return F.broadcast(self.frame) if self.bytes <= BROADCAST_BYTES else self.frame
+
+
+def hot_keys(df: DataFrame, keys: list[str], more_than: int) -> HotKeys:
+    """Keys with more than ``more_than`` rows.
 
-    Counting combines map-side. Keys of fixed width come back as a literal table, at most rows / more_than
-    of them; text keys have no such bound on their size and stay a query.
+    Counting combines map-side. What is found is written and never collected: there are at most rows / more_than
+    of them, which on a large table is many. The driver learns their number and size only. The table belongs to the
+    open ``scratch_scope``, if any, since the result reads it.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     found = counted.where(F.col("__rows") > more_than).drop("__rows")
-    if not all(_fixed_width(df.schema[name].dataType) for name in keys):
-        return found, found.count()
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema), len(rows)
+    path = scratch_path(df.sparkSession, "hot-keys")
+    found.write.parquet(path)
+    stored = df.sparkSession.read.schema(found.schema).parquet(path)
+    widths = [F.lit(16) if fixed_width(df.schema[k].dataType) else 16 + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
+    size = stored.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(sum(widths, F.lit(0))), F.lit(0)).alias("bytes")).first()
+    return HotKeys(stored, size["rows"], size["bytes"])
 
 
 def cut(
@@ -223,18 +271,16 @@ def cut(
     blocks = span.block_count(rows_per_block)
     if not keys:
         return BlockedTable(df.withColumn(BLOCK, block), [], blocks)
-    hot, count = hot_keys(df, keys, span.block_rows(rows_per_block))
-    if not count:
+    hot = hot_keys(df, keys, span.block_rows(rows_per_block))
+    if not hot.rows:
         return None
-    marks = hot.select(*[F.col(name).alias(f"__hot_{name}") for name in keys], F.lit(True).alias("__hot"))
+    marks = replace(hot, frame=hot.frame.select(*[F.col(name).alias(f"__hot_{name}") for name in keys], F.lit(True).alias("__hot")))
     same = F.lit(True)
     for name in keys:
         same = same & df[name].eqNullSafe(F.col(f"__hot_{name}"))
-    # Keys of fixed width bound the size of this side; else the choice is left to Spark.
-    small = count <= BROADCAST_ROWS and all(_fixed_width(df.schema[name].dataType) for name in keys)
     frame = (
-        df.join(F.broadcast(marks) if small else marks, same, "left")
+        df.join(marks.side(), same, "left")
         .withColumn(BLOCK, F.when(F.col("__hot"), block).otherwise(F.lit(-1)))
         .drop("__hot", *[f"__hot_{name}" for name in keys])
     )
-    return BlockedTable(frame, keys, count * blocks)
+    return BlockedTable(frame, keys, hot.rows * blocks)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.blocks import (
     BLOCK,
+    BROADCAST_ROWS,
     POSITION,
     BlockedTable,
     OrderSpan,
@@ -16,6 +17,7 @@ from tidemark.operators.blocks import (
     cut,
     cuts_evenly,
     rows_for,
+    scale_of,
 )
 from tidemark.session import scratch_path
 
@@ -39,7 +41,8 @@ def row_index(
 
     Up to ``rows_per_block`` rows one task numbers the table. Beyond that it is numbered block by
     block, plus the count of the blocks before. An order that gives no even blocks is range sorted
-    once into a scratch table, whose partition sizes give the offsets.
+    once into a scratch table, whose partition sizes give the offsets; it belongs to the open
+    ``scratch_scope``, if any, since the result reads it.
     """
     order, keys = as_list(order_by), as_list(partition_by)
     names = [c for c in df.columns if c != name]
@@ -60,6 +63,43 @@ def row_index(
     return df.select(*names, number.alias(name))
 
 
+def row_index_in_files(
+    df: DataFrame,
+    order_by: str | Sequence[str],
+    name: str = "index",
+    start: int = 0,
+    span: OrderSpan | None = None,
+    rows_per_block: int | None = None,
+) -> DataFrame:
+    """As ``row_index`` without keys, laid out to be written: the n-th partition holds the n-th range of numbers, sorted.
+
+    The blocks that numbering cuts are the ranges, so one shuffle serves both; nothing is sampled. Neighbouring
+    blocks are taken together where there are more than ``BROADCAST_ROWS``, so that their offsets are always few.
+    """
+    order = as_list(order_by)
+    names = [c for c in df.columns if c != name]
+    span = span or OrderSpan.measure(df, order)
+    rows_per_block = rows_for(df, span.rows, rows_per_block)
+    if not span.too_large(rows_per_block):
+        return row_index(df, order, name, start, span=span, rows_per_block=rows_per_block).select(*names, name)
+    if not cuts_evenly(df, order, span, rows_per_block):
+        stored, offsets = _sorted_parts(df, order)
+        parts = offsets.agg(F.max(_PART)).first()[0] + 1
+        numbered = stored.repartitionById(parts, F.col(_PART)).sortWithinPartitions(_ID).join(F.broadcast(offsets), _PART)
+        return numbered.select(*names, (F.col(_ID).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + F.col(_OFFSET) + start).alias(name))
+    blocks = span.block_count(rows_per_block)
+    parts = min(blocks, BROADCAST_ROWS)
+    block = span.block_of(scale_of(df.schema[order[0]]), rows_per_block)
+    # Blocks are numbered from 0, for NULL, to their count.
+    part = F.call_function("div", block * F.lit(parts).cast("long"), F.lit(blocks + 1).cast("long")).cast("int")
+    placed = df.withColumn(_PART, part)
+    counts = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("__rows"))
+    offsets = _offsets(counts)
+    within = Window.partitionBy(_PART).orderBy(*order)
+    local = placed.repartitionById(parts, F.col(_PART)).withColumn(_ID, F.row_number().over(within).cast("long"))
+    return local.join(F.broadcast(offsets), _PART).select(*names, (F.col(_ID) + F.col(_OFFSET) + (start - 1)).alias(name))
+
+
 def _number_by_block(blocked: BlockedTable, order: list[str], name: str, start: int) -> DataFrame:
     local = blocked.frame.withColumn(
         _ID, F.row_number().over(blocked.within_block(order)).cast("long")
@@ -74,7 +114,19 @@ def _number_by_block(blocked: BlockedTable, order: list[str], name: str, start:
 
 
 def _number_sorted(df: DataFrame, order: list[str]) -> DataFrame:
-    """0-based positions through one range sort, written out so that they cannot change.
+    """0-based positions through one range sort."""
+    stored, offsets = _sorted_parts(df, order)
+    within = F.col(_ID).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return (
+        stored.join(F.broadcast(offsets), _PART)
+        .withColumn(POSITION, within + F.col(_OFFSET))
+        .drop(_PART, _OFFSET, _ID)
+    )
+
+
+def _sorted_parts(df: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of a range sort with their part and place, written out so that they cannot change; and the
+    offset of each part.
 
     Sort bounds are sampled, so a second run of the same sort may cut elsewhere; the written
     table pins them and also survives the loss of executors. Ties are broken by content and
@@ -90,16 +142,12 @@ def _number_sorted(df: DataFrame, order: list[str]) -> DataFrame:
         .withColumn(_ID, F.monotonically_increasing_id())
         .write.parquet(path)
     )
-    stored = spark.read.parquet(path)
-    part = F.shiftright(F.col(_ID), _ROW_BITS)
-    within = F.col(_ID).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    counts = stored.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("__rows"))
-    earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PART, F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias(_OFFSET))
+    stored = spark.read.parquet(path).withColumn(_PART, F.shiftright(F.col(_ID), _ROW_BITS).cast("int"))
     # One row per partition of the sort, so this side stays as small as the shuffle is wide.
-    return (
-        stored.withColumn(_PART, part)
-        .join(F.broadcast(offsets), _PART)
-        .withColumn(POSITION, within + F.col(_OFFSET))
-        .drop(_PART, _OFFSET, _ID)
-    )
+    return stored, _offsets(stored.groupBy(_PART).agg(F.count(F.lit(1)).alias("__rows")))
+
+
+def _offsets(counts: DataFrame) -> DataFrame:
+    """How many rows lie before each part, given how many it has."""
+    earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(_PART, F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias(_OFFSET))

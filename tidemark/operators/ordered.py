@@ -59,14 +59,14 @@ class OrderedTable:
         A table whose keys give no even blocks is numbered once and cut by number instead; all
         its fills share that, but its join has to shuffle by key.
         """
-        spans = spans or [OrderSpan.measure(frame, key) for frame in frames]
+        spans = spans or OrderSpan.measure_all(frames, key)
         shared = spans[0]
         for span in spans[1:]:
             shared = shared.union(span)
         if rows_per_block is None:
             rows_per_block = min(rows_for(frame, shared.rows) for frame in frames)
         large = shared.too_large(rows_per_block)
-        alike = large and all(cuts_evenly(f, [key], shared, rows_per_block) for f in frames)
+        alike = large and cuts_evenly(frames, [key], shared, rows_per_block)
         tables = []
         orders = [tuple(o) for o in orders] if orders else [(key,)] * len(frames)
         for frame, span, order in zip(frames, spans, orders):
@@ -89,7 +89,15 @@ class OrderedTable:
         """A row-wise step (filter, added or changed columns); it must keep key and block."""
         return replace(self, frame=step(self.frame))
 
-    def fill(self, columns: Sequence[str], fill_when: Mapping[str, Column] | None = None) -> OrderedTable:
+    def fill(
+        self,
+        columns: Sequence[str],
+        fill_when: Mapping[str, Column] | None = None,
+        carry_when: Mapping[str, Column] | None = None,
+        shared: Sequence[str] | None = None,
+    ) -> OrderedTable:
+        """As ``forward_fill`` along the order. ``shared`` names the columns that will be asked for: a cut table is
+        then walked once for its rows and the last values of its blocks."""
         if not columns:
             return self
         if self.blocked is None:
@@ -100,10 +108,12 @@ class OrderedTable:
                 fill_when=fill_when,
                 span=self.span,
                 rows_per_block=self.rows_per_block,
+                carry_when=carry_when,
             )
         else:
             filled = fill_by_block(
-                self.blocked.with_frame(self.frame), list(columns), list(self.order), fill_when or {}
+                self.blocked.with_frame(self.frame), list(columns), list(self.order), fill_when or {}, carry_when or {},
+                shared, lies_by_block=self.shuffled,
             )
         return replace(self, frame=filled, shuffled=self.blocked is not None)
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.blocks import as_list
+
 _FLOATING = (T.FloatType, T.DoubleType)
 
 
@@ -71,6 +74,42 @@ def conversion_errors(df: DataFrame, parsed: Mapping[str, Column]) -> DataFrame:
     )
 
 
+class StageMetrics:
+    """Counts of rows and NULLs at the stages of a flow, taken by the job that first runs them; no job of their own.
+
+    A stage that a plan reads twice, through one shuffle, is counted where the shuffle is written. If a lost executor
+    makes Spark write it again, its rows may count again: metrics tell about a run, and decide nothing.
+    """
+
+    def __init__(self, on: bool = False) -> None:
+        self._on = on
+        self._observations: dict[str, Observation] = {}
+        self._values: dict[str, dict[str, int]] | None = None
+
+    def watch(self, df: DataFrame, stage: str, columns: Sequence[str] = ()) -> DataFrame:
+        if not self._on:
+            return df
+        df, self._observations[stage] = observe_stage(df, f"{stage}-{uuid.uuid4().hex}", columns)
+        return df
+
+    def fill(self) -> None:
+        """Take over what the job that just ended has counted; later calls change nothing."""
+        if self._on and self._values is None:
+            self._values = {stage: dict(o.get) for stage, o in self._observations.items()}
+
+    @property
+    def values(self) -> dict[str, dict[str, int]]:
+        """By stage and count, in the order of the flow."""
+        if self._values is None:
+            raise RuntimeError("stages are counted by the job that publishes a watched flow")
+        return self._values
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """stage, metric, total."""
+        rows = [(stage, name, int(total or 0)) for stage, found in self.values.items() for name, total in found.items()]
+        return spark.createDataFrame(rows, "stage string, metric string, total bigint")
+
+
 def observe_stage(
     df: DataFrame, stage: str, columns: Sequence[str] = ()
 ) -> tuple[DataFrame, Observation]:
@@ -79,3 +118,32 @@ def observe_stage(
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns]
     return df.observe(observation, *metrics), observation
+
+
+def check_sorted(df: DataFrame, order_by: str | Sequence[str]) -> DataFrame:
+    """Whether files hold their rows in order: rows, breaks_within and breaks_between, one row.
+
+    ``df`` is read straight from files that a sorted write made, whose names are in the order of their contents. Rows
+    are compared with the one before them in the same split of a file, and splits by their first and last keys; only
+    keys and places are shuffled, a split at a time, and one task sees one row for each split.
+    """
+    order = as_list(order_by)
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    placed = df.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"), key.alias("key"),
+    )
+    within = Window.partitionBy("file", "split").orderBy("at")
+    compared = placed.withColumn("before", F.lag("key").over(within))
+    splits = compared.groupBy("file", "split").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") > F.col("key")).alias("breaks"),
+        F.min_by("key", "at").alias("first"), F.max_by("key", "at").alias("last"),
+    )
+    # Names count up, beyond the digits that they are padded to.
+    number = F.regexp_extract("file", "part-([0-9]+)", 1).try_cast("long")
+    along = Window.orderBy(number, "file", "split")
+    joined = splits.withColumn("last_before", F.lag("last").over(along))
+    return joined.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("breaks"), F.lit(0)).alias("breaks_within"),
+        F.count_if(F.col("last_before") > F.col("first")).alias("breaks_between"),
+    )

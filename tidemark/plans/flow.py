@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from tidemark.functions.repair import (
 )
 from tidemark.operators.aggregates import mean_by
 from tidemark.operators.ordered import MATCHED, OrderedTable
+from tidemark.operators.quality import StageMetrics
 from tidemark.operators.rows import above_threshold, in_domain, require_truthy, split_rejects
 from tidemark.plans.policy import ALL, Policy
 from tidemark.schemas import CLEAN_FIELDS, KEY, SALES_THRESHOLD
@@ -42,6 +43,7 @@ class FlowResult:
     merged: DataFrame  # all columns after repair and join, for profiling
     rejected: DataFrame | None = None  # sales rows with keys that the policy does not accept
     errors: DataFrame | None = None  # unparsable values by column
+    metrics: StageMetrics = field(default_factory=StageMetrics)  # rows and NULLs by stage, once published
 
 
 def run(
@@ -53,6 +55,7 @@ def run(
     sales_order: Sequence[str] = (KEY,),
     exact_scale: int | None = 2,
     rows_per_block: int | None = None,
+    watch: bool = False,
 ) -> FlowResult:
     """Both outputs of a policy, what they were made from, and what was rejected on the way.
 
@@ -60,7 +63,8 @@ def run(
     ``sales_order`` and ``economic_order`` are total orders of the two tables, each led by the key; the key
     alone where it is unique. A policy that joins first rows keeps the first row per key of both sides.
     ``exact_scale`` is that of ``mean_by``: money of two decimals by default, so that neither partitioning nor
-    a retry can change the last digit.
+    a retry can change the last digit. ``watch`` counts rows and NULLs at each stage, for ``metrics`` of the result, while
+    the job that publishes runs; the counted columns are then computed whatever is asked for.
     """
     sales_order, economic_order = list(sales_order), list(economic_order)
     repeats = [o for o in (sales_order, economic_order) if o != [KEY]]
@@ -71,18 +75,25 @@ def run(
     economic = parse_economic(policy, economic)
     own_order = [KEY, *[_ORDER + c for c in sales_order if c != KEY]]
     left, right = OrderedTable.align([sales, economic], KEY, rows_per_block, orders=[own_order, economic_order])
+    # Watched from here on: cutting has read the tables already, in jobs of its own.
+    metrics = StageMetrics(watch)
+    left = left.apply(lambda df: metrics.watch(df, "sales", ["Date", "Weekly_Sales"]))
+    right = right.apply(lambda df: metrics.watch(df, "economic", [c for c in ("CPI", "Unemployment") if c in df.columns]))
     if policy.fill_at == "before_join":
-        right = right.fill([c for c in _selected(policy.fill_economic, right) if c not in economic_order])
+        wanted = [c for c in _selected(policy.fill_economic, right) if c not in economic_order]
+        right = right.fill(wanted, shared=_asked(right))
     left = _repair_sales(policy, left)
+    left = left.apply(lambda df: metrics.watch(df, "repaired", ["Date", "Weekly_Sales"]))
     if policy.join == "first_left":
         left, right = left.first_per_key(), right.first_per_key()
     left = left.apply(lambda df: df.drop(*[c for c in df.columns if c.startswith(_ORDER)]))
     joined = _join(policy, left, right)
     if policy.fill_at == "after_join":
-        joined = joined.fill([c for c in joined.columns if c != KEY])
-    result = _outputs(policy, joined.rows(), threshold, exact_scale)
+        joined = joined.fill([c for c in joined.columns if c != KEY], shared=_asked(joined))
+    rows = metrics.watch(joined.rows(), "joined", ["Date", "Weekly_Sales", "CPI", "Unemployment"])
+    result = _outputs(policy, rows, threshold, exact_scale, metrics)
     return replace(
-        result, rejected=rejected_sales(policy, raw_sales), errors=bad_values(policy, raw_sales, raw_economic)
+        result, rejected=rejected_sales(policy, raw_sales), errors=bad_values(policy, raw_sales, raw_economic), metrics=metrics
     )
 
 
@@ -177,20 +188,28 @@ def _repair_sales(policy: Policy, sales: OrderedTable) -> OrderedTable:
         when = {}
         if policy.bad_value == "null":
             when = {"Date": F.col(_FILL_DATE), "Weekly_Sales": F.col(_FILL_SALES)}
-        if policy.stores_at == "after_date_fill":
-            # Dates of other stores feed the fill, their sales do not.
-            sales = sales.fill(["Date"]).apply(keep_stores)
-            columns.remove("Date")
         if policy.zero_is_missing:
             sales = sales.apply(
                 lambda df: df.withColumn("Weekly_Sales", zero_to_null(F.col("Weekly_Sales")))
             )
-        sales = sales.fill(columns, when)
+        carry = {}
+        if policy.stores_at == "after_date_fill":
+            # Dates of other stores feed the fill, their sales do not: one walk for both.
+            carry = {c: F.col("Store_ID").isin(*policy.stores) for c in columns if c != "Date"}
+        sales = sales.fill(columns, when, carry, shared=_asked(sales))
+        if policy.stores_at == "after_date_fill":
+            sales = sales.apply(keep_stores)
     if policy.require_truthy:
         sales = sales.apply(lambda df: require_truthy(df, policy.require_truthy))
     return sales.apply(lambda df: df.drop(_FILL_DATE, _FILL_SALES))
 
 
+def _asked(table: OrderedTable) -> list[str]:
+    """The columns that the clean output is made from, as far as a table has them."""
+    needed = {KEY, "Date", *CLEAN_FIELDS}
+    return [c for c in table.columns if c in needed or c.startswith(("__", _RIGHT))]
+
+
 def _selected(wanted: tuple[str, ...] | str, table: OrderedTable) -> list[str]:
     present = [c for c in table.columns if c != KEY and not c.startswith("__")]
     return present if wanted == ALL else [c for c in wanted if c in present]
@@ -219,7 +238,7 @@ def _join(policy: Policy, left: OrderedTable, right: OrderedTable) -> OrderedTab
 
 
 def _outputs(
-    policy: Policy, joined: DataFrame, threshold: float, exact_scale: int | None
+    policy: Policy, joined: DataFrame, threshold: float, exact_scale: int | None, metrics: StageMetrics
 ) -> FlowResult:
     holiday = {
         "keep": F.col("IsHoliday"),
@@ -231,6 +250,7 @@ def _outputs(
     keyed = merged.select(KEY, *[month if c == "Month" else c for c in CLEAN_FIELDS])
     if policy.threshold_on == "both":
         keyed = above_threshold(keyed, "Weekly_Sales", threshold)
+    keyed = metrics.watch(keyed, "clean")
     clean = keyed.drop(KEY)
     return FlowResult(clean, average(policy, clean, threshold, exact_scale), keyed, merged)
 

@@ -13,10 +13,14 @@ from tidemark.operators.rows import round_floats
 from tidemark.plans.flow import FlowResult, average
 from tidemark.plans.policy import Policy
 from tidemark.schemas import KEY, SALES_THRESHOLD
-from tidemark.session import discard, scratch_path
+from tidemark.session import scratch_path, scratch_scope
 from tidemark.sinks.files import write_csv, write_csv_headerless, write_csv_indexed
 from tidemark.sinks.outputs import Output, run_if_incomplete
-from tidemark.sinks.tables import write_table
+from tidemark.sinks.tables import Replacement, replace_tables
+
+
+# How files without a header spell NULL.
+HEADERLESS_NULL = "None"
 
 
 @dataclass(frozen=True)
@@ -42,20 +46,19 @@ def publish(
     """Clean rows and means are written once each, every output reads those copies, and they go at the end.
 
     Caching would lose its blocks with their executors and then recompute fill and join; a
-    written table does not.
+    written table does not. The first write fills ``result.metrics``. Both tables switch together, after the
+    files are there; every output notes what it holds.
     """
-    path, means_path = scratch_path(spark, f"clean-{policy.name}"), scratch_path(spark, f"means-{policy.name}")
-    try:
+    with scratch_scope(spark):
+        path, means_path = scratch_path(spark, f"clean-{policy.name}"), scratch_path(spark, f"means-{policy.name}")
         result.keyed.write.parquet(path)
+        result.metrics.fill()
         keyed = spark.read.schema(result.keyed.schema).parquet(path)
         means = average(policy, keyed.drop(KEY), threshold, exact_scale)
         # One row per month.
         means.coalesce(1).write.parquet(means_path)
         means = spark.read.schema(means.schema).parquet(means_path)
         _write_all(policy, keyed, means, targets)
-    finally:
-        discard(spark, path)
-        discard(spark, means_path)
 
 
 def _write_all(policy: Policy, keyed: DataFrame, means: DataFrame, targets: Targets) -> None:
@@ -64,52 +67,61 @@ def _write_all(policy: Policy, keyed: DataFrame, means: DataFrame, targets: Targ
         if policy.files == "indexed":
             write_csv_indexed(
                 keyed.withColumnRenamed(KEY, "__key"), targets.clean_csv, "__key",
-                policy.index_name, policy.index_start, drop=["__key"],
+                policy.index_name, policy.index_start, drop=["__key"], schema=_in_file(policy, clean.schema),
             )
         else:
-            _write_plain(policy, clean, targets.clean_csv)
+            _write_plain(policy, clean, targets.clean_csv, clean.schema)
     if targets.aggregate_csv:
         _write_means(policy, means, targets.aggregate_csv)
-    for df, table, location in (
-        (clean, targets.clean_table, targets.clean_location),
-        (means, targets.aggregate_table, targets.aggregate_location),
-    ):
-        if table:
-            stored = round_floats(df) if policy.round_tables else df
-            write_table(stored, table, df.schema, location)
+    tables = [
+        Replacement(round_floats(df) if policy.round_tables else df, table, df.schema, location)
+        for df, table, location in (
+            (clean, targets.clean_table, targets.clean_location),
+            (means, targets.aggregate_table, targets.aggregate_location),
+        )
+        if table
+    ]
+    replace_tables(keyed.sparkSession, tables)
 
 
-def _write_plain(policy: Policy, df: DataFrame, path: str) -> None:
+def _in_file(policy: Policy, schema: T.StructType) -> T.StructType:
+    """The columns of an output's files."""
+    index = [T.StructField(policy.index_name, T.LongType())] if policy.files == "indexed" else []
+    return T.StructType([*index, *schema.fields])
+
+
+def _write_plain(policy: Policy, df: DataFrame, path: str, schema: T.StructType) -> None:
     if policy.files == "headerless":
-        write_csv_headerless(df, path)
+        write_csv_headerless(df, path, HEADERLESS_NULL, schema)
     else:
-        write_csv(df, path)
+        write_csv(df, path, schema)
 
 
 def _write_means(policy: Policy, means: DataFrame, path: str) -> None:
+    schema = means.schema
     if policy.fixed_averages:
         text = fixed_point(F.col(policy.average_column), policy.decimals)
         means = means.withColumn(policy.average_column, text)
     if policy.files == "indexed":
         write_csv_indexed(
-            means, path, policy.month_column, policy.index_name, policy.index_start, single_file=True
+            means, path, policy.month_column, policy.index_name, policy.index_start, single_file=True,
+            schema=_in_file(policy, schema),
         )
     else:
-        _write_plain(policy, means, path)
+        _write_plain(policy, means, path, schema)
 
 
 def expected_outputs(policy: Policy, result: FlowResult, targets: Targets) -> list[Output]:
     header = policy.files != "headerless"
 
-    def in_file(schema: T.StructType) -> T.StructType:
-        index = [T.StructField(policy.index_name, T.LongType())] if policy.files == "indexed" else []
-        return T.StructType([*index, *schema.fields])
+    null = None if header else HEADERLESS_NULL
+    order = (policy.index_name,) if policy.files == "indexed" else ()
 
     clean, means = result.clean.schema, result.aggregate.schema
     wanted = [
         # Sales may all be below the threshold.
-        Output("clean_csv", targets.clean_csv, "csv", in_file(clean), header, may_be_empty=True),
-        Output("aggregate_csv", targets.aggregate_csv, "csv", in_file(means), header, may_be_empty=True),
+        Output("clean_csv", targets.clean_csv, "csv", _in_file(policy, clean), header, True, null, order),
+        Output("aggregate_csv", targets.aggregate_csv, "csv", _in_file(policy, means), header, True, null, order),
         Output("clean_table", targets.clean_table, "table", clean, may_be_empty=True),
         Output("aggregate_table", targets.aggregate_table, "table", means, may_be_empty=True),
     ]
@@ -117,11 +129,15 @@ def expected_outputs(policy: Policy, result: FlowResult, targets: Targets) -> li
 
 
 def publish_if_incomplete(
-    spark: SparkSession, policy: Policy, result: FlowResult, targets: Targets, **options
+    spark: SparkSession, policy: Policy, result: FlowResult, targets: Targets, contents: bool = True, **options
 ) -> bool:
-    """Publish unless all targets are in order already; True if anything was written."""
+    """Publish unless all targets are in order already; True if anything was written.
+
+    With ``contents`` outputs count as in order only if they hold, row for row, what was noted when they were written.
+    """
     return run_if_incomplete(
         spark,
         expected_outputs(policy, result, targets),
         lambda: publish(spark, policy, result, targets, **options),
+        contents,
     )

@@ -6,6 +6,9 @@ import math
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -18,7 +21,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Lets a join on (block, key) reuse the shuffle the fill already did on (block),
-    # see operators/fill.py. Blocks are size-bounded, so this cannot pile rows up.
+    # see operators/fill.py. Blocks are bounded as operators/blocks.py says, so this cannot pile rows up.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
@@ -49,11 +52,33 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     one temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    owned = _OWNED.get()
     if not shared:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = _own_folder()
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+# Paths of the innermost open scratch_scope.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at the end, also those that results still need when an
+    operator returns. For callers that write or collect what they make before they leave."""
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            discard(spark, path)
 
 
 @cache
@@ -61,8 +86,25 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
 
 
+def _on_file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a scratch table that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, system = _on_file_system(spark, path)
+    system.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, system = _on_file_system(spark, path)
+    return system.exists(target)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    target, system = _on_file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(target) if status.isDirectory())

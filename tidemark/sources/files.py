@@ -50,6 +50,58 @@ def read_csv_positional(
     )
 
 
+# Never in a file, so a line is one field.
+_NO_SEPARATOR, _NO_QUOTE = "\uffff", "\ufffe"
+# A field is quoted, with quotes inside doubled, or has no quote.
+_FIELD = '(?:"(?:[^"]|"")*+"|[^",]*+)'
+
+
+def read_csv_checked(
+    spark: SparkSession,
+    path: str,
+    names: Sequence[str],
+    header: bool = True,
+    keep_blank: bool = True,
+    short_lines: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): text fields by position as ``read_csv_positional`` reads them, and the lines that don't fit.
+
+    A rejected line keeps its file, the offset of the split that it was read from, its text and a reason: ``quotes`` that
+    don't close or stand within a field, ``surplus fields``, and, unless ``short_lines`` are taken with NULL for what they
+    lack, ``missing fields``. Blank lines are no rows. A record is a line; files with line breaks inside quotes aren't
+    for this reader, which rejects both halves.
+    """
+    lines = (
+        spark.read.option("header", header)
+        .option("enforceSchema", True)
+        .option("sep", _NO_SEPARATOR)
+        .option("quote", _NO_QUOTE)
+        .schema("line string")
+        .csv(path)
+        .select(
+            F.col("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("offset"),
+        )
+    )
+    # Quoted fields out, commas are ends of fields.
+    bare = F.regexp_replace("line", '"(?:[^"]|"")*+"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    reason = (
+        F.when(~F.col("line").rlike(f"^{_FIELD}(?:,{_FIELD})*+$"), "quotes")
+        .when(fields > len(names), "surplus fields")
+        .when(F.lit(not short_lines) & (fields < len(names)), "missing fields")
+    )
+    judged = lines.where("line is not null").withColumns({"fields": fields, "reason": reason})
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    good = judged.where(F.col("reason").isNull()).select("fields", F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {"escape": '"'}).alias("row"))
+    values = []
+    for i, name in enumerate(names):
+        value = F.col(f"row.c{i}")
+        if keep_blank:
+            value = F.when(value.isNull() & (F.col("fields") > i), F.lit("")).otherwise(value)
+        values.append(value.alias(name))
+    return good.select(*values), judged.where(F.col("reason").isNotNull()).select("file", "offset", "line", "reason")
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet by suffix, anything else as CSV with a header; any file system Spark knows.
 
