@@ -92,16 +92,46 @@ def test_filter_does_not_pass_the_fill(spark, sf_dir):
 
 def test_mean_combines_before_the_shuffle(spark, sf_dir):
     orders = inputs.table(spark, sf_dir, "orders").withColumn("month", F.month("o_orderdate"))
-    for scale in (None, 2):
-        text = plan(aggregates.mean_by(orders, "month", "o_totalprice", "average", exact_scale=scale))
-        (under,) = below(text, "Exchange hashpartitioning(month")
-        assert "HashAggregate" in under.split("\n")[0] and "partial_" in under.split("\n")[0]
+    text = plan(aggregates.mean_by(orders, "month", "o_totalprice", "average", exact_scale=2))
+    (under,) = below(text, "Exchange hashpartitioning(month")
+    assert "HashAggregate" in under.split("\n")[0] and "partial_" in under.split("\n")[0]
+
+
+def test_exact_mean_of_doubles_combines_before_the_shuffle(spark, sf_dir):
+    """Rows shuffle as sums by group and power; what is gathered is a row for each power."""
+    orders = inputs.table(spark, sf_dir, "orders").withColumn("month", F.month("o_orderdate"))
+    text = plan(aggregates.mean_by(orders, "month", "o_totalprice", "average"))
+    assert "SortAggregate" not in text and "Python" not in text
+    rows = [u for u in below(text, "Exchange hashpartitioning(month") if "FileScan" in u]
+    assert all("HashAggregate" in u.split("\n")[0] and "partial_" in u.split("\n")[0] for u in rows)
 
 
 def test_first_per_key_combines_before_the_shuffle(spark, sf_dir):
     text = plan(joins.first_per_key(inputs.lines(spark, sf_dir), "index", inputs.LINE_ORDER))
     (under,) = below(text, "Exchange hashpartitioning(index")
-    assert "partial_min" in under.split("\n")[0]
+    assert "WindowGroupLimit" in under.split("\n")[0] and "Partial" in under.split("\n")[0]
+    assert "SortAggregate" not in text
+
+
+def test_no_sort_aggregate_in_first_rows_and_text_tails(spark, sf_dir):
+    assert "SortAggregate" not in plan(contract.queries()["cogroup_first_left"](spark, sf_dir))
+    events = inputs.dirty_events(spark, sf_dir)
+    assert "SortAggregate" not in plan(forward_fill(events, ["event_type", "value"], "event_id", rows_per_block=100))
+
+
+def executed(df) -> str:
+    """The plan that ran, with what it reused."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["flow_drop_then_fill_blocks_clean", "flow_zero_repair_blocks_clean", "flow_validated_blocks_clean"])
+def test_a_flow_walks_each_table_once(spark, sf_dir, no_auto_broadcast, name):
+    """Rows and the last values of blocks come from one shuffle: a scan for each table, one join of the two."""
+    text = executed(contract.queries()[name](spark, sf_dir))
+    assert text.count("Scan parquet") == 2
+    assert len(re.findall(r"SortMergeJoin[^\n]*index#", text)) == 1
+    assert "ReusedExchange" in text
 
 
 @pytest.mark.parametrize("name", sorted(n for n in contract.queries() if n.startswith("flow_") and "published" not in n))
@@ -118,22 +148,14 @@ def test_left_join_reads_only_projected_columns(spark, sf_dir):
         "o_orderkey:bigint,o_totalprice:double", "l_orderkey:bigint,l_extendedprice:double"}
 
 
-def test_fill_after_block_join_needs_no_further_shuffle_or_sort(spark, sf_dir, no_auto_broadcast):
-    text = plan(contract.queries()["flow_drop_then_fill_blocks_clean"](spark, sf_dir))
-    window = text.find("Window [last(")
-    join = text.find("SortMergeJoin [__block", window)
-    assert 0 < window < join < text.find("Exchange", window)
-    assert "Sort [" not in text[window:join]
-
-
 def test_text_carry_is_not_forced_into_a_broadcast(spark, sf_dir, no_auto_broadcast):
     """Its rows are bounded, its size is not; the join then uses the layout of the fill."""
     events = inputs.dirty_events(spark, sf_dir)
     assert "BroadcastHashJoin" in plan(forward_fill(events, ["value"], "event_id", rows_per_block=100))
     text = plan(forward_fill(events, ["event_type"], "event_id", rows_per_block=100))
-    assert "BroadcastHashJoin" not in text
-    (under,) = below(text, "SortMergeJoin")
-    assert "Window" in "".join(under.split("\n")[:3])
+    joins_of_texts = [u for u in re.findall(r"\n[^\n]*Join[^\n]*", text) if "__carry_" in u]
+    assert any("SortMergeJoin" in j for j in joins_of_texts)
+    (under,) = [u for u in below(text, "SortMergeJoin") if "Window" in "".join(u.split("\n")[:3])]
     assert "Exchange" not in "".join(under.split("\n")[:3])
 
 

@@ -162,3 +162,19 @@ def busy_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by day, of which one holds a third of all, in the total order (day, event_id)."""
     day = F.when(every(F.col("event_id"), 3), F.lit(40)).otherwise(F.col("event_id") % 90)
     return dirty_events(spark, sf_dir).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), day.cast("int")))
+
+
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a sales file, some with a field too many, one too few, or quotes that don't close."""
+    key = F.col("o_orderkey")
+    store, price = (F.col("o_custkey") % 5).cast("string"), F.col("o_totalprice").cast("string")
+    line = F.concat_ws(",", key.cast("string"), store, F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('"7, or ""8"""'), price)
+    cut = F.concat_ws(",", key.cast("string"), store, F.lit("2024-01-01"))
+    return table(spark, sf_dir, "orders").select(
+        F.when(every(key, 41), F.concat(line, F.lit(",more")))
+        .when(every(key, 43), cut)
+        .when(every(key, 47), F.concat(cut, F.lit(',"7,'), price))
+        .when(every(key, 53), F.concat(cut, F.lit(',7 "or" 8,'), price))
+        .otherwise(line)
+        .alias("value")
+    )

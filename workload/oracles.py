@@ -244,7 +244,7 @@ FROM lineitem"""
 
 # --- aggregates ----------------------------------------------------------------------------
 
-ORACLES["agg_monthly_avg"] = f"""SELECT {month('o_orderdate')} AS month, round(avg(o_totalprice), 2) AS average
+ORACLES["agg_monthly_avg"] = f"""SELECT {month('o_orderdate')} AS month, {exact_mean('o_totalprice')} AS average
 FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > {T} GROUP BY 1 ORDER BY 1"""
 ORACLES["agg_monthly_avg_sum_count"] = _MONTHLY
 ORACLES["agg_monthly_avg_whole"] = f"""WITH m AS (SELECT {month('o_orderdate')} AS month,
@@ -620,3 +620,49 @@ dated AS (SELECT row_number() OVER (ORDER BY "Date", "index") - 1 AS "index", "S
   {_cents('"Weekly_Sales"')} AS "Weekly_Sales", {_cents('"CPI"')} AS "CPI", {_cents('"Unemployment"')} AS "Unemployment"
   FROM joined WHERE "Store_ID" IN (1, 2) AND "Date" IS NOT NULL AND "Weekly_Sales" > {T})
 SELECT * FROM dated"""
+
+
+# --- replaced tables, contents and order of outputs, exact numbers, stages of a flow ----------
+
+ORACLES["sink_table_failed_replace"] = _MEASURES
+ORACLES["sink_tables_switch_together"] = f"""WITH m AS ({_MEASURES})
+SELECT o_orderstatus, count(*) AS rows, {exact_mean('o_totalprice')} AS mean FROM m GROUP BY o_orderstatus"""
+ORACLES["sink_order_check"] = """SELECT output, rows, in_order FROM (SELECT count(*) AS rows FROM orders),
+  (VALUES ('indexed', true), ('by price', false), ('its own order', true)) AS t(output, in_order)"""
+ORACLES["validate_output_contents"] = """SELECT output, n + more AS rows, n AS written, problem FROM (SELECT count(*) AS n FROM orders),
+  (VALUES ('as written', 0, NULL), ('text in a column', 0, 'not of its type: o_totalprice'), ('rows lost', -1, 'rows'),
+    ('file twice', 1, 'rows')) AS t(output, more, problem)"""
+# Whole numbers of 2**-60: every scaled price is one.
+ORACLES["agg_mean_any_double"] = f"""WITH s AS (SELECT {month('o_orderdate')} AS month,
+  CAST(o_totalprice * pow(2.0, o_orderkey % 21 - 10) * pow(2.0, 60) AS HUGEINT) AS units FROM orders),
+g AS (SELECT month, CAST(sum(units) AS HUGEINT) AS units, count(*) * CAST(pow(2.0, 60) AS HUGEINT) AS one FROM s GROUP BY month)
+SELECT month, CAST((200 * units + one) // (2 * one) AS DOUBLE) / 100.0 AS average FROM g"""
+ORACLES["round_binary_exact"] = """WITH t AS (SELECT o_orderkey,
+  CAST(floor(o_totalprice) AS BIGINT) * 1000 + (o_orderkey % 8) * 125 AS thousandths FROM orders)
+SELECT o_orderkey, CAST(thousandths // 10 + CASE WHEN thousandths % 10 > 5 OR (thousandths % 10 = 5 AND (thousandths // 10) % 2 = 1)
+    THEN 1 ELSE 0 END AS DOUBLE) / 100.0 AS eighths,
+  CAST(o_orderkey % 1000 + (o_orderkey % 1000) % 2 AS DOUBLE) AS halves FROM t"""
+ORACLES["scan_csv_rejects"] = """WITH b AS (SELECT *, CAST(o_custkey % 5 AS VARCHAR) AS store, CAST(o_totalprice AS VARCHAR) AS price,
+  concat_ws(',', CAST(o_orderkey AS VARCHAR), CAST(o_custkey % 5 AS VARCHAR), '2024-01-01') AS cut FROM orders),
+l AS (SELECT *, concat_ws(',', CAST(o_orderkey AS VARCHAR), store, strftime(o_orderdate, '%Y-%m-%d'), '"7, or ""8\"""', price) AS whole FROM b),
+r AS (SELECT store, CASE WHEN o_orderkey % 41 = 0 THEN whole || ',more' WHEN o_orderkey % 43 = 0 THEN cut
+    WHEN o_orderkey % 47 = 0 THEN cut || ',"7,' || price WHEN o_orderkey % 53 = 0 THEN cut || ',7 "or" 8,' || price END AS line,
+  CASE WHEN o_orderkey % 41 = 0 THEN 'surplus fields' WHEN o_orderkey % 43 = 0 THEN 'missing fields'
+    WHEN o_orderkey % 47 = 0 OR o_orderkey % 53 = 0 THEN 'quotes' END AS reason FROM l)
+SELECT line, reason FROM r WHERE reason IS NOT NULL
+UNION ALL SELECT 'store ' || store, CAST(count(*) AS VARCHAR) FROM r WHERE reason IS NULL GROUP BY store"""
+
+
+def _stage(stage: str, rows: str, gaps: tuple[str, ...] = ()) -> str:
+    parts = [f"SELECT '{stage}' AS stage, 'rows' AS metric, count(*) AS total FROM {rows}"]
+    parts += [f"SELECT '{stage}', 'nulls_{c}', CAST(count_if({g} IS NULL) AS BIGINT) FROM {rows}" for c, g in ((g.strip('"'), g) for g in gaps)]
+    return " UNION ALL ".join(parts)
+
+
+_DATED = ('"Date"', '"Weekly_Sales"')
+ORACLES["flow_stage_metrics"] = f"""WITH {_VALIDATED},
+accepted AS (SELECT * FROM typed WHERE "index" IS NOT NULL AND "Store_ID" IS NOT NULL),
+parsed AS (SELECT "CPI", {_NUMBER} AS "Unemployment" FROM economic_lines)
+{_stage("sales", "accepted", _DATED)} UNION ALL {_stage("economic", "parsed", ('"CPI"', '"Unemployment"'))}
+UNION ALL {_stage("repaired", "merged", _DATED)} UNION ALL {_stage("joined", "merged", (*_DATED, '"CPI"', '"Unemployment"'))}
+UNION ALL {_stage("clean", "merged")}"""

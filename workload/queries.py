@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from tidemark.operators.index import row_index
 from tidemark.plans import flow, policy, publish, statements
 from tidemark.session import scratch_path, tune
 from tidemark.sinks import files as csv_sinks
-from tidemark.sinks import outputs
+from tidemark.sinks import contents, outputs, tables
 from tidemark.sinks.tables import write_table
 from tidemark.sources import files
 from workload import inputs
@@ -25,7 +26,6 @@ from workload.inputs import LINE_ORDER, THRESHOLD
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-# Blocks this small make the given tables large enough for the block-wise plans.
 # Blocks that a table of the block-wise queries is cut into, whatever its size.
 BLOCKS = 7
 
@@ -74,6 +74,18 @@ def scan_csv_positional(spark, sf_dir):
     return files.read_csv_positional(spark, path, schemas.SALES_FIELDS)
 
 
+@query
+def scan_csv_rejects(spark, sf_dir):
+    """Lines of a sales file some of which are broken: how many are read, and those that are not, with why."""
+    path = scratch_path(spark, "broken-csv")
+    inputs.broken_lines(spark, sf_dir).write.text(path)
+    good, rejected = files.read_csv_checked(spark, path, schemas.SALES_FIELDS, header=False, short_lines=False)
+    placed = F.col("file").endswith(".txt") & (F.col("offset") >= 0)
+    return rejected.where(placed).select("line", "reason").union(
+        good.groupBy("Store_ID").agg(F.count("index").cast("string").alias("n")).select(F.concat(F.lit("store "), "Store_ID"), "n")
+    )
+
+
 @query
 def scan_dispatch(spark, sf_dir):
     path = scratch_path(spark, "customer-csv")
@@ -579,7 +591,7 @@ def agg_monthly_avg(spark, sf_dir):
         )
     )
     kept = rows.above_threshold(orders, "o_totalprice", THRESHOLD)
-    return aggregates.mean_by(kept, "month", "o_totalprice", "average").orderBy("month")
+    return aggregates.mean_by(kept, "month", "o_totalprice", "average", exact_scale=2).orderBy("month")
 
 
 @query
@@ -703,6 +715,79 @@ def row_index_per_key_blocks(spark, sf_dir):
     ).select("index", "o_orderkey", "o_orderstatus")
 
 
+@query
+def sink_order_check(spark, sf_dir):
+    """Files of a sharded indexed output, and of the same rows laid out by another column: are they in order?"""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate", "o_totalprice")
+    sorted_path, other = scratch_path(spark, "sorted-csv"), scratch_path(spark, "unsorted")
+    csv_sinks.write_csv_indexed(orders, sorted_path, "o_orderkey", rows_per_block=_block(orders))
+    orders.repartitionByRange(3, "o_totalprice").sortWithinPartitions("o_totalprice").write.parquet(other)
+    read = spark.read.schema("index long, o_orderkey long, o_orderdate string, o_totalprice double").option("header", True).csv(sorted_path)
+
+    def checked(df, by, name):
+        in_order = (F.col("breaks_within") == 0) & (F.col("breaks_between") == 0)
+        return quality.check_sorted(df, by).select(F.lit(name).alias("output"), "rows", in_order.alias("in_order"))
+
+    return checked(read, ["index", "o_orderkey"], "indexed").union(checked(spark.read.parquet(other), "o_orderkey", "by price")).union(
+        checked(spark.read.parquet(other), "o_totalprice", "its own order")
+    )
+
+
+@query
+def agg_mean_any_double(spark, sf_dir):
+    """Mean of doubles of very different sizes, to the last bit."""
+    scaled = F.col("o_totalprice") * F.pow(F.lit(2.0), (F.col("o_orderkey") % 21 - 10).cast("double"))
+    return aggregates.mean_by(_monthly(_orders(spark, sf_dir)).withColumn("scaled", scaled), "month", "scaled", "average")
+
+
+@query
+def round_binary_exact(spark, sf_dir):
+    """Eighths and thousandths at two places: ties to even where the double is one, else to the nearer."""
+    eighths = F.floor(F.col("o_totalprice")) + (F.col("o_orderkey") % 8) / 8.0
+    halves = F.col("o_orderkey") % 1000 + 0.5
+    return _orders(spark, sf_dir).select(
+        "o_orderkey", numbers.round_to(eighths, 2, "half_even_binary").alias("eighths"), numbers.round_to(halves, 0, "half_even_binary").alias("halves")
+    )
+
+
+@query
+def sink_table_failed_replace(spark, sf_dir):
+    """A table of which a replacement fails while it is written, and another one breaks its contract: the old rows."""
+    table, location = f"{_catalog_schema(spark)}.failed_replace", scratch_path(spark, "failed-replace")
+    measures = _measures(spark, sf_dir)
+    tables.drop_table(spark, table)
+    tables.write_table(measures, table, _MEASURES, location=location)
+    last = measures.agg(F.max("o_orderkey")).first()[0]
+    broken = measures.withColumn("o_totalprice", F.when(F.col("o_orderkey") < last, F.col("o_totalprice")).otherwise(F.raise_error(F.lit("one row fails"))))
+    gaps = tables.Replacement(measures.withColumn("o_orderstatus", F.lit(None)), table, _MEASURES, location, required=("o_orderstatus",))
+    for attempt in (lambda: tables.write_table(broken, table, _MEASURES, location=location), lambda: tables.replace_tables(spark, [gaps])):
+        try:
+            attempt()
+        except (PySparkException, tables.ContractBroken):
+            continue
+        raise AssertionError("the replacement should have failed")
+    return spark.table(table)
+
+
+@query
+def sink_tables_switch_together(spark, sf_dir):
+    """Two tables replaced twice; the second time one of them breaks its contract, and neither changes."""
+    schema, measures = _catalog_schema(spark), _measures(spark, sf_dir)
+    clean, means = f"{schema}.together_clean", f"{schema}.together_means"
+    for table in (clean, means):
+        tables.drop_table(spark, table)
+    means_of = aggregates.mean_by(measures, "o_orderstatus", "o_totalprice", "mean", exact_scale=2)
+    tables.replace_tables(spark, [tables.Replacement(measures, clean, _MEASURES), tables.Replacement(means_of, means, means_of.schema)])
+    try:
+        tables.replace_tables(spark, [
+            tables.Replacement(measures.limit(0), clean, _MEASURES),
+            tables.Replacement(means_of.limit(0), means, means_of.schema, may_be_empty=False),
+        ])
+    except tables.ContractBroken:
+        return spark.table(clean).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows")).join(spark.table(means), "o_orderstatus")
+    raise AssertionError("the replacement should have failed")
+
+
 # --- quality and run control ---------------------------------------------------------------
 
 
@@ -727,6 +812,32 @@ def validate_outputs(spark, sf_dir):
     return outputs.check_outputs(spark, _written_outputs(spark, sf_dir))
 
 
+@query
+def validate_output_contents(spark, sf_dir):
+    """Outputs that were changed after they were written: a text in a numeric column, a file that lost its end, and a
+    file that is there twice; and one that is as written."""
+    measures = _measures(spark, sf_dir).select("o_orderkey", "o_totalprice")
+    schema = measures.schema
+    found = []
+    for name in ("as written", "text in a column", "rows lost", "file twice"):
+        path, changed = scratch_path(spark, "content"), scratch_path(spark, "content-changed")
+        csv_sinks.write_csv(measures.repartition(3), path, schema)
+        note = contents.noted(spark, path)
+        stored = spark.read.option("header", True).csv(path)
+        first = stored.agg(F.min(F.col("o_orderkey").cast("long"))).first()[0]
+        own = F.col("o_orderkey") == first
+        if name == "text in a column":
+            stored = stored.withColumn("o_totalprice", F.when(own, F.lit("n/a")).otherwise(F.col("o_totalprice")))
+        elif name == "rows lost":
+            stored = stored.where(~own)
+        elif name == "file twice":
+            stored = stored.union(stored.where(own))
+        csv_sinks.write_csv(stored, changed)
+        contents.record(spark, changed, {"rows": note[0], "checksum": note[1]})
+        found.append(outputs.Output(name, changed, "csv", schema))
+    return outputs.check_contents(spark, found)
+
+
 @query
 def missing_outputs(spark, sf_dir):
     """Of some written outputs those that are absent or of another shape, with the rows of the sound ones."""
@@ -801,6 +912,17 @@ def conversion_error_counts(spark, sf_dir):
     )
 
 
+@query
+def flow_stage_metrics(spark, sf_dir):
+    """Rows and gaps at the stages of the validated flow, counted by the job that publishes it."""
+    result = flow.run(
+        policy.VALIDATED, inputs.sales(spark, sf_dir, bad_keys=True), inputs.economic_lines(spark, sf_dir),
+        threshold=THRESHOLD, economic_order=["index", *LINE_ORDER], rows_per_block=_block(_orders(spark, sf_dir)), watch=True,
+    )
+    publish.publish(spark, policy.VALIDATED, result, publish.Targets(), THRESHOLD)
+    return result.metrics.table(spark)
+
+
 # --- SQL -----------------------------------------------------------------------------------
 
 
