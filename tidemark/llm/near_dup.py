@@ -147,6 +147,7 @@ def _registers(values, m: int = M) -> np.ndarray:
 
 
 _BANDED = pa.schema([("band", pa.int64()), ("rep", pa.int64())])
+_NAMED = pa.schema([("band", pa.int64()), ("rep", pa.int64()), ("label", pa.int64())])
 
 
 def _bands(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -155,6 +156,13 @@ def _bands(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(hashed.reshape(-1)), pa.array(np.repeat(ids, BANDS))], schema=_BANDED)
 
 
+def _labelled_bands(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows (rep, label, sketch): a row for each band."""
+    hashed = band_hashes(_registers(batch.column(2).to_pylist()))
+    reps, labels = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), BANDS) for i in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(hashed.reshape(-1)), pa.array(reps), pa.array(labels)], schema=_NAMED)
+
+
 def _collision(x: np.ndarray) -> np.ndarray:
     return -np.log1p(-x * (BASE - 1) / BASE) / np.log(BASE)
 
@@ -380,15 +388,17 @@ def link(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFr
         # bucket has more members and several components.
         tried: DataFrame | None = None
         most = BEST
-        unsettled = buckets.where("members > 2 and rep <> hub").select("band", "rep", "members")
-        open_bands = unsettled.select("band")
+        open_bands: DataFrame | None = None
         while True:
+            # Labels meet documents, one row each, and bands are made from these anew.
             at = labels.select(F.col("node").alias("rep"), "label")
-            named = unsettled.join(open_bands.distinct(), "band").join(at, "rep", "left")
-            named = named.select("band", "rep", "members", F.coalesce("label", "rep").alias("label"))
-            named = scratch.write(named, "named", few=True)
-            mixed = named.groupBy("band").agg(F.min("label").alias("low_label"), F.max("label").alias("high_label"))
-            mixed = mixed.where("low_label < high_label").select("band")
+            current = reps.join(at, "rep", "left").select("rep", F.coalesce("label", "rep").alias("label"), "sketch")
+            named = current.mapInArrow(per_slice(_labelled_bands, 2000), "band long, rep long, label long")
+            if open_bands is not None:
+                named = named.join(open_bands.distinct(), "band")
+            named = scratch.write(named, "named")
+            mixed = named.groupBy("band").agg(F.min("label").alias("low_label"), F.max("label").alias("high_label"), F.count("*").alias("members"))
+            mixed = mixed.where("low_label < high_label").select("band", "members")
             parts = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
             rows = named.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("rep"), parts).cast("int"))
             rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
