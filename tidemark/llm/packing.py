@@ -1,18 +1,23 @@
 """Best-fit packing by hierarchical residual packing.
 
 Texts are tokenized once; pieces (document, place, length, checksum) are written, and only lengths are packed.
-In the first round every task packs runs of its own pieces by best fit, longest first. Bins that are nearly
+They are dealt to tasks by a hash, a few bytes a piece, so that every task gets lengths of all kinds however the texts
+lie. In the first round every task packs runs of its own pieces by best fit, longest first. Bins that are nearly
 full are done. The others are items of the next round, in which a task gets the bins of several tasks: a tree
 whose levels hold fewer and fewer tasks, until one task has all that is left or a round no longer joins
 anything. Bins are items like pieces, so a round only adds (bin, parent bin, offset) rows, and a piece finds its
 place by following its bins upwards.
 
+Rounds stop when one joins less than one in ``STALLED`` items, or after ``MOST_ROUNDS``; no piece is lost then, but bins
+that are left could still be joined: of the bins of the last round less than one in ``STALLED`` fewer, as a rule.
+
 A task holds at most ``RUN_ITEMS`` items (of a few bytes) at a time, whatever the size of the corpus: a longer
 partition is packed run by run. Every round is written, so a lost executor repeats tasks of one round only.
 
 Defined results: a null text is empty and is its end id alone. Rows with equal ``doc_id`` are documents of their
 own, told apart by nothing but their places. A text of more than ``size`` ids is cut into whole pieces of that
-size and a rest. An empty table gives no rows. Other columns are not read.
+size and a rest; very long texts are tokenized whole, one at a time. An empty table gives no rows. Other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -139,8 +144,9 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = END, run_
         # Where each piece stands: (item, node, offset), its node being its highest bin so far.
         rounds: list[DataFrame] = []
         tasks = items.rdd.getNumPartitions()
+        items = items.repartition(tasks, "item")
         for number in range(MOST_ROUNDS):
-            # What several tasks have left over meets in one: neighbours are read together, nothing is shuffled.
+            # What several tasks have left over meets in one: files are read together, nothing is shuffled.
             items = items.coalesce(tasks) if number else items
             placed = scratch.write(items.mapInArrow(_pack(size, number, run_items), _PLACED), f"round{number}")
             rounds.append(placed)
