@@ -4,7 +4,9 @@ Rules judge what they fit; the longest wins. Every other url gets the verdict of
 personalised PageRank that starts at the hosts most of whose pages an allowing rule judges, distrust one over
 reversed links that starts at those most of whose pages a blocking rule judges (who links to blocked hosts takes
 part in them). A host is blocked if its
-distrust is at least ``THRESHOLD`` and greater than its trust, each as a multiple of an even share of all hosts.
+distrust is greater than its trust, both as multiples of an even share of all hosts, and at least ``THRESHOLD`` of what
+a blocked seed gets back at each restart: seeds themselves have that at least, a host that links to one blocked host and
+nothing else has most of it, one that links to four and to sixteen others about a fifth.
 
 The ranks iterate over host edges, pre-aggregated from the links of all pages: an edge counts once however many
 links make it, so a host with a third of all pages sends few rows. Each round joins ranks to edges and sums per
@@ -13,7 +15,7 @@ target; a round is written, and the same number of rounds runs at every size.
 Defined results: a url that is null or has no ``://`` has empty host and path; a rule fits neither. A host
 without links, or that no seed reaches, has no distrust and is allowed. Links without a host of their own lead to
 the page's host and add no edge. Repeated rows are judged alike; an empty table gives no rows. Null html has no
-links. Other columns are not read.
+links; very long html is read whole. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from tidemark.llm.common import Scratch, fold_case
 
 ROUNDS = 20
 DAMPING = 0.85
-THRESHOLD = 0.5
+# Of a blocked seed's restart.
+THRESHOLD = 0.2
 
 
 @dataclass(frozen=True)
@@ -90,24 +93,25 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def ranks(edges: DataFrame, hosts: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
-          damping: float = DAMPING) -> DataFrame:
-    """host, rank: PageRank that restarts at ``seeds``, scaled so that an even share is 1."""
+          damping: float = DAMPING) -> tuple[DataFrame, float]:
+    """host, rank: PageRank that restarts at ``seeds``, scaled so that an even share is 1; and a seed's restart."""
     out = edges.groupBy("source").agg(F.count("*").alias("links"))
     flows = scratch.write(edges.join(out, "source"), "flows")
     start = scratch.write(seeds.join(hosts, "host", "left_semi").select("host").distinct(), "seeds")
     n, k = hosts.count(), start.count()
-    even = start.select("host", F.lit(n / k if k else 0.0).alias("rank"))
+    restart = (1 - damping) * n / k if k else 0.0
+    again = start.select("host", F.lit(restart).alias("rank"))
     if not k or flows.limit(1).count() == 0:
-        return scratch.write(even, "ranks", keep=True)
-    rank = even
+        # What any number of rounds without links comes to.
+        return scratch.write(again, "ranks", keep=True), restart
+    rank = start.select("host", F.lit(n / k).alias("rank"))
     for number in range(rounds):
         sent = flows.join(rank, F.col("source") == F.col("host")).groupBy("target").agg(
             (F.sum(F.col("rank") / F.col("links")) * damping).alias("rank")
         )
-        again = even.select("host", (F.col("rank") * (1 - damping)).alias("rank"))
         rank = sent.select(F.col("target").alias("host"), "rank").union(again).groupBy("host").agg(F.sum("rank").alias("rank"))
         rank = scratch.write(rank, "ranks", keep=number == rounds - 1)
-    return rank
+    return rank, restart
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = THRESHOLD) -> DataFrame:
@@ -122,9 +126,9 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float =
         own = scratch.write(rows.where("host <> ''").groupBy("host").agg(share("allow"), share("block")), "own")
         hosts = own.select("host").union(edges.select("source")).union(edges.select("target"))
         hosts = scratch.write(hosts.distinct(), "hosts")
-        trust = ranks(edges, hosts, own.where("allow > 0.5"), scratch)
+        trust, _ = ranks(edges, hosts, own.where("allow > 0.5"), scratch)
         back = edges.select(F.col("target").alias("source"), F.col("source").alias("target"))
-        distrust = ranks(back, hosts, own.where("block > 0.5"), scratch)
+        distrust, restart = ranks(back, hosts, own.where("block > 0.5"), scratch)
         scores = hosts.join(trust.withColumnRenamed("rank", "trust"), "host", "left")
         scores = scores.join(distrust.withColumnRenamed("rank", "distrust"), "host", "left")
         scores = scratch.write(
@@ -139,6 +143,6 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float =
         "page_id", "host", "path", "rule", "rule_verdict",
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"),
     )
-    linked = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
+    linked = (F.col("distrust") >= threshold * restart) & (F.col("distrust") > F.col("trust"))
     verdict = F.coalesce("rule_verdict", F.when(linked, F.lit("block")).otherwise(F.lit("allow")))
     return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "trust", "distrust")
