@@ -39,7 +39,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Hashes, Scratch, mix, per_slice, slices
-from tidemark.llm.quality_model import discounts
 
 ORDER = 2
 QUANTILE = 0.995
@@ -49,6 +48,10 @@ LEAST_TRUSTED = 20
 # Few counts can give a discount of 0, by which what training does not have would be impossible.
 LEAST_DISCOUNT = 0.1
 PASSES = 8
+# Parts of the highest order's n-grams that are given their probabilities one after the other.
+PARTS = 4
+# Keys that stand for documents themselves, so many that none is hot.
+_MARKS = 4096
 # A task of the first count hands on what it has when it holds so many n-grams.
 MOST_HELD = 1_000_000
 _STEPS = 1000
@@ -110,6 +113,15 @@ def _count(order: int):
     return run, ", ".join(f"{name} long" for name in [*names, "n"])
 
 
+def discounts(ones: int, twos: int, threes: int, fours: int) -> tuple[float, float, float]:
+    """Of counts 1, 2 and 3 or more, by how many n-grams occur once to four times."""
+    share = ones / (ones + 2 * twos) if ones else 0.0
+    made = []
+    for k, (here, more) in enumerate(((ones, twos), (twos, threes), (threes, fours)), start=1):
+        made.append(min(max(k - (k + 1) * share * more / here, 0.0), float(k)) if here else min(k, 1) * 0.5)
+    return made[0], made[1], made[2]
+
+
 def model(training: DataFrame, scratch: Scratch, order: int = ORDER) -> tuple[DataFrame, float | None]:
     """key, target, context: what an n-gram adds to ln p of a text each time it ends at a token and comes before
     one; and ln p of a token that training does not have, None if it has no token. It reads tables of ``scratch``."""
@@ -122,7 +134,7 @@ def model(training: DataFrame, scratch: Scratch, order: int = ORDER) -> tuple[Da
         n = F.sum("n") if k == order else F.count("*")
         rows = counted if k == order else levels[k + 1]
         levels[k] = scratch.write(rows.groupBy(f"g{k}").agg(n.alias("n"), *[F.min(c).alias(c) for c in rest]), f"order{k}")
-    base, parts = None, []
+    base, targets, contexts = None, [], []
     for k in range(1, order + 1):
         level = levels[k]
         of = level.agg(*[F.count(F.when(F.col("n") == j, 1)).alias(f"n{j}") for j in (1, 2, 3, 4)]).first()
@@ -136,61 +148,49 @@ def model(training: DataFrame, scratch: Scratch, order: int = ORDER) -> tuple[Da
             unseen = whole["freed"] / whole["total"] / (whole["kinds"] + 1)
             base = math.log(unseen)
             p = (F.col("n") - off) / whole["total"] + unseen
-            below = scratch.write(level.select("g1", F.log(p).alias("p1")), "scored1")
-            parts.append(below.select(F.col("g1").alias("key"), (F.col("p1") - base).alias("target"), F.lit(0.0).alias("context")))
-            continue
-        sums = level.groupBy(f"c{k}").agg(F.sum("n").alias("total"), F.sum(off).alias("freed"))
-        sums = scratch.write(sums, f"contexts{k}")
-        share = F.col("freed") / F.col("total")
-        parts.append(sums.select(F.col(f"c{k}").alias("key"), F.lit(0.0).alias("target"), F.log(share).alias("context")))
-        rows = level.withColumn("kept", F.col("n") - off).join(sums, f"c{k}").join(below, f"g{k - 1}")
-        backed = F.log(share) + F.col(f"p{k - 1}")
-        rows = rows.select(f"g{k}", F.log(F.col("kept") / F.col("total") + F.exp(backed)).alias(f"p{k}"), backed.alias("backed"))
-        rows = scratch.write(rows, f"scored{k}")
-        below = rows.select(f"g{k}", f"p{k}")
-        parts.append(rows.select(F.col(f"g{k}").alias("key"), (F.col(f"p{k}") - F.col("backed")).alias("target"), F.lit(0.0).alias("context")))
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.union(part)
-    both = [F.sum(c).cast("float").alias(c) for c in ("target", "context")]
-    return table.groupBy("key").agg(*both), base
+            below = scratch.write(level.select(F.col("g1").alias("key"), F.log(p).alias("p"), (F.log(p) - base).cast("float").alias("target")), "scored1")
+        else:
+            sums = level.groupBy(f"c{k}").agg(F.sum("n").alias("total"), F.sum(off).alias("freed"))
+            sums = scratch.write(sums, f"contexts{k}")
+            share = F.col("freed") / F.col("total")
+            contexts.append(sums.select(F.col(f"c{k}").alias("key"), F.log(share).cast("float").alias("context")))
+            last = k == order
+            shorter = below.select(F.col("key").alias(f"g{k - 1}"), F.col("p").alias("shorter"))
+            made = []
+            # The joins shuffle every n-gram twice, so they take a part of them at a time.
+            for part in range(PARTS if last else 1):
+                rows = level.where(F.pmod(F.col(f"g{k}"), F.lit(PARTS)) == part) if last else level
+                rows = rows.select(f"g{k}", f"c{k}", f"g{k - 1}", (F.col("n") - off).alias("kept")).join(sums, f"c{k}").join(shorter, f"g{k - 1}")
+                backed = F.log(share) + F.col("shorter")
+                p = F.log(F.col("kept") / F.col("total") + F.exp(backed))
+                held = [F.col(f"g{k}").alias("key"), (p - backed).cast("float").alias("target")]
+                made.append(scratch.write(rows.select(*held, *([] if last else [p.alias("p")])), f"scored{k}-{part}"))
+            below = made[0]
+            for more in made[1:]:
+                below = below.union(more)
+        targets.append(below.select("key", "target"))
+        scratch.drop(level)
+    # N-grams of the highest order are no contexts; the others may be both.
+    lower = targets[0].withColumn("context", F.lit(0.0).cast("float"))
+    for more in targets[1:-1]:
+        lower = lower.union(more.withColumn("context", F.lit(0.0).cast("float")))
+    for more in contexts:
+        lower = lower.union(more.select("key", F.lit(0.0).cast("float").alias("target"), "context"))
+    lower = lower.groupBy("key").agg(*[F.sum(c).cast("float").alias(c) for c in ("target", "context")])
+    lower = scratch.write(lower, "lower")
+    return (lower.union(targets[-1].withColumn("context", F.lit(0.0).cast("float"))) if order > 1 else lower), base
 
 
 _GRAMS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("ended", pa.int32()), ("led", pa.int32())])
 _GRAMS_SQL = "a long, b long, key long, ended int, led int"
-_ROW = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("n_grams", pa.int64()), ("fresh", pa.int64())])
-_ROW_SQL = "doc_id long, lang string, a long, b long, n_grams long, fresh long"
-
-
-def _identity(doc_id: int | None, text: str) -> tuple[int, int]:
-    import xxhash
-
-    digest = xxhash.xxh3_128_digest(f"{doc_id}\n{text}".encode("utf-8", "surrogatepass"))
-    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
-
-
-def _rows(order: int):
-    """Of each row its identity, tokens, and how many of its n-grams it has for the first time."""
-    hashes = Hashes()
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-            whole = keys(text, hashes, order)[-1]
-            made.append((*_identity(doc_id, text or ""), len(whole), len(np.unique(whole))))
-        columns = [pa.array(c, pa.int64()) for c in zip(*made)]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema=_ROW)
-
-    return per_slice(run)
-
-
 def _grams(order: int):
-    """Each text's n-grams of all orders with their occurrences in it, as targets and as contexts."""
+    """Rows (a, b, text): each text's n-grams of all orders with their occurrences in it, as targets and as contexts; and
+    a row that stands for the text, with the number of its n-grams and of those that it has for the first time."""
     hashes = Hashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         parts = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for a, b, text in zip(*(c.to_pylist() for c in batch.columns)):
             made = keys(text, hashes, order)
             n = len(made[-1])
             if not n:
@@ -200,8 +200,11 @@ def _grams(order: int):
             found, where = np.unique(np.concatenate((ends, leads)), return_inverse=True)
             ended = np.bincount(where[: len(ends)], minlength=len(found))
             led = np.bincount(where[len(ends) :], minlength=len(found))
-            a, b = _identity(doc_id, text)
-            parts.append((np.full(len(found), a), np.full(len(found), b), found.view(np.int64), ended.astype(np.int32), led.astype(np.int32)))
+            fresh = len(np.unique(made[-1]))
+            parts.append((
+                np.full(len(found) + 1, a), np.full(len(found) + 1, b), np.append(found.view(np.int64), a % _MARKS),
+                np.append(ended, n).astype(np.int32), np.append(led, fresh).astype(np.int32),
+            ))
         if not parts:
             return None
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], schema=_GRAMS)
@@ -211,21 +214,31 @@ def _grams(order: int):
 
 def scores(texts: DataFrame, table: DataFrame, base: float | None, scratch: Scratch, order: int = ORDER, passes: int = PASSES) -> DataFrame:
     """doc_id, lang, n_grams, fresh, surprise (mean of -ln p): one row per row of ``texts`` (doc_id, lang, text)."""
-    rows = scratch.write(texts.mapInArrow(_rows(order), _ROW_SQL), "rows")
+    spark = texts.sparkSession
+    # 128 bits tell texts apart; rows of one id and text are one to the sums.
+    whole = F.coalesce("text", F.lit(""))
+    a, b = F.xxhash64("doc_id", whole).alias("a"), F.xxhash64(whole, F.lit("b"), "doc_id").alias("b")
+    rows = scratch.write(texts.select("doc_id", "lang", a, b), "rows")
+    marks = spark.range(-_MARKS + 1, _MARKS).select(F.col("id").alias("key"), F.lit(0.0).cast("float").alias("target"), F.lit(0.0).cast("float").alias("context"), F.lit(True).alias("mark"))
+    table = table.withColumn("mark", F.lit(False)).union(marks)
     sums: DataFrame | None = None
     for number in range(passes):
-        mine = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(passes)) == number)
-        grams = mine.select("doc_id", "text").mapInArrow(_grams(order), _GRAMS_SQL)
+        mine = texts.where(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(passes)) == number)
+        grams = mine.select(a, b, "text").mapInArrow(_grams(order), _GRAMS_SQL)
         # No n-gram is in the model twice: only the documents' side can be skewed, which is streamed and split.
         found = grams.join(table.hint("shuffle_hash"), "key")
         added = F.sum(F.col("ended") * F.col("target").cast("double") + F.col("led") * F.col("context").cast("double"))
-        part = scratch.write(found.groupBy("a", "b").agg(added.alias("added")), "sums")
+        counts = [F.sum(F.when(F.col("mark"), F.col(c))).alias(name) for c, name in (("ended", "all_grams"), ("led", "all_fresh"))]
+        part = scratch.write(found.groupBy("a", "b").agg(added.alias("added"), *counts), f"sums{number}")
         sums = part if sums is None else sums.union(part)
-    # Rows of one id and text have been added up as one.
     copies = rows.groupBy("a", "b").agg(F.count("*").alias("copies"))
-    each = copies.join(sums.hint("merge"), ["a", "b"], "left").select("a", "b", (F.coalesce("added", F.lit(0.0)) / F.col("copies")).alias("added"))
+    each = copies.join(sums.hint("merge"), ["a", "b"], "left").select(
+        "a", "b", *[(F.col(c) / F.col("copies")).alias(c) for c in ("added", "all_grams", "all_fresh")]
+    )
+    n_grams, fresh = (F.coalesce(c, F.lit(0.0)).cast("long") for c in ("all_grams", "all_fresh"))
     surprise = F.when(F.col("n_grams") > 0, -(F.lit(base).cast("double") + F.col("added") / F.col("n_grams")))
-    return rows.join(each.hint("merge"), ["a", "b"]).select("doc_id", "lang", "n_grams", "fresh", surprise.alias("surprise"))
+    judged = rows.join(each.hint("merge"), ["a", "b"]).withColumns({"n_grams": n_grams, "fresh": fresh})
+    return judged.select("doc_id", "lang", "n_grams", "fresh", surprise.alias("surprise"))
 
 
 def share_again() -> Column:
@@ -233,8 +246,12 @@ def share_again() -> Column:
     return 1 - F.col("fresh") / F.nullif("n_grams", F.lit(0))
 
 
-def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order: int = ORDER) -> DataFrame:
-    """doc_id, lang, n_grams, perplexity, most (the perplexity up to which it would be kept) and kept."""
+def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order: int = ORDER,
+          least_trusted: int = LEAST_TRUSTED) -> DataFrame:
+    """doc_id, lang, n_grams, perplexity, most (the perplexity up to which it would be kept) and kept.
+
+    A language with fewer than ``least_trusted`` trusted texts of the second half takes the limits of all.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     with Scratch(spark, "quality") as scratch:
@@ -245,9 +262,8 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order:
         training = texts.join(good.where("half = 0").hint("merge"), F.col("doc_id") == F.col("good_id"), "left_semi")
         # Written, so that the shuffles of texts and of counts are not on disk together.
         training = scratch.write(training.select("text"), "training")
-        with Scratch(spark, "counts") as counts:
-            table, base = model(training, counts, order)
-            table = scratch.write(table, "model")
+        table, base = model(training, scratch, order)
+        scratch.drop(training)
         rows = scratch.write(scores(texts, table, base, scratch, order), "scores", keep=True)
 
         held = rows.where("surprise is not null").join(good.where("half = 1"), F.col("doc_id") == F.col("good_id"), "left_semi")
@@ -264,7 +280,7 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order:
             each = [F.max(F.when(F.col("measure") == m, F.col("limit"))).alias(m) for m in ("most", "again")]
             return reached.groupBy(*by).agg(*each, F.max("trusted").alias("trusted"))
 
-        own = limit(["lang"], steps).where(F.col("trusted") >= LEAST_TRUSTED)
+        own = limit(["lang"], steps).where(F.col("trusted") >= least_trusted)
         own = own.select(F.col("lang").alias("its_lang"), F.col("most").alias("own_most"), F.col("again").alias("own_again"))
         whole = limit([], steps.groupBy("measure", "step").agg(F.sum("n").alias("n")))
         own = scratch.write(own, "own", keep=True)
