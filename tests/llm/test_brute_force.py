@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import near_dup, packing, quality_model, substring_dedup, token_files
+from tidemark.llm import near_dup, packing, substring_dedup, token_files
 from tidemark.llm.queries import QUERIES, tokenizer_path
 from tidemark.llm.tokens import Encoder
 
@@ -99,70 +99,6 @@ def test_best_fit_fills_bins_without_overlap(lengths):
         assert end == total <= 100
 
 
-def plain_model(texts):
-    """Interpolated modified Kneser-Ney over classes, by dictionaries."""
-    n = quality_model.ORDER
-    padded = [[54] * (n - 1) + [int(c) for c in quality_model._TABLE[[ord(x) for x in t]]] for t in texts]
-    top = Counter(tuple(p[i : i + n]) for p in padded for i in range(len(p) - n + 1))
-    levels = {n: top}
-    for k in range(n - 1, 0, -1):
-        longer = {g[-(k + 1) :] for g in top}
-        levels[k] = Counter(g[1:] for g in longer)
-    contexts = {}
-    for k, level in levels.items():
-        of = Counter(level.values())
-        d = quality_model.discounts(of[1], of[2], of[3], of[4])
-        sums: dict = {}
-        for g, c in level.items():
-            total, freed = sums.get(g[:-1], (0, 0.0))
-            sums[g[:-1]] = (total + c, freed + d[min(c, 3) - 1])
-        contexts[k] = (d, sums)
-
-    def p(g):
-        if not g:
-            return 1.0 / quality_model.CLASSES
-        (d, sums), lower, c = contexts[len(g)], p(g[1:]), levels[len(g)].get(g, 0)
-        if g[:-1] not in sums:
-            return lower
-        total, freed = sums[g[:-1]]
-        return (c - d[min(c, 3) - 1] if c else 0.0) / total + freed / total * lower
-
-    def surprise(t):
-        classes = [54] * (n - 1) + [int(c) for c in quality_model._TABLE[[ord(x) for x in t]]]
-        return sum(-math.log(p(tuple(classes[i : i + n]))) for i in range(len(t))) / len(t)
-
-    return p, surprise
-
-
-def test_quality_model_against_dictionaries(spark):
-    texts = [(i, f"The cat {i % 7} sat on mat {i % 5}, and a dog ran.\nSo it was é.", "en" if i % 3 else "de", "s", 1) for i in range(90)]
-    texts += [(100, "$$$ ### %%% &&& *** BUY NOW!!!", "en", "s", 1), (101, "", "en", "s", 1), (102, None, None, "s", 1), (103, "zzz qqq", None, "s", 1)]
-    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 90)] + [(100, 0, 0), (5, 0, 0)], "doc_id long, quality int, toxic int")
-    half = {r[0]: r[1] for r in spark.range(200).select("id", F.pmod(F.xxhash64("id"), F.lit(2))).collect()}
-    good = [t for t in texts if t[0] < 90 and t[0] != 5]
-    p, surprise = plain_model([t[1] for t in good if half[t[0]] == 0])
-    assert sum(p((54, 54, 54, c)) for c in range(64)) == pytest.approx(1)
-    held = [t for t in good if half[t[0]] == 1]
-
-    def limit(rows):
-        steps = sorted(math.ceil((surprise(t[1]) - 2 / math.sqrt(len(t[1]))) * 1000) for t in rows)
-        return steps[math.ceil(len(steps) * quality_model.QUANTILE) - 1] / 1000 + quality_model.SLACK
-
-    by_lang = {lang: limit([t for t in held if t[2] == lang]) for lang in ("en", "de") if sum(t[2] == lang for t in held) >= quality_model.LEAST_TRUSTED}
-    rows = {r.doc_id: r for r in quality_model.judge(docs, labels).collect()}
-    for doc_id, text, lang, *_ in texts:
-        row = rows[doc_id]
-        if not text:
-            assert row.perplexity is None and not row.kept
-            continue
-        most = by_lang.get(lang, limit(held)) + 2 / math.sqrt(len(text))
-        assert math.log(row.perplexity) == pytest.approx(surprise(text), abs=1e-4)
-        assert math.log(row.most) == pytest.approx(most, abs=2e-3)
-        assert row.kept == (surprise(text) <= most) or abs(surprise(text) - most) < 2e-3
-    assert not rows[100].kept
-
-
 def test_quality_model_on_held_out_labels(spark):
     sf_dir = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
@@ -171,12 +107,6 @@ def test_quality_model_on_held_out_labels(spark):
     assert np.mean([kept for q, kept in rows if q == 0]) < 0.2
 
 
-def test_quality_model_without_labels(spark):
-    docs = spark.createDataFrame([(1, "some text", "en"), (2, None, "en")], "doc_id long, text string, lang string")
-    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert {r.doc_id: r.kept for r in quality_model.judge(docs, labels).collect()} == {1: True, 2: False}
-
-
 def test_sketch_estimates_and_merges():
     random = np.random.default_rng(1)
     for n in (1, 5, 400, 3000):
@@ -192,12 +122,13 @@ def test_sketch_estimates_and_merges():
             assert abs(got - true) < 0.15
 
 
-def similar(texts, percent=80):
-    """Components of doc_id -> text by all pairs."""
+def similar(texts, percent=80, size=2):
+    """Components of doc_id -> text by all pairs of sets of shingles."""
     sets = {}
     for doc_id, text in texts.items():
         words = (text or "").encode().lower().split()
-        sets[doc_id] = {tuple(words)} if len(words) == 1 else set(zip(words, words[1:]))
+        k = min(size, len(words))
+        sets[doc_id] = set(zip(*[words[i:] for i in range(k)])) if k else set()
     parent = {d: d for d in texts}
 
     def find(d):
@@ -242,6 +173,17 @@ def test_families_whose_members_are_linked_by_others(spark):
     assert got == similar(texts)
 
 
+def test_packing_does_not_depend_on_how_texts_lie(spark):
+    """Long texts first, then short ones that fit beside them, against the two taking turns."""
+    long, short = " ".join(["a"] * 1300), " ".join(["a"] * 700)
+    used = []
+    for texts in ([long] * 300 + [short] * 300, [long, short] * 300):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartitionByRange(6, "doc_id")
+        rows = packing.pack(docs, tokenizer_path("word_bpe_49k.json")).collect()
+        used.append(len({r.sequence_id for r in rows}))
+    assert abs(used[0] - used[1]) <= 0.03 * used[1] and max(used) <= 1.05 * 300
+
+
 def test_factors_cover_what_is_removed_and_point_to_the_same_words(spark):
     random = np.random.default_rng(3)
     words = [f"v{i}" for i in range(300)]
@@ -297,7 +239,7 @@ def test_pipeline_stage_by_stage(spark, sf_dir, tmp_path):
                 want[d] = "\n".join(line for line, key in keys if len(key) < 10 or first[key] == d)
             assert {r.doc_id: r.text for r in rows} == want
         elif name == "near_dup":
-            groups = similar(before)
+            groups = similar(before, size=corpus_pipeline.STAGE_SHINGLE)
             assert {r.doc_id: r.text for r in rows} == {d: before[d] for d in before if groups[d] == d}
         elif name == "mix":
             words = Counter()

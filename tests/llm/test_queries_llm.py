@@ -5,7 +5,10 @@ from __future__ import annotations
 import pytest
 from compare import differences, duck
 
-from tidemark.llm import line_dedup, mixing, near_dup, packing, quality_model, quality_rules, substring_dedup, token_files, topk, url_filter
+from tidemark.llm import (
+    collocations, line_dedup, mixing, near_dup, packing, pii, quality_rules, ranked_search, substring_dedup, token_files, topk, url_filter,
+    word_model,
+)
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.queries import QUERIES, tokenizer_path
 
@@ -39,8 +42,8 @@ def per_document(spark, tmp_path):
         return token_files.read(spark, str(tmp_path / f"tokens{number}"))
 
     makers = [
-        near_dup.link, quality_rules.judge, lambda d: quality_model.judge(d, labels), substring_dedup.dedup,
-        mixing.mix, line_dedup.dedup, lambda d: written(d, id(d)),
+        near_dup.link, quality_rules.judge, lambda d: word_model.judge(d, labels), substring_dedup.dedup,
+        mixing.mix, line_dedup.dedup, lambda d: written(d, id(d)), pii.find,
     ]
     return docs, none, makers
 
@@ -56,7 +59,7 @@ def test_odd_rows_give_one_row_each(spark, tmp_path):
 def test_stage_forms_keep_columns(spark):
     docs = spark.createDataFrame([(*r, 1, 2, 3, 4, True, "w", 7, 8, 9) for r in odd_rows()], CLASHING)
     labels = spark.createDataFrame([(5, 1, 0)], "doc_id long, quality int, toxic int")
-    for make in (near_dup.keep_one, line_dedup.clean, mixing.blend, lambda d: quality_model.keep_good(d, labels)):
+    for make in (near_dup.keep_one, line_dedup.clean, mixing.blend, lambda d: word_model.keep_good(d, labels)):
         assert make(docs).columns == docs.columns
         assert make(docs.limit(0)).count() == 0
         make(docs).collect()
@@ -116,7 +119,7 @@ def test_url_filter_against_plain_ranks(spark):
         (7, "http://c.org#f", '<img src="http://a.com/i">'), (8, "http://www.example.com/en/z", None), (9, "http://X.net/fr/", None),
     ]
     df = spark.createDataFrame([(*p, "h") for p in pages], "page_id long, url string, html string, host string")
-    rows = {r.page_id: r for r in url_filter.judge(df, threshold=0.3).collect()}
+    rows = {r.page_id: r for r in url_filter.judge(df).collect()}
     assert {k: (r.host, r.path, r.rule, r.verdict) for k, r in rows.items()} == {
         1: ("a.com", "/x", "com/", "allow"), 2: ("b.net", "/en/", None, "allow"), 3: ("", "", None, "allow"), 4: ("", "", None, "allow"),
         5: ("d.org", "", None, "block"), 6: ("bad.example.com", "/en/", "example.com/en/", "block"), 7: ("c.org", "", None, "allow"),
@@ -143,6 +146,38 @@ def test_url_filter_against_plain_ranks(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_verdicts_do_not_hang_on_links_elsewhere(spark):
+    """The other pages of a blocked host, and hosts that link to it, with and without a link that has nothing to do with it."""
+    pages = [(i, f"http://a.net/es/{i}", None) for i in range(3)] + [(10, "http://a.net/about", ""), (11, "http://far.org/", "x" * 300_000)]
+    linking = [(20, "http://one.org/", '<a href="http://a.net/">'), (21, "http://half.org/", "<a href='http://a.net/'><a href='http://far.org/q'>")]
+    schema = "page_id long, url string, html string"
+
+    def verdicts(rows):
+        return {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(rows, schema)).collect()}
+
+    alone = verdicts(pages)
+    assert alone == {0: "block", 1: "block", 2: "block", 10: "block", 11: "allow"}
+    more = verdicts([*pages, (30, "http://h1.org/", '<a href="http://h2.org/">')])
+    assert more == {**alone, 30: "allow"}
+    linked = verdicts([*pages, *linking])
+    assert linked == {**alone, 20: "block", 21: "block"}
+
+
+def test_hosts_and_rules_of_all_pages(spark, sf_dir):
+    """Host, path, rule and ruled verdict against SQL; no verdict of the given pages is left to links."""
+    want = duck(sf_dir).execute("""
+        WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(url, '(?s)^.*?://(.*)$', 1) ELSE '' END AS rest FROM pages),
+        h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     coalesce(regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1), '') AS path FROM u),
+        r AS (SELECT * FROM (VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'), ('net/es/', 'block'),
+                ('net/fr/', 'block')) AS t(rule, verdict)),
+        m AS (SELECT page_id, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) AS place FROM h, r
+              WHERE (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1))) AND starts_with(path, substr(rule, strpos(rule, '/'))))
+        SELECT h.page_id, host, path, rule, coalesce(verdict, 'allow') FROM h LEFT JOIN m ON h.page_id = m.page_id AND place = 1""").fetchall()
+    rows = QUERIES["op7_url_filter"](spark, sf_dir).collect()
+    assert sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in rows) == sorted(want)
+
+
 def test_mixing_comes_near_targets(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = mixing.mix(docs, columns=["doc_id", "source"]).collect()
@@ -167,3 +202,85 @@ def test_blend_cuts_texts_to_taken_words(spark):
         assert texts[r.doc_id].startswith(r.text)
         words[r.doc_id] += len(r.text.split())
     assert words == taken
+
+
+def test_ranked_search_of_odd_rows(spark):
+    docs = spark.createDataFrame([(*r, 1, 2, 3, 4, True, "w", 7, 8, 9) for r in odd_rows()], CLASHING)
+    items = [(1, "Fox and DOG", "x"), (1, "word7", "x"), (2, None, "x"), (3, "", "x"), (4, "nowhere", "x"), (None, "é one", "x")]
+    asked = spark.createDataFrame(items, "item_id long, text string, term string")
+    rows = ranked_search.search(docs, asked).collect()
+    by_item = {}
+    for r in sorted(rows, key=lambda r: (str(r.item_id), r["rank"])):
+        by_item.setdefault(r.item_id, []).append((r["rank"], r.doc_id, r.score))
+    assert set(by_item) == {1, None}
+    assert [d for _, d, _ in by_item[1]] == [5, 5, 6, None, 4]
+    assert len({s for _, _, s in by_item[1][:4]}) == 1 and [r for r, _, _ in by_item[1]] == [1, 2, 3, 4, 5]
+    assert {d for _, d, _ in by_item[None]} == {7, 8}
+    assert ranked_search.search(docs.limit(0), asked).count() == 0 and ranked_search.search(docs, asked.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("probe", [1, 3, 500])
+def test_ranked_search_at_any_depth(spark, probe):
+    """Against all scores: hot terms, ties, and lists that are read in parts."""
+    import math
+    import random
+    from collections import Counter
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["the", "of", "a", "hot", "rare", "x1", "y2", "z3", "É"], [40, 30, 20, 8, 1, 3, 2, 2, 1], k=rng.randint(0, 60))) for _ in range(300)]
+    items = [(1, "the of rare"), (2, "the of a hot x1 y2 É"), (3, "z3 z3 the"), (4, "a")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows = ranked_search.search(docs, spark.createDataFrame(items, "item_id long, text string"), top=20, probe=probe).collect()
+    counts = [Counter(ranked_search.terms(t)) for t in texts]
+    held = [c for c in counts if c]
+    n_docs, n_words = len(held), sum(c.total() for c in held)
+    want = []
+    for item, text in items:
+        scores = []
+        for d, c in enumerate(counts):
+            m = 100 - 50 + (50 * c.total() * n_docs) // n_words
+            score = 0
+            for t in set(ranked_search.terms(text)) & set(c):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * sum(t in x for x in held) + 1)))
+                score += w * ((1000000000 * c[t]) // (1000 * c[t] + 20 * m))
+            if score:
+                scores.append((-score, d))
+        want += [(item, rank, d, -s) for rank, (s, d) in enumerate(sorted(scores)[:20], 1)]
+    assert sorted((r.item_id, r["rank"], r.doc_id, r.score) for r in rows) == want
+
+
+@pytest.mark.parametrize("shard_words", [40, 10**6])
+def test_collocations_against_all_phrases(spark, shard_words):
+    import random
+    from collections import Counter
+
+    rng = random.Random(2)
+    words = ["New", "York", "the", "of", "city", "é", "<b>", "a\u2028b"]
+    texts = [(rng.choice(["en", None, "de"]), "".join(rng.choice(words) + rng.choice([" ", "  ", " ", "\t", ", ", ".\n"]) for _ in range(rng.randint(0, 40)))) for _ in range(150)]
+    texts += [("en", "New York city the of"), ("en", None), ("xx", ""), ("xx", " .,; "), ("fr", "new york city hall " * 30)]
+    docs = spark.createDataFrame([(i % 100, lang, t, "x", 1) for i, (lang, t) in enumerate(texts)], "doc_id long, lang string, text string, words string, shard int")
+    rows = collocations.mine(docs.repartition(3), least=8, best=30, shard_words=shard_words).collect()
+    f, n = {}, Counter()
+    import re
+
+    for lang, text in texts:
+        lang = lang or "und"
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(str.maketrans("NYC", "nyc"))):
+            w = [x for x in re.split("[ \t]+", piece) if x]
+            n[lang] += len(w)
+            for k in range(1, 6):
+                for i in range(len(w) - k + 1):
+                    f.setdefault(lang, Counter())[tuple(w[i : i + k])] += 1
+    want = []
+    for lang, found in f.items():
+        several = {p: a for p, a in found.items() if len(p) > 1 and a >= 8}
+        made = []
+        for p, a in several.items():
+            if any(len(q) > len(p) and b >= a and any(q[i : i + len(p)] == p for i in range(len(q))) for q, b in several.items()):
+                continue
+            cuts = [(1000 * a * n[lang] // (found[p[:k]] * found[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            made.append((-score, -a, " ".join(p).encode(), found[p[:k]], found[p[k:]]))
+        want += [(lang, rank, p.decode(), -a, le, r, n[lang], -s) for rank, (s, a, p, le, r) in enumerate(sorted(made)[:30], 1)]
+    assert sorted(tuple(r) for r in rows) == sorted(want)
+    assert collocations.mine(docs.limit(0)).count() == 0

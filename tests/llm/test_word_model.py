@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality_model, word_model
+from tidemark.llm import word_model
 from tidemark.llm.common import Scratch
 from tidemark.llm.queries import QUERIES
 
@@ -23,7 +23,7 @@ def plain_surprise(texts, order):
     off, sums = {}, {}
     for k, level in levels.items():
         of = Counter(level.values())
-        off[k] = [max(d, word_model.LEAST_DISCOUNT) for d in quality_model.discounts(of[1], of[2], of[3], of[4])]
+        off[k] = [max(d, word_model.LEAST_DISCOUNT) for d in word_model.discounts(of[1], of[2], of[3], of[4])]
         for g, c in level.items():
             total, freed = sums.get(g[:-1], (0, 0.0))
             sums[g[:-1]] = (total + c, freed + off[k][min(c, 3) - 1])
@@ -124,3 +124,40 @@ def test_without_labels_and_without_rows(spark):
     assert {r.doc_id: (r.kept, r.perplexity) for r in word_model.judge(docs, labels).collect()} == {1: (True, None), 2: (False, None), None: (True, None)}
     assert word_model.judge(docs.limit(0), labels).count() == 0
     assert word_model.keep_good(docs, labels).columns == docs.columns
+
+
+@pytest.mark.parametrize("least", [1, 1000])
+def test_limits_of_languages_with_few_trusted_texts(spark, least):
+    """Kept by brute force: quantiles of the trusted second half, by language or of all, and the limit of repetition."""
+    texts = [(i, f"The cat {i % 7} sat on mat {i % 5}, and a dog {i % 11} ran.", "en" if i % 3 else "de") for i in range(120)]
+    texts += [(200, "the the the the the the the the", "en"), (201, "%% && qq zz ## 11", "de"), (202, "", "en"), (203, "cat mat", None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    half = {r[0]: r[1] for r in spark.range(200).select("id", F.pmod(F.xxhash64("id"), F.lit(2))).collect()}
+    surprise = plain_surprise([t for i, t, _ in texts if i < 120 and half[i] == 0], word_model.ORDER)
+    held = [t for t in texts if t[0] < 120 and half[t[0]] == 1]
+
+    def again(text):
+        w = ["<s>", *word_model.tokens(text)]
+        pairs = list(zip(w, w[1:]))
+        return 1 - len(set(pairs)) / len(pairs)
+
+    def limit(rows, measure):
+        steps = sorted(math.ceil(round(measure(t) * 1000, 6)) for _, t, _ in rows)
+        return steps[math.ceil(len(steps) * word_model.QUANTILE) - 1] / 1000
+
+    def fair(text):
+        return surprise(text) - word_model.SPREAD / math.sqrt(len(word_model.tokens(text)))
+
+    rows = {r.doc_id: r for r in word_model.judge(docs, labels, least_trusted=least).collect()}
+    assert len(rows) == len(texts)
+    for i, text, lang in texts:
+        own = [t for t in held if t[2] == lang]
+        of = own if len(own) >= least else held
+        if not text:
+            assert not rows[i].kept
+            continue
+        most = limit(of, fair) + word_model.SPREAD / math.sqrt(len(word_model.tokens(text)))
+        assert math.log(rows[i].most) == pytest.approx(most, abs=2.1e-3)
+        if abs(surprise(text) - most) > 3e-3:
+            assert rows[i].kept == (surprise(text) <= most and again(text) <= limit(of, again))
