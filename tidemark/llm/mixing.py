@@ -14,7 +14,7 @@
 
 Defined results: a null text has size 0, a null source is a source (the last). Repeated rows are documents of
 their own; equal ``doc_id`` are ordered by size. Without words every target and ``taken`` is 0; an empty table
-gives no rows. Other columns are carried along unread, whatever their names.
+gives no rows. The words of very long texts are counted whole. Other columns are carried along unread, whatever their names.
 """
 
 from __future__ import annotations

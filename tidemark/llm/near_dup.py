@@ -28,7 +28,8 @@ adaptive execution can split; blocks split the rest. Nothing is collected.
 
 Defined results: a text without words has an empty set, is linked with nothing, and is kept. One word is one
 shingle. Rows with the same ``doc_id`` are one document, whose links are those of all its texts. Rows with a null
-``doc_id`` are linked with nothing and kept, with a null component. An empty table gives no rows. Other columns
+``doc_id`` are linked with nothing and kept, with a null component. Very long texts are read whole; their sets are held a few
+texts at a time. An empty table gives no rows. Other columns
 are not read, or carried by ``keep_one``.
 """
 

@@ -5,7 +5,7 @@ integers (``100 * measure > limit * base``), so no rule depends on how doubles r
 one array of rule names and one verdict, computed row by row: no shuffle, no user function, no second pass.
 
 Defined results: a null or wordless text has zero for every measure and is not kept (it has under 50 words).
-Rows are judged each on its own, so ties and repeated rows get equal verdicts; an empty table gives no rows;
+Rows are judged each on its own, so ties and repeated rows get equal verdicts; very long texts are measured whole; an empty table gives no rows;
 columns beyond ``doc_id`` and ``text`` are not read.
 """
 

@@ -19,7 +19,7 @@ whole phrase. What travels is hashes and places, and the texts once.
 
 Defined results: a null text has no words. A text of fewer words than a phrase loses none. A null ``doc_id`` comes
 before all others. Rows with the same ``doc_id`` are ordered by a hash of their texts; equal rows are one document
-and keep the same words. An empty table gives no rows. Other columns are not read.
+and keep the same words. Very long texts are read whole, slice by slice of the corpus. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations

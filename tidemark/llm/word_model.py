@@ -24,7 +24,7 @@ every table below grows with the text it is made from.
 Defined results: a null or empty text, or one of spaces, has no perplexity and is not kept. Languages (null is one)
 with fewer than ``LEAST_TRUSTED`` such documents take the quantile of all. Without labels everything with text is
 kept, without a perplexity. A document is trusted if all its labels say so. Repeated rows are judged alike; an
-empty table gives no rows. Other columns are not read, or carried by ``keep_good``.
+empty table gives no rows. Very long texts are scored whole. Other columns are not read, or carried by ``keep_good``.
 """
 
 from __future__ import annotations
