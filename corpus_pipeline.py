@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import line_dedup, mixing, near_dup, packing, word_model
 from tidemark.llm.common import read
 from tidemark.llm.queries import tokenizer_path
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, scratch_scope
 
 # Words of a shingle in the stage; the query op1_near_dup is asked for near_dup.SHINGLE.
 STAGE_SHINGLE = 5
@@ -55,8 +55,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        made = stage(spark, docs, sf_dir)
         path = scratch_path(spark, f"pipeline-{name}")
-        made.write.parquet(path)
+        # What a stage keeps for its result goes once that is written.
+        with scratch_scope(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
         docs = spark.read.schema(made.schema).parquet(path)
     return docs
