@@ -10,8 +10,8 @@ A term's weight is floor(1000 ln((2N+2) / (2 df + 1))), a posting's impact what
    the sum of its impacts read and that sum plus the frontiers of the terms not read for it; one not seen is
    at most the sum of all frontiers. A first round reads some ``PROBE`` postings of every list. The k documents that lead
    then are read to the end; the least of their scores is a bar that an item's result has to reach.
-4. A second round reads on, for items that are open, just as far as leaves the sum of frontiers under that bar, the
-   longest lists the least. No unseen document can reach the result any more. Candidates are the documents whose
+4. A second round reads on, for items that are open, just as far as leaves the sum of frontiers under ``LEFT`` of that
+   bar, the longest lists the least. No unseen document can reach the result any more. Candidates are the documents whose
    upper end reaches the bar, ties included; only their postings are read further, to the end of the lists, which gives
    their exact scores, and the k best with ties by id.
    Items whose lists end before k documents are seen are settled by having read all.
@@ -42,6 +42,9 @@ from tidemark.llm.common import Scratch, slices
 TOP = 50
 STEPS = 8
 PROBE = 500
+# What is left of all lists after the second round adds up to less than this share of the bar: the less, the more is read
+# in that round and the fewer documents can still reach the bar.
+LEFT = 0.5
 # The depth of a list of which nothing is read.
 _NONE = 2**30
 
@@ -108,20 +111,20 @@ def _first_depths(lists: DataFrame, reads: int) -> DataFrame:
     return ends.select("term", F.when(F.col("depth") > F.col("last"), F.col("depth")).alias("depth"))
 
 
-def _next_depths(lists: DataFrame, reading: DataFrame, bars: DataFrame) -> DataFrame:
-    """item, term, depth: how far to read on, so that what is left of all lists adds up to less than the item's bar.
+def _next_depths(lists: DataFrame, reading: DataFrame, limits: DataFrame) -> DataFrame:
+    """item, term, depth: how far to read on, so that what is left of all lists adds up to less than the item's limit.
 
-    The longest lists stay as they are while their greatest impacts fit under the bar, one more is read
+    The longest lists stay as they are while their greatest impacts fit under the limit, one more is read
     as far as it has to be, and the shorter ones are read to their ends.
     """
     whole = lists.groupBy("term").agg(F.sum("postings").alias("df"), F.max("most").alias("top"))
     longest = Window.partitionBy("item").orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
-    terms = reading.join(bars, "item").join(whole, "term").withColumn("sum", F.sum("top").over(longest))
-    terms = terms.withColumn("room", F.col("bar") - F.col("sum") + F.col("top"))
+    terms = reading.join(limits, "item").join(whole, "term").withColumn("sum", F.sum("top").over(longest))
+    terms = terms.withColumn("room", F.col("limit") - F.col("sum") + F.col("top"))
     # Levels whose greatest impact doesn't fit into the room that is left have to be read.
-    partly = terms.where("sum >= bar and room > 0").select("item", "term", "room").join(lists, "term").where("most >= room")
+    partly = terms.where("sum >= limit and room > 0").select("item", "term", "room").join(lists, "term").where("most >= room")
     partly = partly.groupBy("item", "term").agg(F.min("level").alias("to"))
-    planned = F.when(F.col("sum") < F.col("bar"), F.lit(_NONE)).when(F.col("room") > 0, F.col("to"))
+    planned = F.when(F.col("sum") < F.col("limit"), F.lit(_NONE)).when(F.col("room") > 0, F.col("to"))
     terms = terms.join(partly, ["item", "term"], "left").withColumn("to", planned)
     # Reading goes on, never back; a null depth is the end of a list.
     deeper = F.when(F.col("depth").isNotNull() & F.col("to").isNotNull(), F.least("depth", "to"))
@@ -185,7 +188,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, probe: int = PROBE
         bars = exact(leading, first).groupBy("item").agg(F.min("score").alias("least"), F.count("*").alias("places"))
         bars = scratch.write(bars.select("item", F.when(F.col("places") == top, F.col("least")).otherwise(0).alias("bar")), "bars")
         rounds = [(first, seen, settled)]
-        second = scratch.write(_with_frontiers(lists, _next_depths(lists, first, bars)), "reading1")
+        second = scratch.write(_with_frontiers(lists, _next_depths(lists, first, bars.select("item", F.floor(F.col("bar") * LEFT).alias("limit")))), "reading1")
         seen, state = read(second, bars, 1)
         rounds.append((second, seen, state.join(bars.withColumnRenamed("bar", "known"), "item").withColumn("bar", F.greatest("bar", "known"))))
         scores = []
