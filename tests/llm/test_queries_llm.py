@@ -215,7 +215,7 @@ def test_ranked_search_of_odd_rows(spark):
     assert set(by_item) == {1, None}
     assert [d for _, d, _ in by_item[1]] == [5, 5, 6, None, 4]
     assert len({s for _, _, s in by_item[1][:4]}) == 1 and [r for r, _, _ in by_item[1]] == [1, 2, 3, 4, 5]
-    assert {d for _, d, _ in by_item[None]} == {7, 8}
+    assert [d for _, d, _ in by_item[None]] == [7]  # the other is written with two characters
     assert ranked_search.search(docs.limit(0), asked).count() == 0 and ranked_search.search(docs, asked.limit(0)).count() == 0
 
 
