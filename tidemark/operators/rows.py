@@ -91,7 +91,7 @@ def round_floats(df: DataFrame, decimals: int = 2, mode: str = "half_up") -> Dat
     floating = (T.FloatType, T.DoubleType)
     return df.select(
         *[
-            round_to(F.col(f.name), decimals, mode).alias(f.name)
+            round_to(F.col(f.name), decimals, mode).cast(f.dataType).alias(f.name)
             if isinstance(f.dataType, floating)
             else f.name
             for f in df.schema
