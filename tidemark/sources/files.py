@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.repair import strict_cast
+from tidemark.operators.blocks import BROADCAST_ROWS
 
 _CORRUPT = "__corrupt"
 
@@ -143,5 +144,11 @@ def bulk_load_csv(
 
 
 def typed_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
-    """Literal rows under an explicit schema, for fixtures and small lookups."""
-    return spark.createDataFrame(list(rows), schema)
+    """Literal rows under an explicit schema, for fixtures and small lookups.
+
+    Spark knows no size of rows made by the driver and would shuffle what they are joined to by the few values they
+    have; up to ``BROADCAST_ROWS`` they are marked for broadcast.
+    """
+    rows = list(rows)
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
