@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import blocks, quality
 from tidemark.sources import files
+from workload import queries
 
 
 def plan(df) -> str:
@@ -28,3 +30,22 @@ def test_literal_rows_do_not_shuffle_what_they_are_joined_to(spark, no_auto_broa
     text = plan(sales.join(stores, "store"))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "hashpartitioning" not in text
     assert {r["name"]: r["count"] for r in joined.collect()} == {"first": 200, "second": 200}
+
+
+def test_order_of_a_long_file_is_checked_in_runs(spark, tmp_path, monkeypatch):
+    """One file of 1,000 rows, with a break inside a run and one between two runs, and a second file that begins too low."""
+    monkeypatch.setattr(quality, "RUN_ROWS", 100)
+    place = F.col("id") + F.when(F.col("id") == 550, 10).otherwise(0)
+    rows = spark.range(0, 1000, 1, 1).select(F.when(F.col("id") < 700, place).otherwise(F.col("id") - 500).alias("v"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    checked = quality.check_sorted(stored, "v")
+    assert "run#" in plan(checked).split("Window [lag(key")[1].split("\n")[0]
+    assert tuple(checked.first()) == (1000, 2, 0)
+    spark.range(0, 2000, 1, 2).select((F.col("id") % 1000).alias("v")).write.parquet(str(tmp_path / "two"))
+    assert tuple(quality.check_sorted(spark.read.parquet(str(tmp_path / "two")), "v").first()) == (2000, 0, 1)
+
+
+def test_blocks_of_the_queries_have_the_size_of_a_block(spark):
+    assert queries._block(spark.range(70)) == 10
+    assert queries._block(spark.range(20 * blocks.ROWS_PER_BLOCK)) == blocks.ROWS_PER_BLOCK

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from tidemark.operators.blocks import as_list
 
 _FLOATING = (T.FloatType, T.DoubleType)
+# Rows of a split of a file that are compared in one group.
+RUN_ROWS = 1 << 16
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -124,8 +126,8 @@ def check_sorted(df: DataFrame, order_by: str | Sequence[str]) -> DataFrame:
     """Whether files hold their rows in order: rows, breaks_within and breaks_between, one row.
 
     ``df`` is read straight from files that a sorted write made, whose names are in the order of their contents. Rows
-    are compared with the one before them in the same split of a file, and splits by their first and last keys; only
-    keys and places are shuffled, a split at a time, and one task sees one row for each split.
+    are compared with the one before them in runs of up to ``RUN_ROWS`` of the same split of a file, and runs by their
+    first and last keys; only keys and places are shuffled, a run at a time, and one task sees one row for each run.
     """
     order = as_list(order_by)
     key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
@@ -133,17 +135,23 @@ def check_sorted(df: DataFrame, order_by: str | Sequence[str]) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("at"), key.alias("key"),
     )
-    within = Window.partitionBy("file", "split").orderBy("at")
+    # One task reads a split, and counts its rows up.
+    placed = placed.withColumn("run", F.call_function("div", F.col("at"), F.lit(RUN_ROWS).cast("long")))
+    run = ["file", "split", "run"]
+    within = Window.partitionBy(*run).orderBy("at")
     compared = placed.withColumn("before", F.lag("key").over(within))
-    splits = compared.groupBy("file", "split").agg(
+    runs = compared.groupBy(*run).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") > F.col("key")).alias("breaks"),
         F.min_by("key", "at").alias("first"), F.max_by("key", "at").alias("last"),
     )
     # Names count up, beyond the digits that they are padded to.
     number = F.regexp_extract("file", "part-([0-9]+)", 1).try_cast("long")
-    along = Window.orderBy(number, "file", "split")
-    joined = splits.withColumn("last_before", F.lag("last").over(along))
+    along = Window.orderBy(number, *run)
+    same = (F.lag("file").over(along) == F.col("file")) & (F.lag("split").over(along) == F.col("split"))
+    joined = runs.withColumns({"last_before": F.lag("last").over(along), "same": F.coalesce(same, F.lit(False))})
+    broken = F.col("last_before") > F.col("first")
     return joined.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("breaks"), F.lit(0)).alias("breaks_within"),
-        F.count_if(F.col("last_before") > F.col("first")).alias("breaks_between"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        (F.coalesce(F.sum("breaks"), F.lit(0)) + F.count_if(broken & F.col("same"))).alias("breaks_within"),
+        F.count_if(broken & ~F.col("same")).alias("breaks_between"),
     )

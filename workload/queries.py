@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.functions import numbers, repair, text
 from tidemark.operators import aggregates, joins, quality, rows
+from tidemark.operators.blocks import ROWS_PER_BLOCK
 from tidemark.operators.fill import forward_fill
 from tidemark.operators.index import row_index
 from tidemark.plans import flow, policy, publish, statements
@@ -26,7 +27,7 @@ from workload.inputs import LINE_ORDER, THRESHOLD
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-# Blocks that a table of the block-wise queries is cut into, whatever its size.
+# Blocks that a table of the block-wise queries is cut into; more where they would pass the library's size of a block.
 BLOCKS = 7
 
 
@@ -50,8 +51,8 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _block(df: DataFrame) -> int:
-    """Rows per block that make ``BLOCKS`` blocks of a table."""
-    return max(1, df.count() // BLOCKS)
+    """Rows per block that make ``BLOCKS`` blocks of a table, or more."""
+    return max(1, min(df.count() // BLOCKS, ROWS_PER_BLOCK))
 
 
 def _monthly(df: DataFrame) -> DataFrame:
@@ -721,7 +722,9 @@ def sink_order_check(spark, sf_dir):
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate", "o_totalprice")
     sorted_path, other = scratch_path(spark, "sorted-csv"), scratch_path(spark, "unsorted")
     csv_sinks.write_csv_indexed(orders, sorted_path, "o_orderkey", rows_per_block=_block(orders))
-    orders.repartitionByRange(3, "o_totalprice").sortWithinPartitions("o_totalprice").write.parquet(other)
+    # Three files, or more where a task would sort more than a block.
+    parts = max(3, -(-orders.count() // ROWS_PER_BLOCK))
+    orders.repartitionByRange(parts, "o_totalprice").sortWithinPartitions("o_totalprice").write.parquet(other)
     read = spark.read.schema("index long, o_orderkey long, o_orderdate string, o_totalprice double").option("header", True).csv(sorted_path)
 
     def checked(df, by, name):
