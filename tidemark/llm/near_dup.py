@@ -13,9 +13,10 @@ are the maxima of the registers, and two registers are equal about as often as t
    Linear in the members: no bucket is written out as pairs.
 4. Links are joined to components. A bucket all of whose members are in one component is finished.
 5. In the others, members of different components are compared by their sketches in blocks of bounded size, each
-   pair in its first common band only. The best candidates between each two components that were not tried before are
-   verified, and components joined, until no candidate is left: whatever shares a band and is estimated near the
-   threshold is verified or already in one component.
+   pair in its first common band only. What goes on is no pair but every member with a candidate, once a bucket.
+6. These meet again with their full sets: candidates of a block are verified there, the likeliest first, unless their
+   components are joined by then, and only links that join components leave it. So whatever shares a band and is
+   estimated near the threshold is verified or already in one component, and no step writes more rows than buckets have.
 
 What can be lost is a pair above the threshold that shares none of the ``BANDS`` bands: with the defaults under 3 in a
 million at a similarity of 0.8, and fewer above, or one that is estimated six standard deviations too low, by the first
@@ -56,10 +57,8 @@ BANDS = M // BAND_REGISTERS
 # Six standard deviations of the estimate at the threshold.
 MARGIN = 0.15
 BLOCK_ROWS = 2048
-# Candidates between two components of a bucket in the first round of step 5; each further round takes GROWTH
-# times as many, so that few rounds are left for what verification turns down.
-BEST = 16
-GROWTH = 1000
+# Bytes of full sets that a block holds at most, unless one set has more.
+BLOCK_BYTES = 8 * 1024 * 1024
 
 # Registers of a second sketch, made only for documents that share a bucket: with both, an estimate is so sharp that
 # six standard deviations are less than half of those of the first alone.
@@ -211,9 +210,7 @@ def _verify(percent: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         linked = []
         for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            one, two = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
-            both = len(np.intersect1d(one, two, assume_unique=True))
-            linked.append(100 * both >= percent * (len(one) + len(two) - both))
+            linked.append(_alike(np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8"), percent))
         keep = pa.array(linked)
         return pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], schema=_LINKED)
 
@@ -241,61 +238,100 @@ def _sets(size: int):
     return per_slice(run)
 
 
-_FOUND = pa.schema([("band", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+_FOUND = pa.schema([("band", pa.int64()), ("rep", pa.int64())])
 _PAIRS_AT_ONCE = 20_000
 _FINE_PAIRS_AT_ONCE = 5_000
 
 
-def _compare_blocks(percent: int, most: int):
-    """Candidates among members of different components, in each pair of blocks (a row: band, low, high, members)."""
+def _alike(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
+
+def _candidates(batch: pa.RecordBatch, percent: int):
+    """For each pair of blocks (a row: band, low, high, members): its band, and candidates among members of different
+    components as places in the flat list of members, with their estimates; and that list."""
+    bands = batch.column(0).to_numpy()
+    crossed = batch.column(1).to_numpy() != batch.column(2).to_numpy()
+    members = batch.column(3)
+    sizes = np.diff(members.offsets.to_numpy())
+    flat = members.flatten()
+    reps, labels, blocks, n = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "block", "n"))
+    registers, fine = _registers(flat.field("sketch").to_pylist()), _registers(flat.field("fine").to_pylist(), FINE)
+    hashed = band_hashes(registers)
+    start = 0
+    for band, cross, size in zip(bands.tolist(), crossed.tolist(), sizes.tolist()):
+        i, j = np.triu_indices(size, 1)
+        i, j = i + start, j + start
+        start += size
+        # No two sets are more alike than their sizes.
+        sized = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        open_pairs = (labels[i] != labels[j]) & (reps[i] != reps[j]) & sized
+        if cross:
+            open_pairs &= blocks[i] != blocks[j]
+        i, j = i[open_pairs], j[open_pairs]
+        alike = np.zeros(len(i))
+        for at in range(0, len(i), _PAIRS_AT_ONCE):
+            x, y = i[at : at + _PAIRS_AT_ONCE], j[at : at + _PAIRS_AT_ONCE]
+            # A pair is looked at in the first band that it shares.
+            mine = hashed[x, (hashed[x] == hashed[y]).argmax(axis=1)] == band
+            x, y = x[mine], y[mine]
+            sizes_of = n[x].astype(float), n[y].astype(float)
+            coarse = _sides(registers[x], registers[y])
+            # The first sketch alone turns down what is far off, both decide about the rest.
+            near = np.flatnonzero(likely_similarity(*coarse, *sizes_of) >= percent / 100 - MARGIN)
+            for some in np.array_split(near, len(near) // _FINE_PAIRS_AT_ONCE + 1):
+                sharp = _sides(fine[x[some]], fine[y[some]])
+                both = likely_similarity(coarse[0][some] + sharp[0], coarse[1][some] + sharp[1], sizes_of[0][some], sizes_of[1][some], M + FINE)
+                alike[at + np.flatnonzero(mine)[some]] = both
+        good = np.flatnonzero(alike >= percent / 100 - FINE_MARGIN)
+        yield band, i[good], j[good], alike[good], flat
+
+
+def _with_candidates(percent: int):
+    """The members that have a candidate, of each pair of blocks."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bands = batch.column(0).to_numpy()
-        crossed = batch.column(1).to_numpy() != batch.column(2).to_numpy()
-        members = batch.column(3)
-        sizes = np.diff(members.offsets.to_numpy())
-        flat = members.flatten()
-        reps, labels, blocks, n = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "block", "n"))
-        registers, fine = _registers(flat.field("sketch").to_pylist()), _registers(flat.field("fine").to_pylist(), FINE)
-        tried = [frozenset(x or ()) for x in flat.field("tried").to_pylist()]
-        hashed = band_hashes(registers)
-        start, found = 0, []
-        for band, cross, size in zip(bands.tolist(), crossed.tolist(), sizes.tolist()):
-            i, j = np.triu_indices(size, 1)
-            i, j = i + start, j + start
-            start += size
-            # No two sets are more alike than their sizes.
-            sized = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-            open_pairs = (labels[i] != labels[j]) & (reps[i] != reps[j]) & sized
-            if cross:
-                open_pairs &= blocks[i] != blocks[j]
-            i, j = i[open_pairs], j[open_pairs]
-            alike = np.zeros(len(i))
-            for at in range(0, len(i), _PAIRS_AT_ONCE):
-                x, y = i[at : at + _PAIRS_AT_ONCE], j[at : at + _PAIRS_AT_ONCE]
-                # A pair is looked at in the first band that it shares.
-                mine = hashed[x, (hashed[x] == hashed[y]).argmax(axis=1)] == band
-                x, y = x[mine], y[mine]
-                sizes_of = n[x].astype(float), n[y].astype(float)
-                coarse = _sides(registers[x], registers[y])
-                # The first sketch alone turns down what is far off, both decide about the rest.
-                near = np.flatnonzero(likely_similarity(*coarse, *sizes_of) >= percent / 100 - MARGIN)
-                for some in np.array_split(near, len(near) // _FINE_PAIRS_AT_ONCE + 1):
-                    sharp = _sides(fine[x[some]], fine[y[some]])
-                    both = likely_similarity(coarse[0][some] + sharp[0], coarse[1][some] + sharp[1], sizes_of[0][some], sizes_of[1][some], M + FINE)
-                    alike[at + np.flatnonzero(mine)[some]] = both
-            good = np.flatnonzero(alike >= percent / 100 - FINE_MARGIN)
-            fresh = [k for k in good.tolist() if int(reps[j[k]]) not in tried[i[k]]]
-            # The best between each two components; the others wait for the next round.
-            taken: dict[tuple[int, int], int] = {}
-            for k in sorted(fresh, key=lambda k: -alike[k]):
-                x, y = i[k], j[k]
-                between = (int(min(labels[x], labels[y])), int(max(labels[x], labels[y])))
-                taken[between] = taken.get(between, 0) + 1
-                if taken[between] <= most:
-                    found.append((band, *sorted((int(reps[x]), int(reps[y])))))
-        columns = zip(*found) if found else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_FOUND)
+        bands, found = [], []
+        for band, i, j, _, flat in _candidates(batch, percent):
+            reps = np.unique(flat.field("rep").to_numpy(zero_copy_only=False)[np.concatenate((i, j))])
+            bands.append(np.full(len(reps), band, dtype=np.int64))
+            found.append(reps)
+        columns = (pa.array(np.concatenate(x), pa.int64()) for x in (bands, found))
+        return pa.RecordBatch.from_arrays(list(columns), schema=_FOUND)
+
+    return run
+
+
+def _settle(percent: int):
+    """Links that join components, among the candidates of each pair of blocks; members have their full sets."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        linked = []
+        for _, i, j, alike, flat in _candidates(batch, percent):
+            reps, labels = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "label"))
+            elements = flat.field("elements")
+            lower: dict[int, int] = {}
+
+            def root(label: int) -> int:
+                while label in lower:
+                    label = lower[label]
+                return label
+
+            sets: dict[int, np.ndarray] = {}
+            for k in np.argsort(-alike, kind="stable").tolist():
+                x, y = int(i[k]), int(j[k])
+                low, high = sorted((root(int(labels[x])), root(int(labels[y]))))
+                if low == high:
+                    continue
+                for place in (x, y):
+                    if place not in sets:
+                        sets[place] = np.frombuffer(elements[place].as_py(), dtype="<u8")
+                if _alike(sets[x], sets[y], percent):
+                    lower[high] = low
+                    linked.append((int(reps[x]), int(reps[y])))
+        columns = zip(*linked) if linked else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_LINKED)
 
     return run
 
@@ -342,7 +378,7 @@ def link(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFr
         sets = scratch.write(both, "sets")
         # An id may have several texts; equal ones have equal sketches.
         fine = sets.groupBy("rep", "s1", "s2").agg(F.max("fine").alias("fine"))
-        reps = scratch.write(reps.join(fine, ["rep", "s1", "s2"]).select("rep", "n", "sketch", "fine"), "fine")
+        reps = scratch.write(reps.join(fine, ["rep", "s1", "s2"]).select("rep", "s1", "s2", "n", "sketch", "fine"), "fine")
 
         def estimated(pairs: DataFrame) -> DataFrame:
             def side(end: str) -> DataFrame:
@@ -387,42 +423,41 @@ def link(docs: DataFrame, percent: int = SIMILAR, size: int = SHINGLE) -> DataFr
         labels = components(links, scratch)
         # All pairs with a hub are settled: verified, in one component, or not alike. Others remain where a
         # bucket has more members and several components.
-        tried: DataFrame | None = None
-        most = BEST
-        open_bands: DataFrame | None = None
-        while True:
-            # Labels meet documents, one row each, and bands are made from these anew.
-            at = labels.select(F.col("node").alias("rep"), "label")
-            current = reps.join(at, "rep", "left").select("rep", F.coalesce("label", "rep").alias("label"), "sketch")
-            named = current.mapInArrow(per_slice(_labelled_bands, 2000), "band long, rep long, label long")
-            if open_bands is not None:
-                named = named.join(open_bands.distinct(), "band")
-            named = scratch.write(named, "named")
-            mixed = named.groupBy("band").agg(F.min("label").alias("low_label"), F.max("label").alias("high_label"), F.count("*").alias("members"))
-            mixed = mixed.where("low_label < high_label").select("band", "members")
-            parts = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
-            rows = named.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("rep"), parts).cast("int"))
-            rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-            if tried is None:
-                rows = rows.withColumn("tried", F.lit(None).cast("array<long>"))
-            else:
-                partners = tried.select(F.col("a").alias("rep"), F.col("b").alias("p")).union(tried.select("b", "a"))
-                rows = rows.join(partners.groupBy("rep").agg(F.collect_set("p").alias("tried")), "rep", "left")
-            member = F.struct("rep", "label", "block", "n", "sketch", "fine", "tried")
-            groups = rows.join(reps, "rep").groupBy(
+        # Labels meet documents, one row each, and bands are made from these anew.
+        at = labels.select(F.col("node").alias("rep"), "label")
+        current = reps.join(at, "rep", "left").select("rep", F.coalesce("label", "rep").alias("label"), "sketch")
+        named = scratch.write(current.mapInArrow(per_slice(_labelled_bands, 2000), "band long, rep long, label long"), "named")
+        ends = F.min("label").alias("low_label"), F.max("label").alias("high_label")
+
+        def in_blocks(rows: DataFrame, mixed: DataFrame, members: DataFrame) -> DataFrame:
+            """Rows (band, rep, label) of buckets (band, parts) as a row for each two blocks, with what members have."""
+            rows = rows.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
+            rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            member = F.struct("label", "block", *members.columns)
+            groups = rows.join(members, "rep").groupBy(
                 "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
             ).agg(F.collect_list(member).alias("member"))
-            groups = groups.where(F.size("member") > 1)
-            # A row is up to two blocks of sketches.
-            with job_settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="64"):
-                found = scratch.write(groups.mapInArrow(per_slice(_compare_blocks(percent, most)), "band long, a long, b long"), "found")
-            if not found.limit(1).count():
-                break
-            # A bucket without candidates has none later either, as components only grow.
-            most *= GROWTH
-            open_bands, pairs = found.select("band"), found.select("a", "b")
-            tried = pairs if tried is None else tried.union(pairs)
-            links = links.union(scratch.write(verified(pairs.distinct()), "links", few=True))
+            return groups.where(F.size("member") > 1)
+
+        mixed = named.groupBy("band").agg(*ends, F.count("*").alias("members")).where("low_label < high_label")
+        mixed = mixed.select("band", F.ceil(F.col("members") / BLOCK_ROWS).cast("int").alias("parts"))
+        groups = in_blocks(named, mixed, reps.select("rep", "n", "sketch", "fine"))
+        # A row is up to two blocks of sketches.
+        with job_settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="64"):
+            found = scratch.write(groups.mapInArrow(per_slice(_with_candidates(percent)), "band long, rep long").distinct(), "found")
+        if found.limit(1).count():
+            asked = found.select("rep").distinct()
+            own = ["rep", "s1", "s2"]
+            whole = sets.join(asked, "rep", "left_semi").groupBy(*own).agg(F.max("elements").alias("elements"))
+            whole = scratch.write(reps.join(whole, own).select("rep", "n", "sketch", "fine", "elements"), "whole")
+            size = whole.groupBy("rep").agg((8 * F.sum("n")).alias("size"))
+            rows = scratch.write(found.join(named, ["band", "rep"]).distinct().join(size, "rep"), "open", few=True)
+            wanted = F.greatest(F.count("*") / BLOCK_ROWS, F.sum("size") / BLOCK_BYTES)
+            mixed = rows.groupBy("band").agg(F.ceil(wanted).cast("int").alias("parts"))
+            groups = in_blocks(rows.drop("size"), mixed, whole)
+            with job_settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="8"):
+                joined = groups.mapInArrow(per_slice(_settle(percent)), "a long, b long").distinct()
+                links = links.union(scratch.write(joined, "links", few=True))
             labels = components(links, scratch)
         labels = scratch.write(labels, "components", keep=True, few=True)
 
