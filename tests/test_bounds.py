@@ -46,6 +46,16 @@ def test_order_of_a_long_file_is_checked_in_runs(spark, tmp_path, monkeypatch):
     assert tuple(quality.check_sorted(spark.read.parquet(str(tmp_path / "two")), "v").first()) == (2000, 0, 1)
 
 
+def test_order_is_checked_by_as_many_tasks_as_rows_need(spark, tmp_path, monkeypatch):
+    """Rows of long file names compress so well that adaptive execution would give one task nearly all."""
+    monkeypatch.setattr(quality, "ROWS_PER_BLOCK", 200)
+    spark.range(0, 1000, 1, 1).write.parquet(str(tmp_path / "rows"))
+    checked = quality.check_sorted(spark.read.parquet(str(tmp_path / "rows")), "id")
+    text = plan(checked)
+    assert "REPARTITION_BY_NUM" in text and ", 10)" in text
+    assert tuple(checked.first()) == (1000, 0, 0)
+
+
 def test_blocks_of_the_queries_have_the_size_of_a_block(spark):
     assert queries._block(spark.range(70)) == 10
     assert queries._block(spark.range(20 * blocks.ROWS_PER_BLOCK)) == blocks.ROWS_PER_BLOCK

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.blocks import as_list
+from tidemark.operators.blocks import ROWS_PER_BLOCK, as_list
 
 _FLOATING = (T.FloatType, T.DoubleType)
 # Rows of a split of a file that are compared in one group.
@@ -138,6 +138,9 @@ def check_sorted(df: DataFrame, order_by: str | Sequence[str]) -> DataFrame:
     # One task reads a split, and counts its rows up.
     placed = placed.withColumn("run", F.call_function("div", F.col("at"), F.lit(RUN_ROWS).cast("long")))
     run = ["file", "split", "run"]
+    # By rows, as adaptive execution goes by compressed bytes, and names of files compress to nearly none.
+    parts = -(-df.count() // (ROWS_PER_BLOCK // 2))
+    placed = placed.repartition(max(1, parts), *run)
     within = Window.partitionBy(*run).orderBy("at")
     compared = placed.withColumn("before", F.lag("key").over(within))
     runs = compared.groupBy(*run).agg(
