@@ -161,3 +161,25 @@ def test_limits_of_languages_with_few_trusted_texts(spark, least):
         assert math.log(rows[i].most) == pytest.approx(most, abs=2.1e-3)
         if abs(surprise(text) - most) > 3e-3:
             assert rows[i].kept == (surprise(text) <= most and again(text) <= limit(of, again))
+
+
+def test_hashes_are_those_of_spark(spark):
+    made = word_model.keys("a b c", word_model._Hashes(), 3)
+    pairs = [(int(c), int(t)) for c, t in zip(made[1].view(np.int64)[:-1], made[0].view(np.int64)[2:])]
+    rows = spark.createDataFrame(pairs, "c3 long, g1 long").select(word_model._gram(3)).collect()
+    assert [r[0] for r in rows] == made[2].view(np.int64).tolist()
+
+
+def test_texts_share_rows_and_the_model_is_shuffled_once(spark):
+    """A row per n-gram and occurrences, not per text; no pass shuffles the model, and it leaves no table behind."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.concat_ws(" ", *[F.lit("the cat sat")] * 9, "id").alias("text")).coalesce(1)
+    grams = docs.select("doc_id", "doc_id", "text").toDF("a", "b", "text").mapInArrow(word_model._grams(2), word_model._GRAMS_SQL)
+    assert grams.count() < 5 * 400
+    with Scratch(spark, "test") as scratch:
+        table, base = word_model.model(docs, scratch)
+        sharded = scratch.buckets(table, "model", "key")
+        plan = grams.join(sharded.hint("shuffle_hash"), "key")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+        rows = word_model.scores(docs, table, base, scratch).collect()
+    assert len(rows) == 400 and all(r.n_grams == 28 and r.fresh == 5 for r in rows)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("test_")]

@@ -58,7 +58,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.label, self.paths = spark, label, []
+        self.spark, self.label, self.paths, self.tables = spark, label, [], []
 
     def __enter__(self) -> Scratch:
         self._settings = job_settings(self.spark)
@@ -67,12 +67,15 @@ class Scratch:
 
     def __exit__(self, *error) -> None:
         self._settings.__exit__(*error)
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         for path in self.paths:
             remove(self.spark, path)
 
     def drop(self, table: DataFrame) -> None:
-        """Remove a table that nothing reads any more."""
-        for path in [p for p in self.paths if any(f"/{p.rsplit('/', 1)[1]}/" in f for f in table.inputFiles()[:1])]:
+        """Remove a table, or all that a frame reads, if nothing reads it any more."""
+        read = {f.rsplit("/", 2)[-2] for f in table.inputFiles()}
+        for path in [p for p in self.paths if p.rsplit("/", 1)[1] in read]:
             self.paths.remove(path)
             remove(self.spark, path)
 
@@ -86,6 +89,15 @@ class Scratch:
             self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def buckets(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """A table in as many buckets by ``key`` as shuffles have partitions: joins on ``key`` shuffle the other side only."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path = scratch_path(self.spark, f"{self.label}-{name}")
+        self.paths.append(path)
+        self.tables.append(path.rsplit("/", 1)[1].replace("-", "_"))
+        df.repartition(n, key).write.option("path", path).bucketBy(n, key).saveAsTable(self.tables[-1], format="parquet")
+        return self.spark.table(self.tables[-1])
+
 
 def remove(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

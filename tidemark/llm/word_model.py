@@ -8,13 +8,15 @@ every table below grows with the text it is made from.
    them, by a hash of the id, trains; the other half sets the thresholds, as texts that a model has seen are no
    measure of it.
 2. Lower orders count the different left neighbours. Discounts come from the counts of counts of each order.
+   An n-gram's hash is that of its context and its last token, so these two are what is shuffled and written.
 3. Logarithms telescope: ln p of an n-gram is ln p of its suffix plus the back-off of its context, plus a correction
    if training has the n-gram. So a text's sum is a constant for each token and, for each n-gram of any order in it,
    a value of the model times the occurrences, once as target and once as context.
-4. Each document's n-grams are counted within it and joined to the model, both sides shuffled by n-gram, and summed
-   per document. The model holds each n-gram once, so a join partition is long by its documents only, and adaptive
-   execution splits it (the salting of hot n-grams). ``PASSES`` passes over as many parts of the documents keep a
-   part's shuffle on disk only.
+4. Each document's n-grams are counted within it. What a task has counted of some documents (a block, of about
+   ``MOST_HELD`` n-grams) becomes a row per n-gram and occurrences, which lists the documents by two bytes each. These
+   rows are shuffled by n-gram and joined to the model, which is written in buckets by n-gram once, and summed per
+   block and document. The model holds each n-gram once, and a hot n-gram has a few rows a block however many documents
+   have it (its salt). ``PASSES`` passes over as many parts of the documents keep a part's shuffle on disk only.
 5. A document is kept if its perplexity is at most its language's ``QUANTILE`` of trusted documents: mean surprise
    less an allowance that shrinks with the root of the length, as short texts scatter. The quantile is read from
    a histogram in steps of a thousandth, over all trusted documents of the second half.
@@ -35,10 +37,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Hashes, Scratch, mix, per_slice, slices
+from tidemark.llm.common import Hashes, Scratch, job_settings, slices
 
 ORDER = 2
 QUANTILE = 0.995
@@ -47,17 +51,23 @@ SPREAD = 2.0
 LEAST_TRUSTED = 20
 # Few counts can give a discount of 0, by which what training does not have would be impossible.
 LEAST_DISCOUNT = 0.1
-PASSES = 8
+PASSES = 6
 # Parts of the highest order's n-grams that are given their probabilities one after the other.
 PARTS = 4
 # Keys that stand for documents themselves, so many that none is hot.
 _MARKS = 4096
-# A task of the first count hands on what it has when it holds so many n-grams.
-MOST_HELD = 1_000_000
+# A task hands on what it has counted when it holds so many n-grams.
+MOST_HELD = 2_000_000
+# Documents of a block: their numbers in it take two bytes.
+_BLOCK = 1 << 16
+# Rows of an Arrow batch that Python hands on.
+_BATCH = 100_000
 _STEPS = 1000
+# Rows between Spark and Python are short here, but for texts.
+_BATCHES = {"spark__sql__execution__arrow__maxRecordsPerBatch": "20000", "spark__sql__execution__arrow__maxBytesPerBatch": "4m"}
 
-_GOLD = np.uint64(0x9E3779B97F4A7C15)
 _START = np.uint64(0x51A7)
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 # Thai to Myanmar, Khmer, kana, Han and Hangul are taken by character.
 _TOKENS = re.compile("[฀-႟ក-៿぀-ヿ㐀-鿿가-힯\U00020000-\U0003ffff]|\\w+|[^\\w\\s]").findall
 
@@ -66,14 +76,41 @@ def tokens(text: str | None) -> list[str]:
     return _TOKENS(text or "")
 
 
+class _Hashes(Hashes):
+    """Of tokens, remembered by the text itself."""
+
+    def __missing__(self, token: str) -> int:
+        value = self._digest(token.encode("utf-8", "surrogatepass"))
+        if len(self) >= self._most:
+            self.clear()
+        self[token] = value
+        return value
+
+
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def _xxhash64(values: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
+    x = (seed + (_P5 + np.uint64(8))) ^ (_rotated(values * _P2, 31) * _P1)
+    x = _rotated(x, 27) * _P1 + _P4
+    x = (x ^ (x >> np.uint64(33))) * _P2
+    x = (x ^ (x >> np.uint64(29))) * _P3
+    return x ^ (x >> np.uint64(32))
+
+
+def joined(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """The hashes of n-grams by their contexts and last tokens, as Spark's ``xxhash64`` of both gives them."""
+    return _xxhash64(token, _xxhash64(context, np.uint64(42)))
+
+
 def keys(text: str | None, hashes: Hashes, order: int) -> list[np.ndarray]:
     """For k from 1 to ``order``, the hashes of the k tokens up to each place; before a text are ``order`` - 1 starts."""
-    found = hashes.of([t.encode("utf-8", "surrogatepass") for t in tokens(text)])
+    found = hashes.of(tokens(text))
     words = np.concatenate((np.full(order - 1, _START), found))
     made = [words]
     for k in range(2, order + 1):
-        # From the first of k tokens on: the hash of the k - 1 before, then the last.
-        made.append(mix(made[-1][:-1] * _GOLD + words[k - 1 :] + np.uint64(k)))
+        made.append(joined(made[-1][:-1], words[k - 1 :]))
     return made
 
 
@@ -82,37 +119,41 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _count(order: int):
-    """n, g{order} (the n-gram), and for each order k its context c{k} and its suffix g{k - 1}."""
-    names = [name for k in range(order, 1, -1) for name in (f"g{k}", f"c{k}")] + ["g1"]
-    hashes = Hashes()
+    """For each order k from the highest to 2 the context c{k}; g1, the last token; n."""
+    names = [*(f"c{k}" for k in range(order, 1, -1)), "g1"]
 
-    def emit(held: list[np.ndarray]) -> pa.RecordBatch:
+    def emit(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         rows = np.concatenate(held)
         _, first, n = np.unique(rows[:, 0], return_index=True, return_counts=True)
-        columns = [_signed(np.ascontiguousarray(rows[first, i])) for i in range(len(names))]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], names=[*names, "n"])
+        columns = [_signed(np.ascontiguousarray(rows[first, i])) for i in range(1, len(names) + 1)]
+        made = pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], names=[*names, "n"])
+        return slices([made], _BATCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
         held, size = [], 0
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 made = keys(text, hashes, order)
                 n = len(made[-1])
                 if n:
-                    columns = []
-                    for k in range(order, 1, -1):
-                        columns += [made[k - 1][-n:], made[k - 2][-n - 1 : -1]]
-                    held.append(np.stack([*columns, made[0][-n:]], axis=1))
+                    contexts = [made[k - 2][-n - 1 : -1] for k in range(order, 1, -1)]
+                    held.append(np.stack([made[-1], *contexts, made[0][-n:]], axis=1))
                     size += n
             if size >= MOST_HELD:
-                yield emit(held)
+                yield from emit(held)
                 held, size = [], 0
         if held:
-            yield emit(held)
+            yield from emit(held)
 
     return run, ", ".join(f"{name} long" for name in [*names, "n"])
 
 
+def _gram(k: int) -> Column:
+    """Of a row that has context c{k} and last token g1."""
+    return F.xxhash64(f"c{k}", "g1") if k > 1 else F.col("g1")
+
+
 def discounts(ones: int, twos: int, threes: int, fours: int) -> tuple[float, float, float]:
     """Of counts 1, 2 and 3 or more, by how many n-grams occur once to four times."""
     share = ones / (ones + 2 * twos) if ones else 0.0
@@ -130,10 +171,10 @@ def model(training: DataFrame, scratch: Scratch, order: int = ORDER) -> tuple[Da
     below: DataFrame | None = None
     levels: dict[int, DataFrame] = {}
     for k in range(order, 0, -1):
-        rest = [name for j in range(k, 0, -1) for name in (f"g{j}", f"c{j}") if name != f"g{k}" and name != "c1"]
+        by = [f"c{k}", "g1"] if k > 1 else ["g1"]
         n = F.sum("n") if k == order else F.count("*")
         rows = counted if k == order else levels[k + 1]
-        levels[k] = scratch.write(rows.groupBy(f"g{k}").agg(n.alias("n"), *[F.min(c).alias(c) for c in rest]), f"order{k}")
+        levels[k] = scratch.write(rows.groupBy(*by).agg(n.alias("n"), *[F.min(f"c{j}").alias(f"c{j}") for j in range(k - 1, 1, -1)]), f"order{k}")
     base, targets, contexts = None, [], []
     for k in range(1, order + 1):
         level = levels[k]
@@ -155,15 +196,16 @@ def model(training: DataFrame, scratch: Scratch, order: int = ORDER) -> tuple[Da
             share = F.col("freed") / F.col("total")
             contexts.append(sums.select(F.col(f"c{k}").alias("key"), F.log(share).cast("float").alias("context")))
             last = k == order
-            shorter = below.select(F.col("key").alias(f"g{k - 1}"), F.col("p").alias("shorter"))
+            shorter = below.select(F.col("key").alias("suffix"), F.col("p").alias("shorter"))
             made = []
             # The joins shuffle every n-gram twice, so they take a part of them at a time.
             for part in range(PARTS if last else 1):
-                rows = level.where(F.pmod(F.col(f"g{k}"), F.lit(PARTS)) == part) if last else level
-                rows = rows.select(f"g{k}", f"c{k}", f"g{k - 1}", (F.col("n") - off).alias("kept")).join(sums, f"c{k}").join(shorter, f"g{k - 1}")
+                rows = level.select(_gram(k).alias("key"), f"c{k}", _gram(k - 1).alias("suffix"), (F.col("n") - off).alias("kept"))
+                rows = rows.where(F.pmod("key", F.lit(PARTS)) == part) if last else rows
+                rows = rows.join(sums.hint("shuffle_hash"), f"c{k}").join(shorter.hint("shuffle_hash"), "suffix")
                 backed = F.log(share) + F.col("shorter")
                 p = F.log(F.col("kept") / F.col("total") + F.exp(backed))
-                held = [F.col(f"g{k}").alias("key"), (p - backed).cast("float").alias("target")]
+                held = ["key", (p - backed).cast("float").alias("target")]
                 made.append(scratch.write(rows.select(*held, *([] if last else [p.alias("p")])), f"scored{k}-{part}"))
             below = made[0]
             for more in made[1:]:
@@ -181,63 +223,154 @@ def model(training: DataFrame, scratch: Scratch, order: int = ORDER) -> tuple[Da
     return (lower.union(targets[-1].withColumn("context", F.lit(0.0).cast("float"))) if order > 1 else lower), base
 
 
-_GRAMS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("ended", pa.int32()), ("led", pa.int32())])
-_GRAMS_SQL = "a long, b long, key long, ended int, led int"
+_GRAMS = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("ended", pa.int32()), ("led", pa.int32()), ("held", pa.binary())])
+_GRAMS_SQL = "key long, block long, ended int, led int, held binary"
+_ADDED = pa.schema([("block", pa.int64()), ("places", pa.binary()), ("sums", pa.binary()), ("texts", pa.binary())])
+_ADDED_SQL = "block long, places binary, sums binary, texts binary"
+_SUMMED = pa.schema([("added", pa.float64()), *[(c, pa.int64()) for c in ("a", "b", "all_grams", "all_fresh")]])
+_SUMMED_SQL = "added double, a long, b long, all_grams long, all_fresh long"
+
+
+def _within(text: str | None, hashes: Hashes, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """A text's n-grams of all orders, how often each ends at a token and comes before one; how many of the highest
+    order there are, and how many for the first time."""
+    made = keys(text, hashes, order)
+    n, fresh = len(made[-1]), 0
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for k, level in enumerate(made if n else [], start=1):
+        ends = level[-n:]
+        found, ended = np.unique(ends, return_counts=True)
+        fresh = len(found)
+        if k == order:
+            parts.append((found, ended, np.zeros_like(ended)))
+            continue
+        # Each comes before a token but the text's last; so does the one that ends before the text.
+        led = ended.copy()
+        led[np.searchsorted(found, ends[-1])] -= 1
+        parts.append((np.append(found, level[-n - 1]), np.append(ended, 0), np.append(led, 1)))
+    if not parts:
+        return made[0][:0], np.empty(0, np.int64), np.empty(0, np.int64), 0, 0
+    found, ended, led = (np.concatenate(c) for c in zip(*parts))
+    return found, ended, led, n, fresh
+
+
 def _grams(order: int):
-    """Rows (a, b, text): each text's n-grams of all orders with their occurrences in it, as targets and as contexts; and
-    a row that stands for the text, with the number of its n-grams and of those that it has for the first time."""
-    hashes = Hashes()
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        parts = []
-        for a, b, text in zip(*(c.to_pylist() for c in batch.columns)):
-            made = keys(text, hashes, order)
-            n = len(made[-1])
-            if not n:
-                continue
-            ends = np.concatenate([level[-n:] for level in made])
-            leads = np.concatenate([level[-n - 1 : -1] for level in made[:-1]] or [made[0][:0]])
-            found, where = np.unique(np.concatenate((ends, leads)), return_inverse=True)
-            ended = np.bincount(where[: len(ends)], minlength=len(found))
-            led = np.bincount(where[len(ends) :], minlength=len(found))
-            fresh = len(np.unique(made[-1]))
-            parts.append((
-                np.full(len(found) + 1, a), np.full(len(found) + 1, b), np.append(found.view(np.int64), a % _MARKS),
-                np.append(ended, n).astype(np.int32), np.append(led, fresh).astype(np.int32),
-            ))
-        if not parts:
-            return None
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], schema=_GRAMS)
-
-    return per_slice(run)
+    """Rows (a, b, text) as blocks of texts. A row per n-gram and its occurrences in a text of the block, as target and
+    as context: ``held`` has the places in the block of all texts that have it so. And a row that stands for the texts:
+    ``held`` has a, b, the number of n-grams and of those had for the first time, of each."""
+
+    def emit(first: int, texts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        of, ended, led = (np.concatenate([t[i] for t in texts]) for i in (2, 3, 4))
+        places = np.repeat(np.arange(len(texts), dtype="<u2"), [len(t[2]) for t in texts])
+        # Rows alike lie together; should two kinds have one value here, they make more rows than they need.
+        sorting = np.argsort(of + ended.astype(np.uint64) * _P1 + led.astype(np.uint64) * _P2)
+        of, ended, led, places = of[sorting], ended[sorting], led[sorting], places[sorting]
+        other = (of[1:] != of[:-1]) | (ended[1:] != ended[:-1]) | (led[1:] != led[:-1])
+        starts = np.concatenate(([0], np.flatnonzero(other) + 1))
+        ends = np.append(starts, len(of)).astype(np.int32) * 2
+        held = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(places)])
+        block = pa.array(np.full(len(starts), first))
+        columns = [_signed(of[starts]), block, pa.array(ended[starts].astype(np.int32)), pa.array(led[starts].astype(np.int32)), held]
+        yield from slices([pa.RecordBatch.from_arrays(columns, schema=_GRAMS)], _BATCH)
+        whole = np.array([(t[0], t[1], t[5], t[6]) for t in texts], dtype="<i8").tobytes()
+        yield pa.RecordBatch.from_pylist([{"key": (first >> 33) % _MARKS, "block": first, "ended": 0, "led": 0, "held": whole}], schema=_GRAMS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        first = TaskContext.get().partitionId() << 33
+        texts, size = [], 0
+        for batch in slices(batches):
+            for a, b, text in zip(*(c.to_pylist() for c in batch.columns)):
+                found, ended, led, n, fresh = _within(text, hashes, order)
+                if n:
+                    texts.append((a, b, found, ended, led, n, fresh))
+                    size += len(found)
+                if size >= MOST_HELD or len(texts) == _BLOCK:
+                    yield from emit(first, texts)
+                    first, texts, size = first + len(texts), [], 0
+        if texts:
+            yield from emit(first, texts)
+
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, value, mark, held): what n-grams of a block give to its texts, summed over rows that lie together."""
+    for batch in batches:
+        marks = batch.column("mark")
+        own = batch.filter(marks)
+        if own.num_rows:
+            none = pa.nulls(own.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([own.column("block"), none, none, own.column("held")], schema=_ADDED)
+        rows = batch.filter(pc.invert(marks))
+        if not rows.num_rows:
+            continue
+        held = rows.column("held")
+        ends = np.frombuffer(held.buffers()[1], dtype=np.int32)[held.offset : held.offset + len(held) + 1] // 2
+        places = np.frombuffer(held.buffers()[2], dtype="<u2", count=ends[-1])
+        block, value = rows.column("block").to_numpy(), rows.column("value").to_numpy()
+        cuts = np.concatenate(([0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]))
+        made = []
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            sums = np.bincount(places[ends[low] : ends[high]], np.repeat(value[low:high], np.diff(ends[low : high + 1])))
+            found = np.flatnonzero(sums)
+            made.append((int(block[low]), found.astype("<u2").tobytes(), sums[found].tobytes(), None))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), _ADDED.types)], schema=_ADDED)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per text, of the rows of ``_added`` in the order of their blocks."""
+    block, texts, sums = None, None, np.zeros(_BLOCK)
+
+    def emit() -> pa.RecordBatch:
+        columns = [pa.array(np.ascontiguousarray(texts[:, i])) for i in range(4)]
+        return pa.RecordBatch.from_arrays([pa.array(sums[: len(texts)].copy()), *columns], schema=_SUMMED)
+
+    for batch in batches:
+        for its, places, added, whole in zip(*(c.to_pylist() for c in batch.columns)):
+            if its != block:
+                if block is not None:
+                    yield emit()
+                block = its
+                sums[:] = 0.0
+            if whole is not None:
+                texts = np.frombuffer(whole, dtype="<i8").reshape(-1, 4)
+            else:
+                sums[np.frombuffer(places, dtype="<u2")] += np.frombuffer(added)
+    if block is not None:
+        yield emit()
 
 
 def scores(texts: DataFrame, table: DataFrame, base: float | None, scratch: Scratch, order: int = ORDER, passes: int = PASSES) -> DataFrame:
-    """doc_id, lang, n_grams, fresh, surprise (mean of -ln p): one row per row of ``texts`` (doc_id, lang, text)."""
+    """doc_id, lang, n_grams, fresh, surprise (mean of -ln p): one row per row of ``texts`` (doc_id, lang, text).
+    ``table`` is removed from ``scratch`` once it is written in buckets. Texts are held by their place in a task, so a
+    partition read again has to give its rows in the same order, as files do."""
     spark = texts.sparkSession
-    # 128 bits tell texts apart; rows of one id and text are one to the sums.
+    # 128 bits tell texts apart; rows of one id and text have one sum.
     whole = F.coalesce("text", F.lit(""))
     a, b = F.xxhash64("doc_id", whole).alias("a"), F.xxhash64(whole, F.lit("b"), "doc_id").alias("b")
     rows = scratch.write(texts.select("doc_id", "lang", a, b), "rows")
-    marks = spark.range(-_MARKS + 1, _MARKS).select(F.col("id").alias("key"), F.lit(0.0).cast("float").alias("target"), F.lit(0.0).cast("float").alias("context"), F.lit(True).alias("mark"))
-    table = table.withColumn("mark", F.lit(False)).union(marks)
+    none = F.lit(0.0).cast("float")
+    table = table.union(spark.range(-_MARKS + 1, _MARKS).select(F.col("id").alias("key"), none.alias("target"), none.alias("context")))
+    # Shuffled once, and not in every pass.
+    sharded = scratch.buckets(table, "model", "key")
+    scratch.drop(table)
     sums: DataFrame | None = None
     for number in range(passes):
         mine = texts.where(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(passes)) == number)
         grams = mine.select(a, b, "text").mapInArrow(_grams(order), _GRAMS_SQL)
-        # No n-gram is in the model twice: only the documents' side can be skewed, which is streamed and split.
-        found = grams.join(table.hint("shuffle_hash"), "key")
-        added = F.sum(F.col("ended") * F.col("target").cast("double") + F.col("led") * F.col("context").cast("double"))
-        counts = [F.sum(F.when(F.col("mark"), F.col(c))).alias(name) for c, name in (("ended", "all_grams"), ("led", "all_fresh"))]
-        part = scratch.write(found.groupBy("a", "b").agg(added.alias("added"), *counts), f"sums{number}")
+        found = grams.join(sharded.hint("shuffle_hash"), "key")
+        value = F.col("ended") * F.col("target").cast("double") + F.col("led") * F.col("context").cast("double")
+        found = found.select("block", value.alias("value"), F.col("key").between(-_MARKS + 1, _MARKS - 1).alias("mark"), "held")
+        of = found.mapInArrow(_added, _ADDED_SQL).repartition("block").sortWithinPartitions("block").mapInArrow(_summed, _SUMMED_SQL)
+        with job_settings(spark, **_BATCHES):
+            part = scratch.write(of, f"sums{number}")
         sums = part if sums is None else sums.union(part)
-    copies = rows.groupBy("a", "b").agg(F.count("*").alias("copies"))
-    each = copies.join(sums.hint("merge"), ["a", "b"], "left").select(
-        "a", "b", *[(F.col(c) / F.col("copies")).alias(c) for c in ("added", "all_grams", "all_fresh")]
-    )
-    n_grams, fresh = (F.coalesce(c, F.lit(0.0)).cast("long") for c in ("all_grams", "all_fresh"))
+    each = sums.groupBy("a", "b").agg(*[F.max(c).alias(c) for c in ("added", "all_grams", "all_fresh")])
+    judged = rows.join(each.hint("merge"), ["a", "b"], "left")
+    n_grams, fresh = (F.coalesce(c, F.lit(0)) for c in ("all_grams", "all_fresh"))
+    judged = judged.withColumns({"n_grams": n_grams, "fresh": fresh})
     surprise = F.when(F.col("n_grams") > 0, -(F.lit(base).cast("double") + F.col("added") / F.col("n_grams")))
-    judged = rows.join(each.hint("merge"), ["a", "b"]).withColumns({"n_grams": n_grams, "fresh": fresh})
     return judged.select("doc_id", "lang", "n_grams", "fresh", surprise.alias("surprise"))
 
 
