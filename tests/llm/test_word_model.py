@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
+import sys
 from collections import Counter
 
 import numpy as np
@@ -183,3 +185,38 @@ def test_texts_share_rows_and_the_model_is_shuffled_once(spark):
         rows = word_model.scores(docs, table, base, scratch).collect()
     assert len(rows) == 400 and all(r.n_grams == 28 and r.fresh == 5 for r in rows)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("test_")]
+
+
+@pytest.mark.parametrize("window", [7, 1 << 18])
+def test_hashes_are_of_the_tokens(monkeypatch, window):
+    """Texts cut together have the tokens of the expression, and each token one hash wherever it stands."""
+    monkeypatch.setattr(word_model, "_WINDOW", window)
+    made = random.Random(5)
+    some = [*"ab_9é!|. \n\t\0猫坐ひー・゠฿กิ가Жا", "e\u0301", "\u3000", "\x1c", "\ud800", "\U00020000", "\U0001f600"]
+    texts = ["".join(made.choices(some, k=made.randint(0, 40))) for _ in range(2000)]
+    texts += ["".join(map(chr, made.choices(range(0x110000), k=60))) for _ in range(500)] + [None, "", "x" * 50, "x" * 51]
+    hashes, counts = word_model._Hashes().of(texts)
+    split = [word_model.tokens(t) for t in texts]
+    assert counts.tolist() == [len(t) for t in split]
+    of = {}
+    for token, value in zip([t for s in split for t in s], hashes.tolist()):
+        assert of.setdefault(token, value) == value
+    assert len(set(of.values())) == len(of)
+
+
+def test_tokens_are_hashed_without_a_call_each():
+    """What a text costs in Python calls does not grow with its tokens."""
+
+    def calls(n):
+        text = " ".join(f"w{i}" for i in range(n))
+        word_model.keys(text, word_model._Hashes(), 2)
+        made = Counter()
+        hashes = word_model._Hashes()
+        sys.setprofile(lambda frame, event, arg: made.update([event]))
+        try:
+            word_model.keys(text, hashes, 2)
+        finally:
+            sys.setprofile(None)
+        return made["call"] + made["c_call"]
+
+    assert calls(20_000) < 2 * calls(200)

@@ -34,6 +34,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Hashes, Scratch, job_settings, slices
+from tidemark.llm.common import Scratch, job_settings, mix, slices
 
 ORDER = 2
 QUANTILE = 0.995
@@ -69,22 +70,70 @@ _BATCHES = {"spark__sql__execution__arrow__maxRecordsPerBatch": "20000", "spark_
 _START = np.uint64(0x51A7)
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 # Thai to Myanmar, Khmer, kana, Han and Hangul are taken by character.
-_TOKENS = re.compile("[฀-႟ក-៿぀-ヿ㐀-鿿가-힯\U00020000-\U0003ffff]|\\w+|[^\\w\\s]").findall
+_SCRIPTS = "฀-႟ក-៿぀-ヿ㐀-鿿가-힯\U00020000-\U0003ffff"
+_TOKENS = re.compile(f"[{_SCRIPTS}]|\\w+|[^\\w\\s]").findall
+# Kinds of characters: none of a token, a token of its own, one of these scripts, of words.
+_SPACE, _MARK, _LONE, _WORD = range(4)
+# Characters that are hashed at once, and characters of texts that are cut into tokens at once.
+_WINDOW, _TEXTS = 1 << 18, 1 << 20
 
 
 def tokens(text: str | None) -> list[str]:
+    """What the tokens of a text are; ``_Hashes`` cuts many texts alike."""
     return _TOKENS(text or "")
 
 
-class _Hashes(Hashes):
-    """Of tokens, remembered by the text itself."""
+@cache
+def _kinds() -> np.ndarray:
+    """Of every code point, as the expression of ``tokens`` takes it."""
+    every = "".join(map(chr, range(0x110000)))
+    made = np.full(len(every), _MARK, np.uint8)
+    for pattern, kind in (("\\s+", _SPACE), ("\\w+", _WORD)):
+        for found in re.finditer(pattern, every):
+            made[found.start() : found.end()] = kind
+    for found in re.finditer(f"[{_SCRIPTS}]+", every):
+        part = made[found.start() : found.end()]
+        part[:] = np.where(part == _WORD, _LONE, _MARK)
+    return made
+
 
-    def __missing__(self, token: str) -> int:
-        value = self._digest(token.encode("utf-8", "surrogatepass"))
-        if len(self) >= self._most:
-            self.clear()
-        self[token] = value
-        return value
+class _Hashes:
+    """Of the tokens of texts, all at once: the sum of what each character gives at its place in the token."""
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All hashes, and the number of tokens of each text."""
+        texts = [t or "" for t in texts]
+        codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        kinds = _kinds()[codes]
+        starts = self._starts(kinds)
+        sums = np.zeros(len(starts), np.uint64)
+        for low in range(0, len(codes), _WINDOW):
+            high = min(low + _WINDOW, len(codes))
+            first = max(np.searchsorted(starts, low, "right") - 1, 0)
+            own = starts[first : np.searchsorted(starts, high)]
+            if not len(own):
+                continue
+            # The first token may have begun in a window before.
+            cuts = np.maximum(own, low)
+            begin = cuts[0]
+            places = np.arange(begin, high) - np.repeat(own, np.diff(np.append(cuts, high)))
+            given = mix((places.view(np.uint64) << np.uint64(21)) + codes[begin:high] + np.uint64(1))
+            given[kinds[begin:high] == _SPACE] = 0
+            sums[first : first + len(own)] += np.add.reduceat(given, cuts - begin)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        return mix(sums), np.diff(np.searchsorted(starts, ends), prepend=0)
+
+    def _starts(self, kinds: np.ndarray) -> np.ndarray:
+        word = kinds >= _LONE
+        if not (kinds == _LONE).any():
+            on = np.append(False, word[:-1])
+        else:
+            # A word takes all word characters after its first, of whatever script.
+            here = np.arange(len(kinds))
+            run = np.maximum.accumulate(np.where(word, 0, here + 1))
+            begun = np.maximum.accumulate(np.where(kinds == _WORD, here, -1))
+            on = np.append(-1, begun[:-1]) >= run
+        return np.flatnonzero((kinds == _MARK) | (word & ~on))
 
 
 def _rotated(x: np.ndarray, by: int) -> np.ndarray:
@@ -104,14 +153,44 @@ def joined(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     return _xxhash64(token, _xxhash64(context, np.uint64(42)))
 
 
-def keys(text: str | None, hashes: Hashes, order: int) -> list[np.ndarray]:
+class _Keys:
+    """Of some texts: ``levels[k - 1]`` has the hashes of the k tokens from each place on; before each text are
+    ``order`` - 1 starts. ``at`` has the places of the texts' tokens, ``counts`` their number in each text."""
+
+    def __init__(self, texts: list[str | None], hashes: _Hashes, order: int):
+        found, self.counts = hashes.of(texts)
+        before = np.repeat(np.arange(1, len(texts) + 1) * (order - 1), self.counts)
+        self.at = np.arange(len(found)) + before
+        words = np.full(len(found) + len(texts) * (order - 1), _START)
+        words[self.at] = found
+        self.levels = [words]
+        for k in range(2, order + 1):
+            self.levels.append(joined(self.levels[-1][:-1], words[k - 1 :]))
+
+    def each(self) -> Iterator[list[np.ndarray]]:
+        """The levels of each text."""
+        order, start = len(self.levels), 0
+        for count in self.counts.tolist():
+            end = start + count + order - 1
+            yield [level[start : end - k] for k, level in enumerate(self.levels)]
+            start = end
+
+
+def keys(text: str | None, hashes: _Hashes, order: int) -> list[np.ndarray]:
     """For k from 1 to ``order``, the hashes of the k tokens up to each place; before a text are ``order`` - 1 starts."""
-    found = hashes.of(tokens(text))
-    words = np.concatenate((np.full(order - 1, _START), found))
-    made = [words]
-    for k in range(2, order + 1):
-        made.append(joined(made[-1][:-1], words[k - 1 :]))
-    return made
+    return next(_Keys([text], hashes, order).each())
+
+
+def _together(lengths: list[int]) -> Iterator[slice]:
+    """Texts that are cut into tokens together: a long one alone."""
+    first, size = 0, 0
+    for i, n in enumerate(lengths):
+        if i > first and size + n > _TEXTS:
+            yield slice(first, i)
+            first, size = i, 0
+        size += n
+    if first < len(lengths):
+        yield slice(first, len(lengths))
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -133,13 +212,13 @@ def _count(order: int):
         hashes = _Hashes()
         held, size = [], 0
         for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                made = keys(text, hashes, order)
-                n = len(made[-1])
-                if n:
-                    contexts = [made[k - 2][-n - 1 : -1] for k in range(order, 1, -1)]
-                    held.append(np.stack([made[-1], *contexts, made[0][-n:]], axis=1))
-                    size += n
+            texts = batch.column(0).to_pylist()
+            for some in _together([len(t or "") for t in texts]):
+                made = _Keys(texts[some], hashes, order)
+                if len(made.at):
+                    contexts = [made.levels[k - 2][made.at - k + 1] for k in range(order, 1, -1)]
+                    held.append(np.stack([made.levels[-1][made.at - order + 1], *contexts, made.levels[0][made.at]], axis=1))
+                    size += len(made.at)
             if size >= MOST_HELD:
                 yield from emit(held)
                 held, size = [], 0
@@ -231,11 +310,10 @@ _SUMMED = pa.schema([("added", pa.float64()), *[(c, pa.int64()) for c in ("a", "
 _SUMMED_SQL = "added double, a long, b long, all_grams long, all_fresh long"
 
 
-def _within(text: str | None, hashes: Hashes, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
-    """A text's n-grams of all orders, how often each ends at a token and comes before one; how many of the highest
+def _within(made: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """A text's n-grams of all orders, of its ``keys``, how often each ends at a token and comes before one; how many of the highest
     order there are, and how many for the first time."""
-    made = keys(text, hashes, order)
-    n, fresh = len(made[-1]), 0
+    order, n, fresh = len(made), len(made[-1]), 0
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for k, level in enumerate(made if n else [], start=1):
         ends = level[-n:]
@@ -280,14 +358,16 @@ def _grams(order: int):
         first = TaskContext.get().partitionId() << 33
         texts, size = [], 0
         for batch in slices(batches):
-            for a, b, text in zip(*(c.to_pylist() for c in batch.columns)):
-                found, ended, led, n, fresh = _within(text, hashes, order)
-                if n:
-                    texts.append((a, b, found, ended, led, n, fresh))
-                    size += len(found)
-                if size >= MOST_HELD or len(texts) == _BLOCK:
-                    yield from emit(first, texts)
-                    first, texts, size = first + len(texts), [], 0
+            a, b, whole = (c.to_pylist() for c in batch.columns)
+            for some in _together([len(t or "") for t in whole]):
+                for its_a, its_b, made in zip(a[some], b[some], _Keys(whole[some], hashes, order).each()):
+                    found, ended, led, n, fresh = _within(made)
+                    if n:
+                        texts.append((its_a, its_b, found, ended, led, n, fresh))
+                        size += len(found)
+                    if size >= MOST_HELD or len(texts) == _BLOCK:
+                        yield from emit(first, texts)
+                        first, texts, size = first + len(texts), [], 0
         if texts:
             yield from emit(first, texts)
 
