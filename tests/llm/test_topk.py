@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,25 @@ def test_many_cells_against_plain_scores(spark, monkeypatch, large):
     assert found(topk.search(vectors, every=10, block_rows=7, query_rows=3, dims=2)) == plain(rows, every=10)
 
 
+@pytest.mark.parametrize("spread,size,kind", [(1.0, 30, "f4"), (0.7, 100, "f4"), (1.0, 2, "f4"), (0.9, 10**6, "f8")])
+def test_a_cell_against_all_scores(monkeypatch, spread, size, kind):
+    """Weights that fall by dimension, many ties (size 2), singles and doubles: the bound leaves few pairs and loses none."""
+    rng = np.random.default_rng(3)
+    vectors = np.rint(rng.normal(0, size, (24, 9000)) * spread ** rng.permutation(24)[:, None])
+    ids, asked = rng.permutation(9000), rng.choice(9000, 60, replace=False)
+    went, go_on = [], topk._Cell._go_on
+    monkeypatch.setattr(topk._Cell, "_go_on", lambda self, i, *rest: (went.append(len(i)), go_on(self, i, *rest))[1])
+    cell = topk._Cell(ids[asked], vectors[:, asked], 5, 4, 25)
+    for start in range(0, 9000, 900):
+        cell.meet(ids[start : start + 900], vectors[:, start : start + 900])
+    assert kind in cell.rows and 0 < sum(went) < 9000 * 60 / 10
+    scores = vectors[:, asked].T @ vectors
+    for k, query in enumerate(ids[asked]):
+        best = np.lexsort((ids, -scores[k]))
+        best = best[ids[best] != query][:5]
+        assert cell.found[k].tolist() == ids[best].tolist() and cell.scores[k].tolist() == scores[k][best].tolist()
+
+
 def test_vectors_that_are_all_equal(spark):
     """Every pair reaches the bar: the smallest ids are the best, and no more than the ties of a few candidates are sorted at once."""
     vectors = spark.range(6000).select(F.col("id").alias("vec_id"), F.array_repeat(F.lit(0.1), 20).alias("embedding"))

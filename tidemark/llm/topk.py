@@ -39,16 +39,17 @@ TOP = 5
 BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
 DIMS = 16
-# Components that a block, and that the blocks of a task not yet full, hold at most (one vector at least).
-BLOCK_COMPONENTS, WAITING_COMPONENTS = 1 << 19, 1 << 23
+# Components that a block holds at most (one vector at least), that candidates met at once do, and that the blocks of
+# a task do that are not yet full. Parquet looks at the size of a page after a hundred values only, so blocks are small.
+BLOCK_COMPONENTS, MET_COMPONENTS, WAITING_COMPONENTS = 1 << 16, 1 << 19, 1 << 23
 # Components of the queries of a cell, and products of components that make a cell's work.
 CELL_COMPONENTS, CELL_PRODUCTS = 1 << 22, 1 << 40
-# Candidates that are scored without a bar at once.
-AT_ONCE = 256
+# Candidates that are scored without a bar at once, and surviving pairs that go on together.
+AT_ONCE, PAIRS_AT_ONCE = 256, 1024
 # Sums of integers up to here are exact in singles, and rounded by less than a half with a bound added.
 SINGLES = 2.0**22
-# A row is a block of up to some megabytes, so Python gets few at a time.
-ONE_BY_ONE = {"spark__sql__execution__arrow__maxRecordsPerBatch": "4"}
+# A row is a block of up to half a megabyte, or one long vector, so Python gets few at a time.
+FEW = {"spark__sql__execution__arrow__maxRecordsPerBatch": "8"}
 
 _BLOCK = "asked boolean, deal long, low long, n int, dims int, ids binary, columns binary"
 _BLOCK_ARROW = pa.schema([
@@ -70,9 +71,9 @@ def _usable(batch: pa.RecordBatch, scale: int) -> Iterator[tuple[np.ndarray, np.
         yield ids[rows[whole]], np.floor(vectors[whole] * scale)
 
 
-def _rows(block_rows: int, dims: int) -> int:
+def _rows(most: int, dims: int, components: int = BLOCK_COMPONENTS) -> int:
     """Vectors of a block."""
-    return max(1, min(block_rows, BLOCK_COMPONENTS // max(1, dims)))
+    return max(1, min(most, components // max(1, dims)))
 
 
 def _blocks(block_rows: int, every: int, scale: int):
@@ -155,6 +156,7 @@ class _Cell:
         self.order = np.argsort(-np.square(columns).sum(axis=1), kind="stable")  # dimensions of most weight first
         self.starts = [*range(0, len(columns), step), len(columns)]
         self.columns = {"f8": columns[self.order]}
+        self.rows: dict[str, np.ndarray] = {}
         self.left = _left(self.columns["f8"], self.starts)
         # The block of dimensions after which pairs are first held against the bar.
         self.first = max(1, len(self.starts) // 2)
@@ -182,9 +184,11 @@ class _Cell:
         left = _left(columns, self.starts)
         longest = float(self.left[0].max() * left[0].max())
         kind = "f4" if longest < SINGLES else "f8"
-        if kind not in self.columns:
-            self.columns[kind] = self.columns["f8"].astype(kind)
-        columns, most = columns.astype(kind), 0.0
+        if kind not in self.rows:
+            self.columns[kind] = self.columns["f8"].astype(kind, copy=False)
+            self.rows[kind] = np.ascontiguousarray(self.columns[kind].T)
+        columns, most = columns.astype(kind, copy=False), 0.0
+        rows = np.ascontiguousarray(columns.T)
         for start in range(0, len(self.ids), self.query_rows):
             some = slice(start, start + self.query_rows)
             begin = 0
@@ -192,14 +196,14 @@ class _Cell:
                 begin = min(AT_ONCE, len(ids))
                 self._all(some, ids[:begin], columns[:, :begin], kind)
             if begin < len(ids):
-                most = max(most, self._bounded(some, ids[begin:], columns[:, begin:], left[:, begin:], kind, longest))
+                most = max(most, self._bounded(some, ids[begin:], columns[:, begin:], rows[begin:], left[:, begin:], kind, longest))
         # The next dimensions cost some 1/256 of a survivor's for all pairs.
         if most > 1 / 256:
             self.first = min(self.first + 1, len(self.starts) - 1)
         elif most < 1 / 4096:
             self.first = max(self.first - 1, 1)
 
-    def _bounded(self, some: slice, ids: np.ndarray, columns: np.ndarray, left: np.ndarray, kind: str, longest: float) -> float:
+    def _bounded(self, some: slice, ids: np.ndarray, columns: np.ndarray, rows: np.ndarray, left: np.ndarray, kind: str, longest: float) -> float:
         """Branch and bound over blocks of dimensions; the share of pairs that the first test has left."""
         q, q_left, bar = self.columns[kind], self.left, self.scores[some, -1]
         to = self.starts[self.first]
@@ -215,16 +219,22 @@ class _Cell:
         i += some.start
         other = self.ids[i] != ids[j]
         i, j = i[other], j[other]
-        score = np.zeros(len(i), dtype=kind)
-        for k, start in enumerate(self.starts[:-1]):
-            part = slice(start, self.starts[k + 1])
-            score += np.einsum("dp,dp->p", q[part].take(i, axis=1), columns[part].take(j, axis=1))
-            if k + 1 >= self.first:
-                keep = score + q_left[k + 1, i] * left[k + 1, j] >= self.scores[i, -1] - 0.5
-                i, j, score = i[keep], j[keep], score[keep]
-        self.add(i, ids[j], score.astype("f8"))
+        kept = [self._go_on(i[k : k + PAIRS_AT_ONCE], j[k : k + PAIRS_AT_ONCE], rows, left, kind) for k in range(0, len(i), PAIRS_AT_ONCE)]
+        if kept:
+            i, j, score = (np.concatenate(x) for x in zip(*kept))
+            self.add(i, ids[j], score.astype("f8"))
         return pairs / alive.size
 
+    def _go_on(self, i: np.ndarray, j: np.ndarray, rows: np.ndarray, left: np.ndarray, kind: str) -> tuple[np.ndarray, ...]:
+        """Pairs that the first test has left, over the other dimensions: those that the bar leaves, and their scores."""
+        score, start = np.zeros(len(i), dtype=kind), 0
+        for k in range(min(self.first + 1, len(self.starts) - 1), len(self.starts)):
+            part = slice(start, start := self.starts[k])
+            score += np.einsum("pd,pd->p", self.rows[kind][i, part], rows[j, part])
+            keep = score + self.left[k, i] * left[k, j] >= self.scores[i, -1] - 0.5
+            i, j, score = i[keep], j[keep], score[keep]
+        return i, j, score
+
     def _all(self, some: slice, ids: np.ndarray, columns: np.ndarray, kind: str) -> None:
         """Whole scores of all pairs; of those, what passes the worst of the best so far."""
         for start in range(0, len(ids), AT_ONCE):
@@ -286,8 +296,8 @@ def _search(top: int, step: int, query_rows: int, block_rows: int):
                 if row["asked"]:
                     queries.append(row)
                     continue
-                # Small blocks wait for others; a block is of bounded size, and so are those that it waits with.
-                if waiting and sum(x["n"] for x in waiting) + row["n"] > _rows(block_rows, row["dims"]):
+                # Blocks of candidates wait for others, up to a bound.
+                if waiting and sum(x["n"] for x in waiting) + row["n"] > _rows(block_rows, row["dims"], MET_COMPONENTS):
                     meet()
                 waiting.append(row)
         yield from end()
@@ -333,7 +343,7 @@ def search(vectors: DataFrame, top: int = TOP, every: int = EVERY, scale: int =
             F.transform(numbers(across), lambda c: own * across + c))
         dealt = blocks.withColumn("cell", F.explode(cells)).repartitionById(down * across, F.col("cell"))
         dealt = dealt.sortWithinPartitions("cell", "dims", F.desc("asked"), "low", "deal")
-        with job_settings(vectors.sparkSession, **ONE_BY_ONE):
+        with job_settings(vectors.sparkSession, **FEW):
             found = scratch.write(dealt.mapInArrow(_search(top, dims, query_rows, block_rows), _FOUND), "found", keep=True)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
