@@ -43,7 +43,7 @@ DIMS = 16
 # a task do that are not yet full. Parquet looks at the size of a page after a hundred values only, so blocks are small.
 BLOCK_COMPONENTS, MET_COMPONENTS, WAITING_COMPONENTS = 1 << 16, 1 << 19, 1 << 23
 # Components of the queries of a cell, and products of components that make a cell's work.
-CELL_COMPONENTS, CELL_PRODUCTS = 1 << 22, 1 << 40
+CELL_COMPONENTS, CELL_PRODUCTS = 1 << 24, 1 << 42
 # Candidates that are scored without a bar at once, and surviving pairs that go on together.
 AT_ONCE, PAIRS_AT_ONCE = 256, 1024
 # Sums of integers up to here are exact in singles, and rounded by less than a half with a bound added.
@@ -137,15 +137,19 @@ def _columns(parts: list[dict]) -> tuple[np.ndarray, np.ndarray]:
         kind = "<f8" if len(row["columns"]) == 8 * row["n"] * row["dims"] else "<i2"
         ids.append(np.frombuffer(row["ids"], dtype="<i8"))
         columns.append(np.frombuffer(row["columns"], dtype=kind).reshape(row["dims"], row["n"]))
-    columns = np.concatenate(columns, axis=1).astype("<f8")
+    columns = np.concatenate(columns, axis=1)
     # Vectors without components all score 0.
     return np.concatenate(ids), columns if len(columns) else np.zeros((1, columns.shape[1]))
 
 
 def _left(columns: np.ndarray, starts: list[int]) -> np.ndarray:
     """Length of what is left of each vector from each start on, rounded up."""
-    squares = np.square(columns)
-    return np.sqrt([squares[s:].sum(axis=0) for s in starts]) * (1 + 1e-6)
+    squares, left = np.zeros(columns.shape[1]), np.zeros((len(starts), columns.shape[1]))
+    for k in range(len(starts) - 2, -1, -1):
+        for column in columns[starts[k] : starts[k + 1]]:
+            squares += np.square(column, dtype="f8")
+        left[k] = np.sqrt(squares) * (1 + 1e-6)
+    return left
 
 
 class _Cell:
@@ -153,11 +157,13 @@ class _Cell:
 
     def __init__(self, ids: np.ndarray, columns: np.ndarray, top: int, step: int, query_rows: int):
         self.ids, self.top, self.query_rows = ids, top, query_rows
-        self.order = np.argsort(-np.square(columns).sum(axis=1), kind="stable")  # dimensions of most weight first
+        # Dimensions of most weight first.
+        self.order = np.argsort([-np.square(column, dtype="f8").sum() for column in columns], kind="stable")
         self.starts = [*range(0, len(columns), step), len(columns)]
-        self.columns = {"f8": columns[self.order]}
+        self.stored = columns[self.order]
+        self.columns: dict[str, np.ndarray] = {}
         self.rows: dict[str, np.ndarray] = {}
-        self.left = _left(self.columns["f8"], self.starts)
+        self.left = _left(self.stored, self.starts)
         # The block of dimensions after which pairs are first held against the bar.
         self.first = max(1, len(self.starts) // 2)
         self.scores = np.full((len(ids), top), -np.inf)
@@ -185,7 +191,7 @@ class _Cell:
         longest = float(self.left[0].max() * left[0].max())
         kind = "f4" if longest < SINGLES else "f8"
         if kind not in self.rows:
-            self.columns[kind] = self.columns["f8"].astype(kind, copy=False)
+            self.columns[kind] = self.stored.astype(kind, copy=False)
             self.rows[kind] = np.ascontiguousarray(self.columns[kind].T)
         columns, most = columns.astype(kind, copy=False), 0.0
         rows = np.ascontiguousarray(columns.T)
